@@ -1,0 +1 @@
+"""Incremental refresh of the marts (placeholder filled in later)."""
