@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..operators.staging import stage_journal
 from ..sources.journal import journal_for
 from . import oracle
+from .dashboard import DASHBOARD
 from .marts import MARTS, main_exercises
 
 # fixture parameters for parameterised queries (FIXTURES.md §3)
@@ -56,13 +57,26 @@ def _main_exercises(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(main_exercises(staged(spark, sf_dir), FIXTURE_MAIN_EXERCISES))
 
 
+def _dash_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    fn = DASHBOARD[name]
+    kw = {} if name in ("dash_weekday", "dash_heatmap") else {"exercises": FIXTURE_DASHBOARD_EXERCISES}
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return edge(fn(staged(spark, sf_dir), **kw))
+
+    run.__name__ = name
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {name: _mart_query(name) for name in MARTS}
     q["main_exercises"] = _main_exercises
+    q.update({name: _dash_query(name) for name in DASHBOARD})
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     out = {name: oracle.mart_sql(name) for name in MARTS if name in oracle.Q}
     out["main_exercises"] = oracle.main_exercises_sql(FIXTURE_MAIN_EXERCISES)
+    out.update(oracle.dashboard_sql(FIXTURE_DASHBOARD_EXERCISES))
     return out

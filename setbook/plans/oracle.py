@@ -362,3 +362,58 @@ def mart_sql(name: str) -> str:
 
 def main_exercises_sql(names) -> str:
     return build("main_exercises", [], _main_exercises(names), COLUMNS["main_exercises"])
+
+
+# ---- presentation queries (fixture parameters, FIXTURES.md §3) ------------------
+
+def _in_list(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+def dashboard_sql(exercises, as_of=(2026, 6), year_bound=2025, unit_factor=2.2,
+                  weight_kg="10.00", year=2024) -> dict[str, str]:
+    ex = _in_list(exercises)
+    y, m = as_of
+    mcr = f"""
+mcr AS ({Q['mom_changes_reps'][1]}),
+dmom AS (
+    SELECT year, month_int, month, exercise, added_weight, last_month_reps, total_reps,
+           mom_percentage_change, mom_absolute_change
+    FROM mcr
+    WHERE ((year < {y}) OR (year = {y} AND month_int <= {m})) AND exercise IN ({ex})),
+dunits AS (
+    SELECT *, ROUND(added_weight * {unit_factor}, 2) AS display_weight, 'lbs' AS display_unit FROM dmom)"""
+    yoy = f"""
+yrpew AS ({Q['yearly_reps_per_exercise_weight'][1]}),
+dyoy AS (
+    SELECT year, exercise, added_weight, total_reps FROM yrpew
+    WHERE year <= {y} AND exercise IN ({ex}))"""
+    wk = f"""
+dweek AS (SELECT * FROM weekday_matrix WHERE year < {year_bound})"""
+    sel = f"ROUND(CAST({weight_kg} AS DECIMAL(5,2)) * {unit_factor}, 2)"
+    mom_cols = ("year, month_int, month, exercise, added_weight, last_month_reps, total_reps, "
+                "mom_percentage_change, mom_absolute_change")
+    order = _list(("sunday", "saturday", "friday", "thursday", "wednesday", "tuesday", "monday"))
+    grid = [GRID_FAITHFUL, MOM]
+    specs = {
+        "dash_mom": (grid + [mcr], "SELECT * FROM dmom", mom_cols),
+        "dash_yoy": ([yoy], "SELECT * FROM dyoy", "year, exercise, added_weight, total_reps"),
+        "dash_weekday": ([WEEKDAY, wk], "SELECT * FROM dweek", "year, weekday_int, weekday, total_workouts"),
+        "dash_units": (grid + [mcr], "SELECT * FROM dunits", mom_cols + ", display_weight, display_unit"),
+        "dash_weight_options": (grid + [mcr], "SELECT DISTINCT display_weight FROM dunits", "display_weight"),
+        "dash_year_options": (grid + [mcr], "SELECT DISTINCT year FROM dmom", "year"),
+        "dash_filter": (grid + [mcr], f"SELECT * FROM dunits WHERE display_weight = {sel}",
+                        mom_cols + ", display_weight, display_unit"),
+        "dash_month_date": (grid + [mcr],
+                            f"SELECT *, make_date(year, month_int, 1) AS date FROM dunits "
+                            f"WHERE display_weight = {sel}",
+                            mom_cols + ", display_weight, display_unit, date"),
+        "dash_yearly_sorted": ([yoy], f"SELECT *, ROUND(added_weight * {unit_factor}, 2) AS display_weight, "
+                                      f"'lbs' AS display_unit FROM dyoy WHERE year = {year}",
+                               "year, exercise, added_weight, total_reps, display_weight, display_unit"),
+        "dash_heatmap": ([WEEKDAY, wk], f"""
+    SELECT year, weekday, SUM(total_workouts) AS total_workouts,
+           CAST(list_position({order}, weekday) AS INTEGER) AS weekday_position
+    FROM dweek GROUP BY year, weekday""", "year, weekday, total_workouts, weekday_position:keep"),
+    }
+    return {k: build(k, c, b, cols) for k, (c, b, cols) in specs.items()}
