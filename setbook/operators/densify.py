@@ -61,8 +61,9 @@ def fill_month_gaps(facts: DataFrame, entity, lo: Column, hi: Column,
     rows = exploded.select(*out, gen.alias(GEN))
     # a generated month is covered when a fact row of the entity has the
     # same (year, month_int): facts sort just before it (generated last)
+    # same leading order as later (year, month_int) windows -> they reuse this sort
     w_cover = Window.partitionBy(*key).orderBy(
-        F.col("year").asc(), F.col("month_int").asc_nulls_last(), F.col(GEN).asc())
+        F.col("year").asc_nulls_last(), F.col("month_int").asc_nulls_last(), F.col(GEN).asc())
     prev_y = F.lag("year").over(w_cover)
     prev_m = F.lag("month_int").over(w_cover)
     prev_g = F.lag(GEN).over(w_cover)

@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import weight_kg, weight_unit
+from ..operators.grid import clean_journal, parse_journal_cells
+from ..operators.quality import check_journal
 from ..operators.staging import stage_journal
+from ..sources.cells import cells_from_tables
 from ..sources.journal import journal_for
 from . import oracle
 from .dashboard import DASHBOARD
@@ -68,10 +72,34 @@ def _dash_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def parse_cells_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables -> workbook cells -> parser -> cleaned journal rows."""
+    return edge(clean_journal(parse_journal_cells(cells_from_tables(spark, sf_dir))))
+
+
+def clean_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct weight text of the workbook fixture, parsed to (kg, unit)."""
+    cells = cells_from_tables(spark, sf_dir)
+    texts = cells.where((F.col("c") == 1) & F.col("sv").isNotNull()
+                        & (F.col("sv").contains("kg") | F.col("sv").contains("Bodyweight")))
+    return edge(texts.select(F.col("sv").alias("weight_text")).distinct().select(
+        "weight_text", weight_kg("weight_text").alias("weight"),
+        weight_unit("weight_text").alias("weight_unit")))
+
+
+def check_journal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Violation counts per rule over the whole derived journal."""
+    _, report = check_journal(journal_for(spark, sf_dir))
+    return edge(report)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {name: _mart_query(name) for name in MARTS}
     q["main_exercises"] = _main_exercises
     q.update({name: _dash_query(name) for name in DASHBOARD})
+    q["parse_cells_roundtrip"] = parse_cells_roundtrip
+    q["clean_weight"] = clean_weight
+    q["check_journal"] = check_journal_report
     return q
 
 
@@ -79,4 +107,7 @@ def oracle_sql() -> dict[str, str]:
     out = {name: oracle.mart_sql(name) for name in MARTS if name in oracle.Q}
     out["main_exercises"] = oracle.main_exercises_sql(FIXTURE_MAIN_EXERCISES)
     out.update(oracle.dashboard_sql(FIXTURE_DASHBOARD_EXERCISES))
+    out["parse_cells_roundtrip"] = oracle.ROUNDTRIP
+    out["clean_weight"] = oracle.CLEAN_WEIGHT
+    out["check_journal"] = oracle.CHECK_JOURNAL
     return out

@@ -417,3 +417,70 @@ dweek AS (SELECT * FROM weekday_matrix WHERE year < {year_bound})"""
     FROM dweek GROUP BY year, weekday""", "year, weekday, total_workouts, weekday_position:keep"),
     }
     return {k: build(k, c, b, cols) for k, (c, b, cols) in specs.items()}
+
+
+# ---- grid parser round trip, weight texts, quality report ----------------------
+
+_FIXTURE_LINES = """
+sess AS (
+    SELECT o_orderkey, o_orderstatus, o_orderpriority,
+           CAST(CAST(o_orderdate AS DATE) + INTERVAL 27 YEAR AS DATE) AS dt
+    FROM orders),
+lines AS (
+    SELECT l.*, p.p_brand, p.p_size, s.*,
+           row_number() OVER (PARTITION BY l.l_orderkey, l.l_linestatus
+                              ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
+                                       l.l_extendedprice, l.l_discount, l.l_tax, l.l_returnflag) AS set_idx,
+           CAST(CAST(round(l.l_discount * 100) AS INTEGER) * 2.5 AS DECIMAL(5,2)) AS w_kg
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN sess s ON l.l_orderkey = s.o_orderkey)"""
+
+ROUNDTRIP = "WITH " + _FIXTURE_LINES.strip() + """
+SELECT lower(monthname(dt)) AS month, lower(dayname(dt)) AS weekday, dt AS date,
+       CAST(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS BIGINT) AS deload,
+       CAST(dayofyear(dt) AS BIGINT) AS workout_counter,
+       CAST(set_idx AS BIGINT) AS set_counter,
+       lower(o_orderpriority) AS type,
+       CASE WHEN l_linestatus = 'F' THEN 'pull' ELSE 'push' END AS section,
+       lower(p_brand) || CASE WHEN p_size % 10 = 0 THEN ' hold (s)'
+                              WHEN p_size % 10 = 1 THEN ' + dips' ELSE '' END AS exercise,
+       CAST(w_kg AS DOUBLE) AS weight,
+       'kg' AS weight_unit,
+       lower(l_returnflag) AS grip,
+       CAST(CAST(l_quantity AS SMALLINT) AS BIGINT) AS amount,
+       CAST(CAST(round(l_tax * 100) AS INTEGER) * 15 AS BIGINT) AS rest
+FROM lines
+WHERE year(dt) <> 2023"""
+
+CLEAN_WEIGHT = "WITH " + _FIXTURE_LINES.strip() + """,
+texts AS (
+    SELECT DISTINCT CASE WHEN w_kg = 0 THEN 'Bodyweight' ELSE CAST(w_kg AS VARCHAR) || 'kg' END AS weight_text
+    FROM lines)
+SELECT weight_text,
+       CAST(CAST(round(CASE WHEN contains(weight_text, 'Bodyweight') THEN 0.0
+                            WHEN contains(weight_text, 'kg')
+                            THEN TRY_CAST(trim(split_part(weight_text, 'kg', 1)) AS DOUBLE) END, 2)
+                 AS DECIMAL(5,2)) AS DOUBLE) AS weight,
+       CASE WHEN contains(weight_text, 'Bodyweight') OR contains(weight_text, 'kg') THEN 'kg' END AS weight_unit
+FROM texts"""
+
+_NOT_NULL = ("month weekday date deload workout_counter set_counter type section exercise weight "
+             "weight_unit grip amount rest").split()
+_RULES = [(f"not_null_{c}", f"{c} IS NULL") for c in _NOT_NULL] + [
+    ("unit_allowed", "weight_unit NOT IN ('kg', 'lbs')"),
+    ("deload_is_flag", "deload NOT IN (0, 1)"),
+    ("weight_fits_5_2", "abs(weight) >= 1000"),
+    ("month_name_known", f"list_position({_list(MONTH_NAMES)}, month) IS NULL AND month IS NOT NULL"),
+    ("weekday_name_known", f"list_position({_list(WEEKDAY_NAMES)}, weekday) IS NULL AND weekday IS NOT NULL"),
+    ("month_matches_date", "month <> lower(monthname(date))"),
+    ("weekday_matches_date", "weekday <> lower(dayname(date))"),
+    ("negative_amount", "amount < 0"),
+]
+CHECK_JOURNAL = "WITH " + JOURNAL.strip() + ",\nrules AS (\n" + "\n    UNION ALL\n".join(
+    f"    SELECT '{n}' AS rule, CAST(COUNT(*) FILTER (WHERE {p}) AS BIGINT) AS violations FROM journal"
+    for n, p in _RULES) + """
+    UNION ALL
+    SELECT 'one_unit_per_cell' AS rule, CAST(COUNT(*) FILTER (WHERE variants > 1) AS BIGINT) AS violations
+    FROM (SELECT year(date) AS y, list_position(""" + _list(MONTH_NAMES) + """, month) AS m, exercise, weight,
+                 COUNT(DISTINCT (month, weight_unit)) AS variants
+          FROM journal GROUP BY 1, 2, 3, 4) cells)
+SELECT rule, violations FROM rules"""
