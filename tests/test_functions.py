@@ -1,0 +1,44 @@
+"""Scalar expression helpers."""
+
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from setbook.functions import month_number, percentage, weekday_number, weight_kg, year_length
+from setbook.functions.calendar import padded_month_name, serial_to_date
+
+
+def test_month_and_weekday_numbers(spark):
+    df = spark.createDataFrame([("january", "monday"), ("december", "sunday"), ("jan", "Monday"),
+                                (None, None)], "m string, w string")
+    got = [tuple(r) for r in df.select(month_number("m"), weekday_number("w")).collect()]
+    assert got == [(1, 1), (12, 7), (None, None), (None, None)]
+
+
+def test_year_length_leap_rules(spark):
+    df = spark.createDataFrame([(2023,), (2024,), (1900,), (2000,)], "y int")
+    assert [r[0] for r in df.select(year_length("y")).collect()] == [365, 366, 365, 366]
+
+
+def test_percentage_rounds_half_away_from_zero_exactly(spark):
+    df = spark.createDataFrame([(107, 366), (290, 366), (1, 8), (-1, 8), (5, 0), (2675, 100000)],
+                               "n long, d long")
+    got = [r[0] for r in df.select(percentage("n", "d")).collect()]
+    # 107/366 = 29.2349..%, 290/366 = 79.2349..%: the naive DECIMAL/int form mis-rounds these
+    assert got == [Decimal("29.23"), Decimal("79.23"), Decimal("12.50"), Decimal("-12.50"), None,
+                   Decimal("2.68")]
+
+
+def test_weight_text(spark):
+    texts = ["Bodyweight", "12.5 kg", "20kg", "Bodyweight + 10kg", "red band", "x kg", "1500kg"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(weight_kg("t")).collect()]
+    assert got == [Decimal("0.00"), Decimal("12.50"), Decimal("20.00"), Decimal("0.00"), None, None, None]
+
+
+def test_padded_month_and_serial_dates(spark):
+    df = spark.createDataFrame([(45413.0,), (45413.75,)], "s double")
+    got = df.select(serial_to_date(F.col("s")).alias("d")) \
+            .select("d", padded_month_name(F.col("d"))).collect()
+    assert str(got[0][0]) == "2024-05-01" and got[0][1] == "may      "
+    assert str(got[1][0]) == "2024-05-01"
