@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # from measured sizes, partition coalescing, skew splitting), UTC dates, no UI.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
