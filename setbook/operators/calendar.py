@@ -9,7 +9,7 @@ from ..functions.calendar import padded_month_name, year_length, year_start
 from ..functions.numeric import percentage
 
 
-def calendar_presence(df: DataFrame, date_col: str = "date") -> DataFrame:
+def calendar_presence(df: DataFrame, date_col: str = "date", by=()) -> DataFrame:
     """Every day from 1 January of the first active year to the last active
     day, flagged ``rest`` = no row of ``df`` on that day.
 
@@ -17,19 +17,28 @@ def calendar_presence(df: DataFrame, date_col: str = "date") -> DataFrame:
     generated days (flag 0) and the data's days (flag 1, combined map-side
     so each task sends one row per day) are unioned and grouped by day.
     The axis is generated in one task from two scalar bounds; its size is
-    bounded by the calendar span (366 rows per year).
+    bounded by the calendar span (366 rows per year).  With ``by`` every
+    log gets its own calendar: one bounds row per log, each generating its
+    own days.
     """
     spark: SparkSession = df.sparkSession
-    b = df.agg(year_start(F.min(date_col)).alias("lo"), F.max(date_col).alias("hi"))
-    lo = b.select("lo").scalar()
-    hi = b.select("hi").scalar()
-    axis = spark.range(1).select(
-        F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("date"),
-        F.lit(0).alias("_active"))
-    days = df.select(F.col(date_col).alias("date"), F.lit(1).alias("_active"))
+    step = F.expr("INTERVAL 1 DAY")
+    if by:
+        bounds = df.groupBy(*by).agg(year_start(F.min(date_col)).alias("lo"),
+                                     F.max(date_col).alias("hi"))
+        axis = bounds.select(*by, F.explode(F.sequence("lo", "hi", step)).alias("date"),
+                             F.lit(0).alias("_active"))
+    else:
+        b = df.agg(year_start(F.min(date_col)).alias("lo"), F.max(date_col).alias("hi"))
+        lo = b.select("lo").scalar()
+        hi = b.select("hi").scalar()
+        axis = spark.range(1).select(F.explode(F.sequence(lo, hi, step)).alias("date"),
+                                     F.lit(0).alias("_active"))
+    days = df.select(*by, F.col(date_col).alias("date"), F.lit(1).alias("_active"))
     flagged = (days.unionByName(axis)
-                   .groupBy("date").agg(F.max("_active").alias("_active")))
+                   .groupBy(*by, "date").agg(F.max("_active").alias("_active")))
     return flagged.select(
+        *by,
         F.year("date").cast("smallint").alias("year"),
         F.month("date").cast("smallint").alias("month_int"),
         padded_month_name(F.col("date")).alias("month"),
@@ -38,16 +47,19 @@ def calendar_presence(df: DataFrame, date_col: str = "date") -> DataFrame:
     )
 
 
-def active_day_share(df: DataFrame, date_col: str = "date", year_col: str = "year") -> DataFrame:
+def active_day_share(df: DataFrame, date_col: str = "date", year_col: str = "year",
+                     by=()) -> DataFrame:
     """Per year with at least one active day: days in the year, active days,
     and active / rest shares in percent of the full year.
 
     Active days are exactly the distinct dates of ``df`` (the calendar's
     non-rest days), so the calendar itself is not materialised.
     """
-    per_year = df.groupBy(year_col).agg(F.count_distinct(date_col).cast("bigint").alias("workout_days"))
+    per_year = df.groupBy(*by, year_col).agg(
+        F.count_distinct(date_col).cast("bigint").alias("workout_days"))
     total = year_length(F.col(year_col))
     return per_year.select(
+        *by,
         F.col(year_col).alias("year"),
         total.cast("bigint").alias("total_days"),
         F.col("workout_days"),

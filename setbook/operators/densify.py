@@ -20,14 +20,17 @@ GEN = "_generated"
 
 
 def fill_month_gaps(facts: DataFrame, entity, lo: Column, hi: Column,
-                    fill: dict, by=(), order_extra=()) -> DataFrame:
+                    fill: dict, by=(), order_extra=(), partition=None) -> DataFrame:
     """Add one row per (by, entity, month in [lo, hi]) that has no fact row.
 
     ``facts`` has columns (by, entity, year, month_int, month, ...); rows
     whose ``month_int`` is NULL never cover a month.  Generated rows get
     ``year``/``month_int``/``month`` from the axis and the literals in
-    ``fill`` for the other columns.  Result: facts ∪ missing rows, with a
-    boolean ``_generated`` column, hash-partitioned on (by, entity).
+    ``fill`` for the other columns.  ``lo``/``hi`` may be literals, scalar
+    subqueries or columns of ``facts`` (per-log bounds).  Result: facts ∪
+    missing rows, with a boolean ``_generated`` column, hash-partitioned on
+    ``partition`` (default (by, entity); any subset of it also serves the
+    windows here and the period-change windows downstream).
 
     Every entity generates the axis exactly once: the first fact row of
     the entity (row_number over the entity partition) carries the month
@@ -35,7 +38,7 @@ def fill_month_gaps(facts: DataFrame, entity, lo: Column, hi: Column,
     """
     key = [*by, *entity]
     cols = [c for c in facts.columns]
-    facts = facts.repartition(*key)
+    facts = facts.repartition(*(partition or key))
     w_first = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last()
                                                  for c in ("year", "month_int", *order_extra)])
     marked = facts.withColumn("_first", F.row_number().over(w_first) == 1)

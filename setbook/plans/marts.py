@@ -13,14 +13,16 @@ at read time.  No mart sorts globally.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.calendar import month_start
+
 from ..functions.vocab import MAIN_EXERCISES, MONTH_AXIS_FLOOR
 from ..operators.calendar import active_day_share, calendar_presence
 from ..operators.change import period_change
 from ..operators.classify import classify, is_reps_exercise, is_seconds_exercise, restrict_to
-from ..operators.densify import fill_month_gaps, month_bounds, year_axis
+from ..operators.densify import fill_month_gaps, month_bounds
 from ..operators.rank import top_ranked
 from ..operators.rollup import count_sessions, rollup_sum, share
 
@@ -106,16 +108,31 @@ def monthly_aggregates_every_possible_combination(stg, by=(), floor=MONTH_AXIS_F
     known = F.col("month_int").isNotNull()
     valued = (reps | secs) if corrected else reps
     unit_key = F.when(known & (reps | secs), F.col("weight_unit"))
+    aggs = [F.sum("amount").cast("bigint").alias("_sum")]
+    if by:   # each log's own axis: carry its first/last data month
+        aggs += [F.min(month_start(F.col("date"))).alias("_lo"),
+                 F.max(month_start(F.col("date"))).alias("_hi")]
     facts = (stg.groupBy(*by, "exercise", "added_weight", *MONTH, unit_key.alias("_unit"))
-                .agg(F.sum("amount").cast("bigint").alias("_sum")))
+                .agg(*aggs))
     facts = facts.select(
         *by, *MONTH, "exercise",
         F.when(known & valued, F.col("_sum")).otherwise(F.lit(0)).cast("bigint").alias("total_reps"),
         "added_weight",
-        F.when(known & valued, F.col("_unit")).otherwise(F.lit("kg")).alias("weight_unit"))
+        F.when(known & valued, F.col("_unit")).otherwise(F.lit("kg")).alias("weight_unit"),
+        *(["_lo", "_hi"] if by else []))
+    fill = {"total_reps": 0, "weight_unit": "kg"}
+    if by:
+        # partitioning on the log key serves this window and every later
+        # (log, exercise, weight) window: still a single exchange
+        w_log = Window.partitionBy(*by)
+        facts = (facts.repartition(*by)
+                      .withColumn("_lo", F.least(F.lit(floor).cast("date"), F.min("_lo").over(w_log)))
+                      .withColumn("_hi", F.max("_hi").over(w_log)))
+        grid = fill_month_gaps(facts, ("exercise", "added_weight"), F.col("_lo"), F.col("_hi"), fill,
+                               by=by, order_extra=("weight_unit",), partition=by)
+        return grid.drop("_generated", "_lo", "_hi")
     lo, hi = month_bounds(stg, "date", floor)
-    grid = fill_month_gaps(facts, ("exercise", "added_weight"), lo, hi,
-                           {"total_reps": 0, "weight_unit": "kg"}, by=by,
+    grid = fill_month_gaps(facts, ("exercise", "added_weight"), lo, hi, fill, by=by,
                            order_extra=("weight_unit",))
     return grid.drop("_generated")
 
@@ -133,16 +150,17 @@ def mom_changes(stg, by=(), corrected: bool = False, grid=None):
                       "weight_unit", "mom_percentage_change", "mom_absolute_change")
 
 
-def mom_changes_reps(stg, by=()):
+def mom_changes_reps(stg, by=(), mom=None):
     """Rep exercises; a NULL % (first month, 0 -> 0) becomes -100.00."""
-    mc = restrict_to(mom_changes(stg, by), is_reps_exercise())
+    mc = restrict_to(mom if mom is not None else mom_changes(stg, by), is_reps_exercise())
     return mc.withColumn("mom_percentage_change",
                          F.coalesce(F.col("mom_percentage_change"),
                                     F.lit(-100).cast("decimal(18,2)")))
 
 
-def mom_changes_seconds(stg, by=(), corrected: bool = False):
-    mc = restrict_to(mom_changes(stg, by, corrected=corrected), is_seconds_exercise())
+def mom_changes_seconds(stg, by=(), corrected: bool = False, mom=None):
+    mc = mom if mom is not None else mom_changes(stg, by, corrected=corrected)
+    mc = restrict_to(mc, is_seconds_exercise())
     return (mc.withColumnRenamed("last_month_reps", "last_month_seconds")
               .withColumnRenamed("total_reps", "total_seconds"))
 
@@ -159,12 +177,13 @@ def yoy_changes(stg, by=(), corrected: bool = False, grid=None):
                       "weight_unit", "yoy_percentage_change", "yoy_absolute_change")
 
 
-def yoy_changes_reps(stg, by=()):
-    return restrict_to(yoy_changes(stg, by), is_reps_exercise())
+def yoy_changes_reps(stg, by=(), yoy=None):
+    return restrict_to(yoy if yoy is not None else yoy_changes(stg, by), is_reps_exercise())
 
 
-def yoy_changes_seconds(stg, by=(), corrected: bool = False):
-    yc = restrict_to(yoy_changes(stg, by, corrected=corrected), is_seconds_exercise())
+def yoy_changes_seconds(stg, by=(), corrected: bool = False, yoy=None):
+    yc = yoy if yoy is not None else yoy_changes(stg, by, corrected=corrected)
+    yc = restrict_to(yc, is_seconds_exercise())
     return (yc.withColumnRenamed("last_year_reps", "last_year_seconds")
               .withColumnRenamed("total_reps", "total_seconds"))
 
@@ -214,36 +233,38 @@ def yearly_workouts_per_type(stg, by=()):
 # ---- calendars -----------------------------------------------------------------
 
 def workout_vs_rest_days(stg, by=()):
-    if by:
-        raise NotImplementedError("calendar marts are per log; filter by the key first")
-    return calendar_presence(stg, "date")
+    return calendar_presence(stg, "date", by=by)
 
 
 def workout_days_per_year_percentage(stg, by=()):
-    if by:
-        raise NotImplementedError("calendar marts are per log; filter by the key first")
-    return active_day_share(stg, "date", "year")
+    return active_day_share(stg, "date", "year", by=by)
 
 
 def workout_frequency_weekday(stg, by=()):
     """(year axis × weekdays present) with distinct sessions, zero filled.
 
-    The axis rows (count 0) and the counted rows are unioned and reduced
-    with max() per cell — a left join without the join.  Counted rows with
-    an unknown weekday never match an axis cell (as in the original join).
+    Everything comes from one aggregate — the session counts per (log,
+    year, weekday): its weekdays and year range define the axis, whose
+    rows (count 0) are unioned with the counts and reduced with max() per
+    cell — a left join without the join.  Counts with an unknown weekday
+    never match an axis cell (as in the original join on weekday_int).
     """
+    counted = count_sessions(stg, ("year", "weekday_int", "weekday"), by=by) \
+        .withColumn("year", F.col("year").cast("int"))
     if by:
-        raise NotImplementedError("weekday matrix is per log; filter by the key first")
-    weekdays = stg.select("weekday_int", "weekday").distinct()
-    axis = year_axis(stg, weekdays, "year").select(
-        F.col("year").cast("int").alias("year"), "weekday_int", "weekday",
-        F.lit(0).cast("bigint").alias("total_workouts"))
-    counted = (count_sessions(stg, ("year", "weekday_int", "weekday"))
-               .where(F.col("weekday_int").isNotNull())
-               .select(F.col("year").cast("int").alias("year"), "weekday_int", "weekday",
-                       "total_workouts"))
-    cells = axis.unionByName(counted)
-    return (cells.groupBy("year", "weekday_int", "weekday")
+        w_log = Window.partitionBy(*by)
+        days = counted.select(*by, "weekday_int", "weekday",
+                              F.min("year").over(w_log).alias("lo"),
+                              F.max("year").over(w_log).alias("hi")).distinct()
+        lo, hi = F.col("lo"), F.col("hi")
+    else:
+        b = counted.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
+        lo, hi = b.select("lo").scalar(), b.select("hi").scalar()
+        days = counted.select("weekday_int", "weekday").distinct()
+    axis = days.select(*by, F.explode(F.sequence(lo, hi)).alias("year"), "weekday_int", "weekday",
+                       F.lit(0).cast("bigint").alias("total_workouts"))
+    cells = axis.unionByName(counted.where(F.col("weekday_int").isNotNull()))
+    return (cells.groupBy(*by, "year", "weekday_int", "weekday")
                  .agg(F.max("total_workouts").alias("total_workouts")))
 
 
