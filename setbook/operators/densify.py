@@ -41,9 +41,12 @@ def fill_month_gaps(facts: DataFrame, entity, lo: Column, hi: Column,
     facts = facts.repartition(*(partition or key))
     w_first = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last()
                                                  for c in ("year", "month_int", *order_extra)])
-    marked = facts.withColumn("_first", F.row_number().over(w_first) == 1)
+    # bounds are bound to columns after the entity sort, so per-log window
+    # bounds (partitioned by a prefix of the entity key) reuse that sort
+    marked = (facts.withColumn("_first", F.row_number().over(w_first) == 1)
+                   .withColumn("_axis_lo", lo).withColumn("_axis_hi", hi))
     # element NULL = "this fact row itself"; a date = "generated row for that month"
-    axis = F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))
+    axis = F.sequence(F.col("_axis_lo"), F.col("_axis_hi"), F.expr("INTERVAL 1 MONTH"))
     slots = F.when(F.col("_first"), F.concat(F.array(F.lit(None).cast("date")), axis)) \
              .otherwise(F.array(F.lit(None).cast("date")))
     exploded = marked.select(*cols, F.explode(slots).alias("_m"))

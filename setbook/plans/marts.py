@@ -124,11 +124,11 @@ def monthly_aggregates_every_possible_combination(stg, by=(), floor=MONTH_AXIS_F
     if by:
         # partitioning on the log key serves this window and every later
         # (log, exercise, weight) window: still a single exchange
+        # (window expressions: evaluated after the entity sort, which serves them)
         w_log = Window.partitionBy(*by)
-        facts = (facts.repartition(*by)
-                      .withColumn("_lo", F.least(F.lit(floor).cast("date"), F.min("_lo").over(w_log)))
-                      .withColumn("_hi", F.max("_hi").over(w_log)))
-        grid = fill_month_gaps(facts, ("exercise", "added_weight"), F.col("_lo"), F.col("_hi"), fill,
+        lo = F.least(F.lit(floor).cast("date"), F.min("_lo").over(w_log))
+        hi = F.max("_hi").over(w_log)
+        grid = fill_month_gaps(facts, ("exercise", "added_weight"), lo, hi, fill,
                                by=by, order_extra=("weight_unit",), partition=by)
         return grid.drop("_generated", "_lo", "_hi")
     lo, hi = month_bounds(stg, "date", floor)
