@@ -51,7 +51,7 @@ def select_sheets(cells: DataFrame, exclude=EXCLUDED_SHEETS) -> DataFrame:
 def _text(sv: Column, nv: Column) -> Column:
     """Python ``str(cell)``: text as is, numbers as repr of a float ('7.0')."""
     whole = nv == F.floor(nv)
-    as_num = F.when(whole, F.concat(F.format_string("%d", nv.cast("bigint")), F.lit(".0"))) \
+    as_num = F.when(whole, F.concat(nv.cast("bigint").cast("string"), F.lit(".0"))) \
               .otherwise(nv.cast("string"))
     return F.coalesce(sv, as_num)
 
@@ -104,6 +104,9 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0) -> DataFrame:
         serial_to_date(F.col("l2_nv"), date_mode).alias("date"),
         F.coalesce(_text(F.col("r1_sv"), F.col("r1_nv")), F.lit("")).alias("type"),
     )
+    # the day as the text the original compares cells with ('DD-MM-YYYY'),
+    # formatted once per weekday cell instead of once per cell
+    wd_event = wd_event.withField("day_txt", F.date_format(wd_event.getField("date"), "dd-MM-yyyy"))
     ev = base.select(
         "*",
         F.when(is_month, sv).alias("e_month"),
@@ -119,13 +122,13 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0) -> DataFrame:
         return df.select("*", last("e_month").alias("x_month"), last("e_wd").alias("_wd"),
                          last("e_counter").alias("x_counter")) \
                  .select("*", *[F.col(f"_wd.{f}").alias(f"x_{f}")
-                                for f in ("weekday", "deload", "date", "type")]).drop("_wd")
+                                for f in ("weekday", "deload", "date", "type", "day_txt")]).drop("_wd")
 
     def visible(df: DataFrame) -> Column:
         """Not equal to a current context nor the text 'Deload'.  Contexts
         start as '' (the counter as 0), so before the first month/weekday
         only empty cells match — and empty cells never act anyway."""
-        day_txt = F.date_format(F.col("x_date"), "dd-MM-yyyy")
+        day_txt = F.col("x_day_txt")
         same = [F.coalesce(sv == F.col(x), F.lit(False))
                 for x in ("x_month", "x_weekday", "x_type", "x_counter")]
         hidden = (same[0] | same[1] | same[2] | same[3]
@@ -135,12 +138,17 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0) -> DataFrame:
                   | (F.col("x_counter").isNull() & F.coalesce(nv == 0, F.lit(False))))
         return ~hidden
 
+    # Empty cells and column headers matter only as neighbours (pass A):
+    # they never set a context, section, break or value, so later passes
+    # skip them.  Cells that act as neighbours were already read above.
+    ev = ev.where(~(F.coalesce(sv == "", F.lit(False)) | F.coalesce(sv.isin(*COLUMN_HEADERS), F.lit(False))))
+
     # ---- "Total" ends the row: first pass of contexts finds the break ----
     a = contexts(ev)
     is_break = visible(a) & ~date_skip & F.coalesce(sv.contains(TOTAL_MARK), F.lit(False))
     a = a.withColumn("_brk", F.min(F.when(is_break, F.col("c"))).over(row_w))
     kept = a.where(F.col("_brk").isNull() | (F.col("c") <= F.col("_brk"))) \
-            .drop("x_month", "x_weekday", "x_deload", "x_date", "x_type", "x_counter")
+            .drop("x_month", "x_weekday", "x_deload", "x_date", "x_type", "x_day_txt", "x_counter")
 
     # ---- pass B: contexts over the cells actually visited ----------------
     b = contexts(kept)
