@@ -1 +1,6 @@
-"""Incremental refresh of the marts (placeholder filled in later)."""
+"""Streaming refresh of the marts: incremental additive rollups and
+arrival-triggered full rebuilds (see ``refresh``)."""
+
+from .refresh import ADDITIVE, read_journal_stream, start_refresh, start_rollup
+
+__all__ = ["ADDITIVE", "read_journal_stream", "start_refresh", "start_rollup"]

@@ -1,0 +1,80 @@
+"""Refreshing the marts as journal files arrive (Structured Streaming).
+
+The log is refreshed as a whole once a day.  Two streaming forms of that cycle:
+
+* ``start_rollup``   — an additive mart (sums by day / month / year / all
+  time, or the added volume) kept up to date *incrementally*: the staged
+  journal stream feeds a stateful streaming aggregation; each trigger
+  writes the complete, current mart with one atomic overwrite.  State
+  lives in the query's checkpoint folder (shared storage), so a restarted
+  or failed job resumes exactly where it stopped.
+
+* ``start_refresh``  — the non-additive marts (distinct counts, windows,
+  dense grids, calendars) cannot be maintained incrementally; new files
+  trigger a full, dependency-ordered rebuild of the requested marts from
+  the whole journal folder (``plans.build.build_marts``).
+
+Both default to ``availableNow``: process what has arrived, then stop —
+the daily job.  Pass ``processing_time`` for a continuously running one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.staging import stage_journal
+from ..plans import marts as M
+from ..plans.build import build_marts
+from ..sources.journal import JOURNAL_SCHEMA, read_journal
+
+ADDITIVE = (
+    "daily_reps_per_exercise_weight", "daily_seconds_per_exercise_weight",
+    "monthly_reps_per_exercise_weight", "monthly_seconds_per_exercise_weight",
+    "yearly_reps_per_exercise_weight", "yearly_seconds_per_exercise_weight",
+    "total_reps_per_exercise_weight", "total_seconds_per_exercise_weight",
+    "monthly_added_volume_lifted",
+)
+
+
+def read_journal_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Journal parquet files appearing under ``path`` as a stream."""
+    reader = spark.readStream.schema(JOURNAL_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(path)
+
+
+def _trigger(writer, processing_time: str | None):
+    return writer.trigger(processingTime=processing_time) if processing_time else \
+        writer.trigger(availableNow=True)
+
+
+def start_rollup(spark: SparkSession, journal_dir: str, name: str, out_path: str, checkpoint: str,
+                 processing_time: str | None = None, by=()) -> StreamingQuery:
+    """Maintain one additive mart incrementally (complete mode, atomic overwrite)."""
+    if name not in ADDITIVE:
+        raise ValueError(f"{name} is not additive; use start_refresh")
+    mart = M.MARTS[name](stage_journal(read_journal_stream(spark, journal_dir), by=by), by=by)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out_path)
+
+    writer = (mart.writeStream.outputMode("complete").foreachBatch(publish)
+                  .option("checkpointLocation", checkpoint).queryName(f"rollup_{name}"))
+    return _trigger(writer, processing_time).start()
+
+
+def start_refresh(spark: SparkSession, journal_dir: str, out_dir: str, checkpoint: str,
+                  names=None, processing_time: str | None = None) -> StreamingQuery:
+    """Rebuild the requested marts from the whole journal whenever files arrive."""
+
+    def rebuild(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        build_marts(spark, read_journal(spark, journal_dir), out_dir, names)
+
+    arrivals = read_journal_stream(spark, journal_dir).select("date")
+    writer = (arrivals.writeStream.foreachBatch(rebuild)
+                      .option("checkpointLocation", checkpoint).queryName("refresh_marts"))
+    return _trigger(writer, processing_time).start()

@@ -1,0 +1,46 @@
+"""Streaming refresh equals the batch marts after each arrival."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from setbook.operators.staging import stage_journal
+from setbook.plans import marts as M
+from setbook.sources.journal import conform_journal, journal_for, read_journal
+from setbook.streaming import start_refresh, start_rollup
+
+from conftest import SF_SMALL
+
+
+def same(a, b):
+    return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_incremental_rollups_and_refresh(spark):
+    root = tempfile.mkdtemp(prefix="setbook-stream-")
+    src, out = f"{root}/journal", f"{root}/marts"
+    journal = conform_journal(journal_for(spark, SF_SMALL))
+    first = journal.where(F.col("date") < "2025-01-01")
+    second = journal.where(F.col("date") >= "2025-01-01")
+
+    def arrive(df):
+        df.write.mode("append").parquet(src)
+
+    def run_all():
+        for q in (start_rollup(spark, src, "monthly_reps_per_exercise_weight", f"{out}/monthly_reps",
+                               f"{root}/ck_monthly"),
+                  start_rollup(spark, src, "total_reps_per_exercise_weight", f"{out}/total_reps",
+                               f"{root}/ck_total"),
+                  start_refresh(spark, src, f"{out}/full", f"{root}/ck_full",
+                                names=["mom_changes_reps", "workout_sessions_per_year"])):
+            q.awaitTermination()
+
+    for batch in (first, second):
+        arrive(batch)
+        run_all()
+        stg = stage_journal(read_journal(spark, src))
+        assert same(spark.read.parquet(f"{out}/monthly_reps"), M.monthly_reps_per_exercise_weight(stg))
+        assert same(spark.read.parquet(f"{out}/total_reps"), M.total_reps_per_exercise_weight(stg))
+        assert same(spark.read.parquet(f"{out}/full/mom_changes_reps"), M.mom_changes_reps(stg))
+        assert same(spark.read.parquet(f"{out}/full/workout_sessions_per_year"),
+                    M.workout_sessions_per_year(stg))
