@@ -2,7 +2,8 @@
 renders the driver tables as a training-log workbook (FIXTURES.md §5).
 
 Layout of one session (one order) inside sheet ``year(dt)`` of workbook
-``o_custkey % workbooks``, rows at ``base = (dayofyear*10^10 + orderkey)*10^4``:
+``o_custkey`` (one log per customer; ``workbooks=n`` folds them into n
+workbooks instead), rows at ``base = (dayofyear*10^10 + orderkey)*10^4``:
 
   base+0        Month name
   base+1        [date serial, 'Deload' | '', Weekday, type, 'N/365']
@@ -13,7 +14,10 @@ Layout of one session (one order) inside sheet ``year(dt)`` of workbook
   base+S+3000   'Total Reps' and a number (must be ignored)
 
 Rows need no global numbering, so cells are produced by narrow
-transformations plus one window (set order inside a section).
+transformations plus one window (set order inside a section).  One log per
+customer keeps every sheet small at any scale, as real logs are (a sheet
+is bounded by the workbook format); folding all customers into a fixed
+number of workbooks would make sheets grow with the data.
 """
 
 from __future__ import annotations
@@ -49,13 +53,14 @@ def _cell(r, c, sv=None, nv=None):
                     (nv if nv is not None else F.lit(None)).cast("double").alias("nv"))
 
 
-def _sessions(spark: SparkSession, sf_dir: str, workbooks: int) -> DataFrame:
+def _sessions(spark: SparkSession, sf_dir: str, workbooks: int | None) -> DataFrame:
     o = read_table(spark, sf_dir, "orders",
                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
     dt = F.add_months(F.col("o_orderdate").cast("date"), DATE_SHIFT_MONTHS)
     return o.select(
         "o_orderkey", "o_orderstatus", "o_orderpriority",
-        (F.col("o_custkey") % workbooks).cast("int").alias("workbook_id"),
+        (F.col("o_custkey") % workbooks if workbooks else F.col("o_custkey")).cast("int")
+        .alias("workbook_id"),
         dt.alias("dt"),
         F.year(dt).cast("string").alias("sheet"),
         ((F.dayofyear(dt).cast("bigint") * 10**10 + F.col("o_orderkey")) * 10**4).alias("base"),
@@ -77,7 +82,7 @@ def _lines(spark: SparkSession, sf_dir: str, sessions: DataFrame) -> DataFrame:
                                    .cast("decimal(5,2)")))
 
 
-def cells_from_tables(spark: SparkSession, sf_dir: str, workbooks: int = 64) -> DataFrame:
+def cells_from_tables(spark: SparkSession, sf_dir: str, workbooks: int | None = None) -> DataFrame:
     """The driver tables rendered as workbook cells (see module doc)."""
     s = _sessions(spark, sf_dir, workbooks)
     b = F.col("base")
@@ -114,7 +119,7 @@ def cells_from_tables(spark: SparkSession, sf_dir: str, workbooks: int = 64) ->
     return header.unionByName(values).unionByName(frame)
 
 
-def journal_from_cells_fixture(spark: SparkSession, sf_dir: str, workbooks: int = 64) -> DataFrame:
+def journal_from_cells_fixture(spark: SparkSession, sf_dir: str, workbooks: int | None = None) -> DataFrame:
     """The rows the parser must recover from ``cells_from_tables`` (the
     round-trip oracle, computed directly from the tables)."""
     s = _sessions(spark, sf_dir, workbooks)
