@@ -102,21 +102,25 @@ def cells_from_tables(spark: SparkSession, sf_dir: str, workbooks: int | None =
     weight = F.when(F.col("w_kg") == 0, F.lit("Bodyweight")) \
               .otherwise(F.concat(F.col("w_kg").cast("string"), F.lit("kg")))
     rv = rs + 1 + F.col("set_idx")
-    values = lines.select("workbook_id", "sheet", F.inline(F.array(
+    value_cells = F.array(
         _cell(rv, 0, sv=exercise),
         _cell(rv, 1, sv=weight),
         _cell(rv, 2, sv=F.col("l_returnflag")),
         _cell(rv, 3, nv=F.col("l_quantity")),
         _cell(rv, 4, nv=F.round(F.col("l_tax") * 100) * 15),
-    )))
+    )
     section = F.when(F.col("l_linestatus") == "F", F.lit("Pull")).otherwise(F.lit("Push"))
-    frame = lines.where(F.col("set_idx") == 1).select("workbook_id", "sheet", F.inline(F.array(
+    frame_cells = F.array(
         _cell(rs, 0, sv=section),
         *[_cell(rs + 1, i, sv=F.lit(h)) for i, h in enumerate(COLUMN_HEADERS)],
         _cell(rs + TOTAL_ROW, 0, sv=F.lit("Total Reps")),
         _cell(rs + TOTAL_ROW, 3, nv=F.lit(999.0)),
-    )))
-    return header.unionByName(values).unionByName(frame)
+    )
+    # one pass over the lines: every line writes its set, the first line of
+    # a section also writes the section frame (name, headers, total row)
+    per_line = F.when(F.col("set_idx") == 1, F.concat(value_cells, frame_cells)).otherwise(value_cells)
+    body = lines.select("workbook_id", "sheet", F.inline(per_line))
+    return header.unionByName(body)
 
 
 def journal_from_cells_fixture(spark: SparkSession, sf_dir: str, workbooks: int | None = None) -> DataFrame:
