@@ -116,9 +116,10 @@ def monthly_aggregates_every_possible_combination(stg, by=(), floor=MONTH_AXIS_F
                 .agg(*aggs))
     facts = facts.select(
         *by, *MONTH, "exercise",
-        F.when(known & valued, F.col("_sum")).otherwise(F.lit(0)).cast("bigint").alias("total_reps"),
+        # the original's COALESCE(total, 0) / COALESCE(unit, 'kg') over the joined month totals
+        F.coalesce(F.when(known & valued, F.col("_sum")), F.lit(0)).cast("bigint").alias("total_reps"),
         "added_weight",
-        F.when(known & valued, F.col("_unit")).otherwise(F.lit("kg")).alias("weight_unit"),
+        F.coalesce(F.when(known & valued, F.col("_unit")), F.lit("kg")).alias("weight_unit"),
         *(["_lo", "_hi"] if by else []))
     fill = {"total_reps": 0, "weight_unit": "kg"}
     if by:

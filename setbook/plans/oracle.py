@@ -484,3 +484,11 @@ CHECK_JOURNAL = "WITH " + JOURNAL.strip() + ",\nrules AS (\n" + "\n    UNION ALL
                  COUNT(DISTINCT (month, weight_unit)) AS variants
           FROM journal GROUP BY 1, 2, 3, 4) cells)
 SELECT rule, violations FROM rules"""
+
+
+def mart_sql_on_journal(name: str) -> str:
+    """The oracle for ``name`` starting from a registered ``journal`` view
+    (used to compare both engines on hand-made journals)."""
+    ctes, body, _ = Q[name]
+    parts = [STG, DIMS, *ctes, f"\nq AS ({body}\n)"]
+    return "WITH " + ",".join(parts) + f"\nSELECT {_edge_select(COLUMNS[name])} FROM q"

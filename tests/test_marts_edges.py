@@ -127,3 +127,16 @@ def test_rollups_are_consistent(make_stg):
     assert total(M.total_reps_per_exercise_weight(stg), "total_reps") == 19
     vol = M.monthly_added_volume_lifted(stg).collect()
     assert [(r.year, r.total_added_volume) for r in vol] == [(2023, Decimal("10.00"))]
+
+
+def test_grid_defaults_for_null_unit_and_amount(spark):
+    from setbook.operators.staging import stage_journal
+    from pyspark.sql import types as T
+    from setbook.sources.journal import JOURNAL_SCHEMA
+    loose = T.StructType([T.StructField(f.name, f.dataType, True) for f in JOURNAL_SCHEMA.fields])
+    a = list(J("2021-01-05", exercise="dips")); a[10] = None          # NULL unit
+    b = list(J("2021-01-05", exercise="rows")); b[12] = None          # NULL amount
+    stg = stage_journal(spark.createDataFrame([tuple(a), tuple(b)], loose))
+    grid = rows_by(M.monthly_aggregates_every_possible_combination(stg), "exercise")
+    assert (grid["dips"].total_reps, grid["dips"].weight_unit) == (10, "kg")
+    assert (grid["rows"].total_reps, grid["rows"].weight_unit) == (0, "kg")
