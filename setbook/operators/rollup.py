@@ -48,15 +48,20 @@ def count_sessions(df: DataFrame, keys, session_col: str = "workout_counter",
 
 
 def share(df: DataFrame, keys, parts: dict, by=(), scale: int = 2,
-          suffix: str = "_percentage") -> DataFrame:
+          suffix: str = "_percentage", rows: str | None = None) -> DataFrame:
     """Conditional counts and their percentage of the counted total.
 
     ``parts`` maps a count name (e.g. ``bodyweight_sets``) to a predicate.
     Each percentage is count * 100 / (sum of all counts), exact decimal,
     NULL when the total is 0.  Output: by, keys, counts, percentages.
+    ``rows`` names a row-count column when ``df`` is pre-aggregated.
     """
     group = [*by, *keys]
-    counts = [F.count(F.when(p, F.lit(1))).cast("bigint").alias(n) for n, p in parts.items()]
+    if rows:
+        counts = [F.coalesce(F.sum(F.when(p, F.col(rows))), F.lit(0)).cast("bigint").alias(n)
+                  for n, p in parts.items()]
+    else:
+        counts = [F.count(F.when(p, F.lit(1))).cast("bigint").alias(n) for n, p in parts.items()]
     agg = df.groupBy(*group).agg(*counts)
     total = sum((F.col(n) for n in parts), F.lit(0))
     pct_cols = [percentage(F.col(n), total, scale).alias(n.rsplit("_", 1)[0] + suffix)

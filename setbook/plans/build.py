@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.staging import stage_journal
 from . import marts as M
+from .cubes import DAY_MARTS, SESSION_MARTS, day_cube, session_cube
 
 # mart -> (upstream mart it reads, keyword the function takes it as)
 UPSTREAM = {
@@ -43,22 +44,35 @@ def build_order(names) -> list[str]:
 
 
 def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=None,
-                fmt: str = "parquet") -> dict[str, str]:
+                fmt: str = "parquet", cubes: bool = True) -> dict[str, str]:
     """Write each requested mart to ``{out_dir}/{name}``; return name -> path.
 
     ``journal`` should be a table scan (``read_journal``) so every mart
-    starts from columnar files with pushdown.
+    starts from columnar files with pushdown.  With ``cubes`` (default) the
+    two shared pre-aggregates are written first (``_cube_day``,
+    ``_cube_session``) and the marts are derived from them, so the journal
+    is scanned twice instead of once per mart.
     """
     stg = stage_journal(journal)
     wanted = list(names) if names else [n for n in M.MARTS if n != "stg_workout_journal"]
+    order = build_order(wanted)
+    out = out_dir.rstrip("/")
+    source = {}
+    if cubes:
+        for cube_name, fn, marts in (("_cube_day", day_cube, DAY_MARTS),
+                                     ("_cube_session", session_cube, SESSION_MARTS)):
+            if any(n in marts for n in order):
+                fn(stg).write.mode("overwrite").format(fmt).save(f"{out}/{cube_name}")
+                table = spark.read.format(fmt).load(f"{out}/{cube_name}")
+                source.update({n: table for n in marts})
     paths: dict[str, str] = {}
-    for name in build_order(wanted):
+    for name in order:
         kw = {}
         if name in UPSTREAM:
             up, arg = UPSTREAM[name]
             kw[arg] = spark.read.format(fmt).load(paths[up])
-        df = M.MARTS[name](stg, **kw)
-        path = f"{out_dir.rstrip('/')}/{name}"
+        df = M.MARTS[name](source.get(name, stg), **kw)
+        path = f"{out}/{name}"
         df.write.mode("overwrite").format(fmt).save(path)
         paths[name] = path
     return paths

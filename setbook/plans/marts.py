@@ -199,6 +199,11 @@ def yoy_changes_seconds_corrected(stg, by=()):
 
 # ---- shares, sessions, ranking ----------------------------------------------
 
+def _rows_col(stg):
+    """Row-count column of a pre-aggregated input (``plans.cubes``), if any."""
+    return "_rows" if "_rows" in stg.columns else None
+
+
 def _split():
     return {
         "bodyweight_sets": F.col("added_weight") == 0,
@@ -207,11 +212,11 @@ def _split():
 
 
 def monthly_bodyweight_vs_weighted_workouts(stg, by=()):
-    return share(stg, MONTH, _split(), by=by)
+    return share(stg, MONTH, _split(), by=by, rows=_rows_col(stg))
 
 
 def yearly_bodyweight_vs_weighted_workouts(stg, by=()):
-    return share(stg, ("year",), _split(), by=by)
+    return share(stg, ("year",), _split(), by=by, rows=_rows_col(stg))
 
 
 def workouts_per_month_per_year(stg, by=()):

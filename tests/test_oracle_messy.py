@@ -21,6 +21,7 @@ from setbook.operators.staging import stage_journal
 from setbook.plans import marts as M
 from setbook.plans import oracle
 from setbook.plans.catalog import edge
+from setbook.plans.cubes import DAY_MARTS, SESSION_MARTS, day_cube, session_cube
 from setbook.sources.journal import JOURNAL_SCHEMA
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
@@ -61,9 +62,14 @@ ALL = [n for n in oracle.Q if n in M.MARTS]
 NO_LAG = [n for n in ALL if not n.startswith(("mom_", "yoy_"))]
 
 
-def run_both(spark, rows, names):
+def run_both(spark, rows, names, via_cubes=False):
     sdf = spark.createDataFrame(rows, JOURNAL_SCHEMA)
     stg = stage_journal(sdf)
+    source = {}
+    if via_cubes:
+        source.update({n: day_cube(stg) for n in DAY_MARTS})
+        source.update({n: session_cube(stg) for n in SESSION_MARTS})
+        names = [n for n in names if n in source]
     con = duckdb.connect()
     pdf = pd.DataFrame(rows, columns=[f.name for f in JOURNAL_SCHEMA.fields])
     con.register("journal_pd", pdf)
@@ -74,7 +80,7 @@ def run_both(spark, rows, names):
             "CAST(rest AS SMALLINT) AS rest FROM journal_pd")
     bad = []
     for name in names:
-        df = edge(M.MARTS[name](stg))
+        df = edge(M.MARTS[name](source.get(name, stg)))
         srows = [tuple(r) for r in df.collect()]
         rel = con.sql(oracle.mart_sql_on_journal(name))
         orows = rel.fetchall()
@@ -92,3 +98,9 @@ def test_messy_single_unit(spark, seed):
 @pytest.mark.parametrize("seed", [4, 5])
 def test_messy_multi_unit(spark, seed):
     assert run_both(spark, messy_journal(seed, multi_unit=True), NO_LAG) == []
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_messy_through_cubes(spark, seed):
+    assert run_both(spark, messy_journal(seed, multi_unit=False), ALL, via_cubes=True) == []
+    assert run_both(spark, messy_journal(seed + 10, multi_unit=True), NO_LAG, via_cubes=True) == []
