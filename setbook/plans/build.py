@@ -10,6 +10,8 @@ recomputes from the last written table.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.staging import stage_journal
@@ -43,15 +45,22 @@ def build_order(names) -> list[str]:
     return out
 
 
+def _depth(name: str) -> int:
+    return 0 if name not in UPSTREAM else 1 + _depth(UPSTREAM[name][0])
+
+
 def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=None,
-                fmt: str = "parquet", cubes: bool = True) -> dict[str, str]:
+                fmt: str = "parquet", cubes: bool = True, threads: int = 4) -> dict[str, str]:
     """Write each requested mart to ``{out_dir}/{name}``; return name -> path.
 
     ``journal`` should be a table scan (``read_journal``) so every mart
     starts from columnar files with pushdown.  With ``cubes`` (default) the
     two shared pre-aggregates are written first (``_cube_day``,
     ``_cube_session``) and the marts are derived from them, so the journal
-    is scanned twice instead of once per mart.
+    is scanned twice instead of once per mart.  Marts of one dependency
+    level are independent Spark jobs and are submitted from ``threads``
+    threads at once (small marts then share the cluster instead of
+    queueing one after another).
     """
     stg = stage_journal(journal)
     wanted = list(names) if names else [n for n in M.MARTS if n != "stg_workout_journal"]
@@ -66,15 +75,20 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
                 table = spark.read.format(fmt).load(f"{out}/{cube_name}")
                 source.update({n: table for n in marts})
     paths: dict[str, str] = {}
-    for name in order:
+
+    def write(name: str) -> None:
         kw = {}
         if name in UPSTREAM:
             up, arg = UPSTREAM[name]
             kw[arg] = spark.read.format(fmt).load(paths[up])
         df = M.MARTS[name](source.get(name, stg), **kw)
-        path = f"{out}/{name}"
-        df.write.mode("overwrite").format(fmt).save(path)
-        paths[name] = path
+        df.write.mode("overwrite").format(fmt).save(f"{out}/{name}")
+
+    for level in range(max(_depth(n) for n in order) + 1):
+        batch = [n for n in order if _depth(n) == level]
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            list(pool.map(write, batch))          # re-raises the first failure
+        paths.update({n: f"{out}/{n}" for n in batch})
     return paths
 
 
