@@ -327,7 +327,7 @@ INT_COLUMNS = {
     "year", "month_int", "weekday_int", "workout_counter", "set_counter", "amount", "rest",
     "total_reps", "total_seconds", "last_month_reps", "last_month_seconds", "last_year_reps",
     "last_year_seconds", "mom_absolute_change", "yoy_absolute_change", "bodyweight_sets",
-    "weighted_sets", "total_workouts", "total_days", "workout_days", "deload",
+    "weighted_sets", "total_workouts", "total_days", "workout_days", "deload", "weekday_position",
 }
 NUM_COLUMNS = {
     "added_weight", "weight", "total_added_volume", "mom_percentage_change", "yoy_percentage_change",
@@ -414,7 +414,7 @@ dweek AS (SELECT * FROM weekday_matrix WHERE year < {year_bound})"""
         "dash_heatmap": ([WEEKDAY, wk], f"""
     SELECT year, weekday, SUM(total_workouts) AS total_workouts,
            CAST(list_position({order}, weekday) AS INTEGER) AS weekday_position
-    FROM dweek GROUP BY year, weekday""", "year, weekday, total_workouts, weekday_position:keep"),
+    FROM dweek GROUP BY year, weekday""", "year, weekday, total_workouts, weekday_position"),
     }
     return {k: build(k, c, b, cols) for k, (c, b, cols) in specs.items()}
 
