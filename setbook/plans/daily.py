@@ -1,6 +1,7 @@
 """The daily refresh as one Spark application.
 
-    spark-submit -m setbook.plans.daily --cells CELLS --journal JOURNAL --marts MARTS [--report REPORT]
+    spark-submit --py-files setbook.zip daily_job.py --cells CELLS --journal JOURNAL --marts MARTS [--report REPORT]
+    python -m setbook.plans.daily ...   (local or configured master)
 
 cells (parquet ``workbook_id, sheet, r, c, sv, nv``) -> parse -> clean ->
 quality report -> journal (one atomic overwrite, year-partitioned) -> every
