@@ -37,17 +37,34 @@ def get_spark(master: str | None = None, app: str = "setbook",
     for k, v in settings.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions have no SparkContext
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder named by ``spark.checkpoint.dir`` (None when unset)."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    return spark.conf.get("spark.checkpoint.dir", None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -57,14 +74,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     platform (``spark.checkpoint.dir``); a machine-local temp folder would
     not survive executor loss, so we refuse to invent one there.
     """
+    sc = _context(spark)
     d = checkpoint_dir(spark)
     if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
         return d
-    master = spark.sparkContext.master or ""
+    master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
     if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
     d = tempfile.mkdtemp(prefix="setbook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if sc is not None:
+        sc.setCheckpointDir(d)
+        return sc.getCheckpointDir() or d
+    spark.conf.set("spark.checkpoint.dir", d)
+    return d

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import month_name, weekday_name
-from ..session import ensure_checkpoint_dir
+from ..session import app_id, ensure_checkpoint_dir
 from .tables import read_table
 
 JOURNAL_SCHEMA = T.StructType([
@@ -132,7 +132,7 @@ def journal_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     a lost executor re-reads the files instead of recomputing the joins);
     every later query starts from that scan.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         hit = _MEMO.get(key)
         if hit is not None:
