@@ -20,23 +20,30 @@ MOM_VIEW = ("year", "month_int", "month", "exercise", "added_weight", "last_mont
             "total_reps", "mom_percentage_change", "mom_absolute_change")
 
 
-def dash_mom(stg: DataFrame, as_of=(2026, 6), exercises=DASHBOARD_EXERCISES) -> DataFrame:
-    """Monthly changes of the listed exercises up to and including ``as_of``."""
+def dash_mom(stg: DataFrame, as_of=(2026, 6), exercises=DASHBOARD_EXERCISES,
+             mom_reps: DataFrame | None = None) -> DataFrame:
+    """Monthly changes of the listed exercises up to and including ``as_of``.
+
+    ``mom_reps`` is the materialised ``mom_changes_reps`` table when reading
+    from built marts (``stg`` is then unused)."""
     y, m = as_of
-    mc = mom_changes_reps(stg)
+    mc = mom_reps if mom_reps is not None else mom_changes_reps(stg)
     upto = (F.col("year") < y) | ((F.col("year") == y) & (F.col("month_int") <= m))
     return mc.where(upto & F.col("exercise").isin(*exercises)).select(*MOM_VIEW)
 
 
-def dash_yoy(stg: DataFrame, as_of=(2026, 6), exercises=DASHBOARD_EXERCISES) -> DataFrame:
+def dash_yoy(stg: DataFrame, as_of=(2026, 6), exercises=DASHBOARD_EXERCISES,
+             yearly_reps: DataFrame | None = None) -> DataFrame:
     """Yearly rep totals of the listed exercises up to ``as_of`` year."""
-    yr = yearly_reps_per_exercise_weight(stg)
+    yr = yearly_reps if yearly_reps is not None else yearly_reps_per_exercise_weight(stg)
     return (yr.where((F.col("year") <= as_of[0]) & F.col("exercise").isin(*exercises))
               .select("year", "exercise", "added_weight", "total_reps"))
 
 
-def dash_weekday(stg: DataFrame, year_bound: int = WEEKDAY_YEAR_BOUND) -> DataFrame:
-    return workout_frequency_weekday(stg).where(F.col("year") < year_bound)
+def dash_weekday(stg: DataFrame, year_bound: int = WEEKDAY_YEAR_BOUND,
+                 weekday_matrix: DataFrame | None = None) -> DataFrame:
+    wf = weekday_matrix if weekday_matrix is not None else workout_frequency_weekday(stg)
+    return wf.where(F.col("year") < year_bound)
 
 
 def dash_units(stg: DataFrame, unit: str = "lbs", **kw) -> DataFrame:
@@ -79,10 +86,11 @@ def dash_yearly_sorted(stg: DataFrame, unit: str = "lbs", year: int = 2024, **kw
     return convert_unit(dash_yoy(stg, **kw), "added_weight", unit).where(F.col("year") == year)
 
 
-def dash_heatmap(stg: DataFrame, year_bound: int = WEEKDAY_YEAR_BOUND) -> DataFrame:
+def dash_heatmap(stg: DataFrame, year_bound: int = WEEKDAY_YEAR_BOUND,
+                 weekday_matrix: DataFrame | None = None) -> DataFrame:
     """Σ total_workouts per (year, weekday) cell of the heat map, with the
     display position of the weekday (sunday first)."""
-    cells = dash_weekday(stg, year_bound).groupBy("year", "weekday").agg(
+    cells = dash_weekday(stg, year_bound, weekday_matrix).groupBy("year", "weekday").agg(
         F.sum("total_workouts").cast("bigint").alias("total_workouts"))
     order = F.array(*[F.lit(d) for d in HEATMAP_WEEKDAY_ORDER])
     return cells.withColumn("weekday_position", F.array_position(order, F.col("weekday")).cast("int"))
@@ -107,3 +115,20 @@ DASH_SORT_KEYS = {
     "dash_yearly_sorted": ["exercise", "total_reps", "display_weight"],
     "dash_heatmap": ["year", "weekday_position"],
 }
+
+
+def from_marts(spark, paths: dict, fmt: str = "parquet") -> dict:
+    """Keyword arguments that make the presentation queries read built marts
+    (``plans.build.build_marts`` paths) instead of recomputing them."""
+    read = lambda n: spark.read.format(fmt).load(paths[n])
+    return {
+        "mom_reps": read("mom_changes_reps"),
+        "yearly_reps": read("yearly_reps_per_exercise_weight"),
+        "weekday_matrix": read("workout_frequency_weekday"),
+    }
+
+
+def ordered(name: str, df: DataFrame) -> DataFrame:
+    """Apply a presentation query's display order (a range shuffle, at read)."""
+    keys = DASH_SORT_KEYS.get(name)
+    return df.orderBy(*keys) if keys else df
