@@ -108,29 +108,31 @@ def monthly_aggregates_every_possible_combination(stg, by=(), floor=MONTH_AXIS_F
     known = F.col("month_int").isNotNull()
     valued = (reps | secs) if corrected else reps
     unit_key = F.when(known & (reps | secs), F.col("weight_unit"))
-    aggs = [F.sum("amount").cast("bigint").alias("_sum")]
-    if by:   # each log's own axis: carry its first/last data month
-        aggs += [F.min(month_start(F.col("date"))).alias("_lo"),
-                 F.max(month_start(F.col("date"))).alias("_hi")]
     facts = (stg.groupBy(*by, "exercise", "added_weight", *MONTH, unit_key.alias("_unit"))
-                .agg(*aggs))
+                .agg(F.sum("amount").cast("bigint").alias("_sum")))
     facts = facts.select(
         *by, *MONTH, "exercise",
         # the original's COALESCE(total, 0) / COALESCE(unit, 'kg') over the joined month totals
         F.coalesce(F.when(known & valued, F.col("_sum")), F.lit(0)).cast("bigint").alias("total_reps"),
         "added_weight",
-        F.coalesce(F.when(known & valued, F.col("_unit")), F.lit("kg")).alias("weight_unit"),
-        *(["_lo", "_hi"] if by else []))
+        F.coalesce(F.when(known & valued, F.col("_unit")), F.lit("kg")).alias("weight_unit"))
     fill = {"total_reps": 0, "weight_unit": "kg"}
     if by:
-        # partitioning on the log key serves this window and every later
-        # (log, exercise, weight) window: still a single exchange
-        # (window expressions: evaluated after the entity sort, which serves them)
-        w_log = Window.partitionBy(*by)
-        lo = F.least(F.lit(floor).cast("date"), F.min("_lo").over(w_log))
-        hi = F.max("_hi").over(w_log)
-        grid = fill_month_gaps(facts, ("exercise", "added_weight"), lo, hi, fill,
-                               by=by, order_extra=("weight_unit",), partition=by)
+        # each log's own axis: one bounds row per log, attached by a null-safe
+        # equi-join (AQE broadcasts it when small, else a skew-split sort-merge
+        # join); the grid stays partitioned on (log, exercise, weight), so a
+        # hot log is spread over its entities instead of landing in one task
+        bounds = stg.groupBy(*by).agg(
+            F.least(F.lit(floor).cast("date"), F.min(month_start(F.col("date")))).alias("_lo"),
+            F.max(month_start(F.col("date"))).alias("_hi"))
+        b = bounds.select(*[F.col(k).alias(f"_b_{k}") for k in by], "_lo", "_hi")
+        cond = None
+        for k in by:
+            c = facts[k].eqNullSafe(b[f"_b_{k}"])
+            cond = c if cond is None else cond & c
+        facts = facts.join(b, cond, "inner").drop(*[f"_b_{k}" for k in by])
+        grid = fill_month_gaps(facts, ("exercise", "added_weight"), F.col("_lo"), F.col("_hi"), fill,
+                               by=by, order_extra=("weight_unit",))
         return grid.drop("_generated", "_lo", "_hi")
     lo, hi = month_bounds(stg, "date", floor)
     grid = fill_month_gaps(facts, ("exercise", "added_weight"), lo, hi, fill, by=by,
