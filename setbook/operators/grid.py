@@ -61,10 +61,12 @@ def _value(sv: Column, nv: Column) -> Column:
     return F.coalesce(sv, nv.cast("bigint").cast("string"))
 
 
-def parse_journal_cells(cells: DataFrame, date_mode: int = 0) -> DataFrame:
+def parse_journal_cells(cells: DataFrame, date_mode: int = 0,
+                        exclude_sheets=EXCLUDED_SHEETS) -> DataFrame:
     """Parse cells into records: month, weekday, date, deload,
     workout_counter (text 'N/365'), set_counter, type, section, exercise,
     weight (text), grip, amount, rest (text values) plus workbook_id/sheet.
+    ``date_mode`` 1 reads serial dates from the 1904 epoch.
     """
     key = list(SHEET)
     w = Window.partitionBy(*key).orderBy("r", "c")
@@ -86,7 +88,7 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0) -> DataFrame:
             hit = F.when(cond, fn(col, s).over(w)) if hit is None else hit.when(cond, fn(col, s).over(w))
         return hit
 
-    base = select_sheets(cells).select(
+    base = select_sheets(cells, exclude_sheets).select(
         *key, "r", "c", "sv", "nv",
         at(-1, "sv").alias("l1_sv"),
         at(-2, "nv").alias("l2_nv"),

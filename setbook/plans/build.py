@@ -50,7 +50,7 @@ def _depth(name: str) -> int:
 
 
 def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=None,
-                fmt: str = "parquet", cubes: bool = True, threads: int = 4) -> dict[str, str]:
+                fmt: str = "parquet", cubes: bool = True, threads: int = 8) -> dict[str, str]:
     """Write each requested mart to ``{out_dir}/{name}``; return name -> path.
 
     ``journal`` should be a table scan (``read_journal``) so every mart

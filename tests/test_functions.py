@@ -42,3 +42,17 @@ def test_padded_month_and_serial_dates(spark):
             .select("d", padded_month_name(F.col("d"))).collect()
     assert str(got[0][0]) == "2024-05-01" and got[0][1] == "may      "
     assert str(got[1][0]) == "2024-05-01"
+
+
+def test_percentage_matches_exact_decimal_rounding(spark):
+    """Property check against Python's exact Decimal arithmetic."""
+    import random
+    from decimal import ROUND_HALF_UP, Decimal as D
+    rnd = random.Random(7)
+    pairs = [(rnd.randint(-10**6, 10**6), rnd.randint(1, 10**5)) for _ in range(3000)]
+    pairs += [(n, d) for d in (8, 16, 40, 366, 365, 400) for n in range(-50, 51)]   # many exact ties
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [r[0] for r in df.select(percentage("n", "d")).collect()]
+    # Decimal divides to 28 significant digits before quantize: exact enough for d <= 1e5
+    want = [(D(n) * 100 / D(d)).quantize(D("0.01"), rounding=ROUND_HALF_UP) for n, d in pairs]
+    assert got == want
