@@ -140,3 +140,11 @@ def test_grid_defaults_for_null_unit_and_amount(spark):
     grid = rows_by(M.monthly_aggregates_every_possible_combination(stg), "exercise")
     assert (grid["dips"].total_reps, grid["dips"].weight_unit) == (10, "kg")
     assert (grid["rows"].total_reps, grid["rows"].weight_unit) == (0, "kg")
+
+
+def test_semi_join_with_external_dimension(make_stg, spark):
+    from setbook.operators.classify import semi_join
+    stg = make_stg([J("2022-01-03", exercise="dips"), J("2022-01-04", exercise="rows"),
+                    J("2022-01-05", exercise="dips")])
+    dim = spark.createDataFrame([("dips",), ("squats",)], "exercise string")
+    assert sorted(r.date.day for r in semi_join(stg, dim, "exercise").collect()) == [3, 5]
