@@ -3,7 +3,7 @@
 No cross joins: the month axis is generated per entity with
 ``explode(sequence(lo, hi, 1 month))`` where ``lo``/``hi`` are global
 bounds computed as scalar subqueries (one tiny aggregate, merged by
-Catalyst).  The grid is hash-partitioned once on the entity key; the
+Catalyst) or, for many logs, one bounds row per log attached by key.  The grid is hash-partitioned once on the entity key; the
 "is this month already present?" test is a window over that partition, so
 no join is needed either, and later windows on the same key (period
 changes) reuse the partitioning.
