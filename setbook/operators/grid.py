@@ -88,7 +88,10 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0,
             hit = F.when(cond, fn(col, s).over(w)) if hit is None else hit.when(cond, fn(col, s).over(w))
         return hit
 
-    base = select_sheets(cells, exclude_sheets).select(
+    # a per-workbook date mode column (workbook files) wins over the argument
+    mode = F.col("date_mode") if "date_mode" in cells.columns else F.lit(date_mode)
+    base = select_sheets(cells, exclude_sheets).withColumn("_date_mode", mode).select(
+        "_date_mode",
         *key, "r", "c", "sv", "nv",
         at(-1, "sv").alias("l1_sv"),
         at(-2, "nv").alias("l2_nv"),
@@ -103,7 +106,8 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0,
     wd_event = F.struct(
         sv.alias("weekday"),
         F.when(F.col("l1_sv") == DELOAD_MARK, 1).otherwise(0).alias("deload"),
-        serial_to_date(F.col("l2_nv"), date_mode).alias("date"),
+        (F.when(F.col("_date_mode") == 1, serial_to_date(F.col("l2_nv"), 1))
+          .otherwise(serial_to_date(F.col("l2_nv"), 0))).alias("date"),
         F.coalesce(_text(F.col("r1_sv"), F.col("r1_nv")), F.lit("")).alias("type"),
     )
     # the day as the text the original compares cells with ('DD-MM-YYYY'),

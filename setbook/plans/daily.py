@@ -3,7 +3,8 @@
     spark-submit --py-files setbook.zip daily_job.py --cells CELLS --journal JOURNAL --marts MARTS [--report REPORT]
     python -m setbook.plans.daily ...   (local or configured master)
 
-cells (parquet ``workbook_id, sheet, r, c, sv, nv``) -> parse -> clean ->
+cells (parquet ``workbook_id, sheet, r, c, sv, nv``, or a folder of .xlsx
+workbooks with ``--workbooks``) -> parse -> clean ->
 quality report -> journal (one atomic overwrite, year-partitioned) -> every
 mart in dependency order.  ``--journal-only`` stops after the journal;
 ``--from-journal`` skips parsing and rebuilds the marts from an existing
@@ -22,13 +23,17 @@ from ..operators.quality import check_journal
 from ..session import get_spark
 from ..sources.cells import CELLS_SCHEMA
 from ..sources.journal import read_journal, write_journal
+from ..sources.xlsx import read_xlsx_cells
 from .build import build_marts
 
 
-def ingest(spark: SparkSession, cells_path: str, journal_path: str, report_path: str | None = None,
-           date_mode: int = 0) -> None:
-    """Parse the workbook cells and replace the journal table."""
-    cells = spark.read.schema(CELLS_SCHEMA).parquet(cells_path)
+def ingest(spark: SparkSession, cells_path: str | None, journal_path: str, report_path: str | None = None,
+           date_mode: int = 0, workbooks_path: str | None = None) -> None:
+    """Parse the workbook cells (a cells table, or .xlsx files) and replace the journal table."""
+    if workbooks_path:
+        cells = read_xlsx_cells(spark, workbooks_path)
+    else:
+        cells = spark.read.schema(CELLS_SCHEMA).parquet(cells_path)
     journal = clean_journal(parse_journal_cells(cells, date_mode=date_mode))
     write_journal(journal, journal_path, partition_by_year=True)
     if report_path:
@@ -38,7 +43,8 @@ def ingest(spark: SparkSession, cells_path: str, journal_path: str, report_path:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="daily refresh: cells -> journal -> marts")
-    ap.add_argument("--cells")
+    ap.add_argument("--cells", help="cells table (parquet)")
+    ap.add_argument("--workbooks", help="folder of .xlsx workbook files")
     ap.add_argument("--journal", required=True)
     ap.add_argument("--marts")
     ap.add_argument("--report")
@@ -48,9 +54,10 @@ def main(argv=None) -> None:
     args = ap.parse_args(argv)
     spark = get_spark()
     if not args.from_journal:
-        if not args.cells:
-            ap.error("--cells is required unless --from-journal")
-        ingest(spark, args.cells, args.journal, args.report, date_mode=args.date_mode)
+        if not (args.cells or args.workbooks):
+            ap.error("--cells or --workbooks is required unless --from-journal")
+        ingest(spark, args.cells, args.journal, args.report, date_mode=args.date_mode,
+               workbooks_path=args.workbooks)
     if not args.journal_only:
         if not args.marts:
             ap.error("--marts is required unless --journal-only")
