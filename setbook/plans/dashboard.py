@@ -26,7 +26,10 @@ def dash_mom(stg: DataFrame, as_of=(2026, 6), exercises=DASHBOARD_EXERCISES,
 
     ``mom_reps`` is the materialised ``mom_changes_reps`` table when reading
     from built marts (``stg`` is then unused)."""
-    y, m = as_of
+    if as_of is None:          # "now", as the original reads the clock
+        y, m = F.year(F.current_date()), F.month(F.current_date())
+    else:
+        y, m = (F.lit(v) for v in as_of)
     mc = mom_reps if mom_reps is not None else mom_changes_reps(stg)
     upto = (F.col("year") < y) | ((F.col("year") == y) & (F.col("month_int") <= m))
     return mc.where(upto & F.col("exercise").isin(*exercises)).select(*MOM_VIEW)
@@ -36,7 +39,8 @@ def dash_yoy(stg: DataFrame, as_of=(2026, 6), exercises=DASHBOARD_EXERCISES,
              yearly_reps: DataFrame | None = None) -> DataFrame:
     """Yearly rep totals of the listed exercises up to ``as_of`` year."""
     yr = yearly_reps if yearly_reps is not None else yearly_reps_per_exercise_weight(stg)
-    return (yr.where((F.col("year") <= as_of[0]) & F.col("exercise").isin(*exercises))
+    y = F.year(F.current_date()) if as_of is None else F.lit(as_of[0])
+    return (yr.where((F.col("year") <= y) & F.col("exercise").isin(*exercises))
               .select("year", "exercise", "added_weight", "total_reps"))
 
 
@@ -86,6 +90,13 @@ def dash_yearly_sorted(stg: DataFrame, unit: str = "lbs", year: int = 2024, **kw
     return convert_unit(dash_yoy(stg, **kw), "added_weight", unit).where(F.col("year") == year)
 
 
+def dash_bubble(stg: DataFrame, unit: str = "lbs", year: int = 2024, **kw) -> DataFrame:
+    """Weight progression of the selected year: the monthly view in display
+    units restricted to one year (x = month_int, y = display_weight, size =
+    total_reps)."""
+    return dash_units(stg, unit, **kw).where(F.col("year") == year)
+
+
 def dash_heatmap(stg: DataFrame, year_bound: int = WEEKDAY_YEAR_BOUND,
                  weekday_matrix: DataFrame | None = None) -> DataFrame:
     """Σ total_workouts per (year, weekday) cell of the heat map, with the
@@ -106,6 +117,7 @@ DASHBOARD = {
     "dash_filter": dash_filter,
     "dash_month_date": dash_month_date,
     "dash_yearly_sorted": dash_yearly_sorted,
+    "dash_bubble": dash_bubble,
     "dash_heatmap": dash_heatmap,
 }
 

@@ -411,6 +411,8 @@ dweek AS (SELECT * FROM weekday_matrix WHERE year < {year_bound})"""
         "dash_yearly_sorted": ([yoy], f"SELECT *, ROUND(added_weight * {unit_factor}, 2) AS display_weight, "
                                       f"'lbs' AS display_unit FROM dyoy WHERE year = {year}",
                                "year, exercise, added_weight, total_reps, display_weight, display_unit"),
+        "dash_bubble": (grid + [mcr], f"SELECT * FROM dunits WHERE year = {year}",
+                        mom_cols + ", display_weight, display_unit"),
         "dash_heatmap": ([WEEKDAY, wk], f"""
     SELECT year, weekday, SUM(total_workouts) AS total_workouts,
            CAST(list_position({order}, weekday) AS INTEGER) AS weekday_position

@@ -148,3 +148,12 @@ def test_semi_join_with_external_dimension(make_stg, spark):
                     J("2022-01-05", exercise="dips")])
     dim = spark.createDataFrame([("dips",), ("squats",)], "exercise string")
     assert sorted(r.date.day for r in semi_join(stg, dim, "exercise").collect()) == [3, 5]
+
+
+def test_dashboard_now(make_stg):
+    import datetime as dt
+    from setbook.plans.dashboard import dash_mom
+    stg = make_stg([J("2021-03-10", exercise="dips"), J("2099-05-01", exercise="dips")])
+    rows = dash_mom(stg, as_of=None, exercises=("dips",)).collect()
+    today = dt.date.today()
+    assert rows and all((r.year, r.month_int) <= (today.year, today.month) for r in rows)
