@@ -98,13 +98,15 @@ def conform_journal(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in JOURNAL_SCHEMA.fields])
 
 
-def read_journal(spark: SparkSession, path: str, years=None) -> DataFrame:
+def read_journal(spark: SparkSession, path: str, years=None, keys=()) -> DataFrame:
     """The 14 journal columns; on a year-partitioned table ``years`` prunes
-    whole directories (the partition column itself is not returned)."""
-    df = spark.read.schema(JOURNAL_SCHEMA).parquet(path)
+    whole directories.  ``keys`` keeps partition columns such as the
+    ``workbook_id`` of an incrementally ingested journal (the log key for
+    ``by=``); other partition columns are not returned."""
+    df = spark.read.parquet(path) if keys else spark.read.schema(JOURNAL_SCHEMA).parquet(path)
     if years is not None and "year" in df.columns:
         df = df.where(F.col("year").isin(*years))
-    return df.select(*JOURNAL_COLUMNS)
+    return df.select(*keys, *[F.col(f.name).cast(f.dataType) for f in JOURNAL_SCHEMA.fields])
 
 
 def write_journal(df: DataFrame, path: str, partition_by_year: bool = False) -> None:

@@ -91,8 +91,13 @@ def _decode(batches):
         yield pd.DataFrame(out, columns=["path", "sheet", "r", "c", "sv", "nv", "date_mode"])
 
 
-def read_xlsx_cells(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+def cells_of_files(files: DataFrame) -> DataFrame:
+    """``binaryFile`` rows (path, content) -> cells (batch or micro-batch)."""
     raw = files.select("path", "content").mapInPandas(_decode, RAW_SCHEMA)
     return raw.select("path", F.xxhash64("path").alias("workbook_id"), "sheet", "r", "c", "sv", "nv",
                       "date_mode")
+
+
+def read_xlsx_cells(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return cells_of_files(files)

@@ -1,6 +1,7 @@
-"""Streaming refresh of the marts: incremental additive rollups and
-arrival-triggered full rebuilds (see ``refresh``)."""
+"""Streaming: incremental ingest of arriving workbook files (``ingest``),
+incremental additive rollups and arrival-triggered rebuilds (``refresh``)."""
 
+from .ingest import start_ingest
 from .refresh import ADDITIVE, read_journal_stream, start_refresh, start_rollup
 
-__all__ = ["ADDITIVE", "read_journal_stream", "start_refresh", "start_rollup"]
+__all__ = ["ADDITIVE", "read_journal_stream", "start_ingest", "start_refresh", "start_rollup"]

@@ -44,3 +44,30 @@ def test_incremental_rollups_and_refresh(spark):
         assert same(spark.read.parquet(f"{out}/full/mom_changes_reps"), M.mom_changes_reps(stg))
         assert same(spark.read.parquet(f"{out}/full/workout_sessions_per_year"),
                     M.workout_sessions_per_year(stg))
+
+
+def test_incremental_workbook_ingest(spark):
+    import os
+    import random
+    from setbook.operators.grid import clean_journal, parse_journal_cells
+    from setbook.sources.xlsx import read_xlsx_cells
+    from setbook.streaming import start_ingest
+    from test_grid_bruteforce import random_sheet
+    from xlsx_writer import write_xlsx
+
+    root = tempfile.mkdtemp(prefix="setbook-ingest-")
+    inbox, journal_path = f"{root}/inbox", f"{root}/journal"
+    os.makedirs(inbox)
+    rnd = random.Random(31)
+
+    def drop(i):
+        write_xlsx(f"{inbox}/log{i}.xlsx", {"2024": random_sheet(rnd), "2025": random_sheet(rnd)})
+
+    for batch in ([0, 1], [2]):
+        for i in batch:
+            drop(i)
+        start_ingest(spark, inbox, journal_path, f"{root}/ck").awaitTermination()
+        got = read_journal(spark, journal_path, keys=("workbook_id",))
+        want = clean_journal(parse_journal_cells(read_xlsx_cells(spark, inbox)), keep=("workbook_id",))
+        assert got.select("workbook_id").distinct().count() == len(os.listdir(inbox))
+        assert same(got, want)
