@@ -42,8 +42,8 @@ def _text(node) -> str:
     return "".join(t.text or "" for t in node.iter(f"{{{NS['m']}}}t"))
 
 
-def workbook_cells(content: bytes):
-    """Yield (sheet, r, c, sv, nv) for every non-empty cell, plus the date mode."""
+def _open(content: bytes):
+    """Zip handle, sheet (name, part) list, shared strings and date mode."""
     z = zipfile.ZipFile(io.BytesIO(content))
     wb = ET.fromstring(z.read("xl/workbook.xml"))
     pr = wb.find("m:workbookPr", NS)
@@ -53,42 +53,63 @@ def workbook_cells(content: bytes):
     shared = []
     if "xl/sharedStrings.xml" in z.namelist():
         shared = [_text(si) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", NS)]
-    cells = []
+    sheets = []
     for sh in wb.find("m:sheets", NS).findall("m:sheet", NS):
         part = target[sh.get(f"{{{NS['r']}}}id")].lstrip("/")
-        part = part if part.startswith("xl/") else "xl/" + part
-        root = ET.fromstring(z.read(part))
-        for row in root.iter(f"{{{NS['m']}}}row"):
-            for c in row.findall("m:c", NS):
-                col, rownum = _REF.match(c.get("r")).groups()
-                t, v = c.get("t", "n"), c.find("m:v", NS)
-                if t == "s":
-                    sv, nv = shared[int(v.text)], None
-                elif t == "inlineStr":
-                    sv, nv = _text(c.find("m:is", NS)), None
-                elif t in ("str", "e"):
-                    sv, nv = (v.text if v is not None else ""), None
-                elif t == "b":
-                    sv, nv = None, float(v.text) if v is not None else None
-                else:
-                    if v is None or v.text is None:
-                        continue
-                    sv, nv = None, float(v.text)
-                if sv == "":
-                    continue
-                cells.append((sh.get("name"), int(rownum) - 1, _col_index(col), sv, nv))
-    return cells, date_mode
+        sheets.append((sh.get("name"), part if part.startswith("xl/") else "xl/" + part))
+    return z, sheets, shared, date_mode
+
+
+def _value(c, shared):
+    """(sv, nv) of one <c> element, or None for an empty cell."""
+    t, v = c.get("t", "n"), c.find("m:v", NS)
+    if t == "s":
+        sv, nv = shared[int(v.text)], None
+    elif t == "inlineStr":
+        sv, nv = _text(c.find("m:is", NS)), None
+    elif t in ("str", "e"):
+        sv, nv = (v.text if v is not None else ""), None
+    else:                               # numbers, booleans (1/0)
+        if v is None or v.text is None:
+            return None
+        sv, nv = None, float(v.text)
+    return None if sv == "" else (sv, nv)
+
+
+def workbook_cells(content: bytes, batch: int = 50_000):
+    """Yield (date_mode, [(sheet, r, c, sv, nv), ...]) batches for one file.
+
+    Sheets are read with ``iterparse`` and finished rows are released, so
+    memory holds the shared strings and one batch, not the whole sheet.
+    """
+    z, sheets, shared, date_mode = _open(content)
+    cell_tag, row_tag = f"{{{NS['m']}}}c", f"{{{NS['m']}}}row"
+    out = []
+    for name, part in sheets:
+        with z.open(part) as fh:
+            for _, el in ET.iterparse(fh, events=("end",)):
+                if el.tag == cell_tag:
+                    val = _value(el, shared)
+                    if val is not None:
+                        col, rownum = _REF.match(el.get("r")).groups()
+                        out.append((name, int(rownum) - 1, _col_index(col), *val))
+                elif el.tag == row_tag:
+                    el.clear()
+                    if len(out) >= batch:
+                        yield date_mode, out
+                        out = []
+    if out:
+        yield date_mode, out
 
 
 def _decode(batches):
     import pandas as pd
 
+    cols = ["path", "sheet", "r", "c", "sv", "nv", "date_mode"]
     for pdf in batches:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
-            cells, mode = workbook_cells(bytes(content))
-            out += [(path, *cell, mode) for cell in cells]
-        yield pd.DataFrame(out, columns=["path", "sheet", "r", "c", "sv", "nv", "date_mode"])
+            for mode, cells in workbook_cells(bytes(content)):
+                yield pd.DataFrame([(path, *cell, mode) for cell in cells], columns=cols)
 
 
 def cells_of_files(files: DataFrame) -> DataFrame:
