@@ -113,15 +113,18 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0,
     # the day as the text the original compares cells with ('DD-MM-YYYY'),
     # formatted once per weekday cell instead of once per cell
     wd_event = wd_event.withField("day_txt", F.date_format(wd_event.getField("date"), "dd-MM-yyyy"))
+    # a 7-character cell (e.g. the serial '45413.0') with a weekday two to
+    # the right is the session's date cell: decided here, carried as a flag
+    skip_date = (F.length(_text(sv, nv)) == DATE_CELL_LENGTH) & F.coalesce(
+        F.col("r2_sv").isin(*weekdays), F.lit(False))
     ev = base.select(
-        "*",
+        *key, "r", "c", "sv", "nv",
         F.when(is_month, sv).alias("e_month"),
         F.when(is_weekday, wd_event).alias("e_wd"),
         F.when(is_counter, sv).alias("e_counter"),
-        _text(sv, nv).alias("txt"),
+        skip_date.alias("_dskip"),
     )
-    date_skip = (F.length(F.col("txt")) == DATE_CELL_LENGTH) & F.coalesce(
-        F.col("r2_sv").isin(*weekdays), F.lit(False))
+    date_skip = F.col("_dskip")
 
     def contexts(df: DataFrame) -> DataFrame:
         last = lambda c: F.last(c, ignorenulls=True).over(run)
