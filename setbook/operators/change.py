@@ -30,9 +30,9 @@ def period_change(df: DataFrame, keys, order, value: str, offset: int,
     raw_prev = F.lag(value, offset).over(w)
     cur = F.col(value)
     if guard is not None:
-        prev = F.when(F.lag(guard, offset).over(w) == F.col(guard), raw_prev)
+        prev = F.when(F.lag(guard, offset).over(w) == F.col(guard), F.col("_lag_raw"))
     else:
-        prev = raw_prev
+        prev = F.col("_lag_raw")           # one lag, reused (equal lag calls are not merged)
     qualifies = (F.col(prev_name) != 0) if pct_rule == "any_nonzero" else (F.col(prev_name) > 0)
     pct = (F.when((F.col(prev_name) == 0) & (cur > 0), F.lit(100).cast(pct_type))
              .when(qualifies, relative_change(cur, F.col("_lag_raw")).cast(pct_type)))
