@@ -31,3 +31,24 @@ def test_by_equals_separate_runs(logs, name):
         alone = fn(single)
         assert part.count() == alone.count(), (name, key)
         assert part.exceptAll(alone).count() == 0, (name, key)
+
+
+def test_hot_log_is_spread_over_partitions(spark):
+    """One log with a third of all rows: its month grid and change windows
+    run on many partitions (keyed by log, exercise and weight), not one."""
+    from setbook.sources.journal import journal_for
+    j = journal_for(spark, SF_SMALL)
+    hot = F.when(F.col("workout_counter") % 3 == 0, F.lit("hot")).otherwise(
+        F.concat(F.lit("a"), (F.col("workout_counter") % 97).cast("string")))
+    stg = stage_journal(j.withColumn("athlete", hot), by=("athlete",))
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        grid = M.mom_changes(stg, by=("athlete",))
+        per_part = (grid.where(F.col("athlete") == "hot")
+                        .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+    counts = sorted(r["count"] for r in per_part)
+    assert len(counts) >= 4, counts                      # spread, not a single task
+    assert counts[-1] < 0.5 * sum(counts), counts
