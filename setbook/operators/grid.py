@@ -21,10 +21,13 @@ Rules (cell visited in row-major order, row 0 skipped):
   by 5 — (exercise, weight, grip, amount, rest) — across rows and sections,
   and each 5th cell emits a record with the contexts current there.
 
-Parallelism is one task per sheet.  A sheet is bounded by the spreadsheet
-format (65,536 rows x 256 columns in the workbook format the log is read
-from), so no group exceeds that whatever the total volume; many sheets and
-workbooks spread across the cluster.
+Parallelism is one task per sheet, which the workbook format bounds
+(65,536 x 256 cells in the legacy format, 1,048,576 rows in .xlsx); many
+sheets and workbooks spread across the cluster.  For inputs where one
+sheet is still too big for one task, ``max_sheet_cells`` splits such sheets
+into row chunks that run in parallel: running contexts, value counts and
+sections are carried between chunks by an exclusive prefix over per-chunk
+summaries, and records that span chunks are assembled by record number.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import serial_to_date
+from ..session import ensure_checkpoint_dir
 from ..functions.text import weight_kg, weight_unit
 from ..functions.vocab import (
     COLUMN_HEADERS, COUNTER_MARK, DATE_CELL_LENGTH, DELOAD_MARK, EXCLUDED_SHEETS, MONTH_NAMES,
@@ -61,29 +65,24 @@ def _value(sv: Column, nv: Column) -> Column:
     return F.coalesce(sv, nv.cast("bigint").cast("string"))
 
 
-def parse_journal_cells(cells: DataFrame, date_mode: int = 0,
-                        exclude_sheets=EXCLUDED_SHEETS) -> DataFrame:
-    """Parse cells into records: month, weekday, date, deload,
-    workout_counter (text 'N/365'), set_counter, type, section, exercise,
-    weight (text), grip, amount, rest (text values) plus workbook_id/sheet.
-    ``date_mode`` 1 reads serial dates from the 1904 epoch.
+_CTX_FIELDS = ("weekday", "deload", "date", "type", "day_txt")
+
+
+def _events(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
+    """Pass A: positional neighbours inside the row (missing = empty), the
+    context events of each cell, the date-cell flag; inert cells dropped.
+
+    ``key`` partitions the window; it must keep whole rows together.
     """
-    key = list(SHEET)
     w = Window.partitionBy(*key).orderBy("r", "c")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    row_w = Window.partitionBy(*key, "r")
-
     sv, nv = F.col("sv"), F.col("nv")
-    months = [F.lit(m) for m in MONTH_NAMES]
     weekdays = [F.lit(d) for d in WEEKDAY_NAMES]
 
-    # ---- pass A: neighbours inside the row (missing position = empty) ----
     def at(offset: int, col: str):
         """value of ``col`` at column c+offset of the same row, else NULL."""
-        steps = range(1, abs(offset) + 1)
         fn = F.lag if offset < 0 else F.lead
         hit = None
-        for s in steps:
+        for s in range(1, abs(offset) + 1):
             cond = (fn("r", s).over(w) == F.col("r")) & (fn("c", s).over(w) == F.col("c") + offset)
             hit = F.when(cond, fn(col, s).over(w)) if hit is None else hit.when(cond, fn(col, s).over(w))
         return hit
@@ -91,17 +90,10 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0,
     # a per-workbook date mode column (workbook files) wins over the argument
     mode = F.col("date_mode") if "date_mode" in cells.columns else F.lit(date_mode)
     base = select_sheets(cells, exclude_sheets).withColumn("_date_mode", mode).select(
-        "_date_mode",
-        *key, "r", "c", "sv", "nv",
-        at(-1, "sv").alias("l1_sv"),
-        at(-2, "nv").alias("l2_nv"),
-        at(1, "sv").alias("r1_sv"),
-        at(1, "nv").alias("r1_nv"),
-        at(2, "sv").alias("r2_sv"),
+        "_date_mode", *key, "r", "c", "sv", "nv",
+        at(-1, "sv").alias("l1_sv"), at(-2, "nv").alias("l2_nv"),
+        at(1, "sv").alias("r1_sv"), at(1, "nv").alias("r1_nv"), at(2, "sv").alias("r2_sv"),
     )
-    is_month = sv.isin(*months)
-    is_weekday = sv.isin(*weekdays)
-    is_counter = sv.contains(COUNTER_MARK)
     # a weekday cell sets weekday, deload, date and type together
     wd_event = F.struct(
         sv.alias("weekday"),
@@ -119,76 +111,52 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0,
         F.col("r2_sv").isin(*weekdays), F.lit(False))
     ev = base.select(
         *key, "r", "c", "sv", "nv",
-        F.when(is_month, sv).alias("e_month"),
-        F.when(is_weekday, wd_event).alias("e_wd"),
-        F.when(is_counter, sv).alias("e_counter"),
+        F.when(sv.isin(*[F.lit(m) for m in MONTH_NAMES]), sv).alias("e_month"),
+        F.when(sv.isin(*weekdays), wd_event).alias("e_wd"),
+        F.when(sv.contains(COUNTER_MARK), sv).alias("e_counter"),
         skip_date.alias("_dskip"),
     )
-    date_skip = F.col("_dskip")
+    # Empty cells and column headers matter only as neighbours (above):
+    # they never set a context, section, break or value.
+    return ev.where(~(F.coalesce(sv == "", F.lit(False)) | F.coalesce(sv.isin(*COLUMN_HEADERS), F.lit(False))))
 
-    def contexts(df: DataFrame) -> DataFrame:
-        last = lambda c: F.last(c, ignorenulls=True).over(run)
-        return df.select("*", last("e_month").alias("x_month"), last("e_wd").alias("_wd"),
-                         last("e_counter").alias("x_counter")) \
-                 .select("*", *[F.col(f"_wd.{f}").alias(f"x_{f}")
-                                for f in ("weekday", "deload", "date", "type", "day_txt")]).drop("_wd")
-
-    def visible(df: DataFrame) -> Column:
-        """Not equal to a current context nor the text 'Deload'.  Contexts
-        start as '' (the counter as 0), so before the first month/weekday
-        only empty cells match — and empty cells never act anyway."""
-        day_txt = F.col("x_day_txt")
-        same = [F.coalesce(sv == F.col(x), F.lit(False))
-                for x in ("x_month", "x_weekday", "x_type", "x_counter")]
-        hidden = (same[0] | same[1] | same[2] | same[3]
-                  | F.coalesce(sv == day_txt, F.lit(False))
-                  | F.coalesce(sv == DELOAD_MARK, F.lit(False))
-                  # a number equals the initial counter 0 until a label is seen
-                  | (F.col("x_counter").isNull() & F.coalesce(nv == 0, F.lit(False))))
-        return ~hidden
-
-    # Empty cells and column headers matter only as neighbours (pass A):
-    # they never set a context, section, break or value, so later passes
-    # skip them.  Cells that act as neighbours were already read above.
-    ev = ev.where(~(F.coalesce(sv == "", F.lit(False)) | F.coalesce(sv.isin(*COLUMN_HEADERS), F.lit(False))))
 
-    # ---- "Total" ends the row: first pass of contexts finds the break ----
-    a = contexts(ev)
-    is_break = visible(a) & ~date_skip & F.coalesce(sv.contains(TOTAL_MARK), F.lit(False))
-    a = a.withColumn("_brk", F.min(F.when(is_break, F.col("c"))).over(row_w))
-    kept = a.where(F.col("_brk").isNull() | (F.col("c") <= F.col("_brk"))) \
-            .drop("x_month", "x_weekday", "x_deload", "x_date", "x_type", "x_day_txt", "x_counter")
+def _expand(df: DataFrame, wd: str = "_wd") -> DataFrame:
+    return df.select("*", *[F.col(f"{wd}.{f}").alias(f"x_{f}") for f in _CTX_FIELDS]).drop(wd)
 
-    # ---- pass B: contexts over the cells actually visited ----------------
-    b = contexts(kept)
-    vis = visible(b)
-    header = F.coalesce(sv.isin(*COLUMN_HEADERS), F.lit(False))
-    at_break = F.col("c") == F.coalesce(F.col("_brk"), F.lit(-1))
-    section_ev = vis & ~date_skip & ~header & ~at_break & F.coalesce(sv.isin(*SECTION_NAMES), F.lit(False))
-    empty = F.coalesce(sv == "", F.lit(False))
-    is_value = vis & ~date_skip & ~header & ~at_break & ~section_ev & ~empty
-    b = b.select("*", section_ev.alias("_sec"), is_value.alias("_val"))
 
-    # ---- pass C: running value count, current section, count at section --
-    k = F.sum(F.col("_val").cast("int")).over(run)
-    c_df = b.select(
-        "*",
-        k.alias("_k"),
-        F.last(F.when(F.col("_sec"), sv), ignorenulls=True).over(run).alias("x_section"),
-        # value cells seen before the latest section start
-        F.last(F.when(F.col("_sec"), k), ignorenulls=True).over(run).alias("_k_at_sec"),
-    )
+def _visible() -> Column:
+    """Not equal to a current context nor the text 'Deload'.  Contexts start
+    as '' (the counter as 0), so before the first month/weekday only empty
+    cells match — and empty cells never act anyway."""
+    sv, nv = F.col("sv"), F.col("nv")
+    same = [F.coalesce(sv == F.col(x), F.lit(False))
+            for x in ("x_month", "x_weekday", "x_type", "x_counter", "x_day_txt")]
+    hidden = (same[0] | same[1] | same[2] | same[3] | same[4]
+              | F.coalesce(sv == DELOAD_MARK, F.lit(False))
+              # a number equals the initial counter 0 until a label is seen
+              | (F.col("x_counter").isNull() & F.coalesce(nv == 0, F.lit(False))))
+    return ~hidden
 
-    # ---- pass D: 5-cell records, emitted at the 5th value cell ------------
-    vals = c_df.where(F.col("_val")).withColumn("_v", _value(sv, nv))
-    lagged = [F.lag("_v", RECORD_WIDTH - 1 - i).over(w) for i in range(RECORD_WIDTH - 1)]
-    rec = vals.select(
-        "*", *[lg.alias(f"_f{i}") for i, lg in enumerate(lagged)]
-    ).where(F.col("_k") % RECORD_WIDTH == 0)
+
+def _is_break() -> Column:
+    return _visible() & ~F.col("_dskip") & F.coalesce(F.col("sv").contains(TOTAL_MARK), F.lit(False))
+
+
+def _section_and_value(brk: Column):
+    """(section event, value cell) flags given the row's break column."""
+    vis = _visible()
+    at_break = F.col("c") == F.coalesce(brk, F.lit(-1))
+    active = vis & ~F.col("_dskip") & ~at_break
+    section_ev = active & F.coalesce(F.col("sv").isin(*SECTION_NAMES), F.lit(False))
+    return section_ev, active & ~section_ev
+
+
+def _records(df: DataFrame, key, fields) -> DataFrame:
+    """Final record columns from per-record contexts and the 5 values."""
     set_counter = (F.col("_k") / RECORD_WIDTH).cast("bigint") - F.floor(
         F.coalesce(F.col("_k_at_sec"), F.lit(0)) / RECORD_WIDTH).cast("bigint")
-    fields = [F.col(f"_f{i}") for i in range(RECORD_WIDTH - 1)] + [F.col("_v")]
-    return rec.select(
+    return df.select(
         *key,
         F.coalesce(F.col("x_month"), F.lit("")).alias("month"),
         F.coalesce(F.col("x_weekday"), F.lit("")).alias("weekday"),
@@ -202,6 +170,165 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0,
     )
 
 
+def _parse_sheets(cells: DataFrame, date_mode, exclude_sheets) -> DataFrame:
+    """One partition per sheet: every pass is a window over (workbook,
+    sheet) ordered by (r, c), all sharing one sort."""
+    key = list(SHEET)
+    w = Window.partitionBy(*key).orderBy("r", "c")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row_w = Window.partitionBy(*key, "r")
+    last = lambda c: F.last(c, ignorenulls=True).over(run)
+
+    def contexts(df: DataFrame) -> DataFrame:
+        return _expand(df.select("*", last("e_month").alias("x_month"), last("e_wd").alias("_wd"),
+                                 last("e_counter").alias("x_counter")))
+
+    ev = _events(cells, key, date_mode, exclude_sheets)
+    # ---- "Total" ends the row: first pass of contexts finds the break ----
+    a = contexts(ev)
+    a = a.withColumn("_brk", F.min(F.when(_is_break(), F.col("c"))).over(row_w))
+    kept = a.where(F.col("_brk").isNull() | (F.col("c") <= F.col("_brk"))) \
+            .drop("x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS])
+    # ---- pass B: contexts over the cells actually visited ----------------
+    b = contexts(kept)
+    section_ev, is_value = _section_and_value(F.col("_brk"))
+    b = b.select("*", section_ev.alias("_sec"), is_value.alias("_val"))
+    # ---- pass C: running value count, current section, count at section --
+    k = F.sum(F.col("_val").cast("int")).over(run)
+    c_df = b.select(
+        "*", k.alias("_k"),
+        F.last(F.when(F.col("_sec"), F.col("sv")), ignorenulls=True).over(run).alias("x_section"),
+        # value cells seen before the latest section start
+        F.last(F.when(F.col("_sec"), k), ignorenulls=True).over(run).alias("_k_at_sec"),
+    )
+    # ---- pass D: 5-cell records, emitted at the 5th value cell ------------
+    vals = c_df.where(F.col("_val")).withColumn("_v", _value(F.col("sv"), F.col("nv")))
+    lagged = [F.lag("_v", RECORD_WIDTH - 1 - i).over(w) for i in range(RECORD_WIDTH - 1)]
+    rec = vals.select("*", *[lg.alias(f"_f{i}") for i, lg in enumerate(lagged)]) \
+              .where(F.col("_k") % RECORD_WIDTH == 0)
+    fields = [F.col(f"_f{i}") for i in range(RECORD_WIDTH - 1)] + [F.col("_v")]
+    return _records(rec, key, fields)
+
+
+def _carry(summary: DataFrame, cols) -> DataFrame:
+    """For each chunk, the last non-NULL value of ``cols`` in earlier chunks
+    of the same sheet (a window over the small per-chunk summary)."""
+    before = Window.partitionBy(*SHEET).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(*SHEET, "_h", *[F.last(c, ignorenulls=True).over(before).alias(f"c_{c}")
+                                          for c in cols])
+
+
+def _last_event(col: str):
+    """Aggregate: the chunk's last non-NULL ``col`` in (r, c) order."""
+    return F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.struct("r", "c")))
+
+
+def _parse_chunked(cells: DataFrame, date_mode, exclude_sheets, rows_per_chunk: int) -> DataFrame:
+    """Oversized sheets: row chunks processed in parallel, running contexts
+    and counts carried across chunks.
+
+    Each round computes chunk-local running values, reduces every chunk to
+    one summary row, takes the exclusive prefix over the chunks of a sheet
+    (one window over the summaries) and joins it back on the chunk key;
+    the cell table is checkpointed between rounds so later rounds re-read
+    it instead of recomputing.  Records whose five cells span chunks are
+    assembled by grouping the value cells on their record number.
+    """
+    key = [*SHEET, "_h"]
+    w = Window.partitionBy(*key).orderBy("r", "c")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row_w = Window.partitionBy(*key, "r")
+    last = lambda c: F.last(c, ignorenulls=True).over(run)
+    chunked = cells.withColumn("_h", F.floor(F.col("r") / rows_per_chunk).cast("long"))
+    ev = _events(chunked, key, date_mode, exclude_sheets)
+
+    def with_contexts(df: DataFrame, carry: DataFrame) -> DataFrame:
+        df = df.select("*", last("e_month").alias("l_month"), last("e_wd").alias("l_wd"),
+                       last("e_counter").alias("l_counter"))
+        df = df.join(carry, key, "left")
+        return _expand(df.select(
+            *[c for c in df.columns if not c.startswith(("l_", "c_"))],
+            F.coalesce("l_month", "c_e_month").alias("x_month"),
+            F.coalesce("l_wd", "c_e_wd").alias("_wd"),
+            F.coalesce("l_counter", "c_e_counter").alias("x_counter")))
+
+    events = ("e_month", "e_wd", "e_counter")
+    # round 1: contexts over every cell -> the "Total" breaks of each row
+    ev = ev.checkpoint()
+    c1 = _carry(ev.groupBy(*key).agg(*[_last_event(e).alias(e) for e in events]), events)
+    a = with_contexts(ev, c1)
+    a = a.withColumn("_brk", F.min(F.when(_is_break(), F.col("c"))).over(row_w))
+    kept = a.where(F.col("_brk").isNull() | (F.col("c") <= F.col("_brk"))) \
+            .select(*ev.columns, "_brk").checkpoint()
+    # round 2: contexts over the visited cells -> sections and values
+    c2 = _carry(kept.groupBy(*key).agg(*[_last_event(e).alias(e) for e in events]), events)
+    b = with_contexts(kept, c2)
+    section_ev, is_value = _section_and_value(F.col("_brk"))
+    lk = F.sum(is_value.cast("int")).over(run)
+    b = b.select("*", section_ev.alias("_sec"), is_value.alias("_val"), lk.alias("_lk"))
+    b = b.select("*", F.last(F.when(F.col("_sec"), F.col("sv")), ignorenulls=True).over(run).alias("_lsec"),
+                 F.last(F.when(F.col("_sec"), F.col("_lk")), ignorenulls=True).over(run).alias("_lk_sec"))
+    b = b.select(*key, "r", "c", "sv", "nv", "_val", "_sec", "_lk", "_lsec", "_lk_sec", "x_month",
+                 "x_counter", *[f"x_{f}" for f in _CTX_FIELDS]).checkpoint()
+    # round 3: value counts and the current section across chunks
+    per_chunk = b.groupBy(*key).agg(
+        F.sum(F.col("_val").cast("int")).alias("_n"),
+        _last_event("_lsec").alias("_sec_name"),
+        F.max_by(F.col("_lk_sec"), F.when(F.col("_lsec").isNotNull(), F.struct("r", "c"))).alias("_sec_lk"))
+    before = Window.partitionBy(*SHEET).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    per_chunk = per_chunk.withColumn("_kb", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    per_chunk = per_chunk.withColumn(
+        "_sec_gk", F.when(F.col("_sec_name").isNotNull(), F.col("_kb") + F.coalesce("_sec_lk", F.lit(0))))
+    c3 = per_chunk.select(
+        *key, "_kb",
+        F.last("_sec_name", ignorenulls=True).over(before).alias("c_sec"),
+        F.last("_sec_gk", ignorenulls=True).over(before).alias("c_sec_k"))
+    v = b.where(F.col("_val")).join(c3, key, "left")
+    v = v.select(
+        *SHEET, "x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS],
+        (F.col("_kb") + F.col("_lk")).alias("_k"),
+        F.coalesce("_lsec", "c_sec").alias("x_section"),
+        F.when(F.col("_lsec").isNotNull(), F.col("_kb") + F.coalesce("_lk_sec", F.lit(0)))
+         .otherwise(F.col("c_sec_k")).alias("_k_at_sec"),
+        _value(F.col("sv"), F.col("nv")).alias("_v"))
+    # records: five consecutive value cells, wherever their chunks are
+    g = ((F.col("_k") - 1) / RECORD_WIDTH).cast("long")
+    pos = (F.col("_k") - 1) % RECORD_WIDTH
+    ctx = F.struct(*[F.col(c) for c in ("x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS],
+                                        "x_section", "_k", "_k_at_sec")])
+    rec = v.groupBy(*SHEET, g.alias("_g")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.max(F.when(pos == i, F.col("_v"))).alias(f"_f{i}") for i in range(RECORD_WIDTH)],
+        F.max_by(ctx, F.col("_k")).alias("_ctx")).where(F.col("_n") == RECORD_WIDTH)
+    rec = rec.select(*SHEET, *[f"_f{i}" for i in range(RECORD_WIDTH)], "_ctx.*")
+    return _records(rec, list(SHEET), [F.col(f"_f{i}") for i in range(RECORD_WIDTH)])
+
+
+def parse_journal_cells(cells: DataFrame, date_mode: int = 0, exclude_sheets=EXCLUDED_SHEETS,
+                        max_sheet_cells: int | None = None, rows_per_chunk: int = 4096) -> DataFrame:
+    """Parse cells into records: month, weekday, date, deload,
+    workout_counter (text 'N/365'), set_counter, type, section, exercise,
+    weight (text), grip, amount, rest (text values) plus workbook_id/sheet.
+    ``date_mode`` 1 reads serial dates from the 1904 epoch.
+
+    Every sheet is one window partition.  With ``max_sheet_cells``, sheets
+    holding more cells than that (found by one count per sheet; the list
+    of such sheets is at most total/max_sheet_cells long) are instead split
+    into chunks of ``rows_per_chunk`` row numbers (``r`` ranges) and parsed in parallel with
+    carried contexts (see ``_parse_chunked``); the other sheets keep the
+    one-pass plan.
+    """
+    if not max_sheet_cells:
+        return _parse_sheets(cells, date_mode, exclude_sheets)
+    ensure_checkpoint_dir(cells.sparkSession)        # the chunked rounds checkpoint
+    sizes = cells.groupBy(*SHEET).agg(F.count(F.lit(1)).alias("_cells"))
+    big = sizes.where(F.col("_cells") > max_sheet_cells).select(*SHEET)
+    small = _parse_sheets(cells.join(big, list(SHEET), "left_anti"), date_mode, exclude_sheets)
+    large = _parse_chunked(cells.join(big, list(SHEET), "left_semi"), date_mode, exclude_sheets,
+                           rows_per_chunk)
+    return small.unionByName(large)
+
+
 def clean_journal(parsed: DataFrame, keep=()) -> DataFrame:
     """Parsed text records -> the 14 typed journal columns.
 

@@ -25,7 +25,8 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 
 def start_ingest(spark: SparkSession, workbooks_dir: str, journal_path: str, checkpoint: str,
                  glob: str = "*.xlsx", processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None,
+                 max_sheet_cells: int | None = 5_000_000) -> StreamingQuery:
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
                   .option("pathGlobFilter", glob))
     if max_files_per_trigger:
@@ -33,7 +34,9 @@ def start_ingest(spark: SparkSession, workbooks_dir: str, journal_path: str, che
     files = reader.load(workbooks_dir)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        journal = clean_journal(parse_journal_cells(cells_of_files(batch)), keep=("workbook_id",))
+        cells = cells_of_files(batch)
+        journal = clean_journal(parse_journal_cells(cells, max_sheet_cells=max_sheet_cells),
+                                keep=("workbook_id",))
         (journal.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("workbook_id").parquet(journal_path))
 

@@ -137,3 +137,24 @@ def test_parser_matches_sequential_model(spark, seed):
     norm = lambda rows: sorted(tuple("∅" if v is None else str(v) for v in row) for row in rows)
     assert len(got) == len(expected)
     assert norm(got) == norm(expected)
+
+
+@pytest.mark.parametrize("seed,max_cells,rows", [(11, 1, 3), (12, 1, 7), (13, 60, 5), (14, 1, 1)])
+def test_chunked_parser_matches_sequential_model(spark, seed, max_cells, rows):
+    """Sheets above ``max_cells`` are parsed in row chunks with carried
+    contexts; tiny chunks put sessions, sections and records across chunk
+    boundaries."""
+    rnd = random.Random(seed)
+    cells, expected = [], []
+    for wb in range(6):
+        for sheet in ("2022", "2023", "2024"):
+            out, grid = to_cells(wb, sheet, random_sheet(rnd))
+            cells += out
+            if sheet != "2023":
+                expected += [(wb, sheet) + rec for rec in SheetModel(grid).run()]
+    df = parse_journal_cells(spark.createDataFrame(cells, CELLS_SCHEMA), max_sheet_cells=max_cells,
+                             rows_per_chunk=rows)
+    got = [tuple(r) for r in df.collect()]
+    norm = lambda rows_: sorted(tuple("∅" if v is None else str(v) for v in row) for row in rows_)
+    assert len(got) == len(expected)
+    assert norm(got) == norm(expected)
