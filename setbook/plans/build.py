@@ -50,7 +50,7 @@ def _depth(name: str) -> int:
 
 
 def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=None,
-                fmt: str = "parquet", cubes: bool = True, threads: int = 8) -> dict[str, str]:
+                fmt: str = "parquet", cubes: bool = True, threads: int = 8, by=()) -> dict[str, str]:
     """Write each requested mart to ``{out_dir}/{name}``; return name -> path.
 
     ``journal`` should be a table scan (``read_journal``) so every mart
@@ -60,9 +60,11 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
     is scanned twice instead of once per mart.  Marts of one dependency
     level are independent Spark jobs and are submitted from ``threads``
     threads at once (small marts then share the cluster instead of
-    queueing one after another).
+    queueing one after another).  ``by`` names log-key columns of
+    ``journal``: every mart is then computed per log.
     """
-    stg = stage_journal(journal)
+    by = tuple(by)
+    stg = stage_journal(journal, by=by)
     wanted = list(names) if names else [n for n in M.MARTS if n != "stg_workout_journal"]
     order = build_order(wanted)
     out = out_dir.rstrip("/")
@@ -71,7 +73,7 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
         for cube_name, fn, marts in (("_cube_day", day_cube, DAY_MARTS),
                                      ("_cube_session", session_cube, SESSION_MARTS)):
             if any(n in marts for n in order):
-                fn(stg).write.mode("overwrite").format(fmt).save(f"{out}/{cube_name}")
+                fn(stg, by=by).write.mode("overwrite").format(fmt).save(f"{out}/{cube_name}")
                 table = spark.read.format(fmt).load(f"{out}/{cube_name}")
                 source.update({n: table for n in marts})
     paths: dict[str, str] = {}
@@ -81,7 +83,7 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
         if name in UPSTREAM:
             up, arg = UPSTREAM[name]
             kw[arg] = spark.read.format(fmt).load(paths[up])
-        df = M.MARTS[name](source.get(name, stg), **kw)
+        df = M.MARTS[name](source.get(name, stg), by=by, **kw)
         df.write.mode("overwrite").format(fmt).save(f"{out}/{name}")
 
     for level in range(max(_depth(n) for n in order) + 1):

@@ -29,14 +29,16 @@ from .build import build_marts
 
 def ingest(spark: SparkSession, cells_path: str | None, journal_path: str, report_path: str | None = None,
            date_mode: int = 0, workbooks_path: str | None = None,
-           max_sheet_cells: int | None = 5_000_000) -> None:
+           max_sheet_cells: int | None = 5_000_000, per_workbook: bool = False) -> None:
     """Parse the workbook cells (a cells table, or .xlsx files) and replace the journal table."""
     if workbooks_path:
         cells = read_xlsx_cells(spark, workbooks_path)
     else:
         cells = spark.read.schema(CELLS_SCHEMA).parquet(cells_path)
-    journal = clean_journal(parse_journal_cells(cells, date_mode=date_mode, max_sheet_cells=max_sheet_cells))
-    write_journal(journal, journal_path, partition_by_year=True)
+    keep = ("workbook_id",) if per_workbook else ()
+    journal = clean_journal(parse_journal_cells(cells, date_mode=date_mode, max_sheet_cells=max_sheet_cells),
+                            keep=keep)
+    write_journal(journal, journal_path, partition_by_year=True, keys=keep)
     if report_path:
         _, report = check_journal(read_journal(spark, journal_path))
         report.write.mode("overwrite").parquet(report_path)
@@ -52,6 +54,8 @@ def main(argv=None) -> None:
     ap.add_argument("--journal-only", action="store_true")
     ap.add_argument("--from-journal", action="store_true")
     ap.add_argument("--date-mode", type=int, default=0)
+    ap.add_argument("--per-workbook", action="store_true",
+                    help="keep workbook_id in the journal and build every mart per workbook (one log each)")
     ap.add_argument("--max-sheet-cells", type=int, default=5_000_000,
                     help="sheets above this many cells are parsed in parallel row chunks")
     args = ap.parse_args(argv)
@@ -60,11 +64,13 @@ def main(argv=None) -> None:
         if not (args.cells or args.workbooks):
             ap.error("--cells or --workbooks is required unless --from-journal")
         ingest(spark, args.cells, args.journal, args.report, date_mode=args.date_mode,
-               workbooks_path=args.workbooks, max_sheet_cells=args.max_sheet_cells)
+               workbooks_path=args.workbooks, max_sheet_cells=args.max_sheet_cells,
+               per_workbook=args.per_workbook)
     if not args.journal_only:
         if not args.marts:
             ap.error("--marts is required unless --journal-only")
-        build_marts(spark, read_journal(spark, args.journal), args.marts)
+        keys = ("workbook_id",) if args.per_workbook else ()
+        build_marts(spark, read_journal(spark, args.journal, keys=keys), args.marts, by=keys)
 
 
 if __name__ == "__main__":

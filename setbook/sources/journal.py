@@ -109,13 +109,14 @@ def read_journal(spark: SparkSession, path: str, years=None, keys=()) -> DataFra
     return df.select(*keys, *[F.col(f.name).cast(f.dataType) for f in JOURNAL_SCHEMA.fields])
 
 
-def write_journal(df: DataFrame, path: str, partition_by_year: bool = False) -> None:
+def write_journal(df: DataFrame, path: str, partition_by_year: bool = False, keys=()) -> None:
     """Full refresh: one atomic overwrite of the whole table.
 
     With ``partition_by_year`` a ``year`` directory level is added (the
-    original loads year by year); readers then prune by year.
+    original loads year by year); readers then prune by year.  ``keys`` are
+    log-key columns kept in front of the journal columns.
     """
-    out = conform_journal(df)
+    out = df.select(*keys, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in JOURNAL_SCHEMA.fields])
     writer = out.write.mode("overwrite")
     if partition_by_year:
         out = out.withColumn("year", F.year("date"))

@@ -33,3 +33,25 @@ def test_year_partitions_prune(spark):
     assert "PartitionFilters: [isnotnull(year" in plan
     assert {r.date.year for r in df.select("date").distinct().collect()} == {2024}
     assert len(df.columns) == 14
+
+
+def test_daily_job_per_workbook(spark):
+    """Many logs: the journal keeps workbook_id and every mart is per workbook."""
+    from pyspark.sql import functions as F
+    from setbook.operators.staging import stage_journal
+    from setbook.plans import marts as M
+    root = tempfile.mkdtemp(prefix="setbook-daily-wb-")
+    cells_from_tables(spark, SF_SMALL).write.parquet(f"{root}/cells")
+    main(["--cells", f"{root}/cells", "--journal", f"{root}/journal", "--marts", f"{root}/marts",
+          "--per-workbook"])
+    journal = read_journal(spark, f"{root}/journal", keys=("workbook_id",))
+    assert journal.select("workbook_id").distinct().count() > 100
+    built = spark.read.parquet(f"{root}/marts/workout_sessions_per_year")
+    lazy = M.workout_sessions_per_year(stage_journal(journal, by=("workbook_id",)), by=("workbook_id",))
+    assert "workbook_id" in built.columns and built.count() == lazy.count() > 0
+    assert built.exceptAll(lazy).count() == 0
+    one = journal.select("workbook_id").first()[0]
+    single = M.mom_changes_reps(stage_journal(journal.where(F.col("workbook_id") == one).drop("workbook_id")))
+    per_log = spark.read.parquet(f"{root}/marts/mom_changes_reps").where(F.col("workbook_id") == one) \
+        .drop("workbook_id")
+    assert per_log.count() == single.count() and per_log.exceptAll(single).count() == 0
