@@ -1,7 +1,7 @@
 """Spark marts vs the DuckDB oracle on seeded messy journals.
 
-The driver tables are well formed; these journals are not: month texts
-that disagree with the date or are unknown, several units in one cell,
+The driver tables are well formed; these journals are not: month and
+weekday texts that disagree with the date or are unknown, several units in one cell,
 negative and bodyweight weights, deload values outside 0/1, seconds and
 combination exercises, sparse months.  Both engines start from the same
 journal rows.
@@ -46,11 +46,17 @@ def messy_journal(seed: int, multi_unit: bool):
             month = MONTHS[(d.month % 12)]            # text disagrees with the date
         elif r < 0.04 and not odd_month_used:
             month, odd_month_used = "jan", True       # unknown text (at most once: LAG ties)
+        weekday = d.strftime("%A").lower()
+        w = rnd.random()
+        if w < 0.02:
+            weekday = "mon"                            # unknown text -> weekday_int NULL
+        elif w < 0.04:
+            weekday = rnd.choice(["monday", "friday"])  # may disagree with the date
         ex = rnd.choice(EXERCISES)
         unit = "kg"
         if multi_unit and rnd.random() < 0.3:
             unit = "lbs"
-        rows.append((month, d.strftime("%A").lower(), d, rnd.choice([0, 0, 0, 1, 2]),
+        rows.append((month, weekday, d, rnd.choice([0, 0, 0, 1, 2]),
                      d.timetuple().tm_yday // rnd.choice([1, 2]), rnd.randint(1, 5),
                      rnd.choice(["pull", "push"]), rnd.choice(["warm-up", "pull"]), ex,
                      Decimal(rnd.choice(WEIGHTS)), unit, "wide", rnd.randint(0, 30), 60))
