@@ -6,8 +6,8 @@ empty.  The original reads each sheet cell by cell, keeping running
 contexts; every rule is either a *running last value* (contexts), a
 *running count* (the 5-cell chunking and the set counter) or a positional
 lookup within the row — all window functions over one partition per
-(workbook, sheet) ordered by (r, c).  All passes share that one sort; no
-join, no group-by, no Python.
+(workbook, sheet) ordered by (r, c).  All passes share that one sort; the
+per-sheet plan has no join, no group-by and no Python.
 
 Rules (cell visited in row-major order, row 0 skipped):
   month / weekday names set the current month / weekday; at a weekday the
@@ -36,12 +36,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import serial_to_date
-from ..session import ensure_checkpoint_dir
 from ..functions.text import weight_kg, weight_unit
 from ..functions.vocab import (
     COLUMN_HEADERS, COUNTER_MARK, DATE_CELL_LENGTH, DELOAD_MARK, EXCLUDED_SHEETS, MONTH_NAMES,
     RECORD_WIDTH, SECTION_NAMES, TOTAL_MARK, WEEKDAY_NAMES,
 )
+from ..session import ensure_checkpoint_dir
 
 SHEET = ("workbook_id", "sheet")
 RECORD_FIELDS = ("exercise", "weight", "grip", "amount", "rest")
