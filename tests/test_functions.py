@@ -56,3 +56,12 @@ def test_percentage_matches_exact_decimal_rounding(spark):
     # Decimal divides to 28 significant digits before quantize: exact enough for d <= 1e5
     want = [(D(n) * 100 / D(d)).quantize(D("0.01"), rounding=ROUND_HALF_UP) for n, d in pairs]
     assert got == want
+
+
+def test_row_digest_detects_differences(spark):
+    from conftest import same_rows
+    df = spark.range(100).selectExpr("id", "id % 7 AS k", "CAST(id AS STRING) AS s")
+    assert same_rows(df, df.orderBy(F.desc("id")))                     # order does not matter
+    assert not same_rows(df, df.where("id <> 42"))                     # a dropped row
+    assert not same_rows(df, df.selectExpr("id", "CASE WHEN id = 5 THEN 6 ELSE k END AS k", "s"))
+    assert not same_rows(df, df.union(df.where("id = 3")))             # a duplicated row
