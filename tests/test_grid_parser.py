@@ -89,6 +89,6 @@ def test_counter_zero_before_label_hides_zero_numbers(spark):
 def test_roundtrip_from_tables(spark):
     parsed = clean_journal(parse_journal_cells(cells_from_tables(spark, SF_SMALL)))
     expected = journal_from_cells_fixture(spark, SF_SMALL)
-    assert parsed.count() == expected.count() > 1000
-    assert parsed.exceptAll(expected).count() == 0
-    assert expected.exceptAll(parsed).count() == 0
+    from conftest import digest
+    d = digest(parsed)
+    assert d == digest(expected) and d[0] > 1000

@@ -13,7 +13,8 @@ from conftest import SF_SMALL
 
 
 def same(a, b):
-    return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    from conftest import same_rows
+    return same_rows(a, b)
 
 
 def test_incremental_rollups_and_refresh(spark):
