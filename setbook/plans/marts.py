@@ -336,7 +336,8 @@ SORT_KEYS = {
     "month_with_most_workouts_per_year": ["year", "month_int"],
 }
 for _k in ("monthly_aggregates_every_possible_combination", "mom_changes", "mom_changes_reps",
-           "mom_changes_seconds", "yoy_changes", "yoy_changes_reps", "yoy_changes_seconds"):
+           "mom_changes_seconds", "yoy_changes", "yoy_changes_reps", "yoy_changes_seconds",
+           "mom_changes_seconds_corrected", "yoy_changes_seconds_corrected"):
     SORT_KEYS[_k] = ["year", "month_int", "exercise", "added_weight"]
 
 
