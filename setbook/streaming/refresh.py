@@ -21,6 +21,7 @@ the daily job.  Pass ``processing_time`` for a continuously running one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.staging import stage_journal
@@ -37,9 +38,17 @@ ADDITIVE = (
 )
 
 
-def read_journal_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Journal parquet files appearing under ``path`` as a stream."""
-    reader = spark.readStream.schema(JOURNAL_SCHEMA)
+def read_journal_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                        keys: str | None = None) -> DataFrame:
+    """Journal parquet files appearing under ``path`` as a stream.
+
+    ``keys`` declares log-key columns in DDL (e.g. ``"workbook_id long"``,
+    the partition column of an ingested journal); a stream needs its whole
+    schema up front."""
+    schema = JOURNAL_SCHEMA
+    if keys:
+        schema = T.StructType(T.StructType.fromDDL(keys).fields + JOURNAL_SCHEMA.fields)
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(path)
@@ -51,11 +60,15 @@ def _trigger(writer, processing_time: str | None):
 
 
 def start_rollup(spark: SparkSession, journal_dir: str, name: str, out_path: str, checkpoint: str,
-                 processing_time: str | None = None, by=()) -> StreamingQuery:
-    """Maintain one additive mart incrementally (complete mode, atomic overwrite)."""
+                 processing_time: str | None = None, by=(), keys: str | None = None) -> StreamingQuery:
+    """Maintain one additive mart incrementally (complete mode, atomic overwrite).
+
+    ``by`` computes it per log; ``keys`` gives those columns' DDL when they
+    are not journal columns (e.g. ``"workbook_id long"``)."""
     if name not in ADDITIVE:
         raise ValueError(f"{name} is not additive; use start_refresh")
-    mart = M.MARTS[name](stage_journal(read_journal_stream(spark, journal_dir), by=by), by=by)
+    stream = read_journal_stream(spark, journal_dir, keys=keys)
+    mart = M.MARTS[name](stage_journal(stream, by=by), by=by)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
