@@ -79,15 +79,17 @@ def start_rollup(spark: SparkSession, journal_dir: str, name: str, out_path: str
 
 
 def start_refresh(spark: SparkSession, journal_dir: str, out_dir: str, checkpoint: str,
-                  names=None, processing_time: str | None = None) -> StreamingQuery:
-    """Rebuild the requested marts from the whole journal whenever files arrive."""
+                  names=None, processing_time: str | None = None, by=(),
+                  keys: str | None = None) -> StreamingQuery:
+    """Rebuild the requested marts from the whole journal whenever files arrive
+    (per log with ``by``; ``keys`` as in ``start_rollup``)."""
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        build_marts(spark, read_journal(spark, journal_dir), out_dir, names)
+        build_marts(spark, read_journal(spark, journal_dir, keys=tuple(by)), out_dir, names, by=by)
 
-    arrivals = read_journal_stream(spark, journal_dir).select("date")
+    arrivals = read_journal_stream(spark, journal_dir, keys=keys).select("date")
     writer = (arrivals.writeStream.foreachBatch(rebuild)
                       .option("checkpointLocation", checkpoint).queryName("refresh_marts"))
     return _trigger(writer, processing_time).start()

@@ -99,3 +99,8 @@ def test_ingest_then_per_workbook_rollup(spark):
     got = spark.read.parquet(out)
     assert got.select("workbook_id").distinct().count() == 3
     assert same(got, want)
+    from setbook.streaming import start_refresh
+    start_refresh(spark, jpath, f"{root}/marts", f"{root}/ck_ref", names=["mom_changes_reps"],
+                  by=("workbook_id",), keys="workbook_id long").awaitTermination()
+    want2 = M.mom_changes_reps(stage(journal, by=("workbook_id",)), by=("workbook_id",))
+    assert same(spark.read.parquet(f"{root}/marts/mom_changes_reps"), want2)
