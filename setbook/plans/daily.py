@@ -48,12 +48,12 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="daily refresh: cells -> journal -> marts")
     ap.add_argument("--cells", help="cells table (parquet)")
     ap.add_argument("--workbooks", help="folder of .xlsx workbook files")
-    ap.add_argument("--journal", required=True)
-    ap.add_argument("--marts")
-    ap.add_argument("--report")
-    ap.add_argument("--journal-only", action="store_true")
-    ap.add_argument("--from-journal", action="store_true")
-    ap.add_argument("--date-mode", type=int, default=0)
+    ap.add_argument("--journal", required=True, help="journal table folder (replaced on ingest)")
+    ap.add_argument("--marts", help="folder receiving one table per mart")
+    ap.add_argument("--report", help="folder for the journal quality report")
+    ap.add_argument("--journal-only", action="store_true", help="stop after writing the journal")
+    ap.add_argument("--from-journal", action="store_true", help="skip parsing; rebuild marts from --journal")
+    ap.add_argument("--date-mode", type=int, default=0, help="serial date epoch for cells tables: 0 = 1900, 1 = 1904")
     ap.add_argument("--per-workbook", action="store_true",
                     help="keep workbook_id in the journal and build every mart per workbook (one log each)")
     ap.add_argument("--max-sheet-cells", type=int, default=5_000_000,
