@@ -41,5 +41,25 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
+def normalised(col: str = "text") -> Column:
+    """The text with every run of white space replaced by one space."""
+    return F.regexp_replace(whole_text(col), f"{SPACE}+", " ")
+
+
+def text_key(col: str = "text") -> Column:
+    """SHA-256 of the normalised text, as bytes: what equal texts share."""
+    return F.unhex(F.sha2(normalised(col), 256))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named by ``kept`` (doc_id, key of the text), all columns; of repeated rows one."""
+    named = kept.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
+    own = docs.withColumn("__own", text_key())
+    same = F.col("__own").eqNullSafe(F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    return own.join(named, same, "left_semi").dropDuplicates(["doc_id", "__own"]).drop("__own")
+
+
+def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
+    """At most ``rows`` rows in an Arrow batch of this session, so that a batch of long texts fits a worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, str(rows))

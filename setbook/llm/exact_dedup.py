@@ -25,16 +25,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, documents, scratch_path, stored, whole_text
+from .common import documents, keep_rows, normalised, scratch_path, stored
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def normalised(col: str = "text") -> Column:
-    """The text with every run of white space replaced by one space."""
-    return F.regexp_replace(whole_text(col), f"{SPACE}+", " ")
-
-
 def sha256_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
@@ -122,10 +117,7 @@ def _regrouped(out: DataFrame, clashes: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) without the later copies of equal texts."""
-    kept = deduplicate(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__key"))
-    own = docs.withColumn("__own", sha256_digest(normalised()))
-    same = F.col("__own").eqNullSafe(F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    return own.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__own"]).drop("__own")
+    return keep_rows(docs, deduplicate(docs).where("kept").select("doc_id", F.col("digest").alias("key")))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

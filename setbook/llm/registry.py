@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, url_filter
+from . import (
+    decontaminate,
+    exact_dedup,
+    near_dedup,
+    pii,
+    quality,
+    sentence_pieces,
+    token_ids,
+    url_filter,
+)
 
 
 def queries() -> dict:
     """(spark, sf_dir) -> DataFrame by name; each runs over its whole table."""
     return {f.__name__: f for f in (
+        near_dedup.op1_near_dedup,
+        pii.op2_pii,
         exact_dedup.op3_exact_dedup,
+        token_ids.op4_token_ids,
+        decontaminate.op6_decontaminate,
+        sentence_pieces.op7_sentence_pieces,
+        quality.op9_quality_classifier,
         url_filter.op10_url_filter,
     )}
 
