@@ -27,7 +27,12 @@ from pyspark.sql import functions as F
 
 from .common import documents, keep_rows, normalised, scratch_path, stored
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# state on disk; without preallocated files, of which each state partition would hold several MB
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def sha256_digest(text: Column) -> Column:
@@ -45,9 +50,9 @@ def fold_stream(spark: SparkSession, arrivals_path: str, schema, checkpoint: str
     Returns (digest, first, n).  ``checkpoint`` holds the stream's progress
     and state: calling again after more files arrived reads only those.
     """
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
     try:
         arriving = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
                     .parquet(arrivals_path))
@@ -55,12 +60,14 @@ def fold_stream(spark: SparkSession, arrivals_path: str, schema, checkpoint: str
         run = (state.writeStream.format("noop").outputMode("update").trigger(availableNow=True)
                .option("checkpointLocation", checkpoint).start())
         run.awaitTermination()
+        kept = spark.read.format("statestore").load(checkpoint)
+        first, n = kept.schema["value"].dataType.names
+        return stored(kept.select(
+            F.col("key.digest").alias("digest"), F.col(f"value.`{first}`").alias("first"),
+            F.col(f"value.`{n}`").cast("long").alias("n")), "dedup-first")
     finally:
-        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
-    kept = spark.read.format("statestore").load(checkpoint)
-    first, n = kept.schema["value"].dataType.names
-    return kept.select(F.col("key.digest").alias("digest"), F.col(f"value.`{first}`").alias("first"),
-                       F.col(f"value.`{n}`").cast("long").alias("n"))
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
 
 def _collided(docs: DataFrame, state: DataFrame, digest: Column) -> DataFrame | None:
@@ -91,8 +98,7 @@ def deduplicate(docs: DataFrame, digest=sha256_digest, files_per_trigger: int =
      .write.parquet(path))
     arrivals = spark.read.parquet(path)
     seen = arrivals.select("doc_id", "row", "file", "digest").schema
-    state = stored(fold_stream(spark, path, seen, scratch_path(spark, "dedup-state"), files_per_trigger),
-                   "dedup-first")
+    state = fold_stream(spark, path, seen, scratch_path(spark, "dedup-state"), files_per_trigger)
     out = arrivals.join(state, "digest")
     clashes = _collided(base, state, key)
     if clashes is not None:
