@@ -229,12 +229,15 @@ def _joined(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _count(spans: Column, kind: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: the personal data of every document, counted and listed."""
     found = find_personal_data(documents(spark, sf_dir))
     spans = F.col("redactions")
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-              for k in range(BASE)]
+    counts = [_count(spans, k).alias(f"n_{KINDS[k]}") for k in range(BASE)]
     return found.select("doc_id", *counts,
                         F.sha2(_joined(F.filter(spans, lambda s: s["kind"] < BASE)), 256).alias("base_sha256"),
                         _joined(spans).alias("spans"))

@@ -6,9 +6,11 @@ from . import (
     decontaminate,
     exact_dedup,
     near_dedup,
+    phrase_dedup,
     pii,
     quality,
     sentence_pieces,
+    suffix_dedup,
     token_ids,
     url_filter,
 )
@@ -21,8 +23,10 @@ def queries() -> dict:
         pii.op2_pii,
         exact_dedup.op3_exact_dedup,
         token_ids.op4_token_ids,
+        suffix_dedup.op5_suffix_dedup,
         decontaminate.op6_decontaminate,
         sentence_pieces.op7_sentence_pieces,
+        phrase_dedup.op8_phrase_dedup,
         quality.op9_quality_classifier,
         url_filter.op10_url_filter,
     )}
