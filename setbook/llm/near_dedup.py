@@ -20,8 +20,8 @@
    links are the classes.
 
 Defined results: a text of one to four words is one shingle; null and empty
-texts are equal to each other and similar to nothing else; repeated rows
-are copies; of rows with the smallest doc_id of a class the first read
+texts are equal to each other, blank ones too, and similar to nothing else;
+repeated rows are copies; of rows with the smallest doc_id of a class the first read
 stays, a null doc_id comes last; an empty table gives an empty one.
 """
 
