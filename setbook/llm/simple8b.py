@@ -19,11 +19,10 @@ COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 
 
-def _runs(wide: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _runs(wide: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """For each place, how many integers follow (itself included) before a too wide one or the block's end."""
-    n = len(wide)
-    stop = np.where(wide, np.arange(n), n)
-    return np.minimum(np.minimum.accumulate(stop[::-1])[::-1], ends) - np.arange(n)
+    bounds = np.append(wide, len(at)).astype(np.int32)
+    return np.minimum(np.repeat(bounds, np.diff(bounds, prepend=-1))[:len(at)], ends) - at
 
 
 def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -32,18 +31,28 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(v)
     if not n:
         return np.empty(0, np.uint64), np.zeros(1, np.uint64), np.empty(0, np.uint64)
-    at = np.arange(n)
-    ends = np.minimum((at // BLOCK + 1) * BLOCK, n)
-    chosen = np.zeros(n, np.int64)
+    at = np.arange(n, dtype=np.int32)
+    ends = np.minimum((at // BLOCK + 1) * BLOCK, n).astype(np.int32)
+    bits = np.frexp(v.astype(float))[1].astype(np.uint8)
+    large = np.flatnonzero(v >> np.uint64(53))    # where a float rounds
+    bits[large] = [int(x).bit_length() for x in v[large]]
+    chosen = np.zeros(n, np.uint8)
     for s in range(15, 0, -1):                    # a later selector with more integers wins
-        fits = _runs(v >> np.uint64(BITS[s]) != 0, ends) >= COUNTS[s]
-        chosen[fits] = s
+        count = int(COUNTS[s])
+        places = np.flatnonzero(bits > int(BITS[s]))
+        if not len(places):
+            fits = at <= ends - count
+        elif np.diff(places, prepend=-1, append=n).max() <= count:
+            continue
+        else:
+            fits = _runs(places, at, ends) >= count
+        np.copyto(chosen, s, where=fits)
     step, starts, i = COUNTS[chosen].tolist(), [], 0
     while i < n:
         starts.append(i)
         i += step[i]
     starts = np.array(starts)
-    sel = chosen[starts]
+    sel = chosen[starts].astype(np.int64)
     words = sel.astype(np.uint64) << np.uint64(60)
     for s in np.unique(sel):
         own = np.flatnonzero(sel == s)

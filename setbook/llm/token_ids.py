@@ -49,8 +49,12 @@ END_ID = 2
 CHUNKS = ("shard long, chunk long, first long, doc_ids array<long>, lengths array<long>, "
           "words binary, offsets binary, escapes binary")
 
-_MEMO_PIECES = 400_000
-_TOUCHING = re.compile(r"\s\s|^\s|\s$")
+# pieces in each of the two generations of the table
+_MEMO_PIECES = 500_000
+# white space other than blank and line end, as Python and the tokenizer's pattern see it
+_OTHER_SPACE = re.compile(r"[^\S\n ]")
+_TOUCHING = ("  ", "\n\n", " \n", "\n ")
+_WORD_AND_MARKS = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 class PieceEncoder:
@@ -62,31 +66,54 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.line_end = self._line_end()
+
+    def _line_end(self) -> int | None:
+        """The id of a line end, if line ends separate words for this tokenizer."""
+        one = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        end = one("\n")
+        return end[0] if len(end) == 1 and one("a\n b\nc") == one("a") + end + one(" b") + end + one("c") else None
 
     def pieces(self, text: str) -> list[str]:
         """The text cut where a cut never changes its ids."""
-        if _TOUCHING.search(text) or re.search(r"[^\S\n ]", text):
-            return re.split(r"(?<=\S)(?= \S)", text) if text else []
-        out = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append("\n")
-            head, *rest = line.split(" ")
-            out.append(head)
-            out.extend([" " + w for w in rest])
-        return out if text else []
+        if not text:
+            return []
+        if ("\0" in text or text[0] in " \n" or text[-1] in " \n" or any(t in text for t in _TOUCHING)
+                or _OTHER_SPACE.search(text)):
+            return re.split(r"(?<=\S)(?= \S)", text)
+        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+
+    def _learn(self, new: list[str]) -> None:
+        """Put the ids of pieces into the table; words without inner white space go many at a time."""
+        memo = self.memo
+        words = [p for p in new if p[1:].split() == [p[1:]] and (p[0] == " " or not p[0].isspace())
+                 ] if self.line_end is not None else []
+        for k in range(0, len(words), 4096):
+            part = words[k:k + 4096]
+            ids = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, "<u4")
+            cuts = [-1, *np.flatnonzero(ids == self.line_end).tolist(), len(ids)]
+            raw = ids.tobytes()
+            memo.update(zip(part, [raw[4 * a + 4:4 * b] for a, b in zip(cuts, cuts[1:])]))
+        rest = [p for p in new if p not in memo]
+        for k in range(0, len(rest), 4096):
+            part = rest[k:k + 4096]
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                memo[p] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit integers."""
         cut = [self.pieces(t) for t in texts]
         if len(self.memo) > _MEMO_PIECES:
-            self.memo.clear()
-        memo = self.memo
-        new = [p for p in set().union(*cut) if p not in memo]
-        for k in range(0, len(new), 4096):
-            part = new[k:k + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                memo[p] = np.array(e.ids, "<u4").tobytes()
+            self.memo, self.older = {}, self.memo       # what is still in use comes back from there
+        memo, older = self.memo, self.older
+        new = set().union(*cut).difference(memo)
+        memo.update([(p, older[p]) for p in new if p in older])
+        new.difference_update(older)
+        # a word and the marks behind it are always separate; words then repeat more often
+        parted = {p: m.groups() for p in new if (m := _WORD_AND_MARKS.fullmatch(p))}
+        self._learn(list(set().union(new.difference(parted), *parted.values()).difference(memo)))
+        memo.update((p, memo[w] + memo[marks]) for p, (w, marks) in parted.items())
         return [np.frombuffer(b"".join(map(memo.__getitem__, p)), "<u4") for p in cut]
 
 
