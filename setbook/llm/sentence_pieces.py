@@ -1,17 +1,19 @@
 """SentencePiece encoding and decoding by a Viterbi search with shared prefixes.
 
 A text is marked (a mark before it and for every blank) and cut before its
-marks; no piece crosses such a cut.  Of each batch, the distinct marked
-words that are not yet known are sorted, which is the depth-first order of
-their trie; going through them, the best score and the last piece of every
-prefix stay on a stack, so that each trie node is scored once.  A node's
-score is the best over all pieces that end there.  Characters that no piece
-holds are encoded as byte pieces.  A bounded table per worker keeps the
-result of frequent words.
-
-The segmentation is the one with the highest sum of the model's piece
-scores (the earliest-starting last piece on ties): what the library computes for
-the same pieces and scores when the model is declared as a unigram model.
+runs of marks; no piece crosses such a cut.  Of each batch, the distinct
+marked words that are not yet known are sorted, which is the depth-first
+order of their trie; going through them, the best score and the last piece
+of every prefix stay on a stack, so that each trie node is searched once.
+
+The search runs over all pieces that end at a node.  For a model of merges
+(BPE) a path may only join two pieces that merging keeps apart, that is,
+whose joined text the merges split into just these two; a segmentation is
+the merges' own exactly if all its neighbours are such pairs.  The result
+therefore equals the library's.  For a unigram model every pair may meet
+and the highest sum of scores wins.  Characters that no piece holds are
+encoded as byte pieces.  Bounded tables per worker keep frequent words and
+pairs.
 
 Decoding joins the pieces' bytes, turns marks into blanks and takes the
 mark before the text away; it returns the exact text, also for texts that
@@ -23,6 +25,7 @@ empty text; every row gets a row; other columns are kept as they are.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -34,17 +37,27 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, documents, whole_text
 
 MARK = "\u2581"
-_MEMO_WORDS = 400_000
+_MEMO_WORDS = 400_000            # in each of the two generations of the table
+_MEMO_PAIRS = 1_000_000
 _SCORE = ""                      # key of a trie node's own piece
+_NOTHING = -1                    # the piece before the first, and after a character without one
 
 
 class Pieces:
-    """A model's pieces as a trie of reversed pieces, with byte and unknown ids."""
+    """A model's pieces as a trie of reversed pieces, with byte and unknown ids.
 
-    def __init__(self, path: str):
+    ``merges`` says that the model is one of merges, not a unigram model.
+    """
+
+    def __init__(self, path: str, merges: bool = True):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.merges = merges
+        self.texts = [""] * model.get_piece_size()
+        self.rank: dict[str, tuple[float, int]] = {}
+        self.apart: dict[int, bool] = {}
+        self.older: dict[str, bytes] = {}
         n = model.get_piece_size()
         plain = [i for i in range(n) if not (model.is_unknown(i) or model.is_control(i)
                                              or model.is_byte(i) or model.is_unused(i))]
@@ -61,6 +74,8 @@ class Pieces:
         for i in plain:
             piece = model.id_to_piece(i).replace(MARK, " ")      # a blank is the mark in here
             self.bytes_of[i] = piece.encode("utf-8")
+            self.texts[i] = piece
+            self.rank[piece] = (model.get_score(i), i)
             node = self.trie
             for c in reversed(piece):
                 node = node.setdefault(c, {})
@@ -75,10 +90,48 @@ class Pieces:
         if not text:
             return []
         text = " " + text
-        out = re.findall(" +[^ ]*", text) if "  " in text else [" " + w for w in text[1:].split(" ")]
-        if self.cut is not None and "\n" in text:
-            out = [p for w in out for p in (self.cut.split(w) if "\n" in w else (w,)) if p]
-        return out
+        if "  " in text or "\0" in text:
+            out = re.findall(" +[^ ]*", text)
+            if self.cut is None:
+                return out
+            return [p for w in out for p in (self.cut.split(w) if "\n" in w else (w,)) if p]
+        if self.cut is not None:
+            text = text.replace("\n", "\0\n\0")
+        return [w for w in text.replace(" ", "\0 ").split("\0") if w]
+
+    def merged(self, word: str) -> list[str]:
+        """The word after all merges: the best pair of neighbours first, the leftmost of equals."""
+        rank, right = self.rank, list(range(1, len(word) + 1))
+        left, part = list(range(-1, len(word) - 1)), list(word)
+        heap = [(-rank[a + b][0], i, a + b) for i, (a, b) in enumerate(zip(word, word[1:])) if a + b in rank]
+        heapq.heapify(heap)
+
+        def offer(i: int, j: int) -> None:
+            if i >= 0 and j < len(part) and (joined := part[i] + part[j]) in rank:
+                heapq.heappush(heap, (-rank[joined][0], i, joined))
+
+        while heap:
+            _, i, joined = heapq.heappop(heap)
+            j = right[i]
+            if not part[i] or j >= len(part) or part[i] + part[j] != joined:
+                continue                       # one of the two has merged since
+            part[i], part[j], right[i] = joined, "", right[j]
+            if right[i] < len(part):
+                left[right[i]] = i
+            offer(left[i], i)
+            offer(i, right[i])
+        return [p for p in part if p]
+
+    def _kept_apart(self, a: int, b: int) -> bool:
+        """Whether merges leave the pieces a and b (a may be none) side by side."""
+        key = (a + 1) << 32 | b
+        known = self.apart.get(key)
+        if known is None:
+            if len(self.apart) > _MEMO_PAIRS:
+                self.apart.clear()
+            pair = [self.texts[b]] if a == _NOTHING else [self.texts[a], self.texts[b]]
+            known = self.apart[key] = self.merged("".join(pair)) == pair
+        return known
 
     def _ids(self, word: str, back: list) -> bytes:
         out, j = [], len(word)
@@ -95,16 +148,19 @@ class Pieces:
 
     def segment(self, words: list[str]) -> dict[str, bytes]:
         """Best pieces of each word; ``words`` sorted and distinct."""
-        trie, unknown = self.trie, self.unknown_score
-        score, back, before, out = [0.0], [None], "", {}
+        trie, unknown, merges, apart = self.trie, self.unknown_score, self.merges, self.apart
+        score, back, ended, before, out = [0.0], [None], [_NOTHING], "", {}
         for word in words:
+            if merges and "  " in word:        # pieces of blanks have equal scores: merge them as they stand
+                out[word] = self._ids(word, self._path(word))
+                continue
             shared, most = 0, min(len(word), len(before))
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del score[shared + 1:], back[shared + 1:]
+            del score[shared + 1:], back[shared + 1:], ended[shared + 1:]
             for j in range(shared + 1, len(word) + 1):
                 node, i, single = trie, j, False
-                best, last = -1e300, None
+                best, last = None, (j - 1, None)
                 while i:
                     node = node.get(word[i - 1])
                     if node is None:
@@ -114,23 +170,39 @@ class Pieces:
                     if own is not None:
                         single = single or i == j - 1
                         s = score[i] + own[0]
-                        if s >= best:
+                        if best is None or s >= best:
+                            if merges:
+                                fits = apart.get((ended[i] + 1) << 32 | own[1])
+                                if fits is None:
+                                    fits = self._kept_apart(ended[i], own[1])
+                                if not fits:
+                                    continue
                             best, last = s, (i, own[1])
-                if not single and score[j - 1] + unknown > best:
+                if best is None or (not merges and not single and score[j - 1] + unknown > best):
                     best, last = score[j - 1] + unknown, (j - 1, None)
                 score.append(best)
                 back.append(last)
+                ended.append(_NOTHING if last[1] is None else last[1])
             out[word] = self._ids(word, back)
             before = word
         return out
 
+    def _path(self, word: str) -> list:
+        back, end = [None] * (len(word) + 1), 0
+        for p in self.merged(word):
+            back[end + len(p)] = (end, self.rank[p][1] if p in self.rank else None)
+            end += len(p)
+        return back
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Piece ids of each text."""
         cut = [self.words(t) for t in texts]
         if len(self.memo) > _MEMO_WORDS:
-            self.memo.clear()
-        memo = self.memo
-        memo.update(self.segment(sorted(set().union(*cut).difference(memo))))
+            self.memo, self.older = {}, self.memo          # what is still in use comes back from there
+        memo, older = self.memo, self.older
+        new = set().union(*cut).difference(memo)
+        memo.update([(w, older[w]) for w in new if w in older])
+        memo.update(self.segment(sorted(new.difference(older))))
         return [np.frombuffer(b"".join(map(memo.__getitem__, w)), "<i4") for w in cut]
 
     def decode(self, ids) -> str:

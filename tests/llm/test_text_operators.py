@@ -199,53 +199,50 @@ def test_decontamination_query_finds_every_exact_leak(spark):
 
 # ---- sentence pieces
 
-def unigram_library():
-    import sentencepiece
-    from sentencepiece import sentencepiece_model_pb2 as pb
-
-    model = pb.ModelProto()
-    model.ParseFromString(open(sentence_pieces.default_model(), "rb").read())
-    model.trainer_spec.model_type = 1
-    return sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
-
-
-def test_sentence_pieces_against_the_library():
-    """Texts whose characters all have pieces: the library sums its scores in 32 bits, and one
-    character without a piece (a score of -1e9) drowns the rest there."""
-    pytest.importorskip("google.protobuf")
-    lib, own = unigram_library(), sentence_pieces.Pieces(sentence_pieces.default_model())
-    lines = [x for (t,) in table("documents", "text") for x in t.split("\n")[:3]]
-    lines = [x for x in lines if x and all(lib.piece_to_id(c) != lib.unk_id() for c in x.replace(" ", "")) and "  " not in x]
-    lines = [w for x in lines for w in x.split(" ") if w][:20000]
-    score = lambda ids: sum(lib.get_score(int(i)) for i in ids)
-    for t, a in zip(lines, own.encode(lines)):
-        b = lib.encode(t)
-        assert list(a) == b or score(a) == score(b), t
-
-
-def test_sentence_pieces_brute_force_and_round_trip(spark, docs_of, odd_texts):
-    own = sentence_pieces.Pieces(sentence_pieces.default_model())
+def library():
     import sentencepiece
 
-    lib = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.default_model())
-    table_ = {lib.id_to_piece(i).replace(sentence_pieces.MARK, " "): lib.get_score(i)
-              for i in range(lib.get_piece_size()) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i))}
+    return sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.default_model())
+
+
+def test_sentence_pieces_equal_the_library(odd_texts):
+    lib, own = library(), sentence_pieces.Pieces(sentence_pieces.default_model())
+    r = random.Random(6)
+    voc = [lib.id_to_piece(i).replace(sentence_pieces.MARK, " ") for i in range(3, 32000) if not lib.is_byte(i)]
+    texts = [t for t in odd_texts if t and sentence_pieces.MARK not in t] + ["", "     x   y", "e" * 33]
+    texts += ["".join(r.choice(voc) for _ in range(r.randint(1, 8))) for _ in range(3000)]
+    texts += ["".join(r.choice("abcdeht \n") for _ in range(r.randint(1, 30))) for _ in range(3000)]
+    texts += [t for (t,) in table("documents", "text")[:300]]
+    got = own.encode(texts)
+    for t, a, b in zip(texts, got, lib.encode(texts)):
+        assert list(a) == b, t[:80]
+        assert own.decode(a.tolist()) == t
+    assert own.merged(" theory of") == [" theory", " of"]
+
+
+def test_sentence_pieces_as_a_unigram_model():
+    """The unconstrained search against the best sum over all segmentations."""
+    own = sentence_pieces.Pieces(sentence_pieces.default_model(), merges=False)
 
     def best(word):
         out = [0.0]
         for j in range(1, len(word) + 1):
-            out.append(max([out[i] + table_[word[i:j]] for i in range(j) if word[i:j] in table_]
-                           + ([out[j - 1] + own.unknown_score] if word[j - 1] not in table_ else [])))
+            out.append(max([out[i] + own.rank[word[i:j]][0] for i in range(j) if word[i:j] in own.rank]
+                           + ([out[j - 1] + own.unknown_score] if word[j - 1] not in own.rank else [])))
         return out[-1]
 
-    words = sorted({" " + w for t in odd_texts if t and len(t) < 100 for w in t.split(" ")} | {" theory", " the", "é", " ération"})
+    words = sorted({" " + w for (t,) in table("documents", "text")[:40] for w in t.split()} | {" theory", "é", " \u2581x"})
     for w, ids in own.segment(words).items():
         ids = np.frombuffer(ids, "<i4")
         assert b"".join(own.bytes_of[i] for i in ids).decode() == w
-        if all(c in table_ for c in w):
-            assert sum(table_[own.bytes_of[i].decode()] for i in ids) == best(w)
-    docs = sentence_pieces.encode_documents(docs_of(odd_texts), sentence_pieces.default_model())
+        if all(c in own.rank for c in w):
+            assert sum(own.rank[own.texts[i]][0] for i in ids) == best(w)
+
+
+def test_sentence_pieces_round_trip(spark, docs_of, odd_texts):
     from pyspark.sql import functions as F
+
+    docs = sentence_pieces.encode_documents(docs_of(odd_texts), sentence_pieces.default_model())
     out = docs.withColumn("back", sentence_pieces.decoded(F.col("piece_ids"), sentence_pieces.default_model())).collect()
     assert {r["doc_id"]: r["back"] for r in out} == {i: t or "" for i, t in enumerate(odd_texts)}
     assert all(r["piece_ids"] == [] for r in out if not r["text"])
