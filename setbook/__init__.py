@@ -16,7 +16,6 @@ operators/  generic DataFrame operators (rollups, densify, period change,
             ranking, calendars, grid parser, quality checks)
 plans/      the named marts and presentation queries, plus their DuckDB
             oracle SQL
-streaming/  incremental refresh of the marts from a growing journal
 """
 
 __version__ = "0.1.0"

@@ -13,15 +13,16 @@ def weight_kg(text_col) -> Column:
 
     Contains 'Bodyweight' -> 0.00 (checked first, so 'Bodyweight + 10kg' is 0);
     else contains 'kg' -> the number before the first 'kg'; else NULL.  The
-    match is case-sensitive.  Unparseable numbers give NULL (reported by
-    ``check_journal``) instead of failing the job.
+    match is case-sensitive.  Rounded to two places half to even on the
+    double, as the original's frames are.  A text that is no number gives
+    NULL (reported by ``check_journal``) instead of failing the job.
     """
     t = F.col(text_col) if isinstance(text_col, str) else text_col
     before_kg = F.trim(F.substring_index(t, KG_MARK, 1))
     value = F.when(t.contains(BODYWEIGHT_MARK), F.lit(0.0)).when(
-        t.contains(KG_MARK), _try_double(before_kg)
+        t.contains(KG_MARK), number_or_null(before_kg)
     )
-    return F.round(value, 2).try_cast("decimal(5,2)")
+    return (F.rint(value * 100) / 100).try_cast("decimal(5,2)")
 
 
 def weight_unit(text_col) -> Column:
@@ -30,5 +31,7 @@ def weight_unit(text_col) -> Column:
     return F.when(t.contains(BODYWEIGHT_MARK) | t.contains(KG_MARK), F.lit(KG_MARK))
 
 
-def _try_double(c: Column) -> Column:
-    return c.try_cast("double")
+def number_or_null(text: Column) -> Column:
+    """A plain decimal number (sign, point, exponent) as DOUBLE, else NULL;
+    suffixes that only the JVM reads, such as ``10d``, are not numbers."""
+    return F.when(text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double"))

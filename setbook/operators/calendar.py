@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import padded_month_name, year_length, year_start
@@ -13,37 +13,25 @@ def calendar_presence(df: DataFrame, date_col: str = "date", by=()) -> DataFrame
     """Every day from 1 January of the first active year to the last active
     day, flagged ``rest`` = no row of ``df`` on that day.
 
-    Written as one aggregation instead of calendar ⟕ distinct days: the
-    generated days (flag 0) and the data's days (flag 1, combined map-side
-    so each task sends one row per day) are unioned and grouped by day.
-    The axis is generated in one task from two scalar bounds; its size is
-    bounded by the calendar span (366 rows per year).  With ``by`` every
-    log gets its own calendar: one bounds row per log, each generating its
-    own days.
+    The distinct days come first (combined map-side, one row per day and
+    task); every active day then generates the rest days up to the next one,
+    and the first one those since 1 January.  One scan, no join; the window
+    sees one row per active day of a log.
     """
-    spark: SparkSession = df.sparkSession
-    step = F.expr("INTERVAL 1 DAY")
-    if by:
-        bounds = df.groupBy(*by).agg(year_start(F.min(date_col)).alias("lo"),
-                                     F.max(date_col).alias("hi"))
-        axis = bounds.select(*by, F.explode(F.sequence("lo", "hi", step)).alias("date"),
-                             F.lit(0).alias("_active"))
-    else:
-        b = df.agg(year_start(F.min(date_col)).alias("lo"), F.max(date_col).alias("hi"))
-        lo = b.select("lo").scalar()
-        hi = b.select("hi").scalar()
-        axis = spark.range(1).select(F.explode(F.sequence(lo, hi, step)).alias("date"),
-                                     F.lit(0).alias("_active"))
-    days = df.select(*by, F.col(date_col).alias("date"), F.lit(1).alias("_active"))
-    flagged = (days.unionByName(axis)
-                   .groupBy(*by, "date").agg(F.max("_active").alias("_active")))
+    days = df.select(*by, F.col(date_col).alias("date")).where(F.col("date").isNotNull()).distinct()
+    w = Window.partitionBy(*by).orderBy("date")
+    until = F.coalesce(F.date_sub(F.lead("date").over(w), 1), F.col("date"))
+    since = F.when(F.lag("date").over(w).isNull(), year_start(F.col("date"))).otherwise(F.col("date"))
+    gaps = days.select(*by, "date", since.alias("since"), until.alias("until"))
+    flagged = gaps.select(*by, F.col("date").alias("active"),
+                          F.explode(F.sequence("since", "until", F.expr("INTERVAL 1 DAY"))).alias("date"))
     return flagged.select(
         *by,
         F.year("date").cast("smallint").alias("year"),
         F.month("date").cast("smallint").alias("month_int"),
         padded_month_name(F.col("date")).alias("month"),
         F.col("date"),
-        (F.col("_active") == 0).alias("rest"),
+        (F.col("date") != F.col("active")).alias("rest"),
     )
 
 

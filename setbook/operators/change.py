@@ -11,7 +11,7 @@ from ..functions.numeric import relative_change
 def period_change(df: DataFrame, keys, order, value: str, offset: int,
                   prev_name: str, pct_name: str, abs_name: str,
                   guard: str | None = None, pct_rule: str = "any_nonzero",
-                  null_pct: float | None = None, pct_type: str = "decimal(18,2)") -> DataFrame:
+                  pct_type: str = "decimal(18,2)") -> DataFrame:
     """Add previous value, % change and absolute change of ``value``.
 
     prev      = LAG(value, offset) over (keys order by order); with
@@ -20,7 +20,7 @@ def period_change(df: DataFrame, keys, order, value: str, offset: int,
     pct       = 100 when prev = 0 and value > 0; otherwise
                 round(100 * (value - LAG) / LAG, 2) when prev qualifies
                 (``pct_rule`` "any_nonzero": prev <> 0, "positive": prev > 0);
-                otherwise NULL — or ``null_pct`` when given.
+                otherwise NULL.
     absolute  = value - coalesce(LAG(value, offset), 0)  (never guarded).
 
     One window spec; ``order`` NULLs sort last.  When ``df`` is already
@@ -36,8 +36,6 @@ def period_change(df: DataFrame, keys, order, value: str, offset: int,
     qualifies = (F.col(prev_name) != 0) if pct_rule == "any_nonzero" else (F.col(prev_name) > 0)
     pct = (F.when((F.col(prev_name) == 0) & (cur > 0), F.lit(100).cast(pct_type))
              .when(qualifies, relative_change(cur, F.col("_lag_raw")).cast(pct_type)))
-    if null_pct is not None:
-        pct = F.coalesce(pct, F.lit(null_pct).cast(pct_type))
     out = (df.withColumn("_lag_raw", raw_prev)
              .withColumn(prev_name, prev.cast("bigint"))
              .withColumn(pct_name, pct)

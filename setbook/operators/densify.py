@@ -93,15 +93,3 @@ def month_bounds(df: DataFrame, date_col: str = "date", floor: str | None = None
         lo = F.least(F.lit(floor).cast("date"), lo)
     return lo, hi
 
-
-def year_axis(df: DataFrame, categories: DataFrame, year_col: str = "year",
-              name: str = "year") -> DataFrame:
-    """categories x [min(year) .. max(year)] as rows, generated by explode.
-
-    ``categories`` is a small distinct table (e.g. the weekdays present);
-    each of its rows carries the year sequence.
-    """
-    b = df.agg(F.min(year_col).alias("lo"), F.max(year_col).alias("hi"))
-    lo = b.select("lo").scalar().cast("int")
-    hi = b.select("hi").scalar().cast("int")
-    return categories.select(F.explode(F.sequence(lo, hi)).alias(name), *categories.columns)

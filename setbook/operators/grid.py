@@ -23,9 +23,9 @@ Rules (cell visited in row-major order, row 0 skipped):
 
 Parallelism is one task per sheet, which the workbook format bounds
 (65,536 x 256 cells in the legacy format, 1,048,576 rows in .xlsx); many
-sheets and workbooks spread across the cluster.  For inputs where one
-sheet is still too big for one task, ``max_sheet_cells`` splits such sheets
-into row chunks that run in parallel: running contexts, value counts and
+sheets and workbooks spread across the cluster.  For inputs whose sheets
+are too big for one task, ``rows_per_chunk`` splits every sheet into row
+chunks that run in parallel: running contexts, value counts and
 sections are carried between chunks by an exclusive prefix over per-chunk
 summaries, and records that span chunks are assembled by record number.
 """
@@ -65,7 +65,7 @@ def _value(sv: Column, nv: Column) -> Column:
     return F.coalesce(sv, nv.cast("bigint").cast("string"))
 
 
-_CTX_FIELDS = ("weekday", "deload", "date", "type", "day_txt")
+_CTX_FIELDS = ("weekday", "deload", "date", "type", "type_sv", "type_nv", "day_txt")
 
 
 def _events(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
@@ -88,7 +88,7 @@ def _events(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
         return hit
 
     # a per-workbook date mode column (workbook files) wins over the argument
-    mode = F.col("date_mode") if "date_mode" in cells.columns else F.lit(date_mode)
+    mode = F.coalesce("date_mode", F.lit(date_mode)) if "date_mode" in cells.columns else F.lit(date_mode)
     base = select_sheets(cells, exclude_sheets).withColumn("_date_mode", mode).select(
         "_date_mode", *key, "r", "c", "sv", "nv",
         at(-1, "sv").alias("l1_sv"), at(-2, "nv").alias("l2_nv"),
@@ -101,6 +101,9 @@ def _events(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
         (F.when(F.col("_date_mode") == 1, serial_to_date(F.col("l2_nv"), 1))
           .otherwise(serial_to_date(F.col("l2_nv"), 0))).alias("date"),
         F.coalesce(_text(F.col("r1_sv"), F.col("r1_nv")), F.lit("")).alias("type"),
+        # what cells are compared with: a text equals texts only, a number numbers only
+        F.when(F.col("r1_nv").isNull(), F.coalesce("r1_sv", F.lit(""))).alias("type_sv"),
+        F.col("r1_nv").alias("type_nv"),
     )
     # the day as the text the original compares cells with ('DD-MM-YYYY'),
     # formatted once per weekday cell instead of once per cell
@@ -131,14 +134,29 @@ def _visible() -> Column:
     cells match — and empty cells never act anyway."""
     sv, nv = F.col("sv"), F.col("nv")
     same = [F.coalesce(sv == F.col(x), F.lit(False))
-            for x in ("x_month", "x_weekday", "x_type", "x_counter", "x_day_txt")]
+            for x in ("x_month", "x_weekday", "x_type_sv", "x_counter", "x_day_txt")]
     hidden = (same[0] | same[1] | same[2] | same[3] | same[4]
+              | F.coalesce(nv == F.col("x_type_nv"), F.lit(False))
               | F.coalesce(sv == DELOAD_MARK, F.lit(False))
               # a number equals the initial counter 0 until a label is seen
               | (F.col("x_counter").isNull() & F.coalesce(nv == 0, F.lit(False))))
     return ~hidden
 
 
+def _may_break() -> Column:
+    """Text with 'Total' outside a date cell: ends its row unless it equals a context."""
+    return ~F.col("_dskip") & F.coalesce(F.col("sv").contains(TOTAL_MARK), F.lit(False))
+
+
+_EVENTS = ("month", "wd", "counter")
+
+
+def _heard(df: DataFrame, stop: Column | None = None) -> DataFrame:
+    """The cells' events as h_*: NULL for those right of column ``stop`` of their row (NULL: all count)."""
+    heard = F.lit(True) if stop is None else stop.isNull() | (F.col("c") <= stop)
+    return df.withColumns({f"h_{e}": F.when(heard, F.col(f"e_{e}")) for e in _EVENTS})
+
+
 def _is_break() -> Column:
     return _visible() & ~F.col("_dskip") & F.coalesce(F.col("sv").contains(TOTAL_MARK), F.lit(False))
 
@@ -179,18 +197,26 @@ def _parse_sheets(cells: DataFrame, date_mode, exclude_sheets) -> DataFrame:
     row_w = Window.partitionBy(*key, "r")
     last = lambda c: F.last(c, ignorenulls=True).over(run)
 
-    def contexts(df: DataFrame) -> DataFrame:
-        return _expand(df.select("*", last("e_month").alias("x_month"), last("e_wd").alias("_wd"),
-                                 last("e_counter").alias("x_counter")))
+    def contexts(df: DataFrame, stop: Column | None) -> DataFrame:
+        df = _heard(df, stop)
+        return _expand(df.select(*[c for c in df.columns if not c.startswith("h_")],
+                                 last("h_month").alias("x_month"), last("h_wd").alias("_wd"),
+                                 last("h_counter").alias("x_counter")))
+
+    def break_of(df: DataFrame, name: str) -> DataFrame:
+        df = df.withColumn(name, F.min(F.when(_is_break(), F.col("c"))).over(row_w))
+        return df.drop("x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS])
 
     ev = _events(cells, key, date_mode, exclude_sheets)
-    # ---- "Total" ends the row: first pass of contexts finds the break ----
-    a = contexts(ev)
-    a = a.withColumn("_brk", F.min(F.when(_is_break(), F.col("c"))).over(row_w))
-    kept = a.where(F.col("_brk").isNull() | (F.col("c") <= F.col("_brk"))) \
-            .drop("x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS])
+    # ---- "Total" ends the row.  The original never visits what is right of a
+    # break, so that must not set contexts: the first pass is deaf to all that
+    # is right of a possible break, the second to what is right of those found
+    ev = ev.withColumn("_first", F.min(F.when(_may_break(), F.col("c"))).over(row_w))
+    a = break_of(contexts(ev, F.col("_first")), "_stop")
+    a = break_of(contexts(a, F.col("_stop")), "_brk")
+    kept = a.where(F.col("_brk").isNull() | (F.col("c") <= F.col("_brk")))
     # ---- pass B: contexts over the cells actually visited ----------------
-    b = contexts(kept)
+    b = contexts(kept, None)
     section_ev, is_value = _section_and_value(F.col("_brk"))
     b = b.select("*", section_ev.alias("_sec"), is_value.alias("_val"))
     # ---- pass C: running value count, current section, count at section --
@@ -242,27 +268,28 @@ def _parse_chunked(cells: DataFrame, date_mode, exclude_sheets, rows_per_chunk:
     chunked = cells.withColumn("_h", F.floor(F.col("r") / rows_per_chunk).cast("long"))
     ev = _events(chunked, key, date_mode, exclude_sheets)
 
-    def with_contexts(df: DataFrame, carry: DataFrame) -> DataFrame:
-        df = df.select("*", last("e_month").alias("l_month"), last("e_wd").alias("l_wd"),
-                       last("e_counter").alias("l_counter"))
-        df = df.join(carry, key, "left")
-        return _expand(df.select(
-            *[c for c in df.columns if not c.startswith(("l_", "c_"))],
-            F.coalesce("l_month", "c_e_month").alias("x_month"),
-            F.coalesce("l_wd", "c_e_wd").alias("_wd"),
-            F.coalesce("l_counter", "c_e_counter").alias("x_counter")))
-
-    events = ("e_month", "e_wd", "e_counter")
-    # round 1: contexts over every cell -> the "Total" breaks of each row
-    ev = ev.checkpoint()
-    c1 = _carry(ev.groupBy(*key).agg(*[_last_event(e).alias(e) for e in events]), events)
-    a = with_contexts(ev, c1)
-    a = a.withColumn("_brk", F.min(F.when(_is_break(), F.col("c"))).over(row_w))
-    kept = a.where(F.col("_brk").isNull() | (F.col("c") <= F.col("_brk"))) \
-            .select(*ev.columns, "_brk").checkpoint()
-    # round 2: contexts over the visited cells -> sections and values
-    c2 = _carry(kept.groupBy(*key).agg(*[_last_event(e).alias(e) for e in events]), events)
-    b = with_contexts(kept, c2)
+    def with_contexts(df: DataFrame, stop: Column | None) -> DataFrame:
+        """Running contexts inside the chunk, else those carried from earlier chunks."""
+        df = _heard(df, stop)
+        plain = [c for c in df.columns if not c.startswith("h_")]
+        events = [f"h_{e}" for e in _EVENTS]
+        carry = _carry(df.groupBy(*key).agg(*[_last_event(e).alias(e) for e in events]), events)
+        df = df.select(*plain, *[last(e).alias(f"l_{e}") for e in events]).join(carry, key, "left")
+        return _expand(df.select(*plain, F.coalesce("l_h_month", "c_h_month").alias("x_month"),
+                                 F.coalesce("l_h_wd", "c_h_wd").alias("_wd"),
+                                 F.coalesce("l_h_counter", "c_h_counter").alias("x_counter")))
+
+    def break_of(df: DataFrame, name: str) -> DataFrame:
+        df = df.withColumn(name, F.min(F.when(_is_break(), F.col("c"))).over(row_w))
+        return df.drop("x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS])
+
+    # rounds 1 and 2: the "Total" breaks of each row (see ``_parse_sheets``)
+    ev = ev.withColumn("_first", F.min(F.when(_may_break(), F.col("c"))).over(row_w)).checkpoint()
+    a = break_of(with_contexts(ev, F.col("_first")), "_stop").checkpoint()
+    a = break_of(with_contexts(a, F.col("_stop")), "_brk")
+    kept = a.where(F.col("_brk").isNull() | (F.col("c") <= F.col("_brk"))).checkpoint()
+    # round 3: contexts over the visited cells -> sections and values
+    b = with_contexts(kept, None)
     section_ev, is_value = _section_and_value(F.col("_brk"))
     lk = F.sum(is_value.cast("int")).over(run)
     b = b.select("*", section_ev.alias("_sec"), is_value.alias("_val"), lk.alias("_lk"))
@@ -270,7 +297,7 @@ def _parse_chunked(cells: DataFrame, date_mode, exclude_sheets, rows_per_chunk:
                  F.last(F.when(F.col("_sec"), F.col("_lk")), ignorenulls=True).over(run).alias("_lk_sec"))
     b = b.select(*key, "r", "c", "sv", "nv", "_val", "_sec", "_lk", "_lsec", "_lk_sec", "x_month",
                  "x_counter", *[f"x_{f}" for f in _CTX_FIELDS]).checkpoint()
-    # round 3: value counts and the current section across chunks
+    # round 4: value counts and the current section across chunks
     per_chunk = b.groupBy(*key).agg(
         F.sum(F.col("_val").cast("int")).alias("_n"),
         _last_event("_lsec").alias("_sec_name"),
@@ -305,28 +332,22 @@ def _parse_chunked(cells: DataFrame, date_mode, exclude_sheets, rows_per_chunk:
 
 
 def parse_journal_cells(cells: DataFrame, date_mode: int = 0, exclude_sheets=EXCLUDED_SHEETS,
-                        max_sheet_cells: int | None = None, rows_per_chunk: int = 4096) -> DataFrame:
+                        rows_per_chunk: int | None = None) -> DataFrame:
     """Parse cells into records: month, weekday, date, deload,
     workout_counter (text 'N/365'), set_counter, type, section, exercise,
     weight (text), grip, amount, rest (text values) plus workbook_id/sheet.
-    ``date_mode`` 1 reads serial dates from the 1904 epoch.
-
-    Every sheet is one window partition.  With ``max_sheet_cells``, sheets
-    holding more cells than that (found by one count per sheet; the list
-    of such sheets is at most total/max_sheet_cells long) are instead split
-    into chunks of ``rows_per_chunk`` row numbers (``r`` ranges) and parsed in parallel with
-    carried contexts (see ``_parse_chunked``); the other sheets keep the
-    one-pass plan.
+    ``date_mode`` 1 reads serial dates from the 1904 epoch where the cells
+    do not say otherwise.
+
+    Every sheet is one window partition.  With ``rows_per_chunk`` all sheets
+    are instead split into chunks of so many row numbers (``r`` ranges),
+    which are parsed in parallel with carried contexts (``_parse_chunked``):
+    the caller's choice for sheets too large for a task, with the same result.
     """
-    if not max_sheet_cells:
+    if rows_per_chunk is None:
         return _parse_sheets(cells, date_mode, exclude_sheets)
     ensure_checkpoint_dir(cells.sparkSession)        # the chunked rounds checkpoint
-    sizes = cells.groupBy(*SHEET).agg(F.count(F.lit(1)).alias("_cells"))
-    big = sizes.where(F.col("_cells") > max_sheet_cells).select(*SHEET)
-    small = _parse_sheets(cells.join(big, list(SHEET), "left_anti"), date_mode, exclude_sheets)
-    large = _parse_chunked(cells.join(big, list(SHEET), "left_semi"), date_mode, exclude_sheets,
-                           rows_per_chunk)
-    return small.unionByName(large)
+    return _parse_chunked(cells, date_mode, exclude_sheets, rows_per_chunk)
 
 
 def clean_journal(parsed: DataFrame, keep=()) -> DataFrame:
@@ -351,6 +372,7 @@ def clean_journal(parsed: DataFrame, keep=()) -> DataFrame:
         weight_kg("weight").alias("weight"),
         F.lower(weight_unit("weight")).alias("weight_unit"),
         F.lower("grip").alias("grip"),
-        F.col("amount").try_cast("double").try_cast("smallint").alias("amount"),
-        F.col("rest").try_cast("double").try_cast("smallint").alias("rest"),
+        # numbers arrive truncated; a text must be a whole number as it stands
+        F.col("amount").try_cast("smallint").alias("amount"),
+        F.col("rest").try_cast("smallint").alias("rest"),
     )

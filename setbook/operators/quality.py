@@ -32,11 +32,26 @@ def row_rules() -> dict[str, Column]:
     return rules
 
 
-def check_journal(journal: DataFrame):
+def constraints_met() -> Column:
+    """TRUE for rows that the journal table accepts: nothing NULL, a known
+    unit, a weight that fits (smallints fit by their type)."""
+    rules = row_rules()
+    broken = F.lit(False)
+    for name, p in rules.items():
+        if name.startswith("not_null_") or name in ("unit_allowed", "weight_fits_5_2"):
+            broken = broken | F.coalesce(p, F.lit(False))
+    return ~broken
+
+
+def check_journal(journal: DataFrame, by=()):
     """Return (good_rows, report).
 
-    ``report`` has one row per rule: (rule, violations).  ``good_rows``
-    are the rows that break no row-level rule.
+    ``report`` has one row per rule (and log, with ``by``): (rule,
+    violations).  ``good_rows`` are the rows that break no row-level rule.
+
+    One scan and one shuffle: the rules are counted per grid cell (year,
+    month number, exercise, weight; combined map-side), where the cross-row
+    rule is the cell's smallest against its largest (month text, unit).
     """
     rules = row_rules()
     flags = [F.coalesce(p, F.lit(False)) for p in rules.values()]
@@ -45,16 +60,13 @@ def check_journal(journal: DataFrame):
         bad_any = bad_any | fl
     good = journal.where(~bad_any)
 
-    counts = journal.agg(*[F.count_if(fl).cast("bigint").alias(n) for n, fl in zip(rules, flags)])
-    stacked = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in rules
-    ])).alias("x")).select("x.rule", "x.violations")
-
-    # a (year, month number, exercise, weight) cell with more than one
-    # (month text, unit) would be repeated by the month grid's joins
-    cell = journal.groupBy(F.year("date").alias("y"), month_number(F.col("month")).alias("m"),
-                           "exercise", "weight") \
-                  .agg(F.count_distinct("month", "weight_unit").alias("variants"))
-    multi = cell.agg(F.count_if(F.col("variants") > 1).cast("bigint").alias("violations")) \
-                .select(F.lit("one_unit_per_cell").alias("rule"), "violations")
-    return good, stacked.unionByName(multi)
+    variant = F.when(F.col("month").isNotNull() & F.col("weight_unit").isNotNull(), F.struct("month", "weight_unit"))
+    cells = journal.groupBy(*by, F.year("date").alias("_y"), month_number(F.col("month")).alias("_m"),
+                            "exercise", "weight").agg(
+        *[F.count_if(fl).alias(n) for n, fl in zip(rules, flags)],
+        F.coalesce(F.min(variant) != F.max(variant), F.lit(False)).cast("bigint").alias("one_unit_per_cell"))
+    names = [*rules, "one_unit_per_cell"]
+    counts = cells.groupBy(*by).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names])
+    report = counts.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in names])))
+    return good, report

@@ -3,9 +3,10 @@
 Like the original model DAG, a mart that builds on another one reads the
 *written* upstream table instead of recomputing it: the dense month grid
 is computed once and read by the change marts, the change marts once and
-read by their reps / seconds views.  Each write is an atomic overwrite of
-one table folder; writing also cuts the lineage, so a lost executor only
-recomputes from the last written table.
+read by their reps / seconds views.  Each mart is published as a new
+version of its table (``sources.versions``): a failed build leaves the old
+one.  Writing also cuts the lineage, so a lost executor only recomputes
+from the last written table.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.staging import stage_journal
+from ..sources.versions import publish, published
 from . import marts as M
 from .cubes import DAY_MARTS, SESSION_MARTS, day_cube, session_cube
 
@@ -26,7 +28,12 @@ UPSTREAM = {
     "mom_changes_seconds": ("mom_changes", "mom"),
     "yoy_changes_reps": ("yoy_changes", "yoy"),
     "yoy_changes_seconds": ("yoy_changes", "yoy"),
+    "mom_changes_seconds_corrected": ("_grid_corrected", "grid"),
+    "yoy_changes_seconds_corrected": ("_grid_corrected", "grid"),
 }
+# shared inputs that are no marts themselves
+SHARED = {"_grid_corrected": lambda stg, by=(): M.monthly_aggregates_every_possible_combination(
+    stg, by, corrected=True)}
 
 
 def build_order(names) -> list[str]:
@@ -51,7 +58,7 @@ def _depth(name: str) -> int:
 
 def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=None,
                 fmt: str = "parquet", cubes: bool = True, threads: int = 8, by=()) -> dict[str, str]:
-    """Write each requested mart to ``{out_dir}/{name}``; return name -> path.
+    """Publish each requested mart below ``{out_dir}/{name}``; return name -> folder of its new version.
 
     ``journal`` should be a table scan (``read_journal``) so every mart
     starts from columnar files with pushdown.  With ``cubes`` (default) the
@@ -73,8 +80,7 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
         for cube_name, fn, marts in (("_cube_day", day_cube, DAY_MARTS),
                                      ("_cube_session", session_cube, SESSION_MARTS)):
             if any(n in marts for n in order):
-                fn(stg, by=by).write.mode("overwrite").format(fmt).save(f"{out}/{cube_name}")
-                table = spark.read.format(fmt).load(f"{out}/{cube_name}")
+                table = spark.read.format(fmt).load(publish(fn(stg, by=by), f"{out}/{cube_name}", fmt=fmt))
                 source.update({n: table for n in marts})
     paths: dict[str, str] = {}
 
@@ -83,18 +89,17 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
         if name in UPSTREAM:
             up, arg = UPSTREAM[name]
             kw[arg] = spark.read.format(fmt).load(paths[up])
-        df = M.MARTS[name](source.get(name, stg), by=by, **kw)
-        df.write.mode("overwrite").format(fmt).save(f"{out}/{name}")
+        fn = SHARED.get(name) or M.MARTS[name]
+        paths[name] = publish(fn(source.get(name, stg), by=by, **kw), f"{out}/{name}", fmt=fmt)
 
     for level in range(max(_depth(n) for n in order) + 1):
         batch = [n for n in order if _depth(n) == level]
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             list(pool.map(write, batch))          # re-raises the first failure
-        paths.update({n: f"{out}/{n}" for n in batch})
-    return paths
+    return {n: paths[n] for n in order if n in M.MARTS}
 
 
 def read_mart(spark: SparkSession, paths: dict[str, str], name: str, fmt: str = "parquet",
               ordered: bool = False) -> DataFrame:
-    df = spark.read.format(fmt).load(paths[name])
+    df = spark.read.format(fmt).load(published(spark, paths[name]))
     return M.ordered(name, df) if ordered else df

@@ -1,8 +1,8 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame, plus oracle SQL.
 
-Every query starts from the journal derived from the driver tables in
-``sf_dir`` (derived once per application and checkpointed), stages it and
-runs one mart or presentation query over the whole data.
+Every query starts from the journal derived from all rows of the driver
+tables in ``sf_dir`` (written once per application as a parquet table),
+stages it and runs one mart or presentation query over the whole data.
 """
 
 from __future__ import annotations
@@ -18,14 +18,32 @@ from ..operators.grid import clean_journal, parse_journal_cells
 from ..operators.quality import check_journal
 from ..operators.staging import stage_journal
 from ..sources.cells import cells_from_tables
-from ..sources.journal import journal_for
+from ..sources.journal import derive_journal, journal_for, odd_weight_texts
 from . import oracle
 from .dashboard import DASHBOARD
-from .marts import MARTS, main_exercises
+from .dashboard import positioned as dash_positioned
+from .marts import MARTS, SORT_KEYS, main_exercises, positioned
 
 # fixture parameters for parameterised queries (FIXTURES.md §3)
 FIXTURE_MAIN_EXERCISES = tuple(f"brand#{i}" for i in range(1, 11))
 FIXTURE_DASHBOARD_EXERCISES = tuple(f"brand#{i}" for i in range(1, 10))
+FIXTURE_AS_OF = (2026, 6)
+FIXTURE_WEIGHT_KG = "10.00"
+FIXTURE_YEAR = 2024
+# marts whose order is registered as a position column, with their sort keys
+ORDERED = ("yearly_reps_per_exercise_weight", "yearly_seconds_per_exercise_weight", "yearly_workouts_per_type",
+           "workout_frequency_weekday")
+
+
+def dashboard_parameters(name: str) -> dict:
+    """The fixture's parameters of a presentation query."""
+    kw = {} if name in ("dash_weekday", "dash_heatmap") else {
+        "exercises": FIXTURE_DASHBOARD_EXERCISES, "as_of": FIXTURE_AS_OF}
+    if name in ("dash_filter", "dash_month_date"):
+        kw["weight_kg"] = FIXTURE_WEIGHT_KG
+    if name in ("dash_yearly_sorted", "dash_bubble"):
+        kw["year"] = FIXTURE_YEAR
+    return kw
 
 _INTS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -61,35 +79,47 @@ def _main_exercises(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(main_exercises(staged(spark, sf_dir), FIXTURE_MAIN_EXERCISES))
 
 
-def _dash_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+def _dash_query(name: str, **more) -> Callable[[SparkSession, str], DataFrame]:
     fn = DASHBOARD[name]
-    kw = {} if name in ("dash_weekday", "dash_heatmap") else {"exercises": FIXTURE_DASHBOARD_EXERCISES}
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return edge(fn(staged(spark, sf_dir), **kw))
+        out = edge(fn(staged(spark, sf_dir), **dashboard_parameters(name), **more))
+        if name in ("dash_weight_options", "dash_year_options", "dash_yearly_sorted"):
+            out = edge(dash_positioned(name, out))
+        return out
 
     run.__name__ = name
     return run
 
 
+def _ordered_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return edge(positioned(name, MARTS[name](staged(spark, sf_dir))))
+
+    run.__name__ = f"ordered_{name}"
+    return run
+
+
 def parse_cells_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables -> workbook cells -> parser -> cleaned journal rows."""
     return edge(clean_journal(parse_journal_cells(cells_from_tables(spark, sf_dir))))
 
 
+def parse_cells_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the row-chunk parser."""
+    return edge(clean_journal(parse_journal_cells(cells_from_tables(spark, sf_dir), rows_per_chunk=50_000)))
+
+
 def clean_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every distinct weight text of the workbook fixture, parsed to (kg, unit)."""
-    cells = cells_from_tables(spark, sf_dir)
-    texts = cells.where((F.col("c") == 1) & F.col("sv").isNotNull()
-                        & (F.col("sv").contains("kg") | F.col("sv").contains("Bodyweight")))
-    return edge(texts.select(F.col("sv").alias("weight_text")).distinct().select(
+    """Every distinct weight text of the faulty fixture, parsed to (kg, unit)."""
+    return edge(odd_weight_texts(spark, sf_dir).select(
         "weight_text", weight_kg("weight_text").alias("weight"),
         weight_unit("weight_text").alias("weight_unit")))
 
 
 def check_journal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Violation counts per rule over the whole derived journal."""
-    _, report = check_journal(journal_for(spark, sf_dir))
+    """Violation counts per rule over a journal with faults in every column."""
+    _, report = check_journal(derive_journal(spark, sf_dir, odd=True))
     return edge(report)
 
 
@@ -97,17 +127,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {name: _mart_query(name) for name in MARTS}
     q["main_exercises"] = _main_exercises
     q.update({name: _dash_query(name) for name in DASHBOARD})
+    q["dash_units_kg"] = _dash_query("dash_units", unit="kg")
+    q.update({f"ordered_{name}": _ordered_query(name) for name in ORDERED})
     q["parse_cells_roundtrip"] = parse_cells_roundtrip
+    q["parse_cells_chunked"] = parse_cells_chunked
     q["clean_weight"] = clean_weight
     q["check_journal"] = check_journal_report
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {name: oracle.mart_sql(name) for name in MARTS if name in oracle.Q}
+    out = {name: oracle.mart_sql(name) for name in MARTS if name in oracle.MARTS}
     out["main_exercises"] = oracle.main_exercises_sql(FIXTURE_MAIN_EXERCISES)
-    out.update(oracle.dashboard_sql(FIXTURE_DASHBOARD_EXERCISES))
+    out.update(oracle.dashboard_sql(FIXTURE_DASHBOARD_EXERCISES, FIXTURE_AS_OF, FIXTURE_WEIGHT_KG, FIXTURE_YEAR))
+    out.update({f"ordered_{name}": oracle.ordered_sql(name, SORT_KEYS[name]) for name in ORDERED})
     out["parse_cells_roundtrip"] = oracle.ROUNDTRIP
+    out["parse_cells_chunked"] = oracle.ROUNDTRIP
     out["clean_weight"] = oracle.CLEAN_WEIGHT
     out["check_journal"] = oracle.CHECK_JOURNAL
     return out

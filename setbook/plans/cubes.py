@@ -33,7 +33,7 @@ DAY_MARTS = (
     "total_reps_per_exercise_weight", "total_seconds_per_exercise_weight",
     "monthly_aggregates_every_possible_combination", "monthly_added_volume_lifted",
     "monthly_bodyweight_vs_weighted_workouts", "yearly_bodyweight_vs_weighted_workouts",
-    "mom_changes_seconds_corrected", "yoy_changes_seconds_corrected",
+    "_grid_corrected",
 )
 SESSION_MARTS = (
     "workouts_per_month_per_year", "month_with_most_workouts_per_year",

@@ -1,15 +1,15 @@
 """Presentation queries (the dashboard's reads and transforms) as DataFrames.
 
-"Now" (``as_of``), the exercise list, the weekday year bound, the display
-unit and the selected weight / year are explicit parameters, so results
-are reproducible.  All of them are filters and projections over marts;
+The exercise list, the weekday year bound, the display unit and the
+selected weight / year are parameters; ``as_of`` None reads the clock, a
+(year, month) makes a result reproducible.  All of them are filters and projections over marts;
 Catalyst pushes the filters below the windows where the partition keys
 allow it (exercise filters reach the grid aggregation).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vocab import DASHBOARD_EXERCISES, HEATMAP_WEEKDAY_ORDER, LBS_PER_KG, WEEKDAY_YEAR_BOUND
@@ -20,7 +20,7 @@ MOM_VIEW = ("year", "month_int", "month", "exercise", "added_weight", "last_mont
             "total_reps", "mom_percentage_change", "mom_absolute_change")
 
 
-def dash_mom(stg: DataFrame, as_of=(2026, 6), exercises=DASHBOARD_EXERCISES,
+def dash_mom(stg: DataFrame, as_of=None, exercises=DASHBOARD_EXERCISES,
              mom_reps: DataFrame | None = None) -> DataFrame:
     """Monthly changes of the listed exercises up to and including ``as_of``.
 
@@ -35,7 +35,7 @@ def dash_mom(stg: DataFrame, as_of=(2026, 6), exercises=DASHBOARD_EXERCISES,
     return mc.where(upto & F.col("exercise").isin(*exercises)).select(*MOM_VIEW)
 
 
-def dash_yoy(stg: DataFrame, as_of=(2026, 6), exercises=DASHBOARD_EXERCISES,
+def dash_yoy(stg: DataFrame, as_of=None, exercises=DASHBOARD_EXERCISES,
              yearly_reps: DataFrame | None = None) -> DataFrame:
     """Yearly rep totals of the listed exercises up to ``as_of`` year."""
     yr = yearly_reps if yearly_reps is not None else yearly_reps_per_exercise_weight(stg)
@@ -72,25 +72,25 @@ def _display(weight_kg: float, unit: str):
     return w.cast("decimal(10,2)")
 
 
-def dash_filter(stg: DataFrame, unit: str = "lbs", weight_kg: float = 10.0, **kw) -> DataFrame:
+def dash_filter(stg: DataFrame, weight_kg: float, unit: str = "lbs", **kw) -> DataFrame:
     """Monthly view restricted to the selected weight (given in kg, compared
     in the display unit, as the selector lists display weights)."""
     return dash_units(stg, unit, **kw).where(F.col("display_weight") == _display(weight_kg, unit))
 
 
-def dash_month_date(stg: DataFrame, unit: str = "lbs", weight_kg: float = 10.0, **kw) -> DataFrame:
+def dash_month_date(stg: DataFrame, weight_kg: float, unit: str = "lbs", **kw) -> DataFrame:
     """The filtered monthly view with a first-of-month ``date`` for the time axis."""
-    return dash_filter(stg, unit, weight_kg, **kw).withColumn(
+    return dash_filter(stg, weight_kg, unit, **kw).withColumn(
         "date", F.make_date(F.col("year"), F.col("month_int"), F.lit(1)))
 
 
-def dash_yearly_sorted(stg: DataFrame, unit: str = "lbs", year: int = 2024, **kw) -> DataFrame:
+def dash_yearly_sorted(stg: DataFrame, year: int, unit: str = "lbs", **kw) -> DataFrame:
     """Yearly totals of the selected year in display units; read it with
     ``ordered('dash_yearly_sorted', df)`` for the chart order."""
     return convert_unit(dash_yoy(stg, **kw), "added_weight", unit).where(F.col("year") == year)
 
 
-def dash_bubble(stg: DataFrame, unit: str = "lbs", year: int = 2024, **kw) -> DataFrame:
+def dash_bubble(stg: DataFrame, year: int, unit: str = "lbs", **kw) -> DataFrame:
     """Weight progression of the selected year: the monthly view in display
     units restricted to one year (x = month_int, y = display_weight, size =
     total_reps)."""
@@ -144,3 +144,10 @@ def ordered(name: str, df: DataFrame) -> DataFrame:
     """Apply a presentation query's display order (a range shuffle, at read)."""
     keys = DASH_SORT_KEYS.get(name)
     return df.orderBy(*keys) if keys else df
+
+
+def positioned(name: str, df: DataFrame) -> DataFrame:
+    """Add each row's ``position`` in the display order.  For the option lists
+    and the chart of one year: a handful of rows, bounded by the listed
+    exercises and the distinct weights or years."""
+    return df.withColumn("position", F.rank().over(Window.orderBy(*DASH_SORT_KEYS[name])))

@@ -161,8 +161,8 @@ def mom_changes_reps(stg, by=(), mom=None):
                                     F.lit(-100).cast("decimal(18,2)")))
 
 
-def mom_changes_seconds(stg, by=(), corrected: bool = False, mom=None):
-    mc = mom if mom is not None else mom_changes(stg, by, corrected=corrected)
+def mom_changes_seconds(stg, by=(), corrected: bool = False, mom=None, grid=None):
+    mc = mom if mom is not None else mom_changes(stg, by, corrected=corrected, grid=grid)
     mc = restrict_to(mc, is_seconds_exercise())
     return (mc.withColumnRenamed("last_month_reps", "last_month_seconds")
               .withColumnRenamed("total_reps", "total_seconds"))
@@ -184,19 +184,19 @@ def yoy_changes_reps(stg, by=(), yoy=None):
     return restrict_to(yoy if yoy is not None else yoy_changes(stg, by), is_reps_exercise())
 
 
-def yoy_changes_seconds(stg, by=(), corrected: bool = False, yoy=None):
-    yc = yoy if yoy is not None else yoy_changes(stg, by, corrected=corrected)
+def yoy_changes_seconds(stg, by=(), corrected: bool = False, yoy=None, grid=None):
+    yc = yoy if yoy is not None else yoy_changes(stg, by, corrected=corrected, grid=grid)
     yc = restrict_to(yc, is_seconds_exercise())
     return (yc.withColumnRenamed("last_year_reps", "last_year_seconds")
               .withColumnRenamed("total_reps", "total_seconds"))
 
 
-def mom_changes_seconds_corrected(stg, by=()):
-    return mom_changes_seconds(stg, by, corrected=True)
+def mom_changes_seconds_corrected(stg, by=(), grid=None):
+    return mom_changes_seconds(stg, by, corrected=True, grid=grid)
 
 
-def yoy_changes_seconds_corrected(stg, by=()):
-    return yoy_changes_seconds(stg, by, corrected=True)
+def yoy_changes_seconds_corrected(stg, by=(), grid=None):
+    return yoy_changes_seconds(stg, by, corrected=True, grid=grid)
 
 
 # ---- shares, sessions, ranking ----------------------------------------------
@@ -259,16 +259,17 @@ def workout_frequency_weekday(stg, by=()):
     """
     counted = count_sessions(stg, ("year", "weekday_int", "weekday"), by=by) \
         .withColumn("year", F.col("year").cast("int"))
-    # year range and weekdays of each log, read off the (small) counts: at
-    # most years x weekday texts rows per log, so even the single-log
-    # window (one partition) is bounded — and the journal is scanned once
-    w_log = Window.partitionBy(*by)
-    days = counted.select(*by, "weekday_int", "weekday",
-                          F.min("year").over(w_log).alias("lo"),
-                          F.max("year").over(w_log).alias("hi")).distinct()
-    axis = days.select(*by, F.explode(F.sequence("lo", "hi")).alias("year"), "weekday_int", "weekday",
-                       F.lit(0).cast("bigint").alias("total_workouts"))
-    cells = axis.unionByName(counted.where(F.col("weekday_int").isNotNull()))
+    # one row per log with its cells (at most years x weekday texts): the
+    # axis is made from it, and the journal is scanned once
+    cell = F.struct(F.col("year"), F.col("weekday_int"), F.col("weekday"), F.col("total_workouts"))
+    packed = counted.groupBy(*by).agg(F.collect_list(cell).alias("cells"), F.min("year").alias("lo"),
+                                      F.max("year").alias("hi"))
+    days = F.array_distinct(F.transform("cells", lambda x: F.struct(x["weekday_int"].alias("d"), x["weekday"].alias("t"))))
+    zero = F.flatten(F.transform(F.sequence("lo", "hi"), lambda y: F.transform(days, lambda d: F.struct(
+        y.alias("year"), d["d"].alias("weekday_int"), d["t"].alias("weekday"),
+        F.lit(0).cast("bigint").alias("total_workouts")))))
+    seen = F.filter("cells", lambda x: x["weekday_int"].isNotNull())
+    cells = packed.where(F.col("lo").isNotNull()).select(*by, F.inline(F.concat(zero, seen)))
     return (cells.groupBy(*by, "year", "weekday_int", "weekday")
                  .agg(F.max("total_workouts").alias("total_workouts")))
 
@@ -347,3 +348,10 @@ def ordered(name: str, df: DataFrame) -> DataFrame:
     if not keys:
         return df
     return df.orderBy(*[F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in keys])
+
+
+def positioned(name: str, df: DataFrame) -> DataFrame:
+    """Add each row's ``position`` among the rows that share the first sort key."""
+    first, *rest = SORT_KEYS[name]
+    w = Window.partitionBy(first).orderBy(*[F.desc(k[1:]) if k.startswith("-") else F.asc(k) for k in rest])
+    return df.withColumn("position", F.rank().over(w))

@@ -1,9 +1,11 @@
-"""Independent DuckDB SQL for every registered query (the correctness oracle).
+"""DuckDB SQL for every registered query (the correctness oracle).
 
-The oracle deliberately keeps the *original* relational shapes — inner
-joins with the exercise dimensions, a cross join for the month grid, a left
-join + IS NULL for missing months, UNION ALL, left joins for zero fill — so
-it checks the join-free Spark plans against a literal formulation.
+Each query is a final SELECT over named steps.  A step is a SELECT that may
+read other steps; ``compose`` puts the steps a query needs, and no others,
+into its WITH clause in order.  The steps are written from the meaning of
+the marts (SURVEY §2, §7.5): an exercise's class is a predicate, gaps are
+filled by uniting generated rows with observed ones, and a previous period
+is looked up once and then used.
 
 Edge types match the Spark edge (``catalog.edge``): integers BIGINT,
 decimals and percentages DOUBLE.  Percentages are rounded half away from
@@ -12,277 +14,185 @@ zero with exact integer arithmetic (DuckDB's DECIMAL / INT gives DOUBLE).
 
 from __future__ import annotations
 
-from ..functions.vocab import MONTH_NAMES, WEEKDAY_NAMES
+import re
 
+from ..functions.vocab import HEATMAP_WEEKDAY_ORDER, LBS_PER_KG, MONTH_NAMES, WEEKDAY_NAMES, WEEKDAY_YEAR_BOUND
+from ..sources.journal import ODD_SQL, REST_DAY_RESIDUES
 
-def pct_sql(n: str, d: str) -> str:
-    """round(100 * n / d, 2), half away from zero, NULL when d = 0 or NULL."""
-    n = f"CAST(({n}) AS BIGINT)"
-    d = f"CAST(NULLIF(({d}), 0) AS BIGINT)"
-    return (f"(sign({n}) * sign({d}) * ((abs({n}) * 20000 + abs({d})) // (2 * abs({d}))) / 100.0)")
 
+def _percent(part: str, whole: str) -> str:
+    """round(100 * part / whole, 2), half away from zero, NULL when whole = 0 or NULL."""
+    n, d = f"CAST(({part}) AS BIGINT)", f"CAST(NULLIF(({whole}), 0) AS BIGINT)"
+    return f"(sign({n}) * sign({d}) * ((abs({n}) * 20000 + abs({d})) // (2 * abs({d}))) / 100.0)"
 
-def _list(names) -> str:
-    return "[" + ", ".join(f"'{n.lower()}'" for n in names) + "]"
-
-
-JOURNAL = """
-journal AS (
-    SELECT lower(monthname(l.dt)) AS month,
-           lower(dayname(l.dt)) AS weekday,
-           l.dt AS date,
-           CAST(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS SMALLINT) AS deload,
-           CAST(dayofyear(l.dt) AS SMALLINT) AS workout_counter,
-           CAST(l.l_linenumber AS SMALLINT) AS set_counter,
-           lower(o.o_orderpriority) AS type,
-           lower(l.l_linestatus) AS section,
-           lower(p.p_brand) || CASE WHEN p.p_size % 10 = 0 THEN ' hold (s)'
-                                    WHEN p.p_size % 10 = 1 THEN ' + dips' ELSE '' END AS exercise,
-           CAST(CAST(round(l.l_discount * 100) AS INTEGER) * 2.5 AS DECIMAL(5,2)) AS weight,
-           'kg' AS weight_unit,
-           lower(l.l_returnflag) AS grip,
-           CAST(l.l_quantity AS SMALLINT) AS amount,
-           CAST(CAST(round(l.l_tax * 100) AS INTEGER) * 15 AS SMALLINT) AS rest
-    FROM (SELECT *, CAST(CAST(l_shipdate AS DATE) + INTERVAL 27 YEAR AS DATE) AS dt FROM lineitem) l
-    JOIN orders o ON l.l_orderkey = o.o_orderkey
-    JOIN part p ON l.l_partkey = p.p_partkey
-    WHERE dayofyear(l.dt) % 7 NOT IN (0, 3)
-)"""
-
-STG = f"""
-stg AS (
-    SELECT month,
-           CAST(list_position({_list(MONTH_NAMES)}, month) AS SMALLINT) AS month_int,
-           weekday,
-           CAST(list_position({_list(WEEKDAY_NAMES)}, weekday) AS SMALLINT) AS weekday_int,
-           CAST(year(date) AS SMALLINT) AS year,
-           date,
-           CASE WHEN deload = 1 THEN TRUE WHEN deload = 0 THEN FALSE END AS deload_bool,
-           workout_counter, set_counter,
-           type AS workout_type, section AS workout_section, exercise,
-           CAST(weight AS DECIMAL(5,2)) AS added_weight, weight_unit,
-           CASE WHEN weight = 0 THEN TRUE ELSE FALSE END AS bodyweight,
-           grip, amount, rest
-    FROM journal
-)"""
-
-DIMS = """
-ecir AS (SELECT DISTINCT exercise FROM stg WHERE exercise NOT LIKE '%(s)%' AND exercise NOT LIKE '%+%'),
-ecis AS (SELECT DISTINCT exercise FROM stg WHERE exercise LIKE '%(s)%')"""
-
-BASE = [JOURNAL, STG, DIMS]
-
-# ---- bodies: name -> (extra CTEs, final SELECT, column types) ----------------
-# column type codes: i = integer (BIGINT), n = numeric (DOUBLE), s/d/b = as is
 
-Q: dict[str, tuple[list[str], str, str]] = {}
+def _array(names) -> str:
+    return "[" + ", ".join(f"'{n.lower()}'" for n in names) + "]"
 
 
-def _rollup(name, grain_cols, grain_group, measure, dim):
-    Q[name] = ([], f"""
-    SELECT {grain_cols}s.exercise, SUM(s.amount) AS {measure}, s.added_weight, s.weight_unit
-    FROM stg s JOIN {dim} d ON s.exercise = d.exercise
-    GROUP BY {grain_group}s.exercise, s.added_weight, s.weight_unit""", "")
+def _quoted(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
 
 
-for _kind, _dim in (("reps", "ecir"), ("seconds", "ecis")):
-    _m = f"total_{_kind}"
-    _rollup(f"daily_{_kind}_per_exercise_weight", "s.date, ", "s.date, ", _m, _dim)
-    _rollup(f"monthly_{_kind}_per_exercise_weight", "s.year, s.month_int, s.month, ",
-            "s.year, s.month_int, s.month, ", _m, _dim)
-    _rollup(f"yearly_{_kind}_per_exercise_weight", "s.year, ", "s.year, ", _m, _dim)
-    _rollup(f"total_{_kind}_per_exercise_weight", "", "", _m, _dim)
-
-Q["stg_workout_journal"] = ([], "SELECT * FROM stg", "")
-Q["exercises_calculated_in_reps"] = ([], "SELECT exercise FROM ecir", "")
-Q["exercises_calculated_in_seconds"] = ([], "SELECT exercise FROM ecis", "")
-
-
-def _main_exercises(names) -> str:
-    lst = ", ".join(f"'{n}'" for n in names)
-    return f"SELECT exercise FROM stg WHERE exercise IN ({lst})"
-
-
-GRID = """
-mm AS (
-    SELECT least(DATE '2021-01-01', min(CAST(date_trunc('month', date) AS DATE))) AS min_month,
-           max(CAST(date_trunc('month', date) AS DATE)) AS max_month
-    FROM stg),
-months AS (
-    SELECT CAST(year(gs) AS SMALLINT) AS year, CAST(month(gs) AS SMALLINT) AS month_int,
-           lower(monthname(gs)) AS month
-    FROM (SELECT unnest(generate_series(CAST(min_month AS TIMESTAMP), CAST(max_month AS TIMESTAMP),
-                                        INTERVAL 1 MONTH)) AS gs FROM mm)),
-combos AS (SELECT DISTINCT exercise, added_weight FROM stg),
-possible AS (SELECT m.year, m.month_int, m.month, c.exercise, c.added_weight
-             FROM months m CROSS JOIN combos c),
-existing AS (SELECT DISTINCT year, month_int, month, exercise, added_weight FROM stg),
-missing AS (
-    SELECT p.* FROM possible p
-    LEFT JOIN existing e ON p.year = e.year AND p.month_int = e.month_int
-                        AND p.exercise = e.exercise AND p.added_weight = e.added_weight
-    WHERE e.year IS NULL),
-ccl AS (SELECT * FROM existing UNION ALL SELECT * FROM missing),
-mrpew AS (
-    SELECT s.year, s.month_int, s.month, s.exercise, SUM(s.amount) AS total_reps, s.added_weight, s.weight_unit
-    FROM stg s JOIN ecir d ON s.exercise = d.exercise
-    GROUP BY s.year, s.month_int, s.month, s.exercise, s.added_weight, s.weight_unit),
-mspew AS (
-    SELECT s.year, s.month_int, s.month, s.exercise, SUM(s.amount) AS total_seconds, s.added_weight, s.weight_unit
-    FROM stg s JOIN ecis d ON s.exercise = d.exercise
-    GROUP BY s.year, s.month_int, s.month, s.exercise, s.added_weight, s.weight_unit),
-grid AS (
-    SELECT c.year, c.month_int, c.month, c.exercise,
-           {value} AS total_reps,
-           c.added_weight,
-           {unit} AS weight_unit
-    FROM ccl c
-    LEFT JOIN mrpew r ON c.year = r.year AND c.month_int = r.month_int
-                     AND c.exercise = r.exercise AND c.added_weight = r.added_weight
-    LEFT JOIN mspew s ON c.year = s.year AND c.month_int = s.month_int
-                     AND c.exercise = s.exercise AND c.added_weight = s.added_weight)"""
-
-GRID_FAITHFUL = GRID.format(value="CAST(COALESCE(r.total_reps, 0) AS BIGINT)",
-                            unit="COALESCE(r.weight_unit, 'kg')")
-GRID_CORRECTED = GRID.format(value="CAST(COALESCE(r.total_reps, s.total_seconds, 0) AS BIGINT)",
-                             unit="COALESCE(r.weight_unit, s.weight_unit, 'kg')")
-
-_W = "OVER (PARTITION BY exercise, added_weight ORDER BY year, month_int)"
-
-MOM = f"""
-mom AS (
-    SELECT year, month_int, month, exercise,
-           LAG(total_reps) {_W} AS last_month_reps,
-           total_reps, added_weight, weight_unit,
-           CASE WHEN LAG(total_reps) {_W} = 0 AND total_reps > 0 THEN 100
-                WHEN LAG(total_reps) {_W} IS NOT NULL AND LAG(total_reps) {_W} <> 0
-                THEN {pct_sql(f"total_reps - LAG(total_reps) {_W}", f"LAG(total_reps) {_W}")}
-           END AS mom_percentage_change,
-           total_reps - COALESCE(LAG(total_reps) {_W}, 0) AS mom_absolute_change
-    FROM grid)"""
-
-YOY = f"""
-ly AS (
-    SELECT year, month_int, month, exercise,
-           CASE WHEN LAG(month_int, 12) {_W} = month_int THEN LAG(total_reps, 12) {_W} END AS last_year_reps,
-           LAG(total_reps, 12) {_W} AS lag12,
-           total_reps, added_weight, weight_unit
-    FROM grid),
-yoy AS (
-    SELECT year, month_int, month, exercise, last_year_reps, total_reps, added_weight, weight_unit,
-           CASE WHEN last_year_reps = 0 AND total_reps > 0 THEN 100
-                WHEN last_year_reps > 0 THEN {pct_sql("total_reps - lag12", "lag12")}
-           END AS yoy_percentage_change,
-           total_reps - COALESCE(lag12, 0) AS yoy_absolute_change
-    FROM ly)"""
-
-MOM_COLS = ("year, month_int, month, exercise, last_month_reps, total_reps, added_weight, "
-            "weight_unit, mom_percentage_change, mom_absolute_change")
-YOY_COLS = ("year, month_int, month, exercise, last_year_reps, total_reps, added_weight, "
-            "weight_unit, yoy_percentage_change, yoy_absolute_change")
-
-Q["monthly_aggregates_every_possible_combination"] = (
-    [GRID_FAITHFUL], "SELECT * FROM grid", "")
-Q["mom_changes"] = ([GRID_FAITHFUL, MOM], f"SELECT {MOM_COLS} FROM mom", "")
-Q["mom_changes_reps"] = ([GRID_FAITHFUL, MOM], """
-    SELECT m.year, m.month_int, m.month, m.exercise, m.last_month_reps, m.total_reps, m.added_weight,
-           m.weight_unit, COALESCE(m.mom_percentage_change, -100.00) AS mom_percentage_change,
-           m.mom_absolute_change
-    FROM mom m JOIN ecir d ON m.exercise = d.exercise""", "")
-_MOM_SECONDS = """
-    SELECT m.year, m.month_int, m.month, m.exercise, m.last_month_reps AS last_month_seconds,
-           m.total_reps AS total_seconds, m.added_weight, m.weight_unit, m.mom_percentage_change,
-           m.mom_absolute_change
-    FROM mom m JOIN ecis d ON m.exercise = d.exercise"""
-Q["mom_changes_seconds"] = ([GRID_FAITHFUL, MOM], _MOM_SECONDS, "")
-Q["mom_changes_seconds_corrected"] = ([GRID_CORRECTED, MOM], _MOM_SECONDS, "")
-Q["yoy_changes"] = ([GRID_FAITHFUL, YOY], f"SELECT {YOY_COLS} FROM yoy", "")
-Q["yoy_changes_reps"] = ([GRID_FAITHFUL, YOY], """
-    SELECT y.year, y.month_int, y.month, y.exercise, y.last_year_reps, y.total_reps, y.added_weight,
-           y.weight_unit, y.yoy_percentage_change, y.yoy_absolute_change
-    FROM yoy y JOIN ecir d ON y.exercise = d.exercise""", "")
-_YOY_SECONDS = """
-    SELECT y.year, y.month_int, y.month, y.exercise, y.last_year_reps AS last_year_seconds,
-           y.total_reps AS total_seconds, y.added_weight, y.weight_unit, y.yoy_percentage_change,
-           y.yoy_absolute_change
-    FROM yoy y JOIN ecis d ON y.exercise = d.exercise"""
-Q["yoy_changes_seconds"] = ([GRID_FAITHFUL, YOY], _YOY_SECONDS, "")
-Q["yoy_changes_seconds_corrected"] = ([GRID_CORRECTED, YOY], _YOY_SECONDS, "")
-
-Q["monthly_added_volume_lifted"] = ([], """
-    SELECT s.year, s.month_int, s.month, s.exercise, SUM(s.added_weight * s.amount) AS total_added_volume,
-           s.weight_unit
-    FROM stg s JOIN ecir d ON s.exercise = d.exercise
-    WHERE NOT s.bodyweight
-    GROUP BY s.year, s.month_int, s.month, s.exercise, s.weight_unit""", "")
-
-
-def _split(keys: str) -> str:
+# ---- steps ------------------------------------------------------------------------
+
+STEPS: dict[str, str] = {}
+
+STEPS["dated_lines"] = f"""
+    SELECT *, moved + CASE WHEN dayofyear(moved) % 7 IN ({", ".join(map(str, REST_DAY_RESIDUES))})
+                           THEN 1 ELSE 0 END AS day
+    FROM (SELECT *, CAST(CAST(l_shipdate AS DATE) + INTERVAL 27 YEAR AS DATE) AS moved FROM lineitem)"""
+
+STEPS["journal"] = """
+    SELECT lower(monthname(day)) AS month, lower(dayname(day)) AS weekday, day AS date,
+           CAST(l_returnflag = 'R' AS SMALLINT) AS deload,
+           CAST(dayofyear(day) AS SMALLINT) AS workout_counter, CAST(l_linenumber AS SMALLINT) AS set_counter,
+           lower(o_orderpriority) AS type, lower(l_linestatus) AS section,
+           lower(p_brand) || CASE p_size % 10 WHEN 0 THEN ' hold (s)' WHEN 1 THEN ' + dips' ELSE '' END AS exercise,
+           CAST(CAST(round(l_discount * 100) AS INTEGER) * 2.5 AS DECIMAL(5,2)) AS weight, 'kg' AS weight_unit,
+           lower(l_returnflag) AS grip, CAST(l_quantity AS SMALLINT) AS amount,
+           CAST(CAST(round(l_tax * 100) AS INTEGER) * 15 AS SMALLINT) AS rest
+    FROM dated_lines JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
+
+# the typed journal, with the class of each exercise
+STEPS["sets"] = f"""
+    SELECT month, CAST(list_position({_array(MONTH_NAMES)}, month) AS SMALLINT) AS month_int,
+           weekday, CAST(list_position({_array(WEEKDAY_NAMES)}, weekday) AS SMALLINT) AS weekday_int,
+           CAST(year(date) AS SMALLINT) AS year, date,
+           CASE deload WHEN 1 THEN TRUE WHEN 0 THEN FALSE END AS deload_bool,
+           workout_counter, set_counter, type AS workout_type, section AS workout_section, exercise,
+           CAST(weight AS DECIMAL(5,2)) AS added_weight, weight_unit,
+           coalesce(weight = 0, FALSE) AS bodyweight, grip, amount, rest,
+           contains(exercise, '(s)') AS timed,
+           NOT contains(exercise, '(s)') AND NOT contains(exercise, '+') AS counted
+    FROM journal"""
+
+# first days of the months from January 2021, or the first month trained in if earlier, to the last one
+STEPS["axis"] = """
+    SELECT CAST(unnest(generate_series(CAST(least(DATE '2021-01-01', date_trunc('month', min(date))) AS TIMESTAMP),
+                                       CAST(date_trunc('month', max(date)) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS day
+    FROM sets"""
+
+_CELL = "year, month_int, month, exercise, added_weight"
+
+# one row per trained month, exercise, weight and unit; a total only for months with a number
+_OBSERVED = """
+    SELECT {cell}, coalesce(unit, 'kg') AS weight_unit, coalesce(CAST(total AS BIGINT), 0) AS total_reps
+    FROM (SELECT {cell}, CASE WHEN {known} THEN weight_unit END AS unit, sum(amount) FILTER (WHERE {known}) AS total
+          FROM (SELECT *, month_int IS NOT NULL AND {valued} AS has_total,
+                       month_int IS NOT NULL AND (counted OR timed) AS has_unit FROM sets)
+          GROUP BY {cell}, CASE WHEN has_unit THEN weight_unit END, CASE WHEN {known} THEN weight_unit END)"""
+STEPS["observed"] = _OBSERVED.format(cell=_CELL, known="has_total", valued="counted")
+STEPS["observed_all"] = _OBSERVED.format(cell=_CELL, known="has_total", valued="(counted OR timed)")
+
+# months of the axis in which an exercise and weight, seen at any time, was not trained
+STEPS["untrained"] = """
+    SELECT CAST(year(day) AS SMALLINT) AS year, CAST(month(day) AS SMALLINT) AS month_int,
+           lower(monthname(day)) AS month, exercise, added_weight
+    FROM axis, (SELECT DISTINCT exercise, added_weight FROM sets)
+    EXCEPT
+    SELECT year, month_int, list_extract({names}, month_int), exercise, added_weight FROM sets WHERE month_int IS NOT NULL
+""".format(names=_array(MONTH_NAMES))
+
+for _name, _seen in (("monthly", "observed"), ("monthly_all", "observed_all")):
+    STEPS[_name] = f"""
+    SELECT {_CELL}, weight_unit, total_reps FROM {_seen}
+    UNION ALL SELECT {_CELL}, 'kg', 0 FROM untrained"""
+
+_BEFORE = "OVER (PARTITION BY exercise, added_weight ORDER BY year, month_int)"
+
+
+def _change(source: str, back: int, name: str, prefix: str, same_month: bool) -> str:
+    """Previous value ``back`` rows earlier, percentage and absolute change."""
+    usable = "earlier" if not same_month else "CASE WHEN earlier_month = month_int THEN earlier END"
+    counts = "previous <> 0" if not same_month else "previous > 0"
     return f"""
-    SELECT {keys}, bodyweight_sets, weighted_sets,
-           {pct_sql("bodyweight_sets", "bodyweight_sets + weighted_sets")} AS bodyweight_percentage,
-           {pct_sql("weighted_sets", "bodyweight_sets + weighted_sets")} AS weighted_percentage
-    FROM (SELECT {keys},
-                 COUNT(CASE WHEN added_weight = 0.00 THEN 1 END) AS bodyweight_sets,
-                 COUNT(CASE WHEN added_weight > 0.00 THEN 1 END) AS weighted_sets
-          FROM stg GROUP BY {keys}) t"""
-
-
-Q["monthly_bodyweight_vs_weighted_workouts"] = ([], _split("year, month_int, month"), "")
-Q["yearly_bodyweight_vs_weighted_workouts"] = ([], _split("year"), "")
-Q["workouts_per_month_per_year"] = ([], """
-    SELECT year, month_int, month, COUNT(DISTINCT workout_counter) AS total_workouts
-    FROM stg GROUP BY year, month_int, month""", "")
-Q["month_with_most_workouts_per_year"] = ([], """
-    SELECT year, month_int, month, total_workouts FROM (
-        SELECT *, RANK() OVER (PARTITION BY year ORDER BY total_workouts DESC) AS rk
-        FROM (SELECT year, month_int, month, COUNT(DISTINCT workout_counter) AS total_workouts
-              FROM stg GROUP BY year, month_int, month) t) r
-    WHERE rk = 1""", "")
-Q["workout_sessions_per_year"] = ([], """
-    SELECT year, COUNT(DISTINCT workout_counter) AS total_workouts FROM stg GROUP BY year""", "")
-Q["yearly_workouts_per_type"] = ([], """
-    SELECT year, workout_type, COUNT(DISTINCT workout_counter) AS total_workouts
-    FROM stg GROUP BY year, workout_type""", "")
-
-CALENDAR = """
-bounds AS (SELECT CAST(date_trunc('year', min(date)) AS DATE) AS min_date, max(date) AS max_date FROM stg),
-series AS (SELECT CAST(unnest(generate_series(CAST(min_date AS TIMESTAMP), CAST(max_date AS TIMESTAMP),
-                                              INTERVAL 1 DAY)) AS DATE) AS date FROM bounds),
-training_days AS (SELECT DISTINCT date FROM stg),
-rest_days AS (
-    SELECT CAST(year(s.date) AS SMALLINT) AS year, CAST(month(s.date) AS SMALLINT) AS month_int,
-           rpad(lower(monthname(s.date)), 9, ' ') AS month, s.date,
-           CASE WHEN t.date IS NOT NULL THEN FALSE ELSE TRUE END AS rest
-    FROM series s LEFT JOIN training_days t ON s.date = t.date)"""
-
-Q["workout_vs_rest_days"] = ([CALENDAR], "SELECT * FROM rest_days", "")
-Q["workout_days_per_year_percentage"] = ([CALENDAR], f"""
-    SELECT w.year, y.total_days, w.workout_days,
-           {pct_sql("w.workout_days", "y.total_days")} AS workout_percentage,
-           {pct_sql("y.total_days - w.workout_days", "y.total_days")} AS rest_percentage
-    FROM (SELECT year, COUNT(*) AS workout_days
-          FROM (SELECT DISTINCT date, year FROM rest_days WHERE NOT rest) d GROUP BY year) w
-    JOIN (SELECT DISTINCT year,
-                 CASE WHEN (year % 4 = 0 AND year % 100 <> 0) OR year % 400 = 0 THEN 366 ELSE 365 END
-                     AS total_days
-          FROM (SELECT DISTINCT date, year FROM rest_days WHERE NOT rest) d2) y ON w.year = y.year""", "")
-
-WEEKDAY = """
-yr AS (SELECT min(year) AS min_year, max(year) AS max_year FROM stg),
-all_years AS (SELECT unnest(generate_series(CAST(min_year AS INTEGER), CAST(max_year AS INTEGER))) AS year FROM yr),
-all_weekdays AS (SELECT DISTINCT weekday_int, weekday FROM stg),
-ywc AS (SELECT y.year, w.weekday_int, w.weekday FROM all_years y CROSS JOIN all_weekdays w),
-wf AS (SELECT year, weekday_int, weekday, COUNT(DISTINCT workout_counter) AS total_workouts
-       FROM stg GROUP BY year, weekday_int, weekday),
-weekday_matrix AS (
-    SELECT c.year, c.weekday_int, c.weekday, COALESCE(f.total_workouts, 0) AS total_workouts
-    FROM ywc c LEFT JOIN wf f ON c.year = f.year AND c.weekday_int = f.weekday_int)"""
-
-Q["workout_frequency_weekday"] = ([WEEKDAY], "SELECT * FROM weekday_matrix", "")
+    SELECT {_CELL}, weight_unit, total_reps, previous AS {name},
+           CASE WHEN previous = 0 AND total_reps > 0 THEN 100
+                WHEN {counts} THEN {_percent("total_reps - earlier", "earlier")} END AS {prefix}_percentage_change,
+           total_reps - coalesce(earlier, 0) AS {prefix}_absolute_change
+    FROM (SELECT *, {usable} AS previous
+          FROM (SELECT *, lag(total_reps, {back}) {_BEFORE} AS earlier,
+                       lag(month_int, {back}) {_BEFORE} AS earlier_month FROM {source}))"""
+
+
+for _suffix in ("", "_all"):
+    STEPS[f"by_month{_suffix}"] = _change(f"monthly{_suffix}", 1, "last_month_reps", "mom", False)
+    STEPS[f"by_year{_suffix}"] = _change(f"monthly{_suffix}", 12, "last_year_reps", "yoy", True)
+
+# classes of exercises that were ever trained; a NULL name has none
+STEPS["counted_names"] = "SELECT DISTINCT exercise FROM sets WHERE counted"
+STEPS["timed_names"] = "SELECT DISTINCT exercise FROM sets WHERE timed"
+
+# every day from 1 January of the first year to the last trained day
+STEPS["calendar"] = """
+    SELECT day AS date, NOT bool_or(trained) AS rest
+    FROM (SELECT CAST(unnest(generate_series(CAST(date_trunc('year', min(date)) AS TIMESTAMP),
+                                             CAST(max(date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day,
+                 FALSE AS trained FROM sets
+          UNION ALL SELECT date, TRUE FROM sets)
+    GROUP BY day"""
+
+# sessions per year and weekday, with a zero for every weekday ever trained in every year of the span
+STEPS["weekdays"] = """
+    SELECT year, weekday_int, weekday, max(n) AS total_workouts
+    FROM (SELECT CAST(year AS INTEGER) AS year, weekday_int, weekday, count(DISTINCT workout_counter) AS n
+          FROM sets WHERE weekday_int IS NOT NULL GROUP BY ALL
+          UNION ALL
+          SELECT y, weekday_int, weekday, 0
+          FROM (SELECT unnest(range(CAST(min(year) AS INTEGER), CAST(max(year) AS INTEGER) + 1)) AS y FROM sets),
+               (SELECT DISTINCT weekday_int, weekday FROM sets))
+    GROUP BY ALL"""
+
+# ---- marts: name -> final SELECT ---------------------------------------------------
+
+MARTS: dict[str, str] = {
+    "stg_workout_journal": "SELECT * FROM sets",
+    "exercises_calculated_in_reps": "SELECT exercise FROM counted_names",
+    "exercises_calculated_in_seconds": "SELECT exercise FROM timed_names",
+    "monthly_aggregates_every_possible_combination": "SELECT * FROM monthly",
+    "mom_changes": "SELECT * FROM by_month",
+    "mom_changes_reps": """SELECT * REPLACE (coalesce(mom_percentage_change, -100) AS mom_percentage_change)
+        FROM by_month WHERE exercise IN (FROM counted_names)""",
+    "yoy_changes": "SELECT * FROM by_year",
+    "yoy_changes_reps": "SELECT * FROM by_year WHERE exercise IN (FROM counted_names)",
+    "monthly_added_volume_lifted": """SELECT year, month_int, month, exercise, weight_unit,
+        sum(added_weight * amount) AS total_added_volume FROM sets WHERE counted AND NOT bodyweight GROUP BY ALL""",
+    "month_with_most_workouts_per_year": """SELECT year, month_int, month, count(DISTINCT workout_counter) AS total_workouts
+        FROM sets GROUP BY year, month_int, month QUALIFY rank() OVER (PARTITION BY year ORDER BY count(DISTINCT workout_counter) DESC) = 1""",
+    "workout_vs_rest_days": """SELECT CAST(year(date) AS SMALLINT) AS year, CAST(month(date) AS SMALLINT) AS month_int,
+        rpad(lower(monthname(date)), 9, ' ') AS month, date, rest FROM calendar""",
+    "workout_days_per_year_percentage": f"""SELECT year, total_days, workout_days,
+        {_percent("workout_days", "total_days")} AS workout_percentage,
+        {_percent("total_days - workout_days", "total_days")} AS rest_percentage
+        FROM (SELECT year, dayofyear(make_date(year, 12, 31)) AS total_days, count(DISTINCT date) AS workout_days
+              FROM sets GROUP BY year)""",
+    "workout_frequency_weekday": "SELECT * FROM weekdays",
+}
+for _suffix, _end in (("", ""), ("_all", "_corrected")):
+    for _table, _mart, _old in (("by_month", "mom_changes_seconds", "last_month"), ("by_year", "yoy_changes_seconds", "last_year")):
+        MARTS[_mart + _end] = (f"SELECT * RENAME ({_old}_reps AS {_old}_seconds, total_reps AS total_seconds) "
+                               f"FROM {_table}{_suffix} WHERE exercise IN (FROM timed_names)")
+for _grain, _keys in (("daily", "date, "), ("monthly", "year, month_int, month, "), ("yearly", "year, "), ("total", "")):
+    for _kind, _flag in (("reps", "counted"), ("seconds", "timed")):
+        MARTS[f"{_grain}_{_kind}_per_exercise_weight"] = (
+            f"SELECT {_keys}exercise, added_weight, weight_unit, sum(amount) AS total_{_kind} "
+            f"FROM sets WHERE {_flag} GROUP BY ALL")
+for _grain, _keys in (("monthly", "year, month_int, month"), ("yearly", "year")):
+    _zero, _more = "count(*) FILTER (WHERE added_weight = 0)", "count(*) FILTER (WHERE added_weight > 0)"
+    MARTS[f"{_grain}_bodyweight_vs_weighted_workouts"] = f"""SELECT {_keys}, {_zero} AS bodyweight_sets,
+        {_more} AS weighted_sets, {_percent(_zero, f"{_zero} + {_more}")} AS bodyweight_percentage,
+        {_percent(_more, f"{_zero} + {_more}")} AS weighted_percentage FROM sets GROUP BY {_keys}"""
+for _mart, _keys in (("workouts_per_month_per_year", "year, month_int, month"), ("workout_sessions_per_year", "year"),
+                     ("yearly_workouts_per_type", "year, workout_type")):
+    MARTS[_mart] = f"SELECT {_keys}, count(DISTINCT workout_counter) AS total_workouts FROM sets GROUP BY {_keys}"
 
 # ---- output columns (in order) ------------------------------------------------
 
+_MOM = ("year, month_int, month, exercise, last_month_reps, total_reps, added_weight, "
+        "weight_unit, mom_percentage_change, mom_absolute_change")
+_YOY = ("year, month_int, month, exercise, last_year_reps, total_reps, added_weight, "
+        "weight_unit, yoy_percentage_change, yoy_absolute_change")
 _ROLL = "exercise, {m}, added_weight, weight_unit"
 COLUMNS: dict[str, str] = {
     "stg_workout_journal": ("month, month_int, weekday, weekday_int, year, date, deload_bool, "
@@ -293,13 +203,13 @@ COLUMNS: dict[str, str] = {
     "exercises_calculated_in_seconds": "exercise",
     "monthly_aggregates_every_possible_combination":
         "year, month_int, month, exercise, total_reps, added_weight, weight_unit",
-    "mom_changes": MOM_COLS,
-    "mom_changes_reps": MOM_COLS,
-    "mom_changes_seconds": MOM_COLS.replace("last_month_reps", "last_month_seconds")
+    "mom_changes": _MOM,
+    "mom_changes_reps": _MOM,
+    "mom_changes_seconds": _MOM.replace("last_month_reps", "last_month_seconds")
                                    .replace(" total_reps", " total_seconds"),
-    "yoy_changes": YOY_COLS,
-    "yoy_changes_reps": YOY_COLS,
-    "yoy_changes_seconds": YOY_COLS.replace("last_year_reps", "last_year_seconds")
+    "yoy_changes": _YOY,
+    "yoy_changes_reps": _YOY,
+    "yoy_changes_seconds": _YOY.replace("last_year_reps", "last_year_seconds")
                                    .replace(" total_reps", " total_seconds"),
     "monthly_added_volume_lifted": "year, month_int, month, exercise, total_added_volume, weight_unit",
     "monthly_bodyweight_vs_weighted_workouts": ("year, month_int, month, bodyweight_sets, weighted_sets, "
@@ -327,7 +237,7 @@ INT_COLUMNS = {
     "year", "month_int", "weekday_int", "workout_counter", "set_counter", "amount", "rest",
     "total_reps", "total_seconds", "last_month_reps", "last_month_seconds", "last_year_reps",
     "last_year_seconds", "mom_absolute_change", "yoy_absolute_change", "bodyweight_sets",
-    "weighted_sets", "total_workouts", "total_days", "workout_days", "deload", "weekday_position",
+    "weighted_sets", "total_workouts", "total_days", "workout_days", "deload", "weekday_position", "position", "violations",
 }
 NUM_COLUMNS = {
     "added_weight", "weight", "total_added_volume", "mom_percentage_change", "yoy_percentage_change",
@@ -350,75 +260,88 @@ def _edge_select(cols: str) -> str:
     return ", ".join(out)
 
 
-def build(name: str, ctes: list[str], body: str, cols: str) -> str:
-    parts = [*BASE, *ctes, f"\nq AS ({body}\n)"]
-    return "WITH " + ",".join(parts) + f"\nSELECT {_edge_select(cols)} FROM q"
+def compose(select: str, columns: str, given=(), **steps: str) -> str:
+    """``select`` with the steps it needs (``steps`` are its own) and edge-typed ``columns``.
 
+    Steps named in ``given`` are views that exist already.
+    """
+    known = {k: v for k, v in {**STEPS, **steps}.items() if k not in given}
+    order: list[str] = []
 
-def mart_sql(name: str) -> str:
-    ctes, body, _ = Q[name]
-    return build(name, ctes, body, COLUMNS[name])
+    def need(sql: str) -> None:
+        for name in re.findall(r"[a-z_]+", sql):
+            if name in known and name not in order and re.search(rf"(FROM|JOIN|,)\s+{name}\b", sql):
+                need(known[name])
+                order.append(name)
 
+    need(select)
+    clauses = [f"{name} AS ({known[name]})" for name in dict.fromkeys(order)]
+    return "WITH " + ",\n".join([*clauses, f"result AS ({select})"]) + f"\nSELECT {_edge_select(columns)} FROM result"
 
-def main_exercises_sql(names) -> str:
-    return build("main_exercises", [], _main_exercises(names), COLUMNS["main_exercises"])
 
+def mart_sql(name: str) -> str:
+    return compose(MARTS[name], COLUMNS[name])
 
-# ---- presentation queries (fixture parameters, FIXTURES.md §3) ------------------
 
-def _in_list(names) -> str:
-    return ", ".join(f"'{n}'" for n in names)
+def mart_sql_on_journal(name: str) -> str:
+    """The oracle for ``name`` starting from a registered ``journal`` view
+    (used to compare both engines on hand-made journals)."""
+    return compose(MARTS[name], COLUMNS[name], given=("journal",))
 
 
-def dashboard_sql(exercises, as_of=(2026, 6), year_bound=2025, unit_factor=2.2,
-                  weight_kg="10.00", year=2024) -> dict[str, str]:
-    ex = _in_list(exercises)
-    y, m = as_of
-    mcr = f"""
-mcr AS ({Q['mom_changes_reps'][1]}),
-dmom AS (
-    SELECT year, month_int, month, exercise, added_weight, last_month_reps, total_reps,
-           mom_percentage_change, mom_absolute_change
-    FROM mcr
-    WHERE ((year < {y}) OR (year = {y} AND month_int <= {m})) AND exercise IN ({ex})),
-dunits AS (
-    SELECT *, ROUND(added_weight * {unit_factor}, 2) AS display_weight, 'lbs' AS display_unit FROM dmom)"""
-    yoy = f"""
-yrpew AS ({Q['yearly_reps_per_exercise_weight'][1]}),
-dyoy AS (
-    SELECT year, exercise, added_weight, total_reps FROM yrpew
-    WHERE year <= {y} AND exercise IN ({ex}))"""
-    wk = f"""
-dweek AS (SELECT * FROM weekday_matrix WHERE year < {year_bound})"""
-    sel = f"ROUND(CAST({weight_kg} AS DECIMAL(5,2)) * {unit_factor}, 2)"
-    mom_cols = ("year, month_int, month, exercise, added_weight, last_month_reps, total_reps, "
-                "mom_percentage_change, mom_absolute_change")
-    order = _list(("sunday", "saturday", "friday", "thursday", "wednesday", "tuesday", "monday"))
-    grid = [GRID_FAITHFUL, MOM]
+def main_exercises_sql(names) -> str:
+    return compose(f"SELECT exercise FROM sets WHERE exercise IN ({_quoted(names)})", COLUMNS["main_exercises"])
+
+
+def ordered_sql(name: str, keys) -> str:
+    """A mart with each row's place among the rows that share the first sort key."""
+    first, *rest = keys
+    by = ", ".join(f"{k[1:]} DESC" if k.startswith("-") else k for k in rest)
+    return compose(f"SELECT *, rank() OVER (PARTITION BY {first} ORDER BY {by}) AS position FROM ({MARTS[name]})",
+                   COLUMNS[name] + ", position")
+
+
+# ---- presentation queries ------------------------------------------------------------
+
+def dashboard_sql(exercises, as_of, weight_kg, year) -> dict[str, str]:
+    """The presentation queries with the fixture's parameters."""
+    names, (y, m) = _quoted(exercises), as_of
+    view = ("year, month_int, month, exercise, added_weight, last_month_reps, total_reps, "
+            "mom_percentage_change, mom_absolute_change")
+    months = f"""SELECT * FROM ({MARTS["mom_changes_reps"]})
+        WHERE (year, month_int) <= ({y}, {m}) AND exercise IN ({names})"""
+    years = f"""SELECT * FROM ({MARTS["yearly_reps_per_exercise_weight"]})
+        WHERE year <= {y} AND exercise IN ({names})"""
+    shown = lambda unit, w: f"ROUND({w} * {LBS_PER_KG if unit == 'lbs' else 1}, 2)"
+    steps = {"month_view": months, "year_view": years,
+             "weekday_view": f"SELECT * FROM weekdays WHERE year < {WEEKDAY_YEAR_BOUND}"}
+    for unit in ("lbs", "kg"):
+        steps[f"month_{unit}"] = (f"SELECT *, {shown(unit, 'added_weight')} AS display_weight, "
+                                  f"'{unit}' AS display_unit FROM month_view")
+    chosen = f"display_weight = {shown('lbs', f'CAST({weight_kg} AS DECIMAL(5,2))')}"
+    more = view + ", display_weight, display_unit"
     specs = {
-        "dash_mom": (grid + [mcr], "SELECT * FROM dmom", mom_cols),
-        "dash_yoy": ([yoy], "SELECT * FROM dyoy", "year, exercise, added_weight, total_reps"),
-        "dash_weekday": ([WEEKDAY, wk], "SELECT * FROM dweek", "year, weekday_int, weekday, total_workouts"),
-        "dash_units": (grid + [mcr], "SELECT * FROM dunits", mom_cols + ", display_weight, display_unit"),
-        "dash_weight_options": (grid + [mcr], "SELECT DISTINCT display_weight FROM dunits", "display_weight"),
-        "dash_year_options": (grid + [mcr], "SELECT DISTINCT year FROM dmom", "year"),
-        "dash_filter": (grid + [mcr], f"SELECT * FROM dunits WHERE display_weight = {sel}",
-                        mom_cols + ", display_weight, display_unit"),
-        "dash_month_date": (grid + [mcr],
-                            f"SELECT *, make_date(year, month_int, 1) AS date FROM dunits "
-                            f"WHERE display_weight = {sel}",
-                            mom_cols + ", display_weight, display_unit, date"),
-        "dash_yearly_sorted": ([yoy], f"SELECT *, ROUND(added_weight * {unit_factor}, 2) AS display_weight, "
-                                      f"'lbs' AS display_unit FROM dyoy WHERE year = {year}",
-                               "year, exercise, added_weight, total_reps, display_weight, display_unit"),
-        "dash_bubble": (grid + [mcr], f"SELECT * FROM dunits WHERE year = {year}",
-                        mom_cols + ", display_weight, display_unit"),
-        "dash_heatmap": ([WEEKDAY, wk], f"""
-    SELECT year, weekday, SUM(total_workouts) AS total_workouts,
-           CAST(list_position({order}, weekday) AS INTEGER) AS weekday_position
-    FROM dweek GROUP BY year, weekday""", "year, weekday, total_workouts, weekday_position"),
+        "dash_mom": ("SELECT * FROM month_view", view),
+        "dash_yoy": ("SELECT * FROM year_view", "year, exercise, added_weight, total_reps"),
+        "dash_weekday": ("SELECT * FROM weekday_view", "year, weekday_int, weekday, total_workouts"),
+        "dash_units": ("SELECT * FROM month_lbs", more),
+        "dash_units_kg": ("SELECT * FROM month_kg", more),
+        "dash_weight_options": ("SELECT display_weight, row_number() OVER (ORDER BY display_weight) AS position "
+                                "FROM (SELECT DISTINCT display_weight FROM month_lbs)", "display_weight, position"),
+        "dash_year_options": ("SELECT year, row_number() OVER (ORDER BY year) AS position "
+                              "FROM (SELECT DISTINCT year FROM month_view)", "year, position"),
+        "dash_filter": (f"SELECT * FROM month_lbs WHERE {chosen}", more),
+        "dash_month_date": (f"SELECT *, make_date(year, month_int, 1) AS date FROM month_lbs WHERE {chosen}", more + ", date"),
+        "dash_yearly_sorted": (
+            f"SELECT *, 'lbs' AS display_unit, rank() OVER (ORDER BY exercise, total_reps, display_weight) AS position "
+            f"FROM (SELECT *, {shown('lbs', 'added_weight')} AS display_weight FROM year_view WHERE year = {year})",
+            "year, exercise, added_weight, total_reps, display_weight, display_unit, position"),
+        "dash_bubble": (f"SELECT * FROM month_lbs WHERE year = {year}", more),
+        "dash_heatmap": (f"""SELECT year, weekday, SUM(total_workouts) AS total_workouts,
+            CAST(list_position({_array(HEATMAP_WEEKDAY_ORDER)}, weekday) AS INTEGER) AS weekday_position
+            FROM weekday_view GROUP BY year, weekday""", "year, weekday, total_workouts, weekday_position"),
     }
-    return {k: build(k, c, b, cols) for k, (c, b, cols) in specs.items()}
+    return {k: compose(sql, cols, **steps) for k, (sql, cols) in specs.items()}
 
 
 # ---- grid parser round trip, weight texts, quality report ----------------------
@@ -453,17 +376,17 @@ SELECT lower(monthname(dt)) AS month, lower(dayname(dt)) AS weekday, dt AS date,
 FROM lines
 WHERE year(dt) <> 2023"""
 
-CLEAN_WEIGHT = "WITH " + _FIXTURE_LINES.strip() + """,
-texts AS (
-    SELECT DISTINCT CASE WHEN w_kg = 0 THEN 'Bodyweight' ELSE CAST(w_kg AS VARCHAR) || 'kg' END AS weight_text
-    FROM lines)
-SELECT weight_text,
-       CAST(CAST(round(CASE WHEN contains(weight_text, 'Bodyweight') THEN 0.0
-                            WHEN contains(weight_text, 'kg')
-                            THEN TRY_CAST(trim(split_part(weight_text, 'kg', 1)) AS DOUBLE) END, 2)
-                 AS DECIMAL(5,2)) AS DOUBLE) AS weight,
-       CASE WHEN contains(weight_text, 'Bodyweight') OR contains(weight_text, 'kg') THEN 'kg' END AS weight_unit
-FROM texts"""
+# weight texts of the odd cells fixture, parsed: what Python's float() reads before the first 'kg'
+CLEAN_WEIGHT = f"""
+WITH texts AS (SELECT DISTINCT {ODD_SQL["weight_text"]} AS weight_text FROM lineitem),
+parts AS (SELECT weight_text, contains(weight_text, 'Bodyweight') AS body, contains(weight_text, 'kg') AS kg,
+                 trim(split_part(weight_text, 'kg', 1)) AS number FROM texts),
+numbers AS (SELECT *, CASE WHEN body THEN 0.0
+                           WHEN kg AND regexp_full_match(number, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')
+                           THEN TRY_CAST(number AS DOUBLE) END AS value FROM parts)
+SELECT weight_text, CASE WHEN abs(value) < 999.995 THEN round_even(value * 100, 0) / 100 END AS weight,
+       CASE WHEN body OR kg THEN 'kg' END AS weight_unit
+FROM numbers"""
 
 _NOT_NULL = ("month weekday date deload workout_counter set_counter type section exercise weight "
              "weight_unit grip amount rest").split()
@@ -471,26 +394,20 @@ _RULES = [(f"not_null_{c}", f"{c} IS NULL") for c in _NOT_NULL] + [
     ("unit_allowed", "weight_unit NOT IN ('kg', 'lbs')"),
     ("deload_is_flag", "deload NOT IN (0, 1)"),
     ("weight_fits_5_2", "abs(weight) >= 1000"),
-    ("month_name_known", f"list_position({_list(MONTH_NAMES)}, month) IS NULL AND month IS NOT NULL"),
-    ("weekday_name_known", f"list_position({_list(WEEKDAY_NAMES)}, weekday) IS NULL AND weekday IS NOT NULL"),
+    ("month_name_known", f"list_position({_array(MONTH_NAMES)}, month) IS NULL AND month IS NOT NULL"),
+    ("weekday_name_known", f"list_position({_array(WEEKDAY_NAMES)}, weekday) IS NULL AND weekday IS NOT NULL"),
     ("month_matches_date", "month <> lower(monthname(date))"),
     ("weekday_matches_date", "weekday <> lower(dayname(date))"),
     ("negative_amount", "amount < 0"),
 ]
-CHECK_JOURNAL = "WITH " + JOURNAL.strip() + ",\nrules AS (\n" + "\n    UNION ALL\n".join(
-    f"    SELECT '{n}' AS rule, CAST(COUNT(*) FILTER (WHERE {p}) AS BIGINT) AS violations FROM journal"
-    for n, p in _RULES) + """
-    UNION ALL
-    SELECT 'one_unit_per_cell' AS rule, CAST(COUNT(*) FILTER (WHERE variants > 1) AS BIGINT) AS violations
-    FROM (SELECT year(date) AS y, list_position(""" + _list(MONTH_NAMES) + """, month) AS m, exercise, weight,
-                 COUNT(DISTINCT (month, weight_unit)) AS variants
-          FROM journal GROUP BY 1, 2, 3, 4) cells)
-SELECT rule, violations FROM rules"""
-
-
-def mart_sql_on_journal(name: str) -> str:
-    """The oracle for ``name`` starting from a registered ``journal`` view
-    (used to compare both engines on hand-made journals)."""
-    ctes, body, _ = Q[name]
-    parts = [STG, DIMS, *ctes, f"\nq AS ({body}\n)"]
-    return "WITH " + ",".join(parts) + f"\nSELECT {_edge_select(COLUMNS[name])} FROM q"
+STEPS["odd_lines"] = f"""
+    SELECT * REPLACE ({", ".join(f"{sql} AS {c}" for c, sql in ODD_SQL.items() if c != "weight_text")})
+    FROM (SELECT *, {STEPS["journal"].strip()[len("SELECT "):]})"""
+STEPS["cell_variants"] = f"""
+    SELECT count(DISTINCT (month, weight_unit)) FILTER (WHERE month IS NOT NULL AND weight_unit IS NOT NULL) AS variants
+    FROM odd_lines
+    GROUP BY year(date), list_position({_array(MONTH_NAMES)}, month), exercise, weight"""
+CHECK_JOURNAL = compose(
+    " UNION ALL ".join([f"SELECT '{n}' AS rule, count(*) FILTER (WHERE {p}) AS violations FROM odd_lines" for n, p in _RULES]
+                       + ["SELECT 'one_unit_per_cell', count(*) FILTER (WHERE variants > 1) FROM cell_variants"]),
+    "rule, violations")

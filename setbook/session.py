@@ -89,3 +89,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir() or d
     spark.conf.set("spark.checkpoint.dir", d)
     return d
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have the file system delete ``path`` when the application's JVM ends."""
+    sc = _context(spark)
+    if sc is not None:
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(target)

@@ -3,7 +3,8 @@ renders the driver tables as a training-log workbook (FIXTURES.md §5).
 
 Layout of one session (one order) inside sheet ``year(dt)`` of workbook
 ``o_custkey`` (one log per customer; ``workbooks=n`` folds them into n
-workbooks instead), rows at ``base = (dayofyear*10^10 + orderkey)*10^4``:
+workbooks instead), rows at ``base = n*10^4``, n the number of the session
+within its sheet by date and order key:
 
   base+0        Month name
   base+1        [date serial, 'Deload' | '', Weekday, type, 'N/365']
@@ -14,7 +15,8 @@ workbooks instead), rows at ``base = (dayofyear*10^10 + orderkey)*10^4``:
   base+S+3000   'Total Reps' and a number (must be ignored)
 
 Rows need no global numbering, so cells are produced by narrow
-transformations plus one window (set order inside a section).  One log per
+transformations plus two windows (session order inside a sheet, set order
+inside a section).  One log per
 customer keeps every sheet small at any scale, as real logs are (a sheet
 is bounded by the workbook format); folding all customers into a fixed
 number of workbooks would make sheets grow with the data.
@@ -26,18 +28,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.calendar import month_name, weekday_name
 from ..functions.vocab import COLUMN_HEADERS
 from .journal import DATE_SHIFT_MONTHS
 from .tables import read_table
 
 CELLS_SCHEMA = T.StructType([
-    T.StructField("workbook_id", T.IntegerType()),
+    T.StructField("workbook_id", T.LongType()),
     T.StructField("sheet", T.StringType()),
     T.StructField("r", T.LongType()),
     T.StructField("c", T.IntegerType()),
     T.StructField("sv", T.StringType()),
     T.StructField("nv", T.DoubleType()),
+    T.StructField("date_mode", T.IntegerType()),     # 0 = 1900 epoch, 1 = 1904; NULL = the reader's default
 ])
 
 SECTION_ROW = {"F": 1000, "other": 5000}
@@ -57,14 +59,13 @@ def _sessions(spark: SparkSession, sf_dir: str, workbooks: int | None) -> DataFr
     o = read_table(spark, sf_dir, "orders",
                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"])
     dt = F.add_months(F.col("o_orderdate").cast("date"), DATE_SHIFT_MONTHS)
-    return o.select(
+    sessions = o.select(
         "o_orderkey", "o_orderstatus", "o_orderpriority",
-        (F.col("o_custkey") % workbooks if workbooks else F.col("o_custkey")).cast("int")
-        .alias("workbook_id"),
+        (F.col("o_custkey") % workbooks if workbooks else F.col("o_custkey")).cast("bigint").alias("workbook_id"),
         dt.alias("dt"),
-        F.year(dt).cast("string").alias("sheet"),
-        ((F.dayofyear(dt).cast("bigint") * 10**10 + F.col("o_orderkey")) * 10**4).alias("base"),
-    )
+        F.year(dt).cast("string").alias("sheet"))
+    in_sheet = Window.partitionBy("workbook_id", "sheet").orderBy("dt", "o_orderkey")
+    return sessions.withColumn("base", F.row_number().over(in_sheet).cast("bigint") * 10**4)
 
 
 def _lines(spark: SparkSession, sf_dir: str, sessions: DataFrame) -> DataFrame:
@@ -120,30 +121,5 @@ def cells_from_tables(spark: SparkSession, sf_dir: str, workbooks: int | None =
     # a section also writes the section frame (name, headers, total row)
     per_line = F.when(F.col("set_idx") == 1, F.concat(value_cells, frame_cells)).otherwise(value_cells)
     body = lines.select("workbook_id", "sheet", F.inline(per_line))
-    return header.unionByName(body)
-
+    return header.unionByName(body).withColumn("date_mode", F.lit(None).cast("int"))
 
-def journal_from_cells_fixture(spark: SparkSession, sf_dir: str, workbooks: int | None = None) -> DataFrame:
-    """The rows the parser must recover from ``cells_from_tables`` (the
-    round-trip oracle, computed directly from the tables)."""
-    s = _sessions(spark, sf_dir, workbooks)
-    lines = _lines(spark, sf_dir, s)
-    exercise = F.concat(F.lower("p_brand"),
-                        F.when(F.col("p_size") % 10 == 0, F.lit(" hold (s)"))
-                         .when(F.col("p_size") % 10 == 1, F.lit(" + dips")).otherwise(F.lit("")))
-    return lines.where(F.col("sheet") != "2023").select(
-        month_name("dt").alias("month"),
-        weekday_name("dt").alias("weekday"),
-        F.col("dt").alias("date"),
-        F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).cast("smallint").alias("deload"),
-        F.dayofyear("dt").cast("smallint").alias("workout_counter"),
-        F.col("set_idx").cast("smallint").alias("set_counter"),
-        F.lower("o_orderpriority").alias("type"),
-        F.when(F.col("l_linestatus") == "F", "pull").otherwise("push").alias("section"),
-        exercise.alias("exercise"),
-        F.col("w_kg").alias("weight"),
-        F.lit("kg").alias("weight_unit"),
-        F.lower("l_returnflag").alias("grip"),
-        F.col("l_quantity").cast("smallint").alias("amount"),
-        (F.round(F.col("l_tax") * 100).cast("int") * 15).cast("smallint").alias("rest"),
-    )

@@ -61,12 +61,12 @@ def test_dashboard_reads_built_marts(spark):
         (D.dash_mom(None, exercises=ex, mom_reps=src["mom_reps"]), D.dash_mom(stg, exercises=ex)),
         (D.dash_yoy(None, exercises=ex, yearly_reps=src["yearly_reps"]), D.dash_yoy(stg, exercises=ex)),
         (D.dash_heatmap(None, weekday_matrix=src["weekday_matrix"]), D.dash_heatmap(stg)),
-        (D.dash_filter(None, exercises=ex, mom_reps=src["mom_reps"]), D.dash_filter(stg, exercises=ex)),
+        (D.dash_filter(None, 10, exercises=ex, mom_reps=src["mom_reps"]), D.dash_filter(stg, 10, exercises=ex)),
     ]
     for built, lazy in pairs:
         assert built.count() == lazy.count() > 0
         assert built.exceptAll(lazy).count() == 0
-    rows = D.ordered("dash_yearly_sorted", D.dash_yearly_sorted(stg, exercises=ex)).collect()
+    rows = D.ordered("dash_yearly_sorted", D.dash_yearly_sorted(stg, 2024, exercises=ex)).collect()
     keys = [(r.exercise, r.total_reps, r.display_weight) for r in rows]
     assert keys == sorted(keys)
 

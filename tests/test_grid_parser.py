@@ -3,7 +3,8 @@
 import datetime as dt
 
 from setbook.operators.grid import clean_journal, parse_journal_cells
-from setbook.sources.cells import CELLS_SCHEMA, cells_from_tables, journal_from_cells_fixture
+from cells_journal import journal_from_cells_fixture
+from setbook.sources.cells import CELLS_SCHEMA, cells_from_tables
 
 from conftest import SF_SMALL
 
@@ -19,9 +20,9 @@ def sheet_cells(rows, sheet="2024", workbook=1):
             if v is None:
                 continue
             if isinstance(v, str):
-                out.append((workbook, sheet, r, c, v, None))
+                out.append((workbook, sheet, r, c, v, None, None))
             else:
-                out.append((workbook, sheet, r, c, None, float(v)))
+                out.append((workbook, sheet, r, c, None, float(v), None))
     return out
 
 

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from setbook.plans import catalog
 
 sys_path_tools = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools")
 import sys  # noqa: E402
@@ -14,8 +15,8 @@ import sys  # noqa: E402
 sys.path.insert(0, sys_path_tools)
 from check_oracle import TABLES, digest  # noqa: E402
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -64,7 +64,7 @@ def messy_journal(seed: int, multi_unit: bool):
 
 
 # marts whose window order has no ties whatever the data (no LAG over duplicated months)
-ALL = [n for n in oracle.Q if n in M.MARTS]
+ALL = [n for n in oracle.MARTS if n in M.MARTS]
 NO_LAG = [n for n in ALL if not n.startswith(("mom_", "yoy_"))]
 
 

@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from setbook.plans import catalog
 
-QUERIES = E.queries()
+QUERIES = catalog.queries()
 
 
 def plan_text(df):
@@ -35,6 +35,16 @@ def test_month_grid_single_entity_exchange(spark):
     assert not any("Join" in ln for ln in main)
 
 
+def test_registered_queries_scan_few_columns(spark):
+    plan = plan_text(QUERIES["dash_yoy"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(exercise)" in plan and "StringContains(exercise,(s))" in plan
+    assert "ReadSchema: struct<date:date,exercise:string,weight:decimal(5,2),weight_unit:string,amount:smallint>" in plan
+    plan = plan_text(QUERIES["workout_vs_rest_days"](spark, SF_SMALL))
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<date:date>" in plan
+    for name in ("workout_frequency_weekday", "daily_reps_per_exercise_weight", "yearly_workouts_per_type"):
+        assert plan_text(QUERIES[name](spark, SF_SMALL)).count("FileScan") == 1, name
+
+
 def test_filters_reach_the_scan(spark):
     from setbook.sources.journal import read_journal, write_journal, derive_journal
     import tempfile
