@@ -34,21 +34,23 @@ def summarise(plan: str) -> dict:
 
 
 def main():
-    import __spark_entry__ as E
+    from setbook.plans import catalog
     from setbook.session import get_spark
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_spark("local[8]", shuffle_partitions=16)
+    spark = get_spark("local[8]", shuffle_partitions=16, conf={"spark.driver.memory": "8g"})
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `python tools/plan_report.py {sf_dir}` from the final adaptive plans "
           "(after one run). Shuffles count hash/range/single-partition exchanges, including those "
-          "inside scalar subqueries; `ExistingRDD` scans read the checkpointed journal.\n")
+          "inside scalar subqueries.\n")
     print("| query | shuffles | sorts | windows | joins | broadcasts | scans | pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()          # runs this very execution, so its adaptive plan is the final one
         plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=false" not in plan, name
+        plan = plan.split("+- == Initial Plan ==")[0]
         s = summarise(plan)
         print(f"| {name} | {s['shuffles']} | {s['sorts']} | {s['windows']} | {s['joins']} | "
               f"{s['broadcasts']} | {s['scans']} | {s['pushed']} |")
