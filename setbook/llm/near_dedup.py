@@ -10,11 +10,14 @@
    registers of a band share a bucket; 24 bands of 5 registers miss a pair of
    similarity 0.8 with probability below 1e-4.
 3. A bucket is never expanded into all pairs.  Every node is compared with
-   two leaders of each of its buckets (a random member, different in each
-   band), which joins the bulk of any group, however large.  What is still
-   in another class than most of its bucket is then compared with all
-   members outside its class, so no pair that shares a bucket stays
-   untested across classes.
+   two leaders of each of its buckets: the most central member (the one
+   that shares buckets with most others, as the original of a group of
+   copies does) and a random one.  That joins the bulk of any group, however
+   large.  What is still in another class than most of its bucket is then
+   compared with all members outside its class: pair by pair in small
+   buckets, else as a query set against all members, in blocks, which
+   yields links only.  So no pair that shares a bucket stays untested
+   across classes.
 4. Compared means: the exact similarity of the whole texts' shingles is
    computed and must reach ``similarity``.  Connected components of these
    links are the classes.
@@ -40,6 +43,7 @@ from .components import components
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
+SMALL_BUCKET = 32          # members; larger buckets are compared in blocks
 _M = BANDS * ROWS
 _MEMO_WORDS = 500_000
 
@@ -168,39 +172,94 @@ def _verified(pairs: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
     return pairs.join(side("u"), "u").join(side("v"), "v").mapInPandas(run, "u long, v long, sim double").distinct()
 
 
-def _leader_pairs(shared: DataFrame, rounds: int = 2) -> DataFrame:
-    """Distinct (u, v), u < v: every bucket member with the bucket's leader of each round."""
-    out = None
-    for r in range(rounds):
-        mask = F.xxhash64("band", F.lit(r))
-        lead = shared.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(mask)).alias("x")).select(
-            "band", F.col("x").bitwiseXOR(mask).alias("leader"))
-        pairs = shared.join(lead, "band").where(F.col("node") != F.col("leader")).select(
-            F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v"))
-        out = pairs if out is None else out.unionByName(pairs)
-    return out.distinct()
+def _leader_pairs(shared: DataFrame) -> DataFrame:
+    """Distinct (u, v), u < v: every bucket member with the bucket's two leaders."""
+    sizes = shared.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    reach = shared.join(sizes, "band").groupBy("node").agg(F.sum("n").alias("reach"))
+    central = shared.join(reach, "node").groupBy("band").agg(
+        F.max(F.struct("reach", "node"))["node"].alias("leader"))
+    mask = F.xxhash64("band")
+    random = shared.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(mask)).alias("x")).select(
+        "band", F.col("x").bitwiseXOR(mask).alias("leader"))
+    pairs = shared.join(central.unionByName(random), "band").where(F.col("node") != F.col("leader"))
+    return pairs.select(F.least("node", "leader").alias("u"), F.greatest("node", "leader").alias("v")).distinct()
 
 
-def _rest_pairs(shared: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of a bucket that are in different classes and untested.
-
-    One side is always outside the bucket's largest class, so a bucket whose
-    members have been joined costs nothing.
-    """
+def _unjoined(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """(band, node, root, main, n): the rows of buckets with more than one class, and their largest class."""
     rows = shared.join(classes, shared["node"] == classes["member"], "left").select(
         "band", "node", F.coalesce("root", "node").alias("root"))
     sizes = rows.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"),
                                       F.sum("n").alias("n"), F.count(F.lit(1)).alias("roots"))
-    mixed = mixed.where((F.col("roots") > 1) & (F.col("n") > 2)).select("band", "main")
-    rows = stored(rows.join(mixed, "band"), "mixed")
-    left = rows.where(F.col("root") != F.col("main")).select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
-    right = rows.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), "main")
+    return rows.join(mixed.where((F.col("roots") > 1) & (F.col("n") > 2)).drop("roots"), "band")
+
+
+def _rest_pairs(unjoined: DataFrame, tested: DataFrame) -> DataFrame:
+    """Untested pairs of a bucket that are in different classes; one side is always outside its largest class."""
+    left = unjoined.where(F.col("root") != F.col("main")).select("band", F.col("node").alias("a"), F.col("root").alias("ra"))
+    right = unjoined.select("band", F.col("node").alias("b"), F.col("root").alias("rb"), "main")
     across = (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b")))
     pairs = left.join(right, "band").where(across).select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
     return pairs.distinct().join(tested, ["u", "v"], "left_anti")
 
 
+def block_links(queries: list, members: list, least: float) -> Iterator[tuple[int, int, float]]:
+    """Links (node, node, similarity) of queries with members of other classes.
+
+    Both are lists of (node, class, hashes, counts).  Postings of the members'
+    shingles give, for each query, the mass of both sides on common shingles;
+    their minimum bounds the similarity, which is computed where it can reach
+    ``least``.
+    """
+    owner = np.repeat(np.arange(len(members)), [len(m[2]) for m in members])
+    hashes = np.concatenate([m[2] for m in members])
+    counts = np.concatenate([m[3] for m in members]).astype(float)
+    order = np.argsort(hashes, kind="stable")
+    owner, hashes, counts = owner[order], hashes[order], counts[order]
+    total = np.array([m[3].sum() for m in members], float)
+    classes = np.array([m[1] for m in members])
+    for node, root, h, c in queries:
+        lo, hi = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        mine = np.bincount(owner[at], np.repeat(c.astype(float), n), len(members)) / c.sum()
+        theirs = np.bincount(owner[at], counts[at], len(members)) / total
+        for k in np.flatnonzero((np.minimum(mine, theirs) >= least - 1e-9) & (classes != root)).tolist():
+            sim = similarity((h, c), members[k][2:])
+            if sim >= least:
+                yield node, members[k][0], sim
+
+
+def _rest_links(unjoined: DataFrame, profiles: DataFrame, least: float, queries: int = 512, members: int = 512) -> DataFrame:
+    """Links (u, v, sim) across the classes of large buckets.
+
+    The buckets of one main class are taken together: what is outside it is
+    the query set.  Queries and members are dealt into blocks by hash, and
+    every cell (a block of queries, a block of members) is one group of
+    bounded size.
+    """
+    asked = unjoined.where(F.col("root") != F.col("main")).select("main", "node", "root").distinct()
+    there = unjoined.select("main", "node", "root").distinct()
+    blocks = (asked.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / queries).cast("int").alias("qs"))
+              .join(there.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / members).cast("int").alias("ms")), "main"))
+    draw = F.xxhash64("node")
+    side = lambda rows, name, own, other, is_query: rows.join(blocks, "main").join(profiles, "node").select(
+        "main", "node", "root", "hashes", "counts", F.lit(is_query).alias("query"),
+        F.pmod(draw, F.col(own)).cast("int").alias(name),
+        F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("q" if name == "m" else "m"))
+    cells = side(asked, "q", "qs", "ms", True).unionByName(side(there, "m", "ms", "qs", False))
+
+    def run(cell: pd.DataFrame) -> pd.DataFrame:
+        rows = [(n, r, np.frombuffer(h, np.uint64), np.frombuffer(c, np.uint32), q) for n, r, h, c, q in
+                zip(cell["node"], cell["root"], cell["hashes"], cell["counts"], cell["query"])]
+        found = list(block_links([x[:4] for x in rows if x[4]], [x[:4] for x in rows if not x[4]], least)) \
+            if any(x[4] for x in rows) and not all(x[4] for x in rows) else []
+        return pd.DataFrame([(min(a, b), max(a, b), s) for a, b, s in found], columns=["u", "v", "sim"])
+
+    return cells.groupBy("main", "q", "m").applyInPandas(run, "u long, v long, sim double").distinct()
+
+
 def near_links(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(rows, links): the signed rows with their node, and verified links (u, v, sim) between nodes."""
     bounded_batches(docs.sparkSession)
@@ -219,8 +278,10 @@ def near_links(docs: DataFrame, least: float = 0.8) -> tuple[DataFrame, DataFram
     tested = stored(_leader_pairs(shared), "pairs")
     links = stored(_verified(tested, profiles, least), "links")
     classes = components(links).withColumnRenamed("node", "member")
-    more = stored(_verified(_rest_pairs(shared, classes, tested), profiles, least), "links")
-    return rows, links.unionByName(more)
+    unjoined = stored(_unjoined(shared, classes), "unjoined")
+    few = stored(_verified(_rest_pairs(unjoined.where(F.col("n") <= SMALL_BUCKET), tested), profiles, least), "links")
+    many = stored(_rest_links(unjoined.where(F.col("n") > SMALL_BUCKET), profiles, least), "links")
+    return rows, links.unionByName(few).unionByName(many)
 
 
 def near_classes(docs: DataFrame, least: float = 0.8) -> DataFrame:

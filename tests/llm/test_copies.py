@@ -107,6 +107,36 @@ def test_near_classes_brute_force(docs_of, odd_texts):
     assert sorted(x["doc_id"] for x in kept.collect()) == sorted(sizes)
 
 
+def test_large_buckets_are_compared_in_blocks(spark):
+    """A query set against all members, in blocks of every size, finds exactly the links across classes."""
+    r = random.Random(12)
+    base = [words(90, 40), words(91, 40)]
+    texts = [t for k, b in enumerate(base) for t in variants(k, b, 25, 0.02)]
+    texts += [t + " " + " ".join(["loop"] * 40) for t in variants(7, base[0], 6, 0.02)]
+    hashes = near_dedup.WordHashes()
+    found = [near_dedup.shingles(t, hashes) for t in texts]
+    root = {i: (0 if r.random() < 0.5 else i) for i in range(len(texts))}
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if root[i] != root[j]
+            and near_dedup.similarity(found[i], found[j]) >= 0.8}
+    profiles = spark.createDataFrame(
+        [(i, bytearray(h.tobytes()), bytearray(c.astype(np.uint32).tobytes())) for i, (h, c) in enumerate(found)],
+        "node long, hashes binary, counts binary")
+    unjoined = spark.createDataFrame([(b, i, root[i], 0, len(texts)) for i in range(len(texts)) for b in (1, 2)],
+                                     "band long, node long, root long, main long, n long")
+    for q, m in ((512, 512), (7, 5), (1, 1000)):
+        got = near_dedup._rest_links(unjoined, profiles, 0.8, q, m).collect()
+        assert {(x["u"], x["v"]) for x in got} == want and len(got) == len(want) > 50
+    assert near_dedup._rest_links(unjoined.limit(0), profiles, 0.8).count() == 0
+
+
+def test_near_classes_with_blocks_only(docs_of, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 2)
+    texts = [t for k in range(3) for t in variants(k, words(k, 80), 12, 0.02)]
+    rows = [(i * 3 + 1, t) for i, t in enumerate(texts)]
+    out = near_dedup.near_classes(docs_of(rows)).collect()
+    assert {x["doc_id"]: x["class_id"] for x in out} == brute_classes(rows)
+
+
 def test_near_classes_edges(docs_of):
     assert near_dedup.near_classes(docs_of(["a"]).limit(0)).count() == 0
     out = near_dedup.near_classes(docs_of([(None, "a b"), (None, "a b"), (3, "a  b"), (4, "c")])).collect()
@@ -118,7 +148,7 @@ def test_rest_pairs_reach_across_classes(spark):
     shared = spark.createDataFrame([(1, n) for n in range(6)] + [(2, 8), (2, 9)], "band long, node long")
     classes = spark.createDataFrame([(0, 0), (1, 0), (2, 0), (3, 3), (4, 3)], "member long, root long")
     tested = spark.createDataFrame([(0, 3), (8, 9)], "u long, v long")
-    got = {tuple(x) for x in near_dedup._rest_pairs(shared, classes, tested).collect()}
+    got = {tuple(x) for x in near_dedup._rest_pairs(near_dedup._unjoined(shared, classes), tested).collect()}
     assert got == {(1, 3), (2, 3), (0, 4), (1, 4), (2, 4), (0, 5), (1, 5), (2, 5), (3, 5), (4, 5)}
 
 
