@@ -180,8 +180,9 @@ class Candidates:
 def search(docs: DataFrame, kind: Kind, block_units: int) -> Candidates:
     """Find the contexts that may hold repeated windows in ``docs`` (id, tkey, text)."""
     bounded_batches(docs.sparkSession)
-    repeated = (docs.select("text").mapInArrow(_anchors_only(kind), "anchor long")
-                .groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
+    # stored, so that the join below is one of two plain shuffles, whose hot anchors AQE splits
+    repeated = stored(docs.select("text").mapInArrow(_anchors_only(kind), "anchor long")
+                      .groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
     members = stored(docs.mapInArrow(_context_rows(kind), _ROWS).join(repeated, "anchor"), "contexts")
     classes = stored(members.groupBy("anchor", "ctx").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "tkey", "i0", "i1")).alias("rep")), "classes")
@@ -236,12 +237,13 @@ def _cut_windows(kind: Kind) -> Callable:
 RUNS = "id long, tkey long, s0 int, s1 int"
 
 
-def compared(found: Candidates, kind: Kind, block_units: int, compare: Callable) -> DataFrame:
+def compared(found: Candidates, kind: Kind, batch_units: int, compare: Callable) -> DataFrame:
     """Runs of windows (id, tkey, s0, s1) that ``compare`` reports, block by block.
 
     ``compare`` gets a list of (id, tkey, i0, content) of whole anchors, about
-    ``block_units`` units, and yields (index of the context, first, last) of
-    runs of windows counted from the context's start.
+    ``batch_units`` units (one anchor alone may fill a block), and yields
+    (index of the context, first, last) of runs of windows counted from the
+    context's start.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def closed(block):
@@ -255,7 +257,7 @@ def compared(found: Candidates, kind: Kind, block_units: int, compare: Callable)
         block, size, last = [], 0, None
         for b in batches:
             for r in b.to_pylist():
-                if block and r["anchor"] != last and size >= block_units:
+                if block and r["anchor"] != last and size >= batch_units:
                     yield closed(block)
                     block, size = [], 0
                 last = r["anchor"]

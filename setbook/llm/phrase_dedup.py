@@ -5,7 +5,7 @@ also starts earlier (smaller doc_id, or same document, earlier start).
 
 1. Anchors (``anchors``) lead to the contexts in which a window may recur;
    equal contexts are one row.
-2. Each shard of contexts (whole anchors, about ``block_words`` words)
+2. Each shard of contexts (whole anchors, about ``BATCH_WORDS`` words)
    confirms its recurring windows: those whose hash occurs twice become
    phrases.
 3. The phrases are compiled into an Aho-Corasick automaton over words, and
@@ -36,7 +36,8 @@ from . import anchors
 from .common import documents, normalised, stored
 
 WIDTH, GRAM = 20, 8
-BLOCK_WORDS = 50_000
+BLOCK_WORDS = 50_000             # contexts of one anchor beyond this are dealt out by window
+BATCH_WORDS = 10_000             # contexts of one automaton
 _MEMO_WORDS = 500_000
 _HASHES: dict[bytes, int] = {}
 
@@ -164,7 +165,7 @@ def later_runs(docs: DataFrame, width: int = WIDTH, gram: int = GRAM,
         "anchor", "ctx", F.struct("rep.id", "rep.tkey", "rep.i0").alias("first"))
     copies = found.members.join(first, ["anchor", "ctx"]).where(here != F.col("first")).select(
         "id", "tkey", F.col("i0").alias("s0"), F.col("i1").alias("s1"))
-    phrases = anchors.compared(found, k, block_words, _compare(width))
+    phrases = anchors.compared(found, k, BATCH_WORDS, _compare(width))
     windows = stored(anchors.hot_windows(found, k), "hot-windows")
     place = F.struct("id", "tkey", "s0")
     least = windows.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")

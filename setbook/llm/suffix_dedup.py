@@ -32,7 +32,8 @@ from . import anchors
 from .common import documents, stored
 
 WIDTH = 400
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 19           # contexts of one anchor beyond this are dealt out by window
+BATCH_BYTES = 1 << 16           # contexts sorted together; fits a core's cache
 _END = b"\xff"                  # in no UTF-8 text
 _BYTE_UNITS = anchors.mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -157,7 +158,7 @@ def repeated_runs(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_
     found = anchors.search(docs, k, block_bytes)
     copies = found.members.join(found.classes.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"]).select(
         "id", "tkey", F.col("i0").alias("s0"), F.col("i1").alias("s1"))
-    sorted_runs = anchors.compared(found, k, block_bytes, _compare(width))
+    sorted_runs = anchors.compared(found, k, BATCH_BYTES, _compare(width))
     windows = stored(anchors.hot_windows(found, k), "hot-windows")
     again = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
     hot = windows.join(again, ["w1", "w2"]).select("id", "tkey", "s0", F.col("s0").alias("s1"))
