@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import delete_at_end, ensure_checkpoint_dir
 from ..sources.tables import read_table
 
 # fixed value: the white space of the contracts, as a Java regex class
@@ -20,8 +20,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder name below the shared checkpoint folder; it goes when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    delete_at_end(spark, path)
+    return path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
