@@ -117,15 +117,6 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(*identity(), whole_text().alias("text"))
 
 
-def _anchors_only(kind: Kind) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [contexts(kind.open(t)[0], kind.width, kind.gram)[0] for t in b.column("text").to_pylist()]
-            if found:
-                yield pa.RecordBatch.from_pydict({"anchor": np.concatenate(found).view(np.int64)})
-    return run
-
-
 def _context_rows(kind: Kind) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -180,10 +171,11 @@ class Candidates:
 def search(docs: DataFrame, kind: Kind, block_units: int) -> Candidates:
     """Find the contexts that may hold repeated windows in ``docs`` (id, tkey, text)."""
     bounded_batches(docs.sparkSession)
-    # stored, so that the join below is one of two plain shuffles, whose hot anchors AQE splits
-    repeated = stored(docs.select("text").mapInArrow(_anchors_only(kind), "anchor long")
-                      .groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
-    members = stored(docs.mapInArrow(_context_rows(kind), _ROWS).join(repeated, "anchor"), "contexts")
+    # both sides stored, so that the texts are cut once and the join is one of
+    # two plain shuffles, whose hot anchors AQE splits
+    rows = stored(docs.mapInArrow(_context_rows(kind), _ROWS), "windows")
+    repeated = stored(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
+    members = stored(rows.join(repeated, "anchor"), "contexts")
     classes = stored(members.groupBy("anchor", "ctx").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "tkey", "i0", "i1")).alias("rep")), "classes")
     groups = classes.groupBy("anchor").agg(

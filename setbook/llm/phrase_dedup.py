@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from . import anchors
 from .common import documents, normalised, stored
 
-WIDTH, GRAM = 20, 8
+WIDTH, GRAM = 20, 6
 BLOCK_WORDS = 50_000             # contexts of one anchor beyond this are dealt out by window
 BATCH_WORDS = 10_000             # contexts of one automaton
 _MEMO_WORDS = 500_000
@@ -79,13 +79,16 @@ def _symbols(contents: list[bytes]) -> list[str]:
 
 def _recurring(texts: list[str], width: int) -> set[str]:
     """The windows whose hash occurs more than once in ``texts``."""
-    hashes = []
-    for t in texts:
-        units = anchors.mixed(np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.uint64))
-        hashes.append(anchors.gram_hashes(units, width) if len(units) >= width else np.empty(0, np.uint64))
-    values, counts = np.unique(np.concatenate(hashes), return_counts=True)
-    twice = values[counts > 1]
-    return {t[i:i + width] for t, h in zip(texts, hashes) for i in np.flatnonzero(np.isin(h, twice)).tolist()}
+    joined = "".join(texts)
+    starts = np.cumsum([0, *map(len, texts)])
+    place = np.arange(max(0, len(joined) - width + 1))
+    units = anchors.mixed(np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64))
+    # windows inside one text
+    place = place[place + width <= starts[np.searchsorted(starts, place, "right")]]
+    if not len(place):
+        return set()
+    _, which, counts = np.unique(anchors.gram_hashes(units, width)[place], return_inverse=True, return_counts=True)
+    return {joined[i:i + width] for i in place[counts[which] > 1].tolist()}
 
 
 def later_occurrences(places: list[tuple], contents: list[bytes], width: int) -> list[list[int]]:
@@ -104,18 +107,14 @@ def later_occurrences(places: list[tuple], contents: list[bytes], width: int) ->
     for n, phrase in enumerate(phrases):
         automaton.add_word(phrase, n)
     automaton.make_automaton()
-    earliest: dict[int, tuple] = {}
-    seen = []
-    for c, t in enumerate(texts):
-        doc, start = places[c]
-        for end, n in automaton.iter(t):
-            at = (doc, start + end - width + 1)
-            seen.append((c, n, at))
-            if n not in earliest or at < earliest[n]:
-                earliest[n] = at
-    for c, n, at in seen:
-        if at != earliest[n]:
-            out[c].append(at[1] - places[c][1])
+    # contexts hold disjoint runs of windows: in the order of their places, occurrences come in order too
+    met = bytearray(len(phrases))
+    for c in sorted(range(len(texts)), key=places.__getitem__):
+        for end, n in automaton.iter(texts[c]):
+            if met[n]:
+                out[c].append(end - width + 1)
+            else:
+                met[n] = 1
     return out
 
 
