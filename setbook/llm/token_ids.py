@@ -50,7 +50,7 @@ CHUNKS = ("shard long, chunk long, first long, doc_ids array<long>, lengths arra
           "words binary, offsets binary, escapes binary")
 
 # pieces in each of the two generations of the table
-_MEMO_PIECES = 500_000
+_MEMO_PIECES = 800_000
 # white space other than blank and line end, as Python and the tokenizer's pattern see it
 _OTHER_SPACE = re.compile(r"[^\S\n ]")
 _TOUCHING = ("  ", "\n\n", " \n", "\n ")
@@ -87,8 +87,8 @@ class PieceEncoder:
     def _learn(self, new: list[str]) -> None:
         """Put the ids of pieces into the table; words without inner white space go many at a time."""
         memo = self.memo
-        words = [p for p in new if p[1:].split() == [p[1:]] and (p[0] == " " or not p[0].isspace())
-                 ] if self.line_end is not None else []
+        # printable: of all white space at most blanks
+        words = [p for p in new if p.isprintable() and " " not in p[1:] and p != " "] if self.line_end is not None else []
         for k in range(0, len(words), 4096):
             part = words[k:k + 4096]
             ids = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, "<u4")
@@ -103,18 +103,23 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as unsigned 32-bit integers."""
-        cut = [self.pieces(t) for t in texts]
         if len(self.memo) > _MEMO_PIECES:
             self.memo, self.older = {}, self.memo       # what is still in use comes back from there
         memo, older = self.memo, self.older
-        new = set().union(*cut).difference(memo)
+        cut = [self.pieces(t) for t in texts]
+        found = [list(map(memo.get, p)) for p in cut]
+        gaps = [[k for k, v in enumerate(f) if v is None] for f in found]
+        new = {p[k] for p, g in zip(cut, gaps) for k in g}
         memo.update([(p, older[p]) for p in new if p in older])
         new.difference_update(older)
         # a word and the marks behind it are always separate; words then repeat more often
-        parted = {p: m.groups() for p in new if (m := _WORD_AND_MARKS.fullmatch(p))}
+        parted = {p: m.groups() for p in new if not p[-1].isalnum() and (m := _WORD_AND_MARKS.fullmatch(p))}
         self._learn(list(set().union(new.difference(parted), *parted.values()).difference(memo)))
         memo.update((p, memo[w] + memo[marks]) for p, (w, marks) in parted.items())
-        return [np.frombuffer(b"".join(map(memo.__getitem__, p)), "<u4") for p in cut]
+        for p, f, g in zip(cut, found, gaps):
+            for k in g:
+                f[k] = memo[p[k]]
+        return [np.frombuffer(b"".join(f), "<u4") for f in found]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
