@@ -9,11 +9,12 @@
 3. Boosted trees learn from weak labels: a candidate is positive if it
    passes a base rule's check (ranges, Luhn, digit counts) or a key word
    such as ``password=`` stands before it; the key words themselves are not
-   features.  They are fitted on at most about ``train_rows`` candidates.
-4. The threshold of each wide kind is calibrated on the held-out half of
-   those rows: the lowest score from which on the precision is at least
-   ``precision``.  Wide candidates that reach it and touch no base span are
-   redacted too.
+   features.  They are fitted on about ``train_rows`` candidates, at most
+   half of all, drawn by a hash of doc_id, text, kind and start.
+4. Every wide candidate is scored, and the threshold of each wide kind is
+   calibrated on all of them that the trees were not fitted on: the lowest
+   score from which on the precision is at least ``precision``.  Wide
+   candidates that reach it and touch no base span are redacted too.
 
 All steps are DataFrame functions; the trees are Spark ML's.  The patterns
 are written so that the regex engine works by character classes only: no
@@ -119,16 +120,19 @@ def _passes(kind: Column, m: Column) -> Column:
 
 def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): every input row as (row, doc_id), and every candidate with
-    row, kind, start, end, m, prev, next and ``base`` (meets its base rule)."""
+    row, key (hash of doc_id and text), kind, start, end, m, prev, next and
+    ``base`` (meets its base rule)."""
     text = F.translate(whole_text(), _CUT, "\u0002")
     found = stored(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
+                               F.xxhash64("doc_id", whole_text()).alias("key"),
                                _with_gate(text).alias("found")), "pii")
     w = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    spans = (found.select("row", F.inline("found"))
+    spans = (found.select("row", "key", F.inline("found"))
              .withColumn("end", F.sum(F.col("gap") + F.col("len")).over(w))
              .withColumn("start", F.col("end") - F.col("len"))
              .withColumn("base", _passes(F.col("kind"), F.col("m"))))
-    return found.select("row", "doc_id"), spans.select("row", "kind", "start", "end", "m", "prev", "next", "base")
+    return found.select("row", "doc_id"), spans.select(
+        "row", "key", "kind", "start", "end", "m", "prev", "next", "base")
 
 
 def _features(spans: DataFrame) -> DataFrame:
@@ -146,7 +150,7 @@ def _features(spans: DataFrame) -> DataFrame:
         "wide_kind": F.col("kind") >= BASE,
     }
     label = F.col("base") | prev.rlike(_KEY_WORDS)
-    return spans.select("row", "kind", "start", "end", label.cast("double").alias("label"),
+    return spans.select("row", "key", "kind", "start", "end", label.cast("double").alias("label"),
                         *[cols[c].cast("double").alias(c) for c in FEATURES])
 
 
@@ -159,25 +163,29 @@ def _score(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
         "score", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
 
 
-def fit(spans: DataFrame, train_rows: int = 20_000, precision: float = 0.95):
-    """(model, thresholds by kind); model None if there is nothing to learn.
+def _draw() -> Column:
+    """A number below 1 << 40 for each candidate; it does not depend on how the table is dealt."""
+    return F.pmod(F.xxhash64("key", "kind", "start"), F.lit(1 << 40))
 
-    ``train_rows`` bounds the labelled rows: a hash of (row, kind, start)
-    draws about so many of all candidates, half to fit and half to calibrate.
-    """
+
+def fit(spans: DataFrame, train_rows: int = 20_000) -> tuple[GBTClassificationModel | None, int]:
+    """(model, limit): trees fitted on the candidates whose draw is below ``limit``,
+    about ``train_rows`` and at most half of all; model None if there is nothing to learn."""
     n = spans.count()
     if not n:
-        return None, {}
-    draw = F.pmod(F.xxhash64("row", "kind", "start"), F.lit(1 << 20))
-    sample = stored(_features(spans).withColumn("draw", draw)
-                    .where(F.col("draw") < int((1 << 20) * min(1.0, train_rows / n)) + 1)
-                    .withColumn("half", F.col("draw") % 2).repartition(8), "pii-train")
-    fitting = sample.where("half = 0")
+        return None, 0
+    limit = int((1 << 40) * min(0.5, train_rows / n)) + 1
+    order = ("key", "kind", "start")
+    fitting = stored(_features(spans.where(_draw() < limit)).repartition(8, *order)
+                     .sortWithinPartitions(*order), "pii-train")
     if fitting.agg(F.count_distinct("label")).first()[0] < 2:
-        return None, {}
-    model = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7, labelCol="label").fit(
-        _assembler().transform(fitting))
-    held = _score(model, sample.where("half = 1")).where(F.col("kind") >= BASE)
+        return None, limit
+    return GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=7, labelCol="label").fit(
+        _assembler().transform(fitting)), limit
+
+
+def thresholds_of(held: DataFrame, precision: float = 0.95) -> dict[int, float]:
+    """By kind, the lowest score from which on the precision of ``held`` (kind, score, label) is reached."""
     bins = (held.groupBy("kind", F.floor(F.col("score") * 100).alias("bin"))
             .agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("all")).collect())   # 101 bins a kind at most
     thresholds = {}
@@ -187,14 +195,19 @@ def fit(spans: DataFrame, train_rows: int = 20_000, precision: float = 0.95):
             pos, total = pos + b["pos"], total + b["all"]
             if total and pos / total >= precision:
                 thresholds[kind] = b["bin"] / 100
-    return model, thresholds
+    return thresholds
 
 
 def _added(spans: DataFrame, train_rows: int, precision: float) -> DataFrame | None:
-    model, thresholds = fit(spans, train_rows, precision)
-    if model is None or not thresholds:
+    model, limit = fit(spans, train_rows)
+    if model is None:
+        return None
+    wide = _score(model, _features(spans.where(F.col("kind") >= BASE)))
+    scored = stored(wide.select("row", "kind", "start", "end", "label", "score", (_draw() < limit).alias("fitted")),
+                    "pii-scores")
+    thresholds = thresholds_of(scored.where(~F.col("fitted")), precision)
+    if not thresholds:
         return None
-    scored = _score(model, _features(spans.where(F.col("kind") >= BASE)))
     enough = F.lit(False)
     for kind, t in thresholds.items():
         enough = enough | ((F.col("kind") == kind) & (F.col("score") >= t))

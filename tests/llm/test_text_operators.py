@@ -84,6 +84,21 @@ def test_pii_tables_ids_and_empty(spark, docs_of):
     assert pii.find_personal_data(docs_of([(1, "a")]).limit(0)).count() == 0
 
 
+def test_pii_thresholds_use_every_wide_candidate(docs_of):
+    """A kind with few positives beside a small fitting sample, under two dealings of the rows."""
+    texts = [f"x token=a{k:06d}bcdefghijklm y" if k % 2 else f"x a{k:06d}bcdefghijklm y" for k in range(1500)]
+    texts += [f"no 555-{k:06d}-77 no" for k in range(2500)] + [f"account={k}55-666-{k}77" for k in range(1, 7)]
+    got = []
+    for partitions in (3, 7):
+        out = pii.find_personal_data(docs_of(texts, partitions), train_rows=300).collect()
+        got.append({r["doc_id"]: [tuple(s) for s in r["redactions"]] for r in out})
+    number, secret = pii.KINDS.index("number"), pii.KINDS.index("secret")
+    for k, t in enumerate(texts):
+        kinds = [s[0] for s in got[0][k]]
+        assert (number in kinds) == t.startswith("account=") and (secret in kinds) == ("token=" in t)
+    assert got[0] == got[1]
+
+
 # ---- token ids
 
 def test_simple8b_round_trip():
