@@ -30,6 +30,8 @@ class only, nothing is learned and only base spans are returned.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -52,6 +54,8 @@ _PATTERNS = {
     "number": r"(?<![0-9A-Za-z])[0-9][0-9\x20()./-]{5,}[0-9]",
     "secret": r"(?<![A-Za-z0-9_])(?=[A-Za-z_]*+[0-9])[A-Za-z0-9_]{16,}+",
 }
+# every character that a match can hold
+_MARKS = string.ascii_letters + string.digits + "._%+-@ ()/" + _CUT
 # fixed values: words that announce a secret or an identifier
 _KEY_WORDS = r"(?i)(pass(word|wd)?|token|secret|api[_-]?key|key|ssn|iban|account)[\"']?\s*[:=]?\s*[\"']?$"
 
@@ -138,12 +142,15 @@ def candidates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _features(spans: DataFrame) -> DataFrame:
     m, prev, nxt = F.col("m"), F.col("prev"), F.col("next")
     count = lambda cls: F.length(m) - F.length(F.regexp_replace(m, cls, ""))
+    once = lambda pattern: F.length(F.regexp_replace(m, pattern, _CUT))
+    runs = lambda pattern: once(pattern) - F.length(F.regexp_replace(m, pattern, ""))
+    between = r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])"
     cols = {
         "length": F.length(m), "digits": count("[0-9]"), "letters": count("[A-Za-z]"),
         "seps": count("[^A-Za-z0-9]"), "upper": count("[A-Z]"),
-        "groups": F.size(F.split(F.substring(m, 1, 256), "[^A-Za-z0-9]+")),
-        "switches": F.size(F.split(F.substring(m, 1, 256), "(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")),
-        "distinct": F.size(F.array_distinct(F.split(F.substring(m, 1, 256), ""))),
+        "groups": runs("[^A-Za-z0-9]+") + 1,
+        "switches": once(between) - F.length(m) + 1,
+        "distinct": F.size(F.filter(F.array(*[F.lit(c) for c in _MARKS]), lambda c: m.contains(c))),
         "after_space": prev.rlike(r"\s$"), "before_space": nxt.rlike(r"^\s"),
         "prev_digit": prev.rlike("[0-9]"), "prev_equals": prev.rlike(r"[=:]\s*[\"']?$"),
         "prev_quote": prev.rlike("[\"']$"), "next_quote": nxt.rlike("^[\"']"),

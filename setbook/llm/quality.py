@@ -47,8 +47,7 @@ def _shape(word: str) -> str:
     def case(m: re.Match) -> str:
         t = m.group()
         return "x" if t.islower() else "X" if t.isupper() and len(t) > 1 else "Xx"
-    s = re.sub(r"\d+", "9", re.sub(r"[^\W\d_]+", case, word[:64]))
-    return s[:8]
+    return re.sub(r"\d+", "9", re.sub(r"[^\W\d_]+", case, word))
 
 
 class Terms:

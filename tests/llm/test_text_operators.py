@@ -99,6 +99,14 @@ def test_pii_thresholds_use_every_wide_candidate(docs_of):
     assert got[0] == got[1]
 
 
+def test_pii_features_of_the_whole_match(spark):
+    long = "a1" * 400 + "_" + "".join(map(chr, range(ord("b"), ord("z"))))
+    spans = spark.createDataFrame([(0, 0, 5, 0, len(long), long, "", "", False), (1, 0, 4, 0, 9, "12 (34)-5", "", "", False)],
+                                  "row long, key long, kind int, start long, end long, m string, prev string, next string, base boolean")
+    out = {r["row"]: (r["groups"], r["switches"], r["distinct"]) for r in pii._features(spans).collect()}
+    assert out == {0: (2, 800, 27), 1: (3, 1, 9)}
+
+
 # ---- token ids
 
 def test_simple8b_round_trip():
@@ -279,6 +287,11 @@ def test_quality_held_out_accuracy(spark):
     assert len(held) > 50 and sum(p == q for p, q in held) / len(held) >= 0.95
 
 
+def test_quality_shapes_of_whole_words():
+    assert quality._shape("ab12-Cd.Ef_g") == "x9-Xx.Xx_x" and quality._shape("a" * 5000 + "1") == "x9"
+    assert quality._shape("a-" * 40 + "1") != quality._shape("a-" * 40 + "B")
+
+
 def test_quality_votes_exactly(docs_of):
     """The blocked vote against a plain loop over all labelled vectors."""
     r = np.random.default_rng(0)
