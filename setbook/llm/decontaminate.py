@@ -7,13 +7,14 @@ of every piece in the whole text; around each hit (one window per item and
 place) Myers' bit-parallel algorithm computes the edit distance of the item
 to its best match, which must be within the budget.
 
-The items are the stated query set: they are dealt into blocks of about
-``block_chars`` characters, and each block (its automaton is built in the
-worker) is held against all documents in turn; documents are never shuffled.
+The items are the stated query set: they are dealt by hash into blocks of
+about ``block_chars`` characters, and each block (its automaton is built in
+the worker) is held against all documents in turn, its hits written before
+the next block is read.  The driver and a worker hold one block at a time.
 
 Text and items are compared in lower case with white space runs as one
-blank.  Defined results: null and empty texts match nothing; null and empty
-items are ignored; an item too short for an edit must occur exactly;
+blank.  Defined results: null and empty texts match nothing; items with a
+null or empty text or a null item_id are ignored; an item too short for an edit must occur exactly;
 repeated rows each get a row; an empty table gives an empty one.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import bounded_batches, documents, whole_text
+from .common import bounded_batches, documents, scratch_path, stored, whole_text
 
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -112,14 +113,10 @@ class Matcher:
         return sorted(set(found))
 
 
-def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items (item_id, text) in blocks of about ``block_chars`` characters, one block at a time."""
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_chars))
-    for k in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).select("item_id", "text").collect()
-        block = [(r["item_id"], t) for r in rows if r["item_id"] is not None and (t := plain(r["text"] or ""))]
-        yield sorted(set(block))
+def _block(items: DataFrame, k: int, n: int) -> list[tuple[int, str]]:
+    """The items (item_id, text) of block ``k`` of ``n``."""
+    rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).select("item_id", "text").collect()
+    return sorted({(r["item_id"], t) for r in rows if r["item_id"] is not None and (t := plain(r["text"] or ""))})
 
 
 def _matched(text: Column, block: list[tuple[int, str]], error_rate: float) -> Column:
@@ -137,11 +134,20 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05
                  block_chars: int = 4_000_000, out: str = "items") -> DataFrame:
     """``docs`` and an array column ``out``: item_ids found in the text, ascending."""
     bounded_batches(docs.sparkSession)
-    found = None
-    for block in _blocks(benchmark, block_chars):
-        hits = _matched(whole_text(), block, error_rate)
-        found = hits if found is None else F.concat(found, hits)
-    return docs.withColumn(out, F.sort_array(found))
+    size = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = max(1, -(-size // block_chars))
+    if n == 1:
+        return docs.withColumn(out, F.sort_array(_matched(whole_text(), _block(benchmark, 0, 1), error_rate)))
+    spark = docs.sparkSession
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate-rows")
+    path = scratch_path(spark, "decontaminate-hits")
+    for k in range(n):
+        found = rows.select("__row", _matched(whole_text(), _block(benchmark, k, n), error_rate).alias("found"))
+        found.select("__row", F.explode("found").alias("item")).write.mode("append").parquet(path)
+    hits = spark.read.schema("__row long, item long").parquet(path)
+    lists = hits.groupBy("__row").agg(F.sort_array(F.collect_set("item")).alias("__hits"))
+    none = F.array().cast("array<long>")
+    return rows.join(lists, "__row", "left").withColumn(out, F.coalesce("__hits", none)).drop("__row", "__hits")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05) -> DataFrame:

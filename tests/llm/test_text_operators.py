@@ -209,6 +209,16 @@ def test_decontamination_brute_force(spark, docs_of, odd_texts):
     assert decontaminate.with_matches(docs_of(texts).limit(0), bench).count() == 0
 
 
+def test_decontamination_holds_one_block_at_a_time(spark, docs_of):
+    items = [(k, f"item number {k} of the benchmark") for k in range(30)] + [(3, "another text of item 3")]
+    texts = [f"see item number {k} of the benchmark" for k in range(30)] + ["no", "item number 3 of the benchmark, another text of item 3"]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontaminate.with_matches(docs_of(texts), bench, error_rate=0, block_chars=200)
+    assert "EvalPython" not in out._jdf.queryExecution().toString()
+    assert out.columns == [*docs_of(texts).columns, "items"]
+    assert {r["doc_id"]: r["items"] for r in out.collect()} == {k: [k] for k in range(30)} | {30: [], 31: [3]}
+
+
 def test_decontamination_query_finds_every_exact_leak(spark):
     items = [(i, decontaminate.plain(t)) for i, t in table("benchmark", "item_id, text")]
     got = {r["doc_id"]: r for r in decontaminate.op6_decontaminate(spark, SF).collect()}
