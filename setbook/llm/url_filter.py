@@ -4,7 +4,7 @@ A rule is (action, host, path).  It fits its host and all subdomains where
 the url's path starts with the rule's; of the rules that fit, the longest
 (host and path together; then the longer host; then allow) decides.
 
-Aliases: a page's canonical link and its meta refresh say that two urls are
+Aliases: a page's canonical links and meta refreshes say that two urls are
 the same resource.  Distributed connected components over those edges give
 classes of equivalent urls.  A url without a rule of its own is blocked
 when its class holds a blocked url and no explicitly allowed one.
@@ -38,9 +38,15 @@ RULES: tuple[Rule, ...] = (
     ("block", "net", "/fr/"),
 )
 
+# tags and their attributes; a tag ends at the first ``>``
+_LINK_TAG, _META_TAG = r"(?is)<link\b[^>]*+", r"(?is)<meta\b[^>]*+"
+_ATTRIBUTE = r"(?is)[\s\"'/]%s\s*+=\s*+(?:\"([^\"]*+)|'([^']*+)|([^\s\"'>]++))"
+_REFRESH_URL = r"(?is)[\s;,\"']url\s*+=\s*+[\"']?\s*+([^\"'\s>]++)"
+_AMPERSAND = r"(?i)&amp;|&#0*+38;|&#x0*+26;"
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)(\??[^#]*)"
-# a tag's attribute value, quoted or bare, as SQL engines without look-around can read it too
+# for ORACLE only: a tag's attribute value, quoted or bare, as SQL engines without look-around can read it too
 _CANONICAL = (r"(?is)<link[^>]*rel=[\"']?canonical[\"']?[^>]*href=[\"']?([^\"'\s>]+)",
               r"(?is)<link[^>]*href=[\"']?([^\"'\s>]+)[\"']?[^>]*rel=[\"']?canonical")
 _REFRESH = r"(?is)<meta[^>]*http-equiv=[\"']?refresh[\"']?[^>]*url=[\"']?([^\"'\s>]+)"
@@ -56,20 +62,33 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), _URL, 2)
 
 
+def without_dots(path: Column) -> Column:
+    """``path`` with its segments ``.`` and ``..`` resolved."""
+    parts = F.split(path, "/")
+    up = lambda acc: F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(
+        x == "..", up(acc)).otherwise(F.concat(acc, F.array(x))))
+    last = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.array_join(kept, "/"), last)).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """The url without scheme and fragment: what an alias edge connects; null without ``://``."""
-    key = F.concat(host_of(url), path_of(url), F.regexp_extract(F.coalesce(url, F.lit("")), _URL, 3))
+    """The url without scheme, fragment and dot segments: what an alias edge connects; null without ``://``."""
+    key = F.concat(host_of(url), without_dots(path_of(url)), F.regexp_extract(F.coalesce(url, F.lit("")), _URL, 3))
     return F.when(F.coalesce(url, F.lit("")).contains("://"), key)
 
 
 def absolute(link: Column, base: Column) -> Column:
-    """``link`` resolved against the page's url."""
+    """``link`` resolved against the page's url; dot segments are left to ``node_of``."""
     scheme = F.substring_index(base, "://", 1)
     site = F.concat(scheme, F.lit("://"), host_of(base))
-    folder = F.regexp_extract(path_of(base), r"^(.*/)", 1)
+    folder = F.regexp_extract(without_dots(path_of(base)), r"^(.*/)", 1)
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
     return (F.when(link == "", F.lit(None))
-            .when(link.contains("://"), link)
+            .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*+://"), link)
+            .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*+:"), F.lit(None))
+            .when(link.startswith("#"), base)
+            .when(link.startswith("?"), F.concat(site, path_of(base), link))
             .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
             .when(link.startswith("/"), F.concat(site, link))
             .otherwise(F.concat(site, folder, link)))
@@ -91,11 +110,29 @@ def matched_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return best
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, quoted or bare; empty without one."""
+    pattern = _ATTRIBUTE % name
+    return F.trim(F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)]))
+
+
+def _named(html: Column) -> Column:
+    """Array of the links of all canonical and refresh tags."""
+    tags = lambda p: F.regexp_extract_all(html, F.lit(p), F.lit(0))
+    canonical = F.transform(
+        F.filter(tags(_LINK_TAG), lambda t: _attribute(t, "rel").rlike(r"(?i)(^|\s)canonical($|\s)")),
+        lambda t: _attribute(t, "href"))
+    refresh = F.transform(
+        F.filter(tags(_META_TAG), lambda t: F.lower(_attribute(t, "http-equiv")) == "refresh"),
+        lambda t: F.regexp_extract(t, _REFRESH_URL, 1))
+    return F.concat(canonical, refresh)
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
     """Edges (u, v) between the urls of pages and the urls they name as their own."""
     html = F.coalesce(F.col("html"), F.lit(""))
     links = pages.where(html.rlike(r"(?i)canonical|refresh")).select(
-        "url", F.explode(F.array(*[F.regexp_extract(html, p, 1) for p in (*_CANONICAL, _REFRESH)])).alias("link"))
+        "url", F.explode(_named(html)).alias("link")).withColumn("link", F.regexp_replace("link", _AMPERSAND, "&"))
     return (links.select(node_of(F.col("url")).alias("u"),
                          node_of(absolute(F.col("link"), F.col("url"))).alias("v"))
             .where(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v"))))

@@ -115,6 +115,36 @@ def test_url_filter_aliases(spark):
     assert {k: (r["host"], r["path"], r["rule"], r["verdict"]) for k, r in out.items()} == want
 
 
+LINK_FORMS = {
+    "second tag": '<link rel=canonical href="/w"><link rel="canonical" href="{}">',
+    "second refresh": '<meta http-equiv=refresh content="0; url=/w"><meta http-equiv=refresh content="0; url={}">',
+    "blanks": "<link rel = 'canonical' href = \"{}\" >",
+    "refresh first": '<meta content="0; URL = \'{}\'" http-equiv = "refresh">',
+    "token list": '<link href={} rel="alternate canonical">',
+}
+LINKS = ["http://e.net/es/1?a=1&amp;b=2", "//e.net/es/./1?a=1&#38;b=2", "http://e.net/x/../es/1?a=1&b=2"]
+RELATIVE = [("http://e.net/x/y/z", "../../es/1?a=1&amp;b=2"), ("http://e.net/es/z", "./1?a=1&b=2"),
+            ("http://e.net/es/q/..", "1?a=1&b=2"), ("http://f.net/es/1", "?u=http://e.org/"),
+            ("http://e.net/u", "../../../es/1?a=1&b=2")]
+
+
+def test_alias_links_of_each_form(spark):
+    tag = '<link rel="canonical" href="{}">'
+    pages = [(f"http://a{i}-{j}.org/p", form.format(link)) for i, form in enumerate(LINK_FORMS.values())
+             for j, link in enumerate(LINKS)]
+    pages += [(url, tag.format(link)) for url, link in RELATIVE]
+    pages += [("http://g.org/p", tag.format("#top")), ("http://g.org/p", tag.format("mailto:a@b.c")),
+              ("http://g.org/p", '<link rel="canonicals" href="/q"><link rel=icon href="/q">')]
+    edges = url_filter.alias_edges(spark.createDataFrame(pages, "url string, html string")).collect()
+    got = {(r["u"], r["v"]) for r in edges}
+    goal = "e.net/es/1?a=1&b=2"
+    want = {(f"a{i}-{j}.org/p", goal) for i in range(len(LINK_FORMS)) for j in range(len(LINKS))}
+    want |= {(f"a{i}-{j}.org/p", f"a{i}-{j}.org/w") for i in (0, 1) for j in range(len(LINKS))}
+    want |= {("e.net/x/y/z", goal), ("e.net/es/z", goal), ("e.net/es/", goal), ("e.net/u", goal),
+             ("f.net/es/1", "f.net/es/1?u=http://e.org/")}
+    assert got == want
+
+
 def test_components_of_long_path_and_star(spark):
     n = 40
     path = [(i, i + 1) for i in range(n)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (None, 1), (201, 200)]
