@@ -12,7 +12,9 @@ whose joined text the merges split into just these two; a segmentation is
 the merges' own exactly if all its neighbours are such pairs.  The result
 therefore equals the library's.  For a unigram model every pair may meet
 and the highest sum of scores wins.  Characters that no piece holds are
-encoded as byte pieces.  Bounded tables per worker keep frequent words and
+encoded as byte pieces.  One exception: with merges, a word that holds two
+or more blanks in a row is not searched but encoded by the merges themselves
+(a heap of pairs), as pieces of blanks have equal scores.  Bounded tables per worker keep frequent words and
 pairs.
 
 Decoding joins the pieces' bytes, turns marks into blanks and takes the
