@@ -13,6 +13,10 @@ from ..sources.tables import read_table
 # fixed value: the white space of the contracts, as a Java regex class
 SPACE = r"[\x20\x09-\x0D]"
 
+# a Parquet writer holds one row group, and a reader takes at most one at a time; every core runs one of them
+ROW_GROUP_BYTES = 16 << 20
+ARROW_BATCH_BYTES = 8 << 20
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of ``documents`` that the operators use."""
@@ -34,7 +38,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -53,15 +57,31 @@ def text_key(col: str = "text") -> Column:
     return F.unhex(F.sha2(normalised(col), 256))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be none of ``df``'s columns."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` named by ``kept`` (doc_id, key of the text), all columns; of repeated rows one."""
-    named = kept.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
-    own = docs.withColumn("__own", text_key())
-    same = F.col("__own").eqNullSafe(F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    return own.join(named, same, "left_semi").dropDuplicates(["doc_id", "__own"]).drop("__own")
+    named_id, named_key, own_key = unused(docs, "named_id", "named_key", "own_key")
+    named = kept.select(F.col("doc_id").alias(named_id), F.col("key").alias(named_key))
+    own = docs.withColumn(own_key, text_key())
+    same = F.col(own_key).eqNullSafe(F.col(named_key)) & F.col("doc_id").eqNullSafe(F.col(named_id))
+    return own.join(named, same, "left_semi").dropDuplicates(["doc_id", own_key]).drop(own_key)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
-    """At most ``rows`` rows in an Arrow batch of this session, so that a batch of long texts fits a worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    spark.conf.set(key, str(rows))
+    """At most ``rows`` rows and about ARROW_BATCH_BYTES in an Arrow batch of this session, so that a batch fits a worker.
+
+    A single longer row still makes a batch of its own.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))

@@ -9,10 +9,13 @@ from . import (
     phrase_dedup,
     pii,
     quality,
+    ranked_search,
     sentence_pieces,
+    sharding,
     suffix_dedup,
     token_ids,
     url_filter,
+    whitening,
 )
 
 
@@ -29,6 +32,9 @@ def queries() -> dict:
         phrase_dedup.op8_phrase_dedup,
         quality.op9_quality_classifier,
         url_filter.op10_url_filter,
+        sharding.op11_sharding,
+        ranked_search.op12_ranked_search,
+        whitening.op13_whitening,
     )}
 
 
@@ -37,4 +43,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op3_exact_dedup": exact_dedup.ORACLE,
         "op10_url_filter": url_filter.ORACLE,
+        "op12_ranked_search": ranked_search.ORACLE,
     }
