@@ -24,10 +24,9 @@ Rules (cell visited in row-major order, row 0 skipped):
 Parallelism is one task per sheet, which the workbook format bounds
 (65,536 x 256 cells in the legacy format, 1,048,576 rows in .xlsx); many
 sheets and workbooks spread across the cluster.  For inputs whose sheets
-are too big for one task, ``rows_per_chunk`` splits every sheet into row
-chunks that run in parallel: running contexts, value counts and
-sections are carried between chunks by an exclusive prefix over per-chunk
-summaries, and records that span chunks are assembled by record number.
+are too big for one task, ``rows_per_chunk`` splits every sheet into blocks
+of rows that are parsed alone; one row a block sums up how it acts on what
+comes after, and prefixes over those rows compose the blocks.
 """
 
 from __future__ import annotations
@@ -41,7 +40,7 @@ from ..functions.vocab import (
     COLUMN_HEADERS, COUNTER_MARK, DATE_CELL_LENGTH, DELOAD_MARK, EXCLUDED_SHEETS, MONTH_NAMES,
     RECORD_WIDTH, SECTION_NAMES, TOTAL_MARK, WEEKDAY_NAMES,
 )
-from ..session import ensure_checkpoint_dir
+from ..sources.scratch import written
 
 SHEET = ("workbook_id", "sheet")
 RECORD_FIELDS = ("exercise", "weight", "grip", "amount", "rest")
@@ -236,99 +235,149 @@ def _parse_sheets(cells: DataFrame, date_mode, exclude_sheets) -> DataFrame:
     return _records(rec, key, fields)
 
 
-def _carry(summary: DataFrame, cols) -> DataFrame:
-    """For each chunk, the last non-NULL value of ``cols`` in earlier chunks
-    of the same sheet (a window over the small per-chunk summary)."""
-    before = Window.partitionBy(*SHEET).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(*SHEET, "_h", *[F.last(c, ignorenulls=True).over(before).alias(f"c_{c}")
-                                          for c in cols])
+def _same(left: DataFrame, right: DataFrame, key) -> tuple:
+    """(right with its key renamed, null-safe condition, names to drop)."""
+    names = {k: f"_r{k}" for k in key}
+    right = right.withColumnsRenamed(names)
+    cond = F.lit(True)
+    for k, n in names.items():
+        cond = cond & left[k].eqNullSafe(right[n])
+    return right, cond, list(names.values())
+
+
+def _attach(left: DataFrame, right: DataFrame, key, how: str = "left") -> DataFrame:
+    right, cond, names = _same(left, right, key)
+    out = left.join(right, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*names)
 
 
-def _last_event(col: str):
-    """Aggregate: the chunk's last non-NULL ``col`` in (r, c) order."""
+def _latest(col: str):
+    """Aggregate: the block's last non-NULL ``col`` in (r, c) order."""
     return F.max_by(F.col(col), F.when(F.col(col).isNotNull(), F.struct("r", "c")))
 
 
-def _parse_chunked(cells: DataFrame, date_mode, exclude_sheets, rows_per_chunk: int) -> DataFrame:
-    """Oversized sheets: row chunks processed in parallel, running contexts
-    and counts carried across chunks.
+def _block_cells(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
+    """What a block of rows says by itself: its values, sections and events in (r, c) order.
 
-    Each round computes chunk-local running values, reduces every chunk to
-    one summary row, takes the exclusive prefix over the chunks of a sheet
-    (one window over the summaries) and joins it back on the chunk key;
-    the cell table is checkpointed between rounds so later rounds re-read
-    it instead of recomputing.  Records whose five cells span chunks are
-    assembled by grouping the value cells on their record number.
+    In a sheet without an ambiguous total (``_ambiguous``) every "Total" ends
+    its row, so which cells are visited, and which events are heard, needs no
+    context.  ``l_*`` are the contexts set inside the block (NULL: the
+    block's start decides), ``_pend`` marks cells that an outer context could
+    still hide, ``_lk`` counts the values so far as if it hid none, and
+    ``_lsec`` is the last section that no outer context can hide.
     """
-    key = [*SHEET, "_h"]
-    w = Window.partitionBy(*key).orderBy("r", "c")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = Window.partitionBy(*key).orderBy("r", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     row_w = Window.partitionBy(*key, "r")
-    last = lambda c: F.last(c, ignorenulls=True).over(run)
+    ev = _events(cells, key, date_mode, exclude_sheets)
+    ev = ev.withColumn("_brk", F.min(F.when(_may_break(), F.col("c"))).over(row_w))
+    ambiguous = (F.coalesce(F.col("e_wd.type_sv").contains(TOTAL_MARK), F.lit(False))
+                 | F.coalesce(F.col("e_counter").contains(TOTAL_MARK), F.lit(False)))
+    heard = F.col("_brk").isNull() | (F.col("c") < F.col("_brk"))
+    ev = ev.select(*key, "r", "c", "sv", "nv", "_dskip", ambiguous.alias("_ambiguous"), heard.alias("_heard"),
+                   *[F.when(heard, F.col(f"e_{e}")).alias(f"e_{e}") for e in _EVENTS])
+    ev = ev.select("*", *[F.last(f"e_{e}", ignorenulls=True).over(run).alias(f"l_{e}") for e in _EVENTS])
+    unsure = F.col("l_month").isNull() | F.col("l_wd").isNull() | F.col("l_counter").isNull()
+    named = F.coalesce(F.col("sv").isin(*SECTION_NAMES), F.lit(False))
+    standing = F.col("_heard") & ~F.col("_dskip") & ~_hidden(F.col("l_month"), F.col("l_wd"), F.col("l_counter"))
+    ev = ev.select("*", (standing & ~named).alias("_val"), (standing & named).alias("_sec"), unsure.alias("_pend"))
+    ev = ev.withColumn("_lk", F.sum(F.col("_val").cast("long")).over(run))
+    own = F.when(F.col("_sec") & ~F.col("_pend"), F.struct(F.col("sv").alias("name"), F.col("_lk").alias("at")))
+    ev = ev.withColumn("_lsec", F.last(own, ignorenulls=True).over(run))
+    event = F.col("e_month").isNotNull() | F.col("e_wd").isNotNull() | F.col("e_counter").isNotNull()
+    return ev.where(F.col("_val") | F.col("_sec") | event | F.col("_ambiguous"))
+
+
+def _hidden(month: Column, wd: Column, counter: Column, at_start: Column | None = None) -> Column:
+    """The cell equals one of the contexts or the text 'Deload'; with ``at_start`` (no counter was seen yet) also
+    the number 0, which equals the initial counter."""
+    sv, nv = F.col("sv"), F.col("nv")
+    day = wd.getField
+    tests = [sv == month, sv == day("weekday"), sv == day("type_sv"), sv == counter, sv == day("day_txt"),
+             nv == day("type_nv"), sv == DELOAD_MARK]
+    out = F.lit(False)
+    for t in tests:
+        out = out | F.coalesce(t, F.lit(False))
+    return out if at_start is None else out | (at_start & F.coalesce(nv == 0, F.lit(False)))
+
+
+def _parse_blocks(cells: DataFrame, date_mode, exclude_sheets, rows_per_chunk: int) -> DataFrame:
+    """Oversized sheets: blocks of rows parsed alone, their effects composed along the sheet.
+
+    1. Every block is read once, by itself (``_block_cells``), and what it
+       holds is written as a table.
+    2. A block's summary is how it acts on what comes after: the contexts it
+       leaves, the values it adds, the section it ends in.  One exclusive
+       prefix over a sheet's summaries gives the contexts at each block's
+       start; only the cells before a block's own header (``_pend``) are
+       looked at again with them, and what they hide corrects the block's
+       counts.  A second prefix, over one row a block, numbers the values.
+    3. Five consecutive values, wherever their blocks are, make a record:
+       one grouping by record number, combined inside the tasks first.
+
+    A sheet in which a workout type or counter label contains 'Total' could
+    hide a total from ending its row; such sheets, if any, are parsed whole.
+    """
+    key = [*SHEET, "_h"]
     chunked = cells.withColumn("_h", F.floor(F.col("r") / rows_per_chunk).cast("long"))
-    ev = _events(chunked, key, date_mode, exclude_sheets)
-
-    def with_contexts(df: DataFrame, stop: Column | None) -> DataFrame:
-        """Running contexts inside the chunk, else those carried from earlier chunks."""
-        df = _heard(df, stop)
-        plain = [c for c in df.columns if not c.startswith("h_")]
-        events = [f"h_{e}" for e in _EVENTS]
-        carry = _carry(df.groupBy(*key).agg(*[_last_event(e).alias(e) for e in events]), events)
-        df = df.select(*plain, *[last(e).alias(f"l_{e}") for e in events]).join(carry, key, "left")
-        return _expand(df.select(*plain, F.coalesce("l_h_month", "c_h_month").alias("x_month"),
-                                 F.coalesce("l_h_wd", "c_h_wd").alias("_wd"),
-                                 F.coalesce("l_h_counter", "c_h_counter").alias("x_counter")))
-
-    def break_of(df: DataFrame, name: str) -> DataFrame:
-        df = df.withColumn(name, F.min(F.when(_is_break(), F.col("c"))).over(row_w))
-        return df.drop("x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS])
-
-    # rounds 1 and 2: the "Total" breaks of each row (see ``_parse_sheets``)
-    ev = ev.withColumn("_first", F.min(F.when(_may_break(), F.col("c"))).over(row_w)).checkpoint()
-    a = break_of(with_contexts(ev, F.col("_first")), "_stop").checkpoint()
-    a = break_of(with_contexts(a, F.col("_stop")), "_brk")
-    kept = a.where(F.col("_brk").isNull() | (F.col("c") <= F.col("_brk"))).checkpoint()
-    # round 3: contexts over the visited cells -> sections and values
-    b = with_contexts(kept, None)
-    section_ev, is_value = _section_and_value(F.col("_brk"))
-    lk = F.sum(is_value.cast("int")).over(run)
-    b = b.select("*", section_ev.alias("_sec"), is_value.alias("_val"), lk.alias("_lk"))
-    b = b.select("*", F.last(F.when(F.col("_sec"), F.col("sv")), ignorenulls=True).over(run).alias("_lsec"),
-                 F.last(F.when(F.col("_sec"), F.col("_lk")), ignorenulls=True).over(run).alias("_lk_sec"))
-    b = b.select(*key, "r", "c", "sv", "nv", "_val", "_sec", "_lk", "_lsec", "_lk_sec", "x_month",
-                 "x_counter", *[f"x_{f}" for f in _CTX_FIELDS]).checkpoint()
-    # round 4: value counts and the current section across chunks
-    per_chunk = b.groupBy(*key).agg(
-        F.sum(F.col("_val").cast("int")).alias("_n"),
-        _last_event("_lsec").alias("_sec_name"),
-        F.max_by(F.col("_lk_sec"), F.when(F.col("_lsec").isNotNull(), F.struct("r", "c"))).alias("_sec_lk"))
+    blocks = written(_block_cells(chunked, key, date_mode, exclude_sheets), "parse-blocks")
+    special = written(blocks.where("_ambiguous").select(*SHEET).distinct(), "parse-whole")
+    whole = None
+    if not special.isEmpty():
+        blocks = _attach(blocks, special, SHEET, "left_anti")
+        whole = _parse_sheets(_attach(cells, special, SHEET, "left_semi"), date_mode, exclude_sheets)
+
+    # what each block leaves behind, and the contexts at its start
     before = Window.partitionBy(*SHEET).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = per_chunk.withColumn("_kb", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    per_chunk = per_chunk.withColumn(
-        "_sec_gk", F.when(F.col("_sec_name").isNotNull(), F.col("_kb") + F.coalesce("_sec_lk", F.lit(0))))
-    c3 = per_chunk.select(
-        *key, "_kb",
-        F.last("_sec_name", ignorenulls=True).over(before).alias("c_sec"),
-        F.last("_sec_gk", ignorenulls=True).over(before).alias("c_sec_k"))
-    v = b.where(F.col("_val")).join(c3, key, "left")
-    v = v.select(
-        *SHEET, "x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS],
-        (F.col("_kb") + F.col("_lk")).alias("_k"),
-        F.coalesce("_lsec", "c_sec").alias("x_section"),
-        F.when(F.col("_lsec").isNotNull(), F.col("_kb") + F.coalesce("_lk_sec", F.lit(0)))
-         .otherwise(F.col("c_sec_k")).alias("_k_at_sec"),
-        _value(F.col("sv"), F.col("nv")).alias("_v"))
-    # records: five consecutive value cells, wherever their chunks are
-    g = ((F.col("_k") - 1) / RECORD_WIDTH).cast("long")
+    left = blocks.groupBy(*key).agg(*[_latest(f"e_{e}").alias(f"o_{e}") for e in _EVENTS],
+                                    F.coalesce(F.max("_lk"), F.lit(0)).alias("_n0"), _latest("_lsec").alias("_osec"))
+    left = written(left.select(*key, "_n0", "_osec", *[
+        F.last(f"o_{e}", ignorenulls=True).over(before).alias(f"c_{e}") for e in _EVENTS]), "parse-summaries")
+    # cells before a block's own header, with the contexts that hold there
+    now = [F.coalesce(f"l_{e}", f"c_{e}") for e in _EVENTS]
+    run = Window.partitionBy(*key).orderBy("r", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    head = _attach(blocks.where(F.col("_pend") & (F.col("_val") | F.col("_sec"))), left, key)
+    head = head.withColumn("_hid", _hidden(*now, at_start=now[2].isNull()))
+    head = head.withColumn("_gone", F.sum((F.col("_val") & F.col("_hid")).cast("long")).over(run))
+    head = head.withColumn("_at", F.col("_lk") - F.col("_gone"))
+    shown = F.when(F.col("_sec") & ~F.col("_hid"), F.struct(F.col("sv").alias("name"), F.col("_at").alias("at")))
+    head = written(head.select(
+        *key, "r", "c", "_val", "_hid", "_gone", "_at", _value(F.col("sv"), F.col("nv")).alias("_v"),
+        *[n.alias(f"x_{e}") for n, e in zip(now, _EVENTS)],
+        F.last(shown, ignorenulls=True).over(run).alias("_hsec")), "parse-heads")
+    heads = head.groupBy(*key).agg(F.max("_gone").alias("_gone"), _latest("_hsec").alias("_hsec"))
+    # numbers of the values: what the blocks before add, less what their contexts hid
+    gone = F.coalesce(F.col("_gone"), F.lit(0))
+    shift = lambda sec, by: F.when(sec.isNotNull(), F.struct(sec["name"].alias("name"), (sec["at"] + by).alias("at")))
+    sums = _attach(left, heads, key)
+    sums = sums.withColumn("_kb", F.coalesce(F.sum(F.col("_n0") - gone).over(before), F.lit(0)))
+    sums = sums.select(
+        *key, "_kb", gone.alias("_less"), *[f"c_{e}" for e in _EVENTS], shift(F.col("_hsec"), F.col("_kb")).alias("_hsec"),
+        F.coalesce(shift(F.col("_osec"), F.col("_kb") - gone), shift(F.col("_hsec"), F.col("_kb"))).alias("_end"))
+    sums = written(sums.select(*[c for c in sums.columns if c != "_end"],
+                               F.last("_end", ignorenulls=True).over(before).alias("_csec")), "parse-numbers")
+    body = blocks.where(F.col("_val") & ~F.col("_pend")).select(
+        *key, _value(F.col("sv"), F.col("nv")).alias("_v"), F.col("_lk").alias("_at"), F.lit(True).alias("_body"),
+        *[F.col(f"l_{e}").alias(f"x_{e}") for e in _EVENTS], F.col("_lsec").alias("_own"))
+    top = head.where(F.col("_val") & ~F.col("_hid")).select(
+        *key, "_v", "_at", F.lit(False).alias("_body"), *[f"x_{e}" for e in _EVENTS], F.col("_hsec").alias("_own"))
+    v = _attach(body.unionByName(top), sums, key)
+    add = F.col("_kb") - F.when(F.col("_body"), F.col("_less")).otherwise(0)
+    section = F.coalesce(shift(F.col("_own"), add), F.when(F.col("_body"), F.col("_hsec")), F.col("_csec"))
+    v = v.select(*SHEET, "_v", (F.col("_at") + add).alias("_k"), section.alias("_section"),
+                 *[f"x_{e}" for e in _EVENTS])
+    # records: five consecutive values; the fifth has the contexts
     pos = (F.col("_k") - 1) % RECORD_WIDTH
-    ctx = F.struct(*[F.col(c) for c in ("x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS],
-                                        "x_section", "_k", "_k_at_sec")])
-    rec = v.groupBy(*SHEET, g.alias("_g")).agg(
+    fifth = F.struct("_section", "_k", *[f"x_{e}" for e in _EVENTS])
+    rec = v.groupBy(*SHEET, ((F.col("_k") - 1) / RECORD_WIDTH).cast("long").alias("_g")).agg(
         F.count(F.lit(1)).alias("_n"),
         *[F.max(F.when(pos == i, F.col("_v"))).alias(f"_f{i}") for i in range(RECORD_WIDTH)],
-        F.max_by(ctx, F.col("_k")).alias("_ctx")).where(F.col("_n") == RECORD_WIDTH)
-    rec = rec.select(*SHEET, *[f"_f{i}" for i in range(RECORD_WIDTH)], "_ctx.*")
-    return _records(rec, list(SHEET), [F.col(f"_f{i}") for i in range(RECORD_WIDTH)])
+        F.max_by(fifth, F.col("_k")).alias("_fifth")).where(F.col("_n") == RECORD_WIDTH)
+    rec = rec.select(*SHEET, *[f"_f{i}" for i in range(RECORD_WIDTH)], "_fifth.*")
+    rec = _expand(rec.select(*SHEET, *[f"_f{i}" for i in range(RECORD_WIDTH)], "_k", "x_month", "x_counter",
+                             F.col("x_wd").alias("_wd"), F.col("_section.name").alias("x_section"),
+                             F.col("_section.at").alias("_k_at_sec")))
+    out = _records(rec, list(SHEET), [F.col(f"_f{i}") for i in range(RECORD_WIDTH)])
+    return out if whole is None else out.unionByName(whole)
 
 
 def parse_journal_cells(cells: DataFrame, date_mode: int = 0, exclude_sheets=EXCLUDED_SHEETS,
@@ -340,14 +389,13 @@ def parse_journal_cells(cells: DataFrame, date_mode: int = 0, exclude_sheets=EXC
     do not say otherwise.
 
     Every sheet is one window partition.  With ``rows_per_chunk`` all sheets
-    are instead split into chunks of so many row numbers (``r`` ranges),
-    which are parsed in parallel with carried contexts (``_parse_chunked``):
-    the caller's choice for sheets too large for a task, with the same result.
+    are instead split into blocks of so many row numbers (``r`` ranges),
+    which are parsed alone and then composed (``_parse_blocks``): the
+    caller's choice for sheets too large for a task, with the same result.
     """
     if rows_per_chunk is None:
         return _parse_sheets(cells, date_mode, exclude_sheets)
-    ensure_checkpoint_dir(cells.sparkSession)        # the chunked rounds checkpoint
-    return _parse_chunked(cells, date_mode, exclude_sheets, rows_per_chunk)
+    return _parse_blocks(cells, date_mode, exclude_sheets, rows_per_chunk)
 
 
 def clean_journal(parsed: DataFrame, keep=()) -> DataFrame:

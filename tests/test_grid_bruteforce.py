@@ -87,12 +87,13 @@ class SheetModel:
             self.values = []
 
 
-def random_sheet(rnd):
+def random_sheet(rnd, totals=True):
+    """``totals``: workout types may hold the word that ends a row."""
     rows = [["header row"]]
     noise = ["May", "Push", "Weights", "Squats!", "Total", "Deload", 0.0, 7.5, "", "Legs"]
     for _ in range(rnd.randint(1, 4)):
         d = dt.date(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 360))
-        type_ = rnd.choice(["Pull", "Push", "Legs", "Full", 7.0, "Totals day"])
+        type_ = rnd.choice(["Pull", "Push", "Legs", "Full", 7.0, "Totals day" if totals else "Weights"])
         if rnd.random() < 0.9:
             rows.append([MONTH_NAMES[d.month - 1]])
         counter = f"{d.timetuple().tm_yday}/365" if rnd.random() < 0.9 else ""
@@ -111,7 +112,7 @@ def random_sheet(rnd):
             if rnd.random() < 0.5:
                 rows.append(["Total Reps", "", 31.0, "March", "x/365"])
             if rnd.random() < 0.4:      # a session's marks right of a break are never read
-                rows.append([rnd.choice(["Total", "Totals day"]), 45000.0, "Deload", "Tuesday", "Totals day", "9/365"])
+                rows.append([rnd.choice(["Total", "Totals day"]), 45000.0, "Deload", "Tuesday", "Totals day" if totals else "Push", "9/365"])
                 rows.append([rnd.choice(["Totals day", 7.0]), "a", "b", "c", "d", "e"])
     return rows
 
@@ -160,3 +161,31 @@ def test_chunked_parser_matches_sequential_model(spark, seed, rows):
     norm = lambda rows_: sorted(tuple("∅" if v is None else str(v) for v in row) for row in rows_)
     assert len(got) == len(expected)
     assert norm(got) == norm(expected)
+
+
+@pytest.mark.parametrize("seed,rows", [(21, 1), (22, 2), (23, 5), (24, 11), (25, 1000)])
+def test_block_parser_without_ambiguous_totals(spark, seed, rows, monkeypatch):
+    """No sheet has to be parsed whole: all of it comes from composed blocks."""
+    from setbook.operators import grid
+    rnd = random.Random(seed)
+    cells, expected = [], []
+    for wb in (1, 2, 3, 4, None):
+        for sheet in ("2022", "2023", "2024"):
+            out, model = to_cells(wb, sheet, random_sheet(rnd, totals=False))
+            cells += out
+            if sheet != "2023":
+                expected += [(wb, sheet) + rec for rec in SheetModel(model).run()]
+    # a sheet whose header comes late, and one without any header
+    late = [["x"], ["Pull"], ["a", "b", "c", "d", "e"]] + [["f", "g", 0.0, "h", 1.5, "Pull"]] * 4 + [["May"], ["", "", "Friday", "Pull", "3/365"]]
+    late += [["Pull"], ["Push"], ["i", "j", 0.0, "k", 2.0, "Pull", "Friday"]] * 3 + [["Total", "Monday"], ["l", "m", "n", "o", "p"]]
+    for name, grid_rows in (("2025", late), ("2026", late[:7])):
+        out, model = to_cells(9, name, grid_rows)
+        cells += out
+        expected += [(9, name) + rec for rec in SheetModel(model).run()]
+
+    def whole(*args):
+        raise AssertionError("a sheet was parsed whole")
+    monkeypatch.setattr(grid, "_parse_sheets", whole)
+    got = [tuple(r) for r in parse_journal_cells(spark.createDataFrame(cells, CELLS_SCHEMA), rows_per_chunk=rows).collect()]
+    norm = lambda rows_: sorted(tuple("∅" if v is None else str(v) for v in row) for row in rows_)
+    assert norm(got) == norm(expected)
