@@ -48,6 +48,11 @@ def semi_join(df: DataFrame, dim: DataFrame, on) -> DataFrame:
 
     No broadcast hint: adaptive execution measures the materialised ``dim``
     and broadcasts it only when it is below the broadcast threshold,
-    otherwise keeps a shuffled semi join.
+    otherwise keeps a shuffled semi join.  Only the keys of ``dim`` take part.
+    Where ``dim`` is filtered and both sides shuffle, Spark first
+    builds a Bloom filter of its keys and drops facts that cannot match at
+    the scan (``spark.sql.optimizer.runtime.bloomFilter.*``); a hot key of the
+    facts is split by adaptive skew handling, as only their side repeats keys.
     """
-    return df.join(dim, on=on, how="left_semi")
+    names = [on] if isinstance(on, str) else list(on)
+    return df.join(dim.select(*names), on=names, how="left_semi")

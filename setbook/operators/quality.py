@@ -1,13 +1,15 @@
 """Journal quality checks (schema constraints + the grid's known traps).
 
-One pass over the rows computes every row-level rule as a conditional
-count; the one cross-row rule (a grid cell with several month texts or
-units, which would multiply rows downstream) is a second aggregation over
-the cell key.  Nothing is collected: the report is a DataFrame.
+One pass over the rows gives each the bits of the row-level rules it breaks;
+the one cross-row rule (a grid cell with several month texts or units, which
+would multiply rows downstream) is an aggregation over the cell key.
+Nothing is collected: the report is a DataFrame.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,41 +34,77 @@ def row_rules() -> dict[str, Column]:
     return rules
 
 
+def _enforced(name: str) -> bool:
+    """Rules that the journal table itself enforces: nothing NULL, a known unit, a weight that fits."""
+    return name.startswith("not_null_") or name in ("unit_allowed", "weight_fits_5_2")
+
+
+def rule_bits() -> dict[str, int]:
+    """rule name -> its bit in the mask of ``broken_rules``."""
+    return {name: 1 << i for i, name in enumerate(row_rules())}
+
+
+def enforced_bits() -> int:
+    return sum(bit for name, bit in rule_bits().items() if _enforced(name))
+
+
+def broken_rules() -> Column:
+    """BIGINT with the bit of every row-level rule that the row breaks; 0 for a clean row."""
+    bits = rule_bits()
+    return reduce(lambda a, b: a.bitwiseOR(b), [
+        F.when(F.coalesce(p, F.lit(False)), F.lit(bits[name])).otherwise(F.lit(0)) for name, p in row_rules().items()
+    ]).cast("bigint")
+
+
+def accepted(mask: Column) -> Column:
+    """TRUE where no enforced rule is broken (smallints fit by their type)."""
+    return mask.bitwiseAND(F.lit(enforced_bits())) == 0
+
+
+def reasons(mask: Column, enforced_only: bool = True) -> Column:
+    """The names of the broken rules, comma-joined in the order of the rules."""
+    return F.array_join(F.array_compact(F.array(*[
+        F.when(mask.bitwiseAND(F.lit(bit)) != 0, F.lit(name)) for name, bit in rule_bits().items()
+        if _enforced(name) or not enforced_only])), ",")
+
+
 def constraints_met() -> Column:
-    """TRUE for rows that the journal table accepts: nothing NULL, a known
-    unit, a weight that fits (smallints fit by their type)."""
-    rules = row_rules()
-    broken = F.lit(False)
-    for name, p in rules.items():
-        if name.startswith("not_null_") or name in ("unit_allowed", "weight_fits_5_2"):
-            broken = broken | F.coalesce(p, F.lit(False))
-    return ~broken
+    """TRUE for rows that the journal table accepts."""
+    return accepted(broken_rules())
+
 
+def rejected_rows(journal: DataFrame, mask: str = "broken", text: str = "reasons") -> DataFrame:
+    """The rows that the journal table refuses, with the bits and names of the enforced rules they break."""
+    marked = journal.withColumn(mask, broken_rules().bitwiseAND(F.lit(enforced_bits())))
+    return marked.where(F.col(mask) != 0).withColumn(text, reasons(F.col(mask)))
 
-def check_journal(journal: DataFrame, by=()):
+
+def check_journal(journal: DataFrame, by=(), mask: str | None = None):
     """Return (good_rows, report).
 
     ``report`` has one row per rule (and log, with ``by``): (rule,
     violations).  ``good_rows`` are the rows that break no row-level rule.
+    ``mask`` names a column that already holds ``broken_rules()``.
 
-    One scan and one shuffle: the rules are counted per grid cell (year,
-    month number, exercise, weight; combined map-side), where the cross-row
-    rule is the cell's smallest against its largest (month text, unit).
+    One scan: a row's broken rules are one number, and rows are counted per
+    (grid cell, number), combined map-side; the rules' counts and the
+    cross-row rule (a cell's smallest against its largest month text and
+    unit) come from those few rows.
     """
-    rules = row_rules()
-    flags = [F.coalesce(p, F.lit(False)) for p in rules.values()]
-    bad_any = flags[0]
-    for fl in flags[1:]:
-        bad_any = bad_any | fl
-    good = journal.where(~bad_any)
-
+    broken = F.col(mask) if mask else broken_rules()
     variant = F.when(F.col("month").isNotNull() & F.col("weight_unit").isNotNull(), F.struct("month", "weight_unit"))
-    cells = journal.groupBy(*by, F.year("date").alias("_y"), month_number(F.col("month")).alias("_m"),
-                            "exercise", "weight").agg(
-        *[F.count_if(fl).alias(n) for n, fl in zip(rules, flags)],
-        F.coalesce(F.min(variant) != F.max(variant), F.lit(False)).cast("bigint").alias("one_unit_per_cell"))
-    names = [*rules, "one_unit_per_cell"]
+    cell = (*by, "_y", "_m", "exercise", "weight")
+    counted = journal.groupBy(*by, F.year("date").alias("_y"), month_number(F.col("month")).alias("_m"),
+                              "exercise", "weight", broken.alias("_broken")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(variant).alias("_a"), F.max(variant).alias("_z"))
+    bits = rule_bits()
+    hits = {name: F.sum(F.when(F.col("_broken").bitwiseAND(F.lit(bit)) != 0, F.col("_n")).otherwise(0))
+            for name, bit in bits.items()}
+    cells = counted.groupBy(*cell).agg(
+        *[h.alias(name) for name, h in hits.items()],
+        F.coalesce(F.min("_a") != F.max("_z"), F.lit(False)).cast("bigint").alias("one_unit_per_cell"))
+    names = [*bits, "one_unit_per_cell"]
     counts = cells.groupBy(*by).agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names])
     report = counts.select(*by, F.inline(F.array(*[
         F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in names])))
-    return good, report
+    return journal.where(broken == 0), report

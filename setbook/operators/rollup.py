@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import percentage
+from .distinct import BITS, count_bits
 
 # grain -> time columns of the output (in output order)
 GRAINS = {
@@ -38,10 +39,13 @@ def count_sessions(df: DataFrame, keys, session_col: str = "workout_counter",
                    name: str = "total_workouts", by=()) -> DataFrame:
     """Exact COUNT(DISTINCT session_col) per (by, keys).
 
-    Planned as two aggregation phases keyed first by (keys, session) —
-    so a hot group is spread over many tasks — then by keys.
+    Over rows it is planned as two aggregation phases keyed first by (keys,
+    session) — so a hot group is spread over many tasks — then by keys; over
+    a table of bitmaps (``plans.cubes.session_bits``) as their union.
     """
     group = [*by, *keys]
+    if BITS in df.columns:
+        return count_bits(df, group, name)
     return (df.groupBy(*group)
               .agg(F.count_distinct(session_col).cast("bigint").alias(name))
               .select(*group, name))

@@ -3,9 +3,10 @@
 Like the original model DAG, a mart that builds on another one reads the
 *written* upstream table instead of recomputing it: the dense month grid
 is computed once and read by the change marts, the change marts once and
-read by their reps / seconds views.  Each mart is published as a new
-version of its table (``sources.versions``): a failed build leaves the old
-one.  Writing also cuts the lineage, so a lost executor only recomputes
+read by their reps / seconds views.  Each mart is written as a new version
+of its table (``sources.versions``), and all are published after the last
+one is written: a failed build publishes none of them.  (``plans.warehouse``
+swaps all tables of a build in one step.)  Writing also cuts the lineage, so a lost executor only recomputes
 from the last written table.
 """
 
@@ -16,9 +17,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.staging import stage_journal
-from ..sources.versions import publish, published
+from ..sources.versions import discard, point_to, published, write_version
 from . import marts as M
-from .cubes import DAY_MARTS, SESSION_MARTS, day_cube, session_cube
+from .cubes import COUNT_MARTS, DAY_MARTS, day_cube, session_bits
 
 # mart -> (upstream mart it reads, keyword the function takes it as)
 UPSTREAM = {
@@ -63,7 +64,7 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
     ``journal`` should be a table scan (``read_journal``) so every mart
     starts from columnar files with pushdown.  With ``cubes`` (default) the
     two shared pre-aggregates are written first (``_cube_day``,
-    ``_cube_session``) and the marts are derived from them, so the journal
+    ``_cube_sessions``) and the marts are derived from them, so the journal
     is scanned twice instead of once per mart.  Marts of one dependency
     level are independent Spark jobs and are submitted from ``threads``
     threads at once (small marts then share the cluster instead of
@@ -75,28 +76,41 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
     wanted = list(names) if names else [n for n in M.MARTS if n != "stg_workout_journal"]
     order = build_order(wanted)
     out = out_dir.rstrip("/")
-    source = {}
+    source: dict = {}
+    folders: dict[str, str] = {}
+    try:
+        _write_all(spark, stg, order, out, fmt, cubes, threads, by, source, folders)
+    except BaseException:
+        for folder in folders.values():
+            discard(spark, folder)
+        raise
+    for name, folder in folders.items():
+        point_to(spark, f"{out}/{name}", folder)
+    return {n: folders[n] for n in order if n in M.MARTS}
+
+
+def _write_all(spark, stg, order, out, fmt, cubes, threads, by, source, folders) -> None:
+    """Write the versions of a build; ``folders`` collects them, by table."""
     if cubes:
         for cube_name, fn, marts in (("_cube_day", day_cube, DAY_MARTS),
-                                     ("_cube_session", session_cube, SESSION_MARTS)):
+                                     ("_cube_sessions", session_bits, COUNT_MARTS)):
             if any(n in marts for n in order):
-                table = spark.read.format(fmt).load(publish(fn(stg, by=by), f"{out}/{cube_name}", fmt=fmt))
+                folders[cube_name] = write_version(fn(stg, by=by), f"{out}/{cube_name}", fmt=fmt)
+                table = spark.read.format(fmt).load(folders[cube_name])
                 source.update({n: table for n in marts})
-    paths: dict[str, str] = {}
 
     def write(name: str) -> None:
         kw = {}
         if name in UPSTREAM:
             up, arg = UPSTREAM[name]
-            kw[arg] = spark.read.format(fmt).load(paths[up])
+            kw[arg] = spark.read.format(fmt).load(folders[up])
         fn = SHARED.get(name) or M.MARTS[name]
-        paths[name] = publish(fn(source.get(name, stg), by=by, **kw), f"{out}/{name}", fmt=fmt)
+        folders[name] = write_version(fn(source.get(name, stg), by=by, **kw), f"{out}/{name}", fmt=fmt)
 
     for level in range(max(_depth(n) for n in order) + 1):
         batch = [n for n in order if _depth(n) == level]
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             list(pool.map(write, batch))          # re-raises the first failure
-    return {n: paths[n] for n in order if n in M.MARTS}
 
 
 def read_mart(spark: SparkSession, paths: dict[str, str], name: str, fmt: str = "parquet",

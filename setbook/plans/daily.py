@@ -18,9 +18,11 @@ import argparse
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.grid import clean_journal, parse_journal_cells
-from ..operators.quality import check_journal, constraints_met
+from ..operators.quality import accepted, broken_rules, check_journal, enforced_bits, reasons
 from ..session import delete_at_end, ensure_checkpoint_dir, get_spark
 from ..sources.cells import CELLS_SCHEMA
 from ..sources.journal import read_journal, write_journal
@@ -34,9 +36,10 @@ def ingest(spark: SparkSession, cells_path: str | None, journal_path: str, repor
            per_workbook: bool = False, on_bad: str = "quarantine") -> None:
     """Parse the workbook cells (a cells table, or .xlsx files) and replace the journal table.
 
-    Rows that break a constraint of the table (``constraints_met``) never
-    reach it: ``on_bad`` "quarantine" publishes them as
-    ``<journal>_rejected`` instead, "fail" raises and publishes nothing.
+    Rows that break a constraint of the table never reach it: ``on_bad``
+    "quarantine" publishes them as ``<journal>_rejected`` instead, with the
+    bits and names of the rules they break; "fail" raises and publishes
+    nothing.
     """
     if on_bad not in ("quarantine", "fail"):
         raise ValueError(f"on_bad: {on_bad}")
@@ -47,17 +50,20 @@ def ingest(spark: SparkSession, cells_path: str | None, journal_path: str, repor
         cells_path = f"{scratch}/cells"
     cells = spark.read.schema(CELLS_SCHEMA).parquet(cells_path)
     keep = ("workbook_id",) if per_workbook else ()
-    clean_journal(parse_journal_cells(cells, date_mode=date_mode, rows_per_chunk=rows_per_chunk),
-                  keep=keep).write.parquet(f"{scratch}/rows")
-    rows = spark.read.parquet(f"{scratch}/rows")
+    # one pass parses, marks each row with the rules it breaks and parts the refused rows from the others
+    rows = clean_journal(parse_journal_cells(cells, date_mode=date_mode, rows_per_chunk=rows_per_chunk), keep=keep)
+    marked = rows.withColumn("broken", broken_rules())
+    (marked.withColumn("accepted", accepted(F.col("broken"))).write.partitionBy("accepted")
+           .parquet(f"{scratch}/rows"))
+    split = spark.read.schema(T.StructType([*marked.schema.fields, T.StructField("accepted", T.BooleanType())])).parquet(f"{scratch}/rows")
+    refused, good = split.where(~F.col("accepted")), split.where(F.col("accepted"))      # a folder each
     if report_path:
-        publish(check_journal(rows, by=keep)[1], report_path)
-    good = constraints_met()
-    rejected = rows.where(~good)
-    if on_bad == "fail" and not rejected.isEmpty():
+        publish(check_journal(split, by=keep, mask="broken")[1], report_path)
+    if on_bad == "fail" and not refused.isEmpty():
         raise ValueError("rows break the journal's constraints; nothing was published")
-    publish(rejected, f"{journal_path.rstrip('/')}_rejected")
-    write_journal(rows.where(good), journal_path, partition_by_year=True, keys=keep)
+    refused = refused.drop("accepted").withColumn("broken", F.col("broken").bitwiseAND(F.lit(enforced_bits())))
+    publish(refused.withColumn("reasons", reasons(F.col("broken"))), f"{journal_path.rstrip('/')}_rejected")
+    write_journal(good.drop("accepted", "broken"), journal_path, partition_by_year=True, keys=keep)
 
 
 def main(argv=None) -> None:

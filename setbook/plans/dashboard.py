@@ -107,6 +107,23 @@ def dash_heatmap(stg: DataFrame, year_bound: int = WEEKDAY_YEAR_BOUND,
     return cells.withColumn("weekday_position", F.array_position(order, F.col("weekday")).cast("int"))
 
 
+def dash_heatmap_wide(stg: DataFrame, year_bound: int = WEEKDAY_YEAR_BOUND, years=None,
+                      weekday_matrix: DataFrame | None = None) -> DataFrame:
+    """The heat map as a table: one row a weekday in display order, one column a year.
+
+    A pivot needs its columns before the query runs; ``years`` None finds
+    them first with a query of its own over the matrix (one row a year).
+    A weekday without a cell in a year has NULL there.
+    """
+    cells = dash_weekday(stg, year_bound, weekday_matrix)
+    if years is None:
+        years = sorted(r["year"] for r in cells.select("year").distinct().collect())
+    order = F.array(*[F.lit(d) for d in HEATMAP_WEEKDAY_ORDER])
+    wide = cells.groupBy("weekday").pivot("year", list(years)).agg(F.sum("total_workouts").cast("bigint"))
+    return wide.select(F.array_position(order, F.col("weekday")).cast("int").alias("weekday_position"), "weekday",
+                       *[F.col(f"`{y}`").alias(f"y{y}") for y in years])
+
+
 DASHBOARD = {
     "dash_mom": dash_mom,
     "dash_yoy": dash_yoy,
@@ -119,6 +136,7 @@ DASHBOARD = {
     "dash_yearly_sorted": dash_yearly_sorted,
     "dash_bubble": dash_bubble,
     "dash_heatmap": dash_heatmap,
+    "dash_heatmap_wide": dash_heatmap_wide,
 }
 
 DASH_SORT_KEYS = {

@@ -34,6 +34,9 @@ def _quoted(names) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
 
+# the fixture's years before the bound of the weekday chart
+WIDE_YEARS = tuple(range(2022, WEEKDAY_YEAR_BOUND))
+
 # ---- steps ------------------------------------------------------------------------
 
 STEPS: dict[str, str] = {}
@@ -238,6 +241,7 @@ INT_COLUMNS = {
     "total_reps", "total_seconds", "last_month_reps", "last_month_seconds", "last_year_reps",
     "last_year_seconds", "mom_absolute_change", "yoy_absolute_change", "bodyweight_sets",
     "weighted_sets", "total_workouts", "total_days", "workout_days", "deload", "weekday_position", "position", "violations",
+    "total_amount", "broken",
 }
 NUM_COLUMNS = {
     "added_weight", "weight", "total_added_volume", "mom_percentage_change", "yoy_percentage_change",
@@ -301,6 +305,22 @@ def ordered_sql(name: str, keys) -> str:
                    COLUMNS[name] + ", position")
 
 
+def placed_sql(name: str, keys) -> str:
+    """A mart with each row's place in the whole table."""
+    by = ", ".join(f"{k[1:]} DESC NULLS FIRST" if k.startswith("-") else f"{k} NULLS LAST" for k in keys)
+    return compose(f"SELECT *, rank() OVER (ORDER BY {by}) AS position FROM ({MARTS[name]})",
+                   COLUMNS[name] + ", position")
+
+
+def by_log_sql(name: str) -> str:
+    """A mart of each log (the fixture's two sections), one below the other."""
+    logs = []
+    for log in ("f", "o"):
+        own = compose(MARTS[name], COLUMNS[name], journal=STEPS["journal"] + f" WHERE lower(l_linestatus) = '{log}'")
+        logs.append(f"SELECT '{log}' AS log, * FROM ({own})")
+    return " UNION ALL ".join(logs)
+
+
 # ---- presentation queries ------------------------------------------------------------
 
 def dashboard_sql(exercises, as_of, weight_kg, year) -> dict[str, str]:
@@ -340,6 +360,12 @@ def dashboard_sql(exercises, as_of, weight_kg, year) -> dict[str, str]:
         "dash_heatmap": (f"""SELECT year, weekday, SUM(total_workouts) AS total_workouts,
             CAST(list_position({_array(HEATMAP_WEEKDAY_ORDER)}, weekday) AS INTEGER) AS weekday_position
             FROM weekday_view GROUP BY year, weekday""", "year, weekday, total_workouts, weekday_position"),
+        "dash_heatmap_wide": ("SELECT CAST(list_position({order}, weekday) AS INTEGER) AS weekday_position, weekday, "
+                              "{years} FROM weekday_view GROUP BY weekday".format(
+                                  order=_array(HEATMAP_WEEKDAY_ORDER),
+                                  years=", ".join(f"CAST(sum(total_workouts) FILTER (WHERE year = {y}) AS BIGINT) AS y{y}"
+                                                  for y in WIDE_YEARS)),
+                              "weekday_position, weekday, " + ", ".join(f"y{y}" for y in WIDE_YEARS)),
     }
     return {k: compose(sql, cols, **steps) for k, (sql, cols) in specs.items()}
 
@@ -411,3 +437,24 @@ CHECK_JOURNAL = compose(
     " UNION ALL ".join([f"SELECT '{n}' AS rule, count(*) FILTER (WHERE {p}) AS violations FROM odd_lines" for n, p in _RULES]
                        + ["SELECT 'one_unit_per_cell', count(*) FILTER (WHERE variants > 1) FROM cell_variants"]),
     "rule, violations")
+
+# ---- tables: single years, the text dump, refused rows, a given dimension
+
+_JOURNAL = "month, weekday, date, deload, workout_counter, set_counter, type, section, exercise, weight, weight_unit, grip, amount, rest"
+_REFUSED = [(1 << i, n, p) for i, (n, p) in enumerate(_RULES)
+            if n.startswith("not_null_") or n in ("unit_allowed", "weight_fits_5_2")]
+TABLES: dict[str, str] = {
+    "refresh_year_journal": compose("SELECT * FROM journal", _JOURNAL),
+    "dump_roundtrip": compose("SELECT * FROM journal", _JOURNAL),
+    "refresh_year_totals": compose(
+        "SELECT exercise, added_weight, weight_unit, sum(amount) AS total_amount FROM sets GROUP BY ALL",
+        "exercise, added_weight, weight_unit, total_amount"),
+    "rejected_rows": compose(
+        "SELECT *, {bits} AS broken, concat_ws(',', {names}) AS reasons FROM odd_lines WHERE {any}".format(
+            bits=" + ".join(f"CASE WHEN {p} THEN {b} ELSE 0 END" for b, _, p in _REFUSED),
+            names=", ".join(f"CASE WHEN {p} THEN '{n}' END" for _, n, p in _REFUSED),
+            any=" OR ".join(f"coalesce({p}, FALSE)" for _, _, p in _REFUSED)), _JOURNAL + ", broken, reasons"),
+    "semi_join_dimension": compose("""SELECT date, exercise, added_weight, amount FROM sets WHERE exercise IN (
+        SELECT lower(p_brand) || CASE p_size % 10 WHEN 0 THEN ' hold (s)' WHEN 1 THEN ' + dips' ELSE '' END
+        FROM part WHERE p_brand LIKE 'Brand#1_' AND p_type = 'ECONOMY')""", "date, exercise, added_weight, amount"),
+}

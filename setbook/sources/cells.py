@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vocab import COLUMN_HEADERS
+from ..functions.vocab import COLUMN_HEADERS, EXCEL_EPOCH_1900, EXCEL_EPOCH_1904
 from .journal import DATE_SHIFT_MONTHS
 from .tables import read_table
 
@@ -83,13 +83,15 @@ def _lines(spark: SparkSession, sf_dir: str, sessions: DataFrame) -> DataFrame:
                                    .cast("decimal(5,2)")))
 
 
-def cells_from_tables(spark: SparkSession, sf_dir: str, workbooks: int | None = None) -> DataFrame:
-    """The driver tables rendered as workbook cells (see module doc)."""
+def cells_from_tables(spark: SparkSession, sf_dir: str, workbooks: int | None = None,
+                      date_mode: int | None = None) -> DataFrame:
+    """The driver tables rendered as workbook cells (see module doc); ``date_mode`` 1 counts days from 1904 and says so."""
+    epoch = EXCEL_EPOCH_1904 if date_mode == 1 else EXCEL_EPOCH_1900
     s = _sessions(spark, sf_dir, workbooks)
     b = F.col("base")
     header = s.select("workbook_id", "sheet", F.inline(F.array(
         _cell(b, 0, sv=F.date_format("dt", "MMMM")),
-        _cell(b + 1, 0, nv=F.datediff("dt", F.lit("1899-12-30").cast("date"))),
+        _cell(b + 1, 0, nv=F.datediff("dt", F.lit(epoch).cast("date"))),
         _cell(b + 1, 1, sv=F.when(F.col("o_orderstatus") == "P", "Deload").otherwise("")),
         _cell(b + 1, 2, sv=F.date_format("dt", "EEEE")),
         _cell(b + 1, 3, sv=F.col("o_orderpriority")),
@@ -121,5 +123,5 @@ def cells_from_tables(spark: SparkSession, sf_dir: str, workbooks: int | None =
     # a section also writes the section frame (name, headers, total row)
     per_line = F.when(F.col("set_idx") == 1, F.concat(value_cells, frame_cells)).otherwise(value_cells)
     body = lines.select("workbook_id", "sheet", F.inline(per_line))
-    return header.unionByName(body).withColumn("date_mode", F.lit(None).cast("int"))
+    return header.unionByName(body).withColumn("date_mode", F.lit(date_mode).cast("int"))
 

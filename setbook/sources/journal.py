@@ -15,14 +15,14 @@ Sources
 from __future__ import annotations
 
 import threading
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import month_name, weekday_name
-from ..session import app_id, delete_at_end, ensure_checkpoint_dir
+from ..session import app_id
+from .scratch import scratch_folder
 from .tables import read_table
 from .versions import publish, published
 
@@ -164,32 +164,41 @@ def write_journal(df: DataFrame, path: str, partition_by_year: bool = False, key
 
 
 _MEMO: dict = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()         # making a table may need another one
+INPUTS = ("lineitem", "orders", "part")
 
 
-def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
-    """Number and a checksum of the input files (names, sizes, times): changes when any of them does."""
-    parts = None
-    for t in ("lineitem", "orders", "part"):
-        files = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").select(
-            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
-        parts = files if parts is None else parts.unionByName(files)
-    row = parts.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*parts.columns).cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _input_state(spark: SparkSession, sf_dir: str, tables=INPUTS) -> tuple:
+    """(name, size, time) of every input file, from the file system alone: changes when any of them does."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for t in tables:
+        at = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        files = at.getFileSystem(conf).listFiles(at, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
-def journal_for(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Derived journal for ``sf_dir``, written once per application and input state.
+def table_for(spark: SparkSession, sf_dir: str, label: str, make, tables=INPUTS) -> DataFrame:
+    """``make()`` written once per application and state of the input ``tables``, and read from there.
 
     A parquet table in the shared folder: a lost executor re-reads files,
     and every query scans only the columns and row groups it needs.  The
     folder goes when the application ends.
     """
-    key = (app_id(spark), sf_dir.rstrip("/"), _input_state(spark, sf_dir))
+    key = (app_id(spark), label, sf_dir.rstrip("/"), _input_state(spark, sf_dir, tables))
     with _LOCK:
         if key not in _MEMO:
-            path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/journal-{uuid.uuid4().hex[:12]}"
-            delete_at_end(spark, path)
-            derive_journal(spark, sf_dir).write.parquet(path)
-            _MEMO[key] = path
-    return spark.read.schema(JOURNAL_SCHEMA).parquet(_MEMO[key])
+            df = make()
+            path = scratch_folder(spark, label)
+            df.write.parquet(path)
+            _MEMO[key] = path, df.schema
+    path, schema = _MEMO[key]
+    return spark.read.schema(schema).parquet(path)
+
+
+def journal_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived journal for ``sf_dir``, written once per application and input state."""
+    return conform_journal(table_for(spark, sf_dir, "journal", lambda: derive_journal(spark, sf_dir)))

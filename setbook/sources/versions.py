@@ -42,21 +42,29 @@ def published(spark: SparkSession, path: str) -> str:
     return path
 
 
-def publish(df: DataFrame, path: str, partition_by=(), fmt: str = "parquet", keep: int = 2) -> str:
-    """Write ``df`` as the new version of the table ``path`` and return its folder.
-
-    The newest ``keep`` versions stay for readers that have already resolved
-    theirs; older ones are deleted after the new one is published.
-    """
+def write_version(df: DataFrame, path: str, partition_by=(), fmt: str = "parquet") -> str:
+    """Write ``df`` as a version of the table ``path`` that nothing points to yet; returns its folder."""
     spark, path = df.sparkSession, path.rstrip("/")
-    version = f"v-{uuid.uuid4().hex}"
+    folder = f"{path}/v-{uuid.uuid4().hex}"
     writer = df.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(f"{path}/{version}")
+    writer.save(folder)
+    fs, at = _fs(spark, path)
+    if not fs.exists(at(f"{folder}/{DONE}")):
+        raise RuntimeError(f"{folder} was not committed")
+    return folder
+
+
+def point_to(spark: SparkSession, path: str, folder: str, keep: int = 2) -> None:
+    """Make the version ``folder`` the published one of the table ``path``.
+
+    The newest ``keep`` versions stay for readers that have already resolved
+    theirs; older ones are deleted after the new one is published.
+    """
+    path = path.rstrip("/")
+    version = folder.rsplit("/", 1)[1]
     fs, at = _fs(spark, path)
-    if not fs.exists(at(f"{path}/{version}/{DONE}")):
-        raise RuntimeError(f"{path}/{version} was not committed")
     old = _pointers(spark, path)
     fs.mkdirs(at(f"{path}/{_POINTERS}"))
     number = old[0][0] + 1 if old else 1
@@ -64,4 +72,16 @@ def publish(df: DataFrame, path: str, partition_by=(), fmt: str = "parquet", kee
     for n, v in old[keep - 1:]:
         fs.delete(at(f"{path}/{_POINTERS}/{n}={v}"), False)
         fs.delete(at(f"{path}/{v}"), True)
-    return f"{path}/{version}"
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a version that was never published."""
+    fs, at = _fs(spark, folder)
+    fs.delete(at(folder), True)
+
+
+def publish(df: DataFrame, path: str, partition_by=(), fmt: str = "parquet", keep: int = 2) -> str:
+    """Write ``df`` as the new version of the table ``path`` and return its folder."""
+    folder = write_version(df, path, partition_by, fmt)
+    point_to(df.sparkSession, path, folder, keep)
+    return folder
