@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ SPACE = r"[\x20\x09-\x0D]"
 
 # a Parquet writer holds one row group, and a reader takes at most one at a time; every core runs one of them
 ROW_GROUP_BYTES = 16 << 20
-ARROW_BATCH_BYTES = 8 << 20
+ARROW_BATCH_BYTES = 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,9 +81,20 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
-    """At most ``rows`` rows and about ARROW_BATCH_BYTES in an Arrow batch of this session, so that a batch fits a worker.
+    """Bound what a task of this session holds at a time: ``rows`` rows and about ARROW_BATCH_BYTES in an Arrow
+    batch, ROW_GROUP_BYTES in a Parquet writer.
 
     A single longer row still makes a batch of its own.
     """
+    spark.conf.set("parquet.block.size", str(ROW_GROUP_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Return freed memory of a Python worker to the system: Spark keeps workers for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):            # no C library with it
+        pass

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import bounded_batches, documents, scratch_path, stored, whole_text
+from .common import bounded_batches, documents, scratch_path, stored, unused, whole_text
 
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -139,20 +139,23 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05
     if n == 1:
         return docs.withColumn(out, F.sort_array(_matched(whole_text(), _block(benchmark, 0, 1), error_rate)))
     spark = docs.sparkSession
-    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate-rows")
+    row, own, found_in = unused(docs, "row", "own_row", "hits")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "decontaminate-rows")
     path = scratch_path(spark, "decontaminate-hits")
     for k in range(n):
-        found = rows.select("__row", _matched(whole_text(), _block(benchmark, k, n), error_rate).alias("found"))
-        found.select("__row", F.explode("found").alias("item")).write.mode("append").parquet(path)
-    hits = spark.read.schema("__row long, item long").parquet(path)
-    lists = hits.groupBy("__row").agg(F.sort_array(F.collect_set("item")).alias("__hits"))
+        found = rows.select(F.col(row).alias("at"), _matched(whole_text(), _block(benchmark, k, n), error_rate).alias("found"))
+        found.select("at", F.explode("found").alias("item")).write.mode("append").parquet(path)
+    hits = spark.read.schema("at long, item long").parquet(path)
+    lists = hits.groupBy(F.col("at").alias(own)).agg(F.sort_array(F.collect_set("item")).alias(found_in))
     none = F.array().cast("array<long>")
-    return rows.join(lists, "__row", "left").withColumn(out, F.coalesce("__hits", none)).drop("__row", "__hits")
+    joined = rows.join(lists, rows[row] == lists[own], "left")
+    return joined.withColumn(out, F.coalesce(found_in, none)).drop(row, own, found_in)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = 0.05) -> DataFrame:
     """``docs`` (all columns) without the documents that hold a test item."""
-    return with_matches(docs, benchmark, error_rate, out="__items").where(F.size("__items") == 0).drop("__items")
+    (out,) = unused(docs, "items")
+    return with_matches(docs, benchmark, error_rate, out=out).where(F.size(out) == 0).drop(out)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

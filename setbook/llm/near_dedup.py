@@ -38,14 +38,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, keep_rows, stored, text_key, whole_text
+from .common import bounded_batches, documents, give_back, keep_rows, stored, text_key, whole_text
 from .components import components
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
 SMALL_BUCKET = 32          # members; larger buckets are compared in blocks
 _M = BANDS * ROWS
-_MEMO_WORDS = 500_000
+_MEMO_WORDS, _MEMO_LENGTH = 120_000, 64      # words kept, and the longest of them in bytes
 
 _C1, _C2, _C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -68,9 +68,14 @@ class WordHashes:
         memo = self.memo
         if len(memo) > _MEMO_WORDS:
             memo.clear()
-        for w in set(words).difference(memo):
+        new = set(words).difference(memo)
+        for w in new:
             memo[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        out = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        for w in new:
+            if len(w) > _MEMO_LENGTH:
+                del memo[w]
+        return out
 
 
 def shingles(text: str, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -137,6 +142,7 @@ def _sign(docs: DataFrame) -> DataFrame:
                 key = _mix(key * _C1 + sig[:, :, r])
             bands = [k if len(h) else k[:0] for k, (h, _) in zip(key.view(np.int64), found)]
             yield pd.DataFrame({"row": b["row"], "doc_id": b["doc_id"], "key": b["key"], "bands": bands})
+        give_back()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        text_key().alias("key"), whole_text().alias("text"))
@@ -151,6 +157,7 @@ def _profiles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             found = [shingles(t, hashes) for t in b["text"]]
             yield pd.DataFrame({"node": b["node"], "hashes": [h.tobytes() for h, _ in found],
                                 "counts": [c.astype(np.uint32).tobytes() for _, c in found]})
+        give_back()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("own"), whole_text().alias("text"))
     mine = nodes.withColumnRenamed("doc_id", "id")
@@ -166,6 +173,7 @@ def _verified(pairs: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
                      for s in "uv"]
             sim = np.array([similarity(x, y) for x, y in zip(*sides)], float)
             yield pd.DataFrame({"u": b["u"], "v": b["v"], "sim": sim})[sim >= least]
+        give_back()
 
     side = lambda s: profiles.select(F.col("node").alias(s), F.col("hashes").alias(f"{s}h"),
                                      F.col("counts").alias(f"{s}c"))

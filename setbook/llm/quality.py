@@ -29,11 +29,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import bounded_batches, documents, whole_text
+from .common import bounded_batches, documents, give_back, unused, whole_text
 
 WORDS, SHAPES, PAIRS, REPEATS = 1024, 128, 512, 3
 TERMS = WORDS + SHAPES + PAIRS + REPEATS
-_MEMO_WORDS = 500_000
+_MEMO_WORDS, _MEMO_LENGTH = 120_000, 64      # words kept, and the longest of them in characters
 
 
 def _hash(s: str) -> int:
@@ -58,9 +58,14 @@ class Terms:
 
     def _codes(self, words: list[str]) -> np.ndarray:
         memo = self.memo
-        for w in set(words).difference(memo):
+        new = set(words).difference(memo)
+        for w in new:
             memo[w] = _hash(w) % WORDS + WORDS * (_hash(_shape(w)) % SHAPES)
-        return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+        out = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
+        for w in new:
+            if len(w) > _MEMO_LENGTH:
+                del memo[w]
+        return out
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(term numbers, counts) of one text."""
@@ -126,6 +131,7 @@ def _frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
             for t in b["text"]:
                 df[terms.counts(t)[0]] += 1
             n += len(b)
+        give_back()
         if n:                        # TERMS + 1 rows a task
             yield pd.DataFrame({"term": np.arange(TERMS + 1), "n": np.append(df, n)})
 
@@ -188,6 +194,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7,
             texts = texts.tolist()
             parts = [m.score(_dense([terms.counts(t) for t in texts[i:i + 256]])) for i in range(0, len(texts), 256)]
             yield pd.Series(np.concatenate([np.empty(0), *parts]))
+        give_back()
 
     out = docs.withColumn(names[0], vote(whole_text()))
     return out.withColumn(names[1], (F.col(names[0]) >= threshold).cast("int"))
@@ -195,8 +202,8 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7,
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """``docs`` (all columns) without the documents that the classifier rejects."""
-    return score(docs, model, threshold, ("__score", "__predicted")).where(F.col("__predicted") == 1).drop(
-        "__score", "__predicted")
+    names = unused(docs, "score", "predicted")
+    return score(docs, model, threshold, tuple(names)).where(F.col(names[1]) == 1).drop(*names)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -36,11 +36,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, whole_text
+from .common import bounded_batches, documents, give_back, whole_text
 
 MARK = "\u2581"
-_MEMO_WORDS = 400_000            # in each of the two generations of the table
-_MEMO_PAIRS = 1_000_000
+_MEMO_WORDS = 150_000            # in each of the two generations of the table
+_MEMO_LENGTH = 64                # characters of the longest word that the table keeps
+_MEMO_PAIRS = 500_000
 _SCORE = ""                      # key of a trie node's own piece
 _NOTHING = -1                    # the piece before the first, and after a character without one
 
@@ -205,7 +206,11 @@ class Pieces:
         new = set().union(*cut).difference(memo)
         memo.update([(w, older[w]) for w in new if w in older])
         memo.update(self.segment(sorted(new.difference(older))))
-        return [np.frombuffer(b"".join(map(memo.__getitem__, w)), "<i4") for w in cut]
+        out = [np.frombuffer(b"".join(map(memo.__getitem__, w)), "<i4") for w in cut]
+        for w in new:
+            if len(w) > _MEMO_LENGTH:
+                del memo[w]
+        return out
 
     def decode(self, ids) -> str:
         table = self.bytes_of
@@ -240,6 +245,7 @@ def encoded(text: Column, model_path: str) -> Column:
         model = _model(model_path)
         for texts in batches:
             yield pd.Series([i for part in _some(texts.tolist(), len) for i in model.encode(part)], dtype=object)
+        give_back()
 
     return encode(text)
 

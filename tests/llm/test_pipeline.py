@@ -50,3 +50,24 @@ def test_stages_on_odd_and_empty_documents(spark, docs_of, odd_texts):
             if k < 4:
                 assert out.columns == docs.columns
             assert out.count() <= docs.count()
+
+
+def test_clashing_column_names(spark):
+    """Columns of the table that are named like an operator's own stay as they are."""
+    names = ["named_id", "named_key", "own_key", "own", "score", "predicted", "items", "row", "own_row", "hits", "found", "key", "Items"]
+    rows = [(i, t, *[f"{n}{i}" for n in names[:-1]]) for i, t in enumerate(
+        ["the cat sat on the mat today", "the cat  sat on the mat today", "alpha beta gamma delta epsilon zeta", None, ""])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[:-1]))
+    items = spark.createDataFrame([(1, "alpha beta gamma delta epsilon"), (2, "nothing of the kind here")], "item_id long, text string")
+    from setbook.llm import decontaminate, exact_dedup, near_dedup, quality
+    labels = spark.createDataFrame([(0, 1.0), (2, 1.0)], "doc_id long, label double")
+    table = {r["doc_id"]: r for r in docs.collect()}
+
+    def same(kept, ids):
+        assert kept.columns == docs.columns
+        assert {r["doc_id"]: r for r in kept.collect()} == {i: table[i] for i in ids}
+    same(quality.keep_good(docs, quality.fit(docs, labels)), [0, 1, 2, 3, 4])
+    same(exact_dedup.keep_first(docs), [0, 2, 3])
+    same(near_dedup.keep_one_of_each(docs), [0, 2, 3])
+    same(decontaminate.keep_clean(docs, items), [0, 1, 3, 4])
+    same(decontaminate.with_matches(docs, items, block_chars=10, out="zz").where("size(zz) = 0").drop("zz"), [0, 1, 3, 4])
