@@ -32,7 +32,7 @@ from ..sources.scratch import scratch_folder, written
 from ..sources.tables import read_table
 from . import oracle
 from .build import UPSTREAM
-from .cubes import COUNT_MARTS, DAY_MARTS, day_cube, session_bits
+from .cubes import COUNT_MARTS, day_cube, session_bits
 from .dashboard import DASHBOARD
 from .dashboard import positioned as dash_positioned
 from .marts import MARTS, SORT_KEYS, main_exercises, positioned
@@ -93,11 +93,11 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source(name: str):
-    """What a mart is derived from, as in a build: the bitmaps, the day cube (the month grid and all
-    changes too), or the staged journal."""
+    """What a mart is derived from: the bitmaps for distinct counts; the day cube for the month grid and its
+    changes, which read it more than once (axis bounds, cells); else the staged journal."""
     if name in COUNT_MARTS:
         return sessions
-    return days if name in DAY_MARTS or name in UPSTREAM else staged
+    return days if name == GRID or name in UPSTREAM else staged
 
 
 def mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -128,6 +128,7 @@ def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
 
 
 _BUILDS: dict = {}
+GRID = "monthly_aggregates_every_possible_combination"
 DASHBOARD_MARTS = ("mom_changes_reps", "yearly_reps_per_exercise_weight", "workout_frequency_weekday")
 _READS = {"dash_yoy": "yearly_reps", "dash_yearly_sorted": "yearly_reps", "dash_weekday": "weekday_matrix",
           "dash_heatmap": "weekday_matrix", "dash_heatmap_wide": "weekday_matrix"}
@@ -142,7 +143,7 @@ def _shown(name: str, out: DataFrame) -> DataFrame:
 
 def _dash_query(name: str, **more) -> Callable[[SparkSession, str], DataFrame]:
     fn = DASHBOARD[name]
-    read = sessions if _READS.get(name) == "weekday_matrix" else days
+    read = {"weekday_matrix": sessions, "yearly_reps": staged}.get(_READS.get(name), days)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _shown(name, fn(read(spark, sf_dir), **dashboard_parameters(name), **more))
