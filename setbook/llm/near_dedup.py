@@ -43,6 +43,7 @@ from .components import components
 
 SHINGLE = 5
 BANDS, ROWS = 24, 5
+CLASS_PARTS = 16           # parts that a class of any size is dealt to in the last join
 SMALL_BUCKET = 32          # members; larger buckets are compared in blocks
 _M = BANDS * ROWS
 _MEMO_WORDS, _MEMO_LENGTH = 120_000, 64      # words kept, and the longest of them in bytes
@@ -300,14 +301,21 @@ def near_classes(docs: DataFrame, least: float = 0.8) -> DataFrame:
     rows, links = near_links(docs, least)
     roots = components(links).select(F.col("node").alias("member"), "root")
     rows = rows.join(roots, rows["node"] == roots["member"], "left").select(
-        "row", "doc_id", "key", F.coalesce("root", "node").alias("root"))
+        "row", "doc_id", "key", F.coalesce("root", "node").alias("root"),
+        (F.col("root").isNull() & (F.col("copies") == 1)).alias("alone"))
     rows = stored(rows, "classed")
+    single = rows.where("alone").select("doc_id", "key", F.col("doc_id").alias("class_id"),
+                                        F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"))
+    rows = rows.where(~F.col("alone"))
     best = rows.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"),
         F.count(F.lit(1)).alias("class_size"))
-    return rows.join(best, "root").select(
+    # a class may hold a third of all rows: its rows are dealt to parts, each of which gets the class's one row
+    best = best.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(CLASS_PARTS - 1))))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(CLASS_PARTS)).cast("int"))
+    return rows.join(best, ["root", "part"]).select(
         "doc_id", "key", F.col("first.doc_id").alias("class_id"), "class_size",
-        (F.col("row") == F.col("first.row")).alias("kept"))
+        (F.col("row") == F.col("first.row")).alias("kept")).unionByName(single)
 
 
 def keep_one_of_each(docs: DataFrame, least: float = 0.8) -> DataFrame:
