@@ -58,12 +58,16 @@ def global_position(df: DataFrame, keys, name: str = "position", ranges: int | N
     return rows.join(placed, same).select(*rows.columns, name)
 
 
-def write_sorted(df: DataFrame, path: str, keys, files: int | None = None) -> None:
-    """Write ``df`` as Parquet files that follow the order ``keys`` by name and inside.
+def sorted_rows(df: DataFrame, keys, files: int | None = None) -> DataFrame:
+    """``df`` dealt to ranges of ``keys``, each sorted: written as it stands, its files follow the order by name and inside.
 
     A range holds whole keys; rows of one key beyond a file's share are one
     file, as the order needs.
     """
     files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = sort_columns(keys)
-    df.repartitionByRange(files, *columns).sortWithinPartitions(*columns).write.parquet(path)
+    return df.repartitionByRange(files, *columns).sortWithinPartitions(*columns)
+
+
+def write_sorted(df: DataFrame, path: str, keys, files: int | None = None) -> None:
+    sorted_rows(df, keys, files).write.parquet(path)

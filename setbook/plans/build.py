@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.order import sorted_rows
 from ..operators.staging import stage_journal
 from ..sources.versions import discard, point_to, published, write_version
 from . import marts as M
@@ -58,7 +59,7 @@ def _depth(name: str) -> int:
 
 
 def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=None,
-                fmt: str = "parquet", cubes: bool = True, threads: int = 8, by=()) -> dict[str, str]:
+                fmt: str = "parquet", cubes: bool = True, threads: int = 8, by=(), in_order: bool = False) -> dict[str, str]:
     """Publish each requested mart below ``{out_dir}/{name}``; return name -> folder of its new version.
 
     ``journal`` should be a table scan (``read_journal``) so every mart
@@ -69,7 +70,8 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
     level are independent Spark jobs and are submitted from ``threads``
     threads at once (small marts then share the cluster instead of
     queueing one after another).  ``by`` names log-key columns of
-    ``journal``: every mart is then computed per log.
+    ``journal``: every mart is then computed per log.  With ``in_order`` the
+    files of a mart follow its order (``marts.SORT_KEYS``).
     """
     by = tuple(by)
     stg = stage_journal(journal, by=by)
@@ -79,7 +81,7 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
     source: dict = {}
     folders: dict[str, str] = {}
     try:
-        _write_all(spark, stg, order, out, fmt, cubes, threads, by, source, folders)
+        _write_all(spark, stg, order, out, fmt, cubes, threads, by, source, folders, in_order)
     except BaseException:
         for folder in folders.values():
             discard(spark, folder)
@@ -89,7 +91,7 @@ def build_marts(spark: SparkSession, journal: DataFrame, out_dir: str, names=Non
     return {n: folders[n] for n in order if n in M.MARTS}
 
 
-def _write_all(spark, stg, order, out, fmt, cubes, threads, by, source, folders) -> None:
+def _write_all(spark, stg, order, out, fmt, cubes, threads, by, source, folders, in_order) -> None:
     """Write the versions of a build; ``folders`` collects them, by table."""
     if cubes:
         for cube_name, fn, marts in (("_cube_day", day_cube, DAY_MARTS),
@@ -105,7 +107,10 @@ def _write_all(spark, stg, order, out, fmt, cubes, threads, by, source, folders)
             up, arg = UPSTREAM[name]
             kw[arg] = spark.read.format(fmt).load(folders[up])
         fn = SHARED.get(name) or M.MARTS[name]
-        folders[name] = write_version(fn(source.get(name, stg), by=by, **kw), f"{out}/{name}", fmt=fmt)
+        df = fn(source.get(name, stg), by=by, **kw)
+        if in_order and name in M.SORT_KEYS:
+            df = sorted_rows(df, [*by, *M.SORT_KEYS[name]])
+        folders[name] = write_version(df, f"{out}/{name}", fmt=fmt)
 
     for level in range(max(_depth(n) for n in order) + 1):
         batch = [n for n in order if _depth(n) == level]

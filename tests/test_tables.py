@@ -247,3 +247,61 @@ def test_wide_heat_map(spark, make_stg):
     assert wide.columns == ["weekday_position", "weekday", "y2022", "y2023"]
     assert {r["weekday"]: (r["y2022"], r["y2023"]) for r in wide.collect()} == {"monday": (2, 0), "sunday": (0, 1)}
     assert D.dash_heatmap_wide(stg, years=[2023]).columns[2:] == ["y2023"]
+
+
+def test_path_build_publishes_nothing_when_it_fails(spark, make_stg, tmp_path, monkeypatch):
+    import os
+
+    from setbook.plans.build import build_marts
+    from setbook.sources.versions import published
+    rows = [journal_row("2022-01-03"), journal_row("2022-02-03", amount=3)]
+    journal = spark.createDataFrame(rows, JOURNAL_SCHEMA)
+    names = ["workout_sessions_per_year", "yearly_workouts_per_type"]
+    first = build_marts(spark, journal, str(tmp_path), names)
+
+    def broken(stg, by=()):
+        raise ValueError("half-way")
+    monkeypatch.setitem(M.MARTS, "yearly_workouts_per_type", broken)
+    with pytest.raises(ValueError):
+        build_marts(spark, journal.where("amount = 3"), str(tmp_path), names, threads=1)
+    for n in names:
+        assert published(spark, f"{tmp_path}/{n}") == first[n]
+        assert [v for v in os.listdir(f"{tmp_path}/{n}") if v.startswith("v-")] == [first[n].rsplit("/", 1)[1]]
+
+
+def test_input_state_sees_changed_files(spark, tmp_path):
+    from setbook.sources.journal import _input_state
+    for t in ("a", "b"):
+        spark.range(5).write.parquet(f"{tmp_path}/{t}.parquet")
+    one = _input_state(spark, str(tmp_path), ("a", "b"))
+    assert one == _input_state(spark, f"{tmp_path}/", ("a", "b"))
+    spark.range(6).write.mode("append").parquet(f"{tmp_path}/b.parquet")
+    assert _input_state(spark, str(tmp_path), ("a", "b")) != one
+    assert _input_state(spark, str(tmp_path), ("a",)) == tuple(x for x in one if "/a.parquet/" in x[0])
+
+
+def test_refused_rows_of_the_daily_job_carry_reasons(spark, tmp_path):
+    from setbook.plans.daily import ingest
+    from setbook.sources.cells import CELLS_SCHEMA
+    from setbook.sources.versions import published
+    rows = [["head"], ["May"], [45413.0, "", "Wednesday", "Pull", "122/365"], ["Push"],
+            ["Dips", "Bodyweight", "Wide", 5.0, 60.0], ["Dips", "red band", "Wide", 6.0, 60.0]]
+    cells = [(1, "2024", r, c, v if isinstance(v, str) else None, v if isinstance(v, float) else None, None)
+             for r, row in enumerate(rows) for c, v in enumerate(row)]
+    spark.createDataFrame(cells, CELLS_SCHEMA).write.parquet(f"{tmp_path}/cells")
+    ingest(spark, f"{tmp_path}/cells", f"{tmp_path}/journal", f"{tmp_path}/report")
+    assert [r["amount"] for r in read_journal(spark, f"{tmp_path}/journal").collect()] == [5]
+    refused = spark.read.parquet(published(spark, f"{tmp_path}/journal_rejected")).collect()
+    assert [(r["amount"], r["reasons"]) for r in refused] == [(6, "not_null_weight,not_null_weight_unit")]
+    report = {r["rule"]: r["violations"] for r in spark.read.parquet(published(spark, f"{tmp_path}/report")).collect()}
+    assert {k for k, v in report.items() if v} == {"not_null_weight", "not_null_weight_unit"}
+
+
+def test_build_in_order(spark, tmp_path):
+    from setbook.plans.build import build_marts
+    journal = journal_for(spark, SF_SMALL)
+    paths = build_marts(spark, journal, str(tmp_path), ["total_reps_per_exercise_weight", "yearly_workouts_per_type"], in_order=True)
+    got = spark.read.parquet(paths["total_reps_per_exercise_weight"]).select(
+        "total_reps", F.input_file_name().alias("f"), F.col("_metadata.row_index").alias("i")).collect()
+    totals = [r["total_reps"] for r in sorted(got, key=lambda r: (r["f"].rsplit("/", 1)[1], r["i"]))]
+    assert totals == sorted(totals, reverse=True) and len(totals) > 100
