@@ -21,7 +21,7 @@ from . import (
 
 def queries() -> dict:
     """(spark, sf_dir) -> DataFrame by name; each runs over its whole table."""
-    return {f.__name__: f for f in (
+    out = {f.__name__: f for f in (
         near_dedup.op1_near_dedup,
         pii.op2_pii,
         exact_dedup.op3_exact_dedup,
@@ -36,6 +36,8 @@ def queries() -> dict:
         ranked_search.op12_ranked_search,
         whitening.op13_whitening,
     )}
+    out["op5_suffix_dedup"] = suffix_dedup.with_longest_shared         # one column more
+    return out
 
 
 def oracle_sql() -> dict[str, str]:

@@ -25,13 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import documents, stored
+from .common import bounded_batches, documents, stored, whole_text
 
 WIDTH = 400
+PASSAGE, LEAST_PASSAGE = 128, 200
 BLOCK_BYTES = 1 << 19           # contexts of one anchor beyond this are dealt out by window
 BATCH_BYTES = 1 << 16           # contexts sorted together; fits a core's cache
 _END = b"\xff"                  # in no UTF-8 text
@@ -165,24 +167,82 @@ def repeated_runs(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_
     return copies.unionByName(sorted_runs).unionByName(hot), found
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, more=()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans,
-    kept_sha256 and ``kept`` (the remaining bytes where some were removed, else null)."""
+    kept_sha256 and ``kept`` (the remaining bytes where some were removed, else null);
+    ``more`` names further columns of ``docs`` to carry."""
     rows = anchors.identified(docs)
     runs, found = repeated_runs(rows, width, block_bytes)
     cut = anchors.gathered(runs, found).mapInArrow(
         _removed(width), "id long, tkey long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     cut = cut.withColumnRenamed("kept_sha256", "cut_sha256")
     whole = docs.select(
-        "doc_id", *anchors.identity(),
+        "doc_id", *more, *anchors.identity(),
         F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole_sha256"))
     return whole.join(cut, ["id", "tkey"], "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+        *[c for c in whole.columns if c not in ("id", "tkey", "whole_sha256", "n_bytes")], "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
         F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"), "kept")
 
 
+def _passage_rows(width: int):
+    k = anchors.Kind(width, max(1, width // 4), _open)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key, first, size, rows = [], [], [], []
+            for t in b.column("text").to_pylist():
+                units, raw, _ = _open(t)
+                _, i0, i1 = anchors.contexts(units, width, k.gram)
+                ends = i1 + width
+                key.extend([xxhash.xxh3_64_intdigest(raw[x:e]) for x, e in zip(i0.tolist(), ends.tolist())])
+                first.append(i0)
+                size.append(ends - i0)
+                rows.append(len(i0))
+            if sum(rows):
+                yield pa.RecordBatch.from_pydict({
+                    "doc": np.repeat(b.column("doc").to_numpy(), rows), "key": np.array(key, np.uint64).view(np.int64),
+                    "at": np.concatenate(first).astype(np.int32), "n": np.concatenate(size).astype(np.int32)})
+    return run
+
+
+def shared_passages(docs: DataFrame, width: int = PASSAGE, least: int = LEAST_PASSAGE) -> DataFrame:
+    """(doc, longest_shared) of the documents of ``docs`` (doc, text) that share a passage with another one.
+
+    A text is cut by anchors into overlapping strings of at least ``width``
+    bytes, wherever they stand; those that another ``doc`` holds too are
+    joined to runs, and the longest run counts if it has ``least`` bytes.  It
+    may fall short of the shared passage by a cut at either end.
+    """
+    bounded_batches(docs.sparkSession)
+    cuts = stored(docs.mapInArrow(_passage_rows(width), "doc long, key long, at int, n int"), "passages")
+    shared = cuts.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a != z").select("key")
+    runs = (cuts.join(shared, "key").groupBy("doc")
+            .agg(F.sort_array(F.collect_set(F.struct(F.col("at").cast("long").alias("at"), F.col("n").cast("long").alias("n")))).alias("runs")))
+    zero, state = F.lit(0).cast("long"), lambda at, end, best: F.struct(at.alias("at"), end.alias("end"), best.alias("best"))
+
+    def joined(acc, x):
+        end = F.greatest(acc["end"], x["at"] + x["n"])
+        return F.when((x["at"] <= acc["end"]) & (acc["end"] > 0), state(acc["at"], end, F.greatest(acc["best"], end - acc["at"]))) \
+                .otherwise(state(x["at"], x["at"] + x["n"], F.greatest(acc["best"], x["n"])))
+
+    longest = F.aggregate("runs", state(zero, zero, zero), joined, lambda acc: acc["best"])
+    return runs.select("doc", longest.alias("longest_shared")).where(F.col("longest_shared") >= least)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered query: what repeated strings of 400 bytes leave of every document."""
+    """What repeated strings of 400 bytes leave of every document."""
     return remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+def with_longest_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered query: ``op5_suffix_dedup`` and the longest passage of at least 200 bytes that the
+    document shares with another one (0: none), so that passages of 50 words, which are shorter than
+    the strings removed, show too."""
+    docs = documents(spark, sf_dir)
+    doc = F.xxhash64("doc_id", whole_text())
+    shared = shared_passages(docs.select(doc.alias("doc"), whole_text().alias("text")))
+    out = remove_repeats(docs, more=[doc.alias("doc")]).drop("kept")
+    return out.join(shared, "doc", "left").drop("doc").withColumn(
+        "longest_shared", F.coalesce("longest_shared", F.lit(0).cast("long")))

@@ -275,3 +275,53 @@ def test_every_window_in_one_context_with_the_same_anchor():
         a, b = per(u, w, g), per(v, w, g)
         assert len(a) == 50 - w + 1 and len(b) == len(v) - w + 1
         assert all(b[i + 17] == a[i] == b[i + 67] for i in a)
+
+
+def test_longest_shared_passage(spark, docs_of, odd_texts):
+    """Against every string of the width: never more than what others hold, and of a passage at most an anchor's reach less at either end."""
+    r = random.Random(12)
+    make = lambda n: bytes(r.choice(b"abcdefgh ,.") for _ in range(n)).decode()
+    passages = [make(n) for n in (60, 130, 220, 300, 700)]
+    texts = [make(r.randint(0, 400)) + r.choice(passages) + make(r.randint(0, 400)) for _ in range(40)]
+    texts += [make(300) for _ in range(5)] + [passages[4] * 3, passages[3], passages[3], "é" * 300, "é" * 300] + odd_texts
+    rows = list(enumerate(texts))
+    width, least = 64, 100
+    table = spark.createDataFrame([(i, t or "") for i, t in rows], "doc long, text string")
+    got = {x["doc"]: x["longest_shared"] for x in suffix_dedup.shared_passages(table, width, least).collect()}
+    raw = [(t or "").encode() for t in texts]
+    holders = {}
+    for i, t in enumerate(raw):
+        if len(t) < 5000:
+            for at in range(len(t) - width + 1):
+                holders.setdefault(t[at:at + width], set()).add(i)
+    for i, t in enumerate(raw):
+        if len(t) >= 5000:
+            continue
+        cover = [False] * len(t)
+        for at in range(len(t) - width + 1):
+            if len(holders[t[at:at + width]]) > 1:
+                cover[at:at + width] = [True] * width
+        true = max((len(x) for x in "".join("x" if c else " " for c in cover).split()), default=0)
+        found = got.get(i, 0)
+        one = max((len(q) for q in passages if q in (texts[i] or "") and sum(q in (u or "") for u in texts) > 1), default=0)
+        assert found <= true and (found >= one - 2 * width or one - 2 * width < least), (i, true, one, found)
+    long = [i for i, t in enumerate(texts) if t and t.startswith("Lorem")]
+    assert {got[i] for i in long} == {len(raw[long[0]])}
+    assert suffix_dedup.shared_passages(table.limit(0)).count() == 0
+
+
+def test_registered_suffix_query_adds_the_longest_passage(spark):
+    from setbook.llm import registry
+    plain = {x["doc_id"]: x for x in suffix_dedup.op5_suffix_dedup(spark, SF).collect()}
+    rows = registry.queries()["op5_suffix_dedup"](spark, SF).collect()
+    assert len(rows) == len(plain)
+    for x in rows:
+        assert tuple(x)[:-1] == tuple(plain[x["doc_id"]])
+        assert x["longest_shared"] == 0 or 200 <= x["longest_shared"] <= x["n_bytes"]
+    texts = dict(table_rows())
+    copies = {}
+    for i, t in texts.items():
+        copies.setdefault(t, []).append(i)
+    same = {i for ids in copies.values() if len(ids) > 1 for i in ids}
+    got = {x["doc_id"]: x["longest_shared"] for x in rows}
+    assert all(got[i] > 0 for i in same if len((texts[i] or "").encode()) >= 400)
