@@ -42,6 +42,8 @@ COUNT_MARTS = (
     "workouts_per_month_per_year", "month_with_most_workouts_per_year",
     "workout_sessions_per_year", "yearly_workouts_per_type", "workout_frequency_weekday",
 )
+# what the cube of single sessions serves: the same counts, and the calendars
+SESSION_MARTS = (*COUNT_MARTS, "workout_vs_rest_days", "workout_days_per_year_percentage")
 
 
 def day_cube(stg: DataFrame, by=()) -> DataFrame:
@@ -53,6 +55,15 @@ def day_cube(stg: DataFrame, by=()) -> DataFrame:
         F.coalesce(F.col("added_weight") == 0, F.lit(False)).alias("bodyweight"), "amount", "_rows")
 
 
+def session_cube(stg: DataFrame, by=()) -> DataFrame:
+    """One row per session, with its date: where single sessions are wanted rather than their counts."""
+    d = stg.select(*by, "date", "month", "weekday", "workout_type", "workout_counter").distinct()
+    return d.select(
+        *by, "date", F.year("date").cast("smallint").alias("year"), "month",
+        month_number("month").alias("month_int"), "weekday", weekday_number("weekday").alias("weekday_int"),
+        "workout_type", "workout_counter")
+
+
 def session_bits(stg: DataFrame, by=()) -> DataFrame:
     keys = (*by, "year", "month", "weekday", "workout_type")
     d = number_bits(stg, keys, "workout_counter")
