@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, documents, give_back, whole_text
 
 MARK = "\u2581"
-_MEMO_WORDS = 150_000            # in each of the two generations of the table
+MEMO_WORDS = 280_000             # in each of the two generations of a worker's table
 _MEMO_LENGTH = 64                # characters of the longest word that the table keeps
-_MEMO_PAIRS = 500_000
+_MEMO_PAIRS = 1_000_000
 _SCORE = ""                      # key of a trie node's own piece
 _NOTHING = -1                    # the piece before the first, and after a character without one
 
@@ -56,7 +56,7 @@ class Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.merges = merges
+        self.merges, self.memo_words = merges, MEMO_WORDS
         self.texts = [""] * model.get_piece_size()
         self.rank: dict[str, tuple[float, int]] = {}
         self.apart: dict[int, bool] = {}
@@ -200,7 +200,7 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Piece ids of each text."""
         cut = [self.words(t) for t in texts]
-        if len(self.memo) > _MEMO_WORDS:
+        if len(self.memo) > self.memo_words:
             self.memo, self.older = {}, self.memo          # what is still in use comes back from there
         memo, older = self.memo, self.older
         new = set().union(*cut).difference(memo)
@@ -238,11 +238,12 @@ def _some(values: list, size, most: int = 1 << 22) -> Iterator[list]:
         yield part
 
 
-def encoded(text: Column, model_path: str) -> Column:
-    """Array of piece ids of a text column without nulls."""
+def encoded(text: Column, model_path: str, memo_words: int = MEMO_WORDS) -> Column:
+    """Array of piece ids of a text column without nulls; a worker keeps the pieces of at most twice ``memo_words`` words."""
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = _model(model_path)
+        model.memo_words = memo_words
         for texts in batches:
             yield pd.Series([i for part in _some(texts.tolist(), len) for i in model.encode(part)], dtype=object)
         give_back()
@@ -261,10 +262,10 @@ def decoded(ids: Column, model_path: str) -> Column:
     return decode(ids)
 
 
-def encode_documents(docs: DataFrame, model_path: str, out: str = "piece_ids") -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, out: str = "piece_ids", memo_words: int = MEMO_WORDS) -> DataFrame:
     """``docs`` and a column ``out`` with the piece ids of each whole text."""
     bounded_batches(docs.sparkSession)
-    return docs.withColumn(out, encoded(whole_text(), model_path))
+    return docs.withColumn(out, encoded(whole_text(), model_path, memo_words))
 
 
 def default_model() -> str:
