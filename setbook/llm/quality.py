@@ -33,7 +33,7 @@ from .common import bounded_batches, documents, give_back, unused, whole_text
 
 WORDS, SHAPES, PAIRS, REPEATS = 1024, 128, 512, 3
 TERMS = WORDS + SHAPES + PAIRS + REPEATS
-_MEMO_WORDS, _MEMO_LENGTH = 120_000, 64      # words kept, and the longest of them in characters
+_MEMO_WORDS, _MEMO_LENGTH = 250_000, 64      # words kept, and the longest of them in characters
 
 
 def _hash(s: str) -> int:
