@@ -87,3 +87,12 @@ def decode(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
 def decode_block(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, block: int) -> np.ndarray:
     """Only the integers of one block."""
     return decode(words[int(offsets[block]):int(offsets[block + 1])], escapes)
+
+
+def decode_range(words: np.ndarray, offsets: np.ndarray, escapes: np.ndarray, start: int, end: int) -> np.ndarray:
+    """The integers at places ``start`` to ``end`` (exclusive), decoding only their blocks."""
+    if end <= start:
+        return np.empty(0, np.uint64)
+    first, last = start // BLOCK, (end - 1) // BLOCK
+    part = decode(words[int(offsets[first]):int(offsets[last + 1])], escapes)
+    return part[start - first * BLOCK:end - first * BLOCK]

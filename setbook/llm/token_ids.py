@@ -230,6 +230,30 @@ def document_index(spark: SparkSession, path: str) -> DataFrame:
         "doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def ids_of(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
+    """(doc_id, ids) of the named documents (one row for each of its rows), from the written chunks.
+
+    Only chunks that hold one of them are read, and of these only the blocks
+    that their ids lie in are decoded, through the blocks' offsets.
+    """
+    wanted = sorted(set(doc_ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = set(wanted)
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, offsets, escapes = (np.frombuffer(row[c], "<u8") for c in ("words", "offsets", "escapes"))
+                ends = np.cumsum(row["lengths"])
+                found = [(d, int(e) - n, int(e)) for d, n, e in zip(row["doc_ids"], row["lengths"], ends) if d in mine]
+                ids = [simple8b.decode_range(words, offsets, escapes, a, e).astype(np.int64) for _, a, e in found]
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([d for d, _, _ in found], pa.int64()),
+                                                  "ids": pa.array(ids, pa.list_(pa.int64()))})
+
+    bounded_batches(spark, 8)
+    holds = F.arrays_overlap("doc_ids", F.array(*[F.lit(d).cast("long") for d in wanted]).cast("array<long>"))
+    return read_ids(spark, path).where(holds).mapInArrow(run, "doc_id long, ids array<long>")
+
+
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: every document encoded, written, read back and digested."""
     import public_tokenizers

@@ -331,3 +331,25 @@ def test_quality_odd_inputs(spark, docs_of, odd_texts):
     empty = docs.limit(0)
     assert quality.score(empty, quality.fit(empty, labels), names=("s", "p")).count() == 0
     assert quality.keep_good(docs, none).columns == docs.columns
+
+
+def test_token_ids_of_single_documents(spark, docs_of, odd_texts, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = odd_texts + ["some words " * k for k in range(1, 400, 7)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, "again"), (None, "no id")]
+    token_ids.write_ids(docs_of(rows), f"{tmp_path}/ids", path, chunk_ids=3000)
+    plain = Tokenizer.from_file(path)
+    wanted = [0, 3, 11, 12, 40, 999]
+    got = sorted((r["doc_id"], list(r["ids"])) for r in token_ids.ids_of(spark, f"{tmp_path}/ids", wanted).collect())
+    want = sorted((i, plain.encode(t or "", add_special_tokens=False).ids + [2]) for i, t in rows if i in wanted)
+    assert got == want
+
+
+def test_simple8b_ranges():
+    r = random.Random(8)
+    values = np.array([r.choice([0, 1, 5, 2 ** r.randint(0, 63)]) for _ in range(5000)], np.uint64)
+    words, offsets, escapes = simple8b.encode(values)
+    for a, e in ((0, 0), (0, 1), (1023, 1025), (0, 5000), (4999, 5000), (1024, 2048), (17, 3333)):
+        assert (simple8b.decode_range(words, offsets, escapes, a, e) == values[a:e]).all()
