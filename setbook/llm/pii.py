@@ -260,4 +260,4 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [_count(spans, k).alias(f"n_{KINDS[k]}") for k in range(BASE)]
     return found.select("doc_id", *counts,
                         F.sha2(_joined(F.filter(spans, lambda s: s["kind"] < BASE)), 256).alias("base_sha256"),
-                        _joined(spans).alias("spans"))
+                        _joined(spans).alias("spans"), F.size(spans).cast("long").alias("n_spans"))
