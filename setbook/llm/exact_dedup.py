@@ -1,17 +1,21 @@
 """Exact deduplication by stateful streaming.
 
-Rows arrive as (digest, row number, doc_id, file): a SHA-256 of the
-normalised text, a stable identifier and where the content lies, without
-the text.  A streaming aggregation keyed by digest holds, in RocksDB state
-on disk and without watermark or expiry, the first row of each text (by
-doc_id, then row) and its count; a later run of the stream on more rows
-goes on from that state.  The partial aggregation before the shuffle folds
-the copies of a hot text inside each task.
+Rows arrive as (digest, row, doc_id, file): a SHA-256 of the normalised
+text, a stable identifier (the load that brought the row and its number in
+it, written with the arrival, so it never changes and no two rows share
+one) and where the content lies, without the text.  A streaming aggregation
+keyed by digest holds, in RocksDB state on disk and without watermark or
+expiry, the first row of each text (by doc_id, then row) and its count.
+The caller may name the folder of that state: a later load, of more
+documents, then goes on from it, and its copies of earlier texts are found.
+The partial aggregation before the shuffle folds the copies of a hot text
+inside each task.
 
 Hits are checked on full bytes: the texts of every digest that was seen
 more than once are compared (smallest against largest of the group, with
 map-side folding).  A digest that holds different texts is regrouped by
-the text itself, so the result does not rest on the digest.
+the text itself, so the result of a load does not rest on the digest; a hit
+on an earlier load, whose texts are not at hand, does.
 
 All of it is DataFrame and Structured Streaming operations.
 
@@ -22,6 +26,8 @@ doc_id the first read stays; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,25 +88,30 @@ def _collided(docs: DataFrame, state: DataFrame, digest: Column) -> DataFrame |
     return texts.join(unequal, "digest")
 
 
-def deduplicate(docs: DataFrame, digest=sha256_digest, files_per_trigger: int = 1000) -> DataFrame:
+def deduplicate(docs: DataFrame, digest=sha256_digest, files_per_trigger: int = 1000,
+                state: str | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, digest, keep_id, group_size, kept, file.
 
     ``digest`` maps the normalised text to a binary key; any function of the
-    text gives the same result, a weak one only more work.
+    text gives the same result, a weak one only more work.  ``state`` names a
+    shared folder that outlives the call: calling again with it and other
+    documents counts them together with all that came before (``keep_id`` may
+    then name an earlier document, and an earlier result may be overtaken).
     """
     spark = docs.sparkSession
     key = digest(F.col("norm"))
     base = docs.select("doc_id", "text")
-    path = scratch_path(spark, "arrivals")
-    (base.select("doc_id", F.monotonically_increasing_id().alias("row"), F.input_file_name().alias("file"),
-                 normalised().alias("norm"))
+    folder = state.rstrip("/") if state else scratch_path(spark, "dedup")
+    path, load = f"{folder}/arrivals", uuid.uuid4().int >> 65
+    row = F.struct(F.lit(load).cast("long").alias("load"), F.monotonically_increasing_id().alias("at"))
+    (base.select("doc_id", row.alias("row"), F.input_file_name().alias("file"), normalised().alias("norm"))
      .select("doc_id", "row", "file", key.alias("digest"), F.sha2("norm", 256).alias("text_sha256"))
-     .write.parquet(path))
-    arrivals = spark.read.parquet(path)
+     .write.mode("append").parquet(path))
+    arrivals = spark.read.parquet(path).where(F.col("row.load") == load)
     seen = arrivals.select("doc_id", "row", "file", "digest").schema
-    state = fold_stream(spark, path, seen, scratch_path(spark, "dedup-state"), files_per_trigger)
-    out = arrivals.join(state, "digest")
-    clashes = _collided(base, state, key)
+    first = fold_stream(spark, path, seen, f"{folder}/progress", files_per_trigger)
+    out = arrivals.join(first, "digest")
+    clashes = _collided(base, first, key)
     if clashes is not None:
         out = _regrouped(out, clashes)
     return out.select(

@@ -61,9 +61,23 @@ def test_exact_dedup_state_goes_on(spark, docs_of):
     assert out == {3: 3, 6: 1, 7: 1}
 
 
+def test_exact_dedup_goes_on_in_a_named_folder(docs_of, tmp_path):
+    folder = f"{tmp_path}/state"
+    result = lambda texts: sorted(
+        (r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.deduplicate(docs_of(texts), state=folder).collect())
+    assert result([(5, "a"), (6, "b"), (6, "b")])[0] == (5, 5, 1, True)
+    # copies of an earlier text, a text that an earlier document loses to, a repeated row of the same id, a new text
+    got = result([(9, "a"), (3, "b  "), (3, "b "), (7, "c"), (5, "a")])
+    assert [g[:3] for g in got] == [(3, 3, 2), (3, 3, 2), (5, 5, 3), (7, 7, 1), (9, 5, 3)]
+    assert sum(g[3] for g in got if g[0] == 3) == 1 and [g[3] for g in got if g[0] != 3] == [got[2][3], True, False]
+    assert result([]) == []
+    # another folder knows nothing of it
+    assert [(r["doc_id"], r["kept"]) for r in exact_dedup.deduplicate(docs_of([(9, "a")]), state=f"{tmp_path}/other").collect()] == [(9, True)]
+
+
 def oracle(name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF_SMALL}/{t}.parquet'")
     return con.sql(registry.oracle_sql()[name])
 
