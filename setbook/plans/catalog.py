@@ -121,7 +121,7 @@ def marts_for(spark: SparkSession, sf_dir: str) -> Marts:
     key = (app_id(spark), sf_dir.rstrip("/"), _input_state(spark, sf_dir))
     with _LOCK:
         if key not in _BUILDS:
-            base = f"setbook_{len(_BUILDS)}"
+            base = "setbook_" + "".join(c if c.isalnum() else "_" for c in f"{app_id(spark)}_{len(_BUILDS)}".lower())
             build_tables(spark, journal_for(spark, sf_dir), base, scratch_folder(spark, "catalog"), DASHBOARD_MARTS)
             _BUILDS[key] = open_marts(spark, base)
     return _BUILDS[key]

@@ -80,19 +80,24 @@ def workbook_cells(content: bytes, batch: int = 50_000):
     """Yield (date_mode, [(sheet, r, c, sv, nv), ...]) batches for one file.
 
     Sheets are read with ``iterparse`` and finished rows are released, so
-    memory holds the shared strings and one batch, not the whole sheet.
+    memory holds the shared strings and one batch, not the whole sheet.  A
+    row or cell without its optional place stands behind the one before it.
     """
     z, sheets, shared, date_mode = _open(content)
     cell_tag, row_tag = f"{{{NS['m']}}}c", f"{{{NS['m']}}}row"
     out = []
     for name, part in sheets:
         with z.open(part) as fh:
-            for _, el in ET.iterparse(fh, events=("end",)):
-                if el.tag == cell_tag:
+            row, col = -1, -1
+            for event, el in ET.iterparse(fh, events=("start", "end")):
+                if event == "start":
+                    if el.tag == row_tag:
+                        row, col = int(el.get("r") or row + 2) - 1, -1
+                elif el.tag == cell_tag:
+                    col = _col_index(_REF.match(el.get("r")).group(1)) if el.get("r") else col + 1
                     val = _value(el, shared)
                     if val is not None:
-                        col, rownum = _REF.match(el.get("r")).groups()
-                        out.append((name, int(rownum) - 1, _col_index(col), *val))
+                        out.append((name, row, col, *val))
                 elif el.tag == row_tag:
                     el.clear()
                     if len(out) >= batch:

@@ -48,3 +48,29 @@ def test_1904_date_mode(spark):
     assert cells.select(F.max("date_mode")).first()[0] == 1
     got = clean_journal(parse_journal_cells(cells)).collect()
     assert len(got) == 1 and str(got[0].date) == "2024-05-06" and str(got[0].weight) == "20.00"
+
+
+def test_rows_and_cells_without_their_optional_place():
+    import io
+    import re
+    import zipfile
+
+    from setbook.sources.xlsx import workbook_cells
+    folder = tempfile.mkdtemp(prefix="setbook-xlsx-bare-")
+    rows = [["title", 1.0], [None, "x", None, 2.5], ["y"]]
+    write_xlsx(f"{folder}/full.xlsx", {"2024": rows})
+    with open(f"{folder}/full.xlsx", "rb") as f:
+        full = f.read()
+    bare = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(full)) as src, zipfile.ZipFile(bare, "w") as out:
+        for name in src.namelist():
+            data = src.read(name)
+            if "worksheets" in name:
+                data = re.sub(rb'<row r="[0-9]+">', b"<row>", data)
+                data = re.sub(rb'<c r="([AC-Z])([0-9]+)"', rb"<c", data)         # B keeps its place
+            out.writestr(name, data)
+    want = [c for _, cells in workbook_cells(full) for c in cells]
+    got = [c for _, cells in workbook_cells(bare.getvalue()) for c in cells]
+    assert [(r, c) for _, r, c, _, _ in want] == [(0, 0), (0, 1), (1, 1), (1, 3), (2, 0)]
+    assert [(r, c) for _, r, c, _, _ in got] == [(0, 0), (0, 1), (1, 1), (1, 2), (2, 0)]
+    assert [c[3:] for c in got] == [c[3:] for c in want]
