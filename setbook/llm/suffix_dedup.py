@@ -217,7 +217,9 @@ def shared_passages(docs: DataFrame, width: int = PASSAGE, least: int = LEAST_PA
     """
     bounded_batches(docs.sparkSession)
     cuts = stored(docs.mapInArrow(_passage_rows(width), "doc long, key long, at int, n int"), "passages")
-    shared = cuts.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a != z").select("key")
+    # stored, so that the join is one of two plain shuffles, whose hot keys AQE splits
+    shared = stored(cuts.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a != z").select("key"),
+                    "shared")
     runs = (cuts.join(shared, "key").groupBy("doc")
             .agg(F.sort_array(F.collect_set(F.struct(F.col("at").cast("long").alias("at"), F.col("n").cast("long").alias("n")))).alias("runs")))
     zero, state = F.lit(0).cast("long"), lambda at, end, best: F.struct(at.alias("at"), end.alias("end"), best.alias("best"))
