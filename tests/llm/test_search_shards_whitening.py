@@ -4,6 +4,7 @@ import random
 import re
 import uuid
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -116,20 +117,17 @@ def plain_terms(text):
 
 def plain_search(docs, items, top):
     """docs: (doc_id, text); returns (item number, rank, doc_id, score) rows."""
-    found = [(i, plain_terms(t)) for i, t in docs]
-    found = [(i, t) for i, t in found if t]
-    n_docs, n_terms = len(found), sum(len(t) for _, t in found)
-    df = {}
-    for _, t in found:
-        for x in set(t):
-            df[x] = df.get(x, 0) + 1
+    found = [(i, Counter(plain_terms(t))) for i, t in docs]
+    found = [(i, t, sum(t.values())) for i, t in found if t]
+    n_docs, n_terms = len(found), sum(n for _, _, n in found)
+    df = Counter(x for _, t, _ in found for x in t)
     w = {x: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * d + 1))) for x, d in df.items()}
     out = []
     for k, item in items:
-        scored = []
-        for i, t in found:
-            m = 100 - 25 + (25 * len(t) * n_docs) // n_terms
-            s = sum(w[x] * ((1000000000 * t.count(x)) // (1000 * t.count(x) + 12 * m)) for x in plain_terms(item) if x in w)
+        asked, scored = Counter(plain_terms(item)), []
+        for i, t, n in found:
+            m = 100 - 25 + (25 * n * n_docs) // n_terms
+            s = sum(times * (w[x] * ((1000000000 * t[x]) // (1000 * t[x] + 12 * m))) for x, times in asked.items() if x in t)
             if s > 0:
                 scored.append((-s, i is None, i))
         for rank, (s, _, i) in enumerate(sorted(scored, key=lambda x: (x[0], x[1], x[2] or 0))[:top], 1):
