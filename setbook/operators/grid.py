@@ -320,18 +320,17 @@ def _parse_blocks(cells: DataFrame, date_mode, exclude_sheets, rows_per_chunk: i
     key = [*SHEET, "_h"]
     chunked = cells.withColumn("_h", F.floor(F.col("r") / rows_per_chunk).cast("long"))
     blocks = written(_block_cells(chunked, key, date_mode, exclude_sheets), "parse-blocks")
-    special = written(blocks.where("_ambiguous").select(*SHEET).distinct(), "parse-whole")
-    whole = None
-    if not special.isEmpty():
-        blocks = _attach(blocks, special, SHEET, "left_anti")
-        whole = _parse_sheets(_attach(cells, special, SHEET, "left_semi"), date_mode, exclude_sheets)
-
     # what each block leaves behind, and the contexts at its start
     before = Window.partitionBy(*SHEET).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
     left = blocks.groupBy(*key).agg(*[_latest(f"e_{e}").alias(f"o_{e}") for e in _EVENTS],
-                                    F.coalesce(F.max("_lk"), F.lit(0)).alias("_n0"), _latest("_lsec").alias("_osec"))
-    left = written(left.select(*key, "_n0", "_osec", *[
+                                    F.coalesce(F.max("_lk"), F.lit(0)).alias("_n0"), _latest("_lsec").alias("_osec"),
+                                    F.max("_ambiguous").alias("_ambiguous"))
+    left = written(left.select(*key, "_n0", "_osec", "_ambiguous", *[
         F.last(f"o_{e}", ignorenulls=True).over(before).alias(f"c_{e}") for e in _EVENTS]), "parse-summaries")
+    special, whole = left.where("_ambiguous").select(*SHEET).distinct(), None
+    if not special.isEmpty():
+        blocks, left = (_attach(df, special, SHEET, "left_anti") for df in (blocks, left))
+        whole = _parse_sheets(_attach(cells, special, SHEET, "left_semi"), date_mode, exclude_sheets)
     # cells before a block's own header, with the contexts that hold there
     now = [F.coalesce(f"l_{e}", f"c_{e}") for e in _EVENTS]
     run = Window.partitionBy(*key).orderBy("r", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -353,8 +352,8 @@ def _parse_blocks(cells: DataFrame, date_mode, exclude_sheets, rows_per_chunk: i
     sums = sums.select(
         *key, "_kb", gone.alias("_less"), *[f"c_{e}" for e in _EVENTS], shift(F.col("_hsec"), F.col("_kb")).alias("_hsec"),
         F.coalesce(shift(F.col("_osec"), F.col("_kb") - gone), shift(F.col("_hsec"), F.col("_kb"))).alias("_end"))
-    sums = written(sums.select(*[c for c in sums.columns if c != "_end"],
-                               F.last("_end", ignorenulls=True).over(before).alias("_csec")), "parse-numbers")
+    sums = sums.select(*[c for c in sums.columns if c != "_end"],
+                       F.last("_end", ignorenulls=True).over(before).alias("_csec"))
     body = blocks.where(F.col("_val") & ~F.col("_pend")).select(
         *key, _value(F.col("sv"), F.col("nv")).alias("_v"), F.col("_lk").alias("_at"), F.lit(True).alias("_body"),
         *[F.col(f"l_{e}").alias(f"x_{e}") for e in _EVENTS], F.col("_lsec").alias("_own"))
