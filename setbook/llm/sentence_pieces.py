@@ -41,7 +41,7 @@ from .common import bounded_batches, documents, give_back, whole_text
 MARK = "\u2581"
 MEMO_WORDS = 280_000             # in each of the two generations of a worker's table
 _MEMO_LENGTH = 64                # characters of the longest word that the table keeps
-_MEMO_PAIRS = 1_000_000
+_PAIRS_A_WORD = 3.5              # pairs of pieces kept for each word of a generation
 _SCORE = ""                      # key of a trie node's own piece
 _NOTHING = -1                    # the piece before the first, and after a character without one
 
@@ -130,7 +130,7 @@ class Pieces:
         key = (a + 1) << 32 | b
         known = self.apart.get(key)
         if known is None:
-            if len(self.apart) > _MEMO_PAIRS:
+            if len(self.apart) > _PAIRS_A_WORD * self.memo_words:
                 self.apart.clear()
             pair = [self.texts[b]] if a == _NOTHING else [self.texts[a], self.texts[b]]
             known = self.apart[key] = self.merged("".join(pair)) == pair
@@ -239,7 +239,7 @@ def _some(values: list, size, most: int = 1 << 22) -> Iterator[list]:
 
 
 def encoded(text: Column, model_path: str, memo_words: int = MEMO_WORDS) -> Column:
-    """Array of piece ids of a text column without nulls; a worker keeps the pieces of at most twice ``memo_words`` words."""
+    """Array of piece ids of a text column without nulls; a worker's tables are bounded by ``memo_words``."""
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = _model(model_path)
