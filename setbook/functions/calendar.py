@@ -24,9 +24,14 @@ def weekday_number(col) -> Column:
     return _position_in([d.lower() for d in WEEKDAY_NAMES], F.col(col) if isinstance(col, str) else col)
 
 
+def _name_at(names, position: Column) -> Column:
+    """The lower-case name at a 1-based position; NULL at NULL.  A lookup costs a row far less than formatting a date."""
+    return F.element_at(F.array(*[F.lit(n.lower()) for n in names]), position)
+
+
 def month_name(date_col) -> Column:
     """Lower-case English month name of a DATE, e.g. 'may'."""
-    return F.lower(F.date_format(date_col, "MMMM"))
+    return _name_at(MONTH_NAMES, F.month(date_col))
 
 
 def padded_month_name(date_col) -> Column:
@@ -36,7 +41,7 @@ def padded_month_name(date_col) -> Column:
 
 def weekday_name(date_col) -> Column:
     """Lower-case English weekday name of a DATE."""
-    return F.lower(F.date_format(date_col, "EEEE"))
+    return _name_at(WEEKDAY_NAMES, F.weekday(date_col) + 1)
 
 
 def year_length(year_col) -> Column:

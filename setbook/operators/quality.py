@@ -48,11 +48,12 @@ def enforced_bits() -> int:
     return sum(bit for name, bit in rule_bits().items() if _enforced(name))
 
 
-def broken_rules() -> Column:
-    """BIGINT with the bit of every row-level rule that the row breaks; 0 for a clean row."""
+def broken_rules(enforced_only: bool = False) -> Column:
+    """BIGINT with the bit of every row-level rule (or enforced one) that the row breaks; 0 for a clean row."""
     bits = rule_bits()
     return reduce(lambda a, b: a.bitwiseOR(b), [
         F.when(F.coalesce(p, F.lit(False)), F.lit(bits[name])).otherwise(F.lit(0)) for name, p in row_rules().items()
+        if _enforced(name) or not enforced_only
     ]).cast("bigint")
 
 
@@ -63,9 +64,9 @@ def accepted(mask: Column) -> Column:
 
 def reasons(mask: Column, enforced_only: bool = True) -> Column:
     """The names of the broken rules, comma-joined in the order of the rules."""
-    return F.array_join(F.array_compact(F.array(*[
+    return F.concat_ws(",", *[
         F.when(mask.bitwiseAND(F.lit(bit)) != 0, F.lit(name)) for name, bit in rule_bits().items()
-        if _enforced(name) or not enforced_only])), ",")
+        if _enforced(name) or not enforced_only])
 
 
 def constraints_met() -> Column:
@@ -74,9 +75,16 @@ def constraints_met() -> Column:
 
 
 def rejected_rows(journal: DataFrame, mask: str = "broken", text: str = "reasons") -> DataFrame:
-    """The rows that the journal table refuses, with the bits and names of the enforced rules they break."""
-    marked = journal.withColumn(mask, broken_rules().bitwiseAND(F.lit(enforced_bits())))
-    return marked.where(F.col(mask) != 0).withColumn(text, reasons(F.col(mask)))
+    """The rows that the journal table refuses, with the bits and names of the enforced rules they break.
+
+    Only the enforced rules are looked at, once a row: a filter on the mask
+    would be moved below the columns it is made of and work all of them out
+    again, so the refused rows are handed on as arrays of one row, the others as none.
+    """
+    marked = journal.withColumn(mask, broken_rules(enforced_only=True))
+    row = F.struct(*[F.col(c) for c in marked.columns])
+    refused = marked.select(F.inline(F.when(F.col(mask) != 0, F.array(row))))
+    return refused.withColumn(text, reasons(F.col(mask)))
 
 
 def check_journal(journal: DataFrame, by=(), mask: str | None = None):

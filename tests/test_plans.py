@@ -58,3 +58,10 @@ def test_filters_reach_the_scan(spark):
     assert "StringContains(exercise,(s))" in plan, plan          # class predicate reaches parquet
     assert "ReadSchema: struct<date:date,exercise:string,weight:decimal(5,2),weight_unit:string," \
            "amount:smallint>" in plan, plan                       # 5 of 14 columns read
+
+
+def test_refused_rows_work_out_each_rule_once(spark):
+    """No filter repeats the rules and the columns they are made of, and names of days are looked up, not formatted."""
+    plan = QUERIES["rejected_rows"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("CASE WHEN" in ln for ln in plan.splitlines() if ln.split("+- ")[-1].startswith("Filter"))
+    assert "date_format" not in plan and plan.count("THEN 8192 ELSE") == 1
