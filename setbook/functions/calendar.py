@@ -25,8 +25,9 @@ def weekday_number(col) -> Column:
 
 
 def _name_at(names, position: Column) -> Column:
-    """The lower-case name at a 1-based position; NULL at NULL.  A lookup costs a row far less than formatting a date."""
-    return F.element_at(F.array(*[F.lit(n.lower()) for n in names]), position)
+    """The lower-case name at a 1-based position; NULL at NULL (``element_at`` calls itself never NULL, so that tests
+    for NULL are dropped).  A lookup costs a row far less than formatting a date."""
+    return F.try_element_at(F.array(*[F.lit(n.lower()) for n in names]), position)
 
 
 def month_name(date_col) -> Column:

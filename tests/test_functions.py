@@ -5,6 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from setbook.functions import month_number, percentage, weekday_number, weight_kg, year_length
+from setbook.functions import calendar
 from setbook.functions.calendar import padded_month_name, serial_to_date
 
 
@@ -65,3 +66,11 @@ def test_row_digest_detects_differences(spark):
     assert not same_rows(df, df.where("id <> 42"))                     # a dropped row
     assert not same_rows(df, df.selectExpr("id", "CASE WHEN id = 5 THEN 6 ELSE k END AS k", "s"))
     assert not same_rows(df, df.union(df.where("id = 3")))             # a duplicated row
+
+
+def test_names_of_no_date_are_null(spark):
+    """Also where a test for NULL is worked out from the expression's type."""
+    df = spark.sql("SELECT CAST(d AS DATE) AS d FROM VALUES (NULL), ('2024-05-13') AS t(d)")
+    got = df.select("d", calendar.month_name("d").alias("m"), calendar.weekday_name("d").alias("w")).select(
+        "d", "m", "w", F.col("m").isNull().alias("no_m"), F.col("w").isNull().alias("no_w"), (F.col("m") != "x").alias("other"))
+    assert {tuple(r)[1:] for r in got.collect()} == {(None, None, True, True, None), ("may", "monday", False, False, True)}
