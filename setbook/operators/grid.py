@@ -70,6 +70,7 @@ _CTX_FIELDS = ("weekday", "deload", "date", "type", "type_sv", "type_nv", "day_t
 def _events(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
     """Pass A: positional neighbours inside the row (missing = empty), the
     context events of each cell, the date-cell flag; inert cells dropped.
+    ``_after`` says that a text with 'Total' stands further left in the row.
 
     ``key`` partitions the window; it must keep whole rows together.
     """
@@ -79,17 +80,28 @@ def _events(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
 
     def at(offset: int, col: str):
         """value of ``col`` at column c+offset of the same row, else NULL."""
-        fn = F.lag if offset < 0 else F.lead
-        hit = None
+        sign, hit = (-1 if offset < 0 else 1), F
         for s in range(1, abs(offset) + 1):
-            cond = (fn("r", s).over(w) == F.col("r")) & (fn("c", s).over(w) == F.col("c") + offset)
-            hit = F.when(cond, fn(col, s).over(w)) if hit is None else hit.when(cond, fn(col, s).over(w))
+            near = f"_{sign * s}_"
+            hit = hit.when((F.col(f"{near}r") == F.col("r")) & (F.col(f"{near}c") == F.col("c") + offset),
+                           F.col(f"{near}{col}"))
         return hit
 
     # a per-workbook date mode column (workbook files) wins over the argument
     mode = F.coalesce("date_mode", F.lit(date_mode)) if "date_mode" in cells.columns else F.lit(date_mode)
+    # every neighbour is looked up once: an expression that names it twice would make it two window functions
+    around = [(n, c) for n, cols in ((-2, "nv"), (-1, "sv nv"), (1, "sv nv"), (2, "sv")) for c in ("r", "c", *cols.split())]
     base = select_sheets(cells, exclude_sheets).withColumn("_date_mode", mode).select(
         "_date_mode", *key, "r", "c", "sv", "nv",
+        *[(F.lag(c, -n) if n < 0 else F.lead(c, n)).over(w).alias(f"_{n}_{c}") for n, c in around],
+        F.last(F.when(sv.contains(TOTAL_MARK), F.col("r")), ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, -1)).alias("_total_r"),
+    )
+    # Empty cells and column headers matter only as neighbours:
+    # they never set a context, section, break or value.
+    base = base.where(~(F.coalesce(sv == "", F.lit(False)) | F.coalesce(sv.isin(*COLUMN_HEADERS), F.lit(False))))
+    base = base.select(
+        "_date_mode", *key, "r", "c", "sv", "nv", "_total_r",
         at(-1, "sv").alias("l1_sv"), at(-2, "nv").alias("l2_nv"),
         at(1, "sv").alias("r1_sv"), at(1, "nv").alias("r1_nv"), at(2, "sv").alias("r2_sv"),
     )
@@ -109,18 +121,16 @@ def _events(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
     wd_event = wd_event.withField("day_txt", F.date_format(wd_event.getField("date"), "dd-MM-yyyy"))
     # a 7-character cell (e.g. the serial '45413.0') with a weekday two to
     # the right is the session's date cell: decided here, carried as a flag
-    skip_date = (F.length(_text(sv, nv)) == DATE_CELL_LENGTH) & F.coalesce(
-        F.col("r2_sv").isin(*weekdays), F.lit(False))
-    ev = base.select(
+    # (the neighbour first: few cells have one, and only they are written as text)
+    skip_date = F.coalesce(F.col("r2_sv").isin(*weekdays), F.lit(False)) & (
+        F.length(_text(sv, nv)) == DATE_CELL_LENGTH)
+    return base.select(
         *key, "r", "c", "sv", "nv",
         F.when(sv.isin(*[F.lit(m) for m in MONTH_NAMES]), sv).alias("e_month"),
         F.when(sv.isin(*weekdays), wd_event).alias("e_wd"),
         F.when(sv.contains(COUNTER_MARK), sv).alias("e_counter"),
-        skip_date.alias("_dskip"),
+        skip_date.alias("_dskip"), (F.coalesce(F.col("_total_r"), F.lit(0)) == F.col("r")).alias("_after"),
     )
-    # Empty cells and column headers matter only as neighbours (above):
-    # they never set a context, section, break or value.
-    return ev.where(~(F.coalesce(sv == "", F.lit(False)) | F.coalesce(sv.isin(*COLUMN_HEADERS), F.lit(False))))
 
 
 def _expand(df: DataFrame, wd: str = "_wd") -> DataFrame:
@@ -187,7 +197,67 @@ def _records(df: DataFrame, key, fields) -> DataFrame:
     )
 
 
+def _ambiguous() -> Column:
+    """The cell could keep a "Total" from ending its row: a workout type or counter label that contains it and so
+    hides it, a total that is a date cell, or one that is a number as well."""
+    total = F.coalesce(F.col("sv").contains(TOTAL_MARK), F.lit(False))
+    return (F.coalesce(F.col("e_wd.type_sv").contains(TOTAL_MARK), F.lit(False))
+            | F.coalesce(F.col("e_counter").contains(TOTAL_MARK), F.lit(False))
+            | (total & (F.col("_dskip") | F.col("nv").isNotNull())))
+
+
+def _parse_plain(cells: DataFrame, date_mode, exclude_sheets) -> DataFrame:
+    """The records of every sheet as if each "Total" ended its row, in four windows that share one sort.
+
+    Rows with ``_ambiguous`` are no records: they name the sheets in which
+    that does not hold, whose records here are void.
+    """
+    key = list(SHEET)
+    run = Window.partitionBy(*key).orderBy("r", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = lambda c: F.last(c, ignorenulls=True).over(run)
+    sv = F.col("sv")
+    ev = _events(cells, key, date_mode, exclude_sheets)
+    ends = F.col("_after") | F.coalesce(sv.contains(TOTAL_MARK), F.lit(False))
+    ev = ev.select(*key, "r", "c", "sv", "nv", "_dskip", _ambiguous().alias("_ambiguous"), ends.alias("_out"),
+                   *[F.when(~ends, F.col(f"e_{e}")).alias(f"e_{e}") for e in _EVENTS])
+    # ---- contexts, and what they leave visible (filters stand above windows,
+    # below which they would work out what they test a second time)
+    b = ev.select(*key, "r", "c", "sv", "nv", "_dskip", "_ambiguous", "_out", last("e_month").alias("x_month"),
+                  last("e_wd").alias("x_wd"), last("e_counter").alias("x_counter"))
+    b = b.where(~F.col("_out") | F.col("_ambiguous"))
+    now = [F.col(x) for x in ("x_month", "x_wd", "x_counter")]
+    shown = ~F.col("_dskip") & ~_hidden(*now, at_start=now[2].isNull())
+    wd = F.col("x_wd").getField
+    b = b.select(*key, "r", "c", _value(sv, F.col("nv")).alias("_v"), "x_month", "x_counter",
+                 *[wd(f).alias(f"x_{f}") for f in ("weekday", "deload", "date", "type")],
+                 shown.alias("_shown"), F.coalesce(sv.isin(*SECTION_NAMES), F.lit(False)).alias("_named"), "_ambiguous")
+    b = b.select(*[x for x in b.columns if x not in ("_shown", "_named")],
+                 (F.col("_shown") & F.col("_named")).alias("_sec"), (F.col("_shown") & ~F.col("_named")).alias("_val"))
+    # ---- running value count, current section
+    k = b.select("*", F.sum(F.col("_val").cast("int")).over(run).alias("_k"),
+                 last(F.when(F.col("_sec"), F.col("_v"))).alias("x_section"))
+    k = k.where(F.col("_sec") | F.col("_val") | F.col("_ambiguous"))
+    # ---- 5-cell records at the 5th value; a struct keeps a value that is NULL
+    pos = (F.col("_k") - 1) % RECORD_WIDTH
+    part = lambda i: last(F.when(F.col("_val") & (pos == i), F.struct("_v"))).getField("_v")
+    rec = k.select("*", last(F.when(F.col("_sec"), F.col("_k"))).alias("_k_at_sec"),
+                   *[part(i).alias(f"_f{i}") for i in range(RECORD_WIDTH - 1)])
+    rec = rec.where((F.col("_val") & (F.col("_k") % RECORD_WIDTH == 0)) | F.col("_ambiguous"))
+    return _records(rec, [*key, "_ambiguous"], [*[F.col(f"_f{i}") for i in range(RECORD_WIDTH - 1)], F.col("_v")])
+
+
 def _parse_sheets(cells: DataFrame, date_mode, exclude_sheets) -> DataFrame:
+    """One partition per sheet.  All sheets are parsed in few windows as if no "Total" were hidden, and the records
+    written; sheets in which one could be, if any, are parsed again with all passes (``_parse_hidden_totals``)."""
+    records = written(_parse_plain(cells, date_mode, exclude_sheets), "parse-records")
+    special, out = records.where("_ambiguous").select(*SHEET).distinct(), records.drop("_ambiguous")
+    if special.isEmpty():
+        return out
+    hidden = _parse_hidden_totals(_attach(cells, special, SHEET, "left_semi"), date_mode, exclude_sheets)
+    return _attach(out, special, SHEET, "left_anti").unionByName(hidden)
+
+
+def _parse_hidden_totals(cells: DataFrame, date_mode, exclude_sheets) -> DataFrame:
     """One partition per sheet: every pass is a window over (workbook,
     sheet) ordered by (r, c), all sharing one sort."""
     key = list(SHEET)
@@ -206,7 +276,7 @@ def _parse_sheets(cells: DataFrame, date_mode, exclude_sheets) -> DataFrame:
         df = df.withColumn(name, F.min(F.when(_is_break(), F.col("c"))).over(row_w))
         return df.drop("x_month", "x_counter", *[f"x_{f}" for f in _CTX_FIELDS])
 
-    ev = _events(cells, key, date_mode, exclude_sheets)
+    ev = _events(cells, key, date_mode, exclude_sheets).drop("_after")
     # ---- "Total" ends the row.  The original never visits what is right of a
     # break, so that must not set contexts: the first pass is deaf to all that
     # is right of a possible break, the second to what is right of those found
@@ -267,13 +337,9 @@ def _block_cells(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
     ``_lsec`` is the last section that no outer context can hide.
     """
     run = Window.partitionBy(*key).orderBy("r", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    row_w = Window.partitionBy(*key, "r")
     ev = _events(cells, key, date_mode, exclude_sheets)
-    ev = ev.withColumn("_brk", F.min(F.when(_may_break(), F.col("c"))).over(row_w))
-    ambiguous = (F.coalesce(F.col("e_wd.type_sv").contains(TOTAL_MARK), F.lit(False))
-                 | F.coalesce(F.col("e_counter").contains(TOTAL_MARK), F.lit(False)))
-    heard = F.col("_brk").isNull() | (F.col("c") < F.col("_brk"))
-    ev = ev.select(*key, "r", "c", "sv", "nv", "_dskip", ambiguous.alias("_ambiguous"), heard.alias("_heard"),
+    heard = ~(F.col("_after") | F.coalesce(F.col("sv").contains(TOTAL_MARK), F.lit(False)))
+    ev = ev.select(*key, "r", "c", "sv", "nv", "_dskip", _ambiguous().alias("_ambiguous"), heard.alias("_heard"),
                    *[F.when(heard, F.col(f"e_{e}")).alias(f"e_{e}") for e in _EVENTS])
     ev = ev.select("*", *[F.last(f"e_{e}", ignorenulls=True).over(run).alias(f"l_{e}") for e in _EVENTS])
     unsure = F.col("l_month").isNull() | F.col("l_wd").isNull() | F.col("l_counter").isNull()
@@ -284,7 +350,7 @@ def _block_cells(cells: DataFrame, key, date_mode, exclude_sheets) -> DataFrame:
     own = F.when(F.col("_sec") & ~F.col("_pend"), F.struct(F.col("sv").alias("name"), F.col("_lk").alias("at")))
     ev = ev.withColumn("_lsec", F.last(own, ignorenulls=True).over(run))
     event = F.col("e_month").isNotNull() | F.col("e_wd").isNotNull() | F.col("e_counter").isNotNull()
-    return ev.where(F.col("_val") | F.col("_sec") | event | F.col("_ambiguous"))
+    return ev.where(F.col("_val") | F.col("_sec") | event | F.col("_ambiguous")).drop(*[f"e_{e}" for e in _EVENTS])
 
 
 def _hidden(month: Column, wd: Column, counter: Column, at_start: Column | None = None) -> Column:
@@ -322,7 +388,7 @@ def _parse_blocks(cells: DataFrame, date_mode, exclude_sheets, rows_per_chunk: i
     blocks = written(_block_cells(chunked, key, date_mode, exclude_sheets), "parse-blocks")
     # what each block leaves behind, and the contexts at its start
     before = Window.partitionBy(*SHEET).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    left = blocks.groupBy(*key).agg(*[_latest(f"e_{e}").alias(f"o_{e}") for e in _EVENTS],
+    left = blocks.groupBy(*key).agg(*[_latest(f"l_{e}").alias(f"o_{e}") for e in _EVENTS],
                                     F.coalesce(F.max("_lk"), F.lit(0)).alias("_n0"), _latest("_lsec").alias("_osec"),
                                     F.max("_ambiguous").alias("_ambiguous"))
     left = written(left.select(*key, "_n0", "_osec", "_ambiguous", *[

@@ -189,3 +189,24 @@ def test_block_parser_without_ambiguous_totals(spark, seed, rows, monkeypatch):
     got = [tuple(r) for r in parse_journal_cells(spark.createDataFrame(cells, CELLS_SCHEMA), rows_per_chunk=rows).collect()]
     norm = lambda rows_: sorted(tuple("∅" if v is None else str(v) for v in row) for row in rows_)
     assert norm(got) == norm(expected)
+
+
+def test_sheets_without_hidden_totals_take_four_windows(spark, monkeypatch):
+    """All passes are for sheets that could hide a total; the others share one sort and four windows."""
+    from setbook.operators import grid
+    rnd = random.Random(31)
+    cells, expected = [], []
+    for wb in (1, 2, None):
+        out, model = to_cells(wb, "2024", random_sheet(rnd, totals=False))
+        cells += out
+        expected += [(wb, "2024") + rec for rec in SheetModel(model).run()]
+    df = spark.createDataFrame(cells, CELLS_SCHEMA)
+    plan = grid._parse_plain(df, 0, ())._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(ln.split("+- ")[-1].startswith("Window") for ln in plan.splitlines()) == 4
+
+    def whole(*args):
+        raise AssertionError("a sheet went through all passes")
+    monkeypatch.setattr(grid, "_parse_hidden_totals", whole)
+    got = [tuple(r) for r in parse_journal_cells(df).collect()]
+    norm = lambda rows_: sorted(tuple("∅" if v is None else str(v) for v in row) for row in rows_)
+    assert norm(got) == norm(expected)
