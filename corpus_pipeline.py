@@ -39,9 +39,8 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def sentence_piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, piece_ids, n_pieces, and whether decoding gives the text back."""
     path = sentence_pieces.default_model()
-    # smaller tables than by default: the workers have served the stages before, and keep these for the next run
-    rows = sentence_pieces.encode_documents(docs.select("doc_id", "text"), path, memo_words=80_000)
-    rows = rows.withColumn("back", sentence_pieces.decoded(F.col("piece_ids"), path))
+    # smaller tables than by default, beside executors whose heap the stages before have filled
+    rows = sentence_pieces.round_trip(docs.select("doc_id", "text"), path, memo_words=80_000)
     return rows.select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"),
                        (F.col("back") == whole_text()).alias("round_trip"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,6 +93,30 @@ def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
 
 
+# what an operator keeps in a Python worker from one task to the next, by (operator, name)
+_HELD: dict[tuple[str, str], Any] = {}
+
+
+def held(operator: str, name: str, make: Callable[[str], Any]) -> Any:
+    """What ``operator`` keeps under ``name`` in this worker, made by ``make(name)`` when it is not there.
+
+    Spark keeps workers, and deals tasks to them in turn, for all stages of an
+    application: the tables of other operators are let go first.
+    """
+    if any(owner != operator for owner, _ in _HELD):
+        let_go()
+    if (operator, name) not in _HELD:
+        _HELD[operator, name] = make(name)
+    return _HELD[operator, name]
+
+
+def let_go() -> None:
+    """Let go what operators keep in this worker; for the start of tasks that keep nothing themselves."""
+    if _HELD:
+        _HELD.clear()
+        give_back()
+
+
 def give_back() -> None:
     """Return freed memory of a Python worker to the system: Spark keeps workers for the tasks of later stages."""
     pa.default_memory_pool().release_unused()

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import bounded_batches, documents, scratch_path, stored, unused, whole_text
+from .common import bounded_batches, documents, let_go, scratch_path, stored, unused, whole_text
 
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -123,6 +123,7 @@ def _matched(text: Column, block: list[tuple[int, str]], error_rate: float) -> C
     """Array of the keys of a block's items that ``text`` contains."""
     @F.pandas_udf("array<long>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         matcher = Matcher(block, error_rate)
         for texts in batches:
             yield pd.Series([matcher.find(plain(t)) for t in texts], dtype=object)

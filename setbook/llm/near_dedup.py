@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, give_back, keep_rows, stored, text_key, whole_text
+from .common import bounded_batches, documents, give_back, keep_rows, let_go, stored, text_key, whole_text
 from .components import components
 
 SHINGLE = 5
@@ -134,6 +134,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def _sign(docs: DataFrame) -> DataFrame:
     """(row, doc_id, key, bands) of every row; key is equal for equal texts."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         hashes = WordHashes()
         for b in batches:
             found = [shingles(t, hashes) for t in b["text"]]
@@ -153,6 +154,7 @@ def _sign(docs: DataFrame) -> DataFrame:
 def _profiles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, hashes, counts) of the shingles of the nodes (node, doc_id, key)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         hashes = WordHashes()
         for b in batches:
             found = [shingles(t, hashes) for t in b["text"]]
@@ -169,6 +171,7 @@ def _profiles(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, profiles: DataFrame, least: float) -> DataFrame:
     """The pairs (u, v) whose exact similarity is at least ``least``, with it."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         for b in batches:
             sides = [[(np.frombuffer(h, np.uint64), np.frombuffer(c, np.uint32)) for h, c in zip(b[f"{s}h"], b[f"{s}c"])]
                      for s in "uv"]

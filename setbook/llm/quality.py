@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import bounded_batches, documents, give_back, unused, whole_text
+from .common import bounded_batches, documents, give_back, let_go, unused, whole_text
 
 WORDS, SHAPES, PAIRS, REPEATS = 1024, 128, 512, 3
 TERMS = WORDS + SHAPES + PAIRS + REPEATS
@@ -126,6 +126,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def _frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     """Documents holding each term, over all documents, and their number."""
     def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         terms, df, n = Terms(), np.zeros(TERMS, np.int64), 0
         for b in batches:
             for t in b["text"]:
@@ -145,6 +146,7 @@ def _frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 def _training_rows(docs: DataFrame, labels: DataFrame, train_rows: int) -> pd.DataFrame:
     """Label and term counts of at most ``train_rows`` labelled documents, chosen by hash of doc_id."""
     def to_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        let_go()
         terms = Terms()
         for b in batches:
             found = [terms.counts(t) for t in b["text"]]
@@ -189,6 +191,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7,
 
     @F.pandas_udf("double")
     def vote(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        let_go()
         terms, m = Terms(), shared.value
         for texts in batches:
             texts = texts.tolist()

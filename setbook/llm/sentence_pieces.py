@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, documents, give_back, whole_text
+from .common import bounded_batches, documents, give_back, held, unused, whole_text
 
 MARK = "\u2581"
 MEMO_WORDS = 280_000             # in each of the two generations of a worker's table
@@ -217,13 +217,8 @@ class Pieces:
         return b"".join([table[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
-_MODELS: dict[str, Pieces] = {}
-
-
 def _model(path: str) -> Pieces:
-    if path not in _MODELS:
-        _MODELS[path] = Pieces(path)
-    return _MODELS[path]
+    return held("sentence_pieces", path, Pieces)
 
 
 def _some(values: list, size, most: int = 1 << 22) -> Iterator[list]:
@@ -262,6 +257,33 @@ def decoded(ids: Column, model_path: str) -> Column:
     return decode(ids)
 
 
+def encoded_and_decoded(text: Column, model_path: str, memo_words: int = MEMO_WORDS) -> Column:
+    """(ids, back): the piece ids of a text column without nulls and the text decoded from them.
+
+    One worker does both; ``decoded`` over ``encoded`` takes two a task, each with the model.
+    """
+    @F.pandas_udf("ids array<int>, back string")
+    def there_and_back(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = _model(model_path)
+        model.memo_words = memo_words
+        for texts in batches:
+            ids = [i for part in _some(texts.tolist(), len) for i in model.encode(part)]
+            back = [model.decode(i.tolist()) for i in ids]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "back": pd.Series(back, dtype=object)})
+        give_back()
+
+    return there_and_back(text)
+
+
+def round_trip(docs: DataFrame, model_path: str, out: tuple[str, str] = ("piece_ids", "back"),
+               memo_words: int = MEMO_WORDS) -> DataFrame:
+    """``docs`` and two columns: the piece ids of each whole text, and the text decoded from them."""
+    bounded_batches(docs.sparkSession)
+    both, = unused(docs, "both")
+    return (docs.withColumn(both, encoded_and_decoded(whole_text(), model_path, memo_words))
+            .withColumns({out[0]: F.col(both)["ids"], out[1]: F.col(both)["back"]}).drop(both))
+
+
 def encode_documents(docs: DataFrame, model_path: str, out: str = "piece_ids", memo_words: int = MEMO_WORDS) -> DataFrame:
     """``docs`` and a column ``out`` with the piece ids of each whole text."""
     bounded_batches(docs.sparkSession)
@@ -277,6 +299,6 @@ def default_model() -> str:
 def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered query: every document encoded and decoded again."""
     path = default_model()
-    rows = encode_documents(documents(spark, sf_dir), path).withColumn("back", decoded(F.col("piece_ids"), path))
+    rows = round_trip(documents(spark, sf_dir), path)
     return rows.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"),
                        F.xxhash64("piece_ids").alias("ids_xxhash64"), (F.col("back") == whole_text()).alias("round_trip"))

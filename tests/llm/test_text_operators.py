@@ -353,3 +353,38 @@ def test_simple8b_ranges():
     words, offsets, escapes = simple8b.encode(values)
     for a, e in ((0, 0), (0, 1), (1023, 1025), (0, 5000), (4999, 5000), (1024, 2048), (17, 3333)):
         assert (simple8b.decode_range(words, offsets, escapes, a, e) == values[a:e]).all()
+
+
+def test_sentence_pieces_take_one_worker_a_task(spark, docs_of):
+    """Encoding and decoding again is one step in one worker, and gives what the two apart give."""
+    from pyspark.sql import functions as F
+
+    path = sentence_pieces.default_model()
+    docs = docs_of([(1, "Ein  Wort\n und\tnoch eins"), (2, None), (3, ""), (4, "▁ mark")])
+    both = sentence_pieces.round_trip(docs, path)
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.split("ArrowEvalPython")[1].count("there_and_back(") == 1
+    apart = sentence_pieces.encode_documents(docs, path).withColumn(
+        "back", sentence_pieces.decoded(F.col("piece_ids"), path))
+    assert both.columns == apart.columns and sorted(both.collect(), key=str) == sorted(apart.collect(), key=str)
+    query = sentence_pieces.op7_sentence_pieces(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert query.count("ArrowEvalPython") == 1
+
+
+def test_a_worker_keeps_the_tables_of_one_operator(spark):
+    """Workers serve all stages: what one operator keeps goes when another's task begins."""
+    from setbook.llm import common
+
+    def run(batches):
+        first = common.held("a", "x", lambda name: [name])
+        again = common.held("a", "x", lambda name: [name]) is first
+        common.held("a", "y", lambda name: [name])
+        both = len(common._HELD)
+        common.held("b", "x", lambda name: [name])
+        other = list(common._HELD)
+        common.let_go()
+        for b in batches:
+            yield b.assign(said=f"{again} {both} {other} {len(common._HELD)}")
+
+    said = spark.range(1, numPartitions=1).mapInPandas(run, "id long, said string").first()["said"]
+    assert said == "True 2 [('b', 'x')] 0"
