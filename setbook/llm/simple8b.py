@@ -36,15 +36,18 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bits = np.frexp(v.astype(float))[1].astype(np.uint8)
     large = np.flatnonzero(v >> np.uint64(53))    # where a float rounds
     bits[large] = [int(x).bit_length() for x in v[large]]
-    chosen = np.zeros(n, np.uint8)
+    chosen, apart = np.zeros(n, np.uint8), n + 1
     for s in range(15, 0, -1):                    # a later selector with more integers wins
         count = int(COUNTS[s])
+        if apart <= count:                        # too wide ones are no further apart for narrower integers
+            break
         places = np.flatnonzero(bits > int(BITS[s]))
         if not len(places):
             fits = at <= ends - count
-        elif np.diff(places, prepend=-1, append=n).max() <= count:
-            continue
         else:
+            apart = int(np.diff(places, prepend=-1, append=n).max())
+            if apart <= count:
+                break
             fits = _runs(places, at, ends) >= count
         np.copyto(chosen, s, where=fits)
     step, starts, i = COUNTS[chosen].tolist(), [], 0

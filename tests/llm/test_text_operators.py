@@ -388,3 +388,30 @@ def test_a_worker_keeps_the_tables_of_one_operator(spark):
 
     said = spark.range(1, numPartitions=1).mapInPandas(run, "id long, said string").first()["said"]
     assert said == "True 2 [('b', 'x')] 0"
+
+
+def test_plain_words_go_to_the_model_once():
+    """Distinct words of Latin letters skip the tokenizer's pattern, and every text gets the tokenizer's own ids."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, lib = token_ids.PieceEncoder(path), Tokenizer.from_file(path)
+    asked = []
+    separate = own._separate
+    own._separate = lambda t, lines: asked.extend((t is own.single, len(x.splitlines())) for x in lines) or separate(t, lines)
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdeéßñĀx") for _ in range(r.randint(1, 9))) for _ in range(400)]
+    marks = ["", ",", ".***", "'s", "'", "_x", "...", "!?"]
+    plain = [" ".join(r.choice(words) + r.choice(marks[:3]) for _ in range(300)) for _ in range(20)]
+    expected = lambda texts: [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in own.encode(plain)] == expected(plain)
+    assert asked and all(single for single, _ in asked)
+    asked.clear()
+    assert [x.tolist() for x in own.encode(plain[::-1])] == expected(plain[::-1]) and not asked
+    odd = ["", "a×b,÷ é×, x²³.", "don't, we'LL. it's's'", "ｘ,， 1,2.3a,b", "<|endoftext|>", "foo,<|endoftext|>.bar ,", "a,\nb.\n\nc, ",
+           " ,a", " x,", "語,漢字. ｶﾅ!", "é", "", "ª,º.µ!", "Ⅷ,ⅷ.", "á,é.", ", , .", "\n", "x\n", "ʯ.ʰ,ˆ!"]
+    more = ["".join(r.choice("aé ,.'\n\t _1×²語́") for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    more += [" ".join(r.choice(words) + r.choice(marks) for _ in range(50)) for _ in range(50)]
+    assert [x.tolist() for x in own.encode(odd + more)] == expected(odd + more)
+    assert [x.tolist() for x in own.encode([])] == [] and [x.tolist() for x in own.encode(["", ""])] == [[], []]
