@@ -67,6 +67,13 @@ def gram_hashes(units: np.ndarray, k: int) -> np.ndarray:
     return mixed((sums[k:] - sums[:-k]) * up[:len(units) - k + 1])
 
 
+def run_hashes(units: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each run of units from ``first`` to ``end`` (exclusive), wherever it stands."""
+    up, down = _powers(len(units))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(units * down)])
+    return mixed((sums[end] - sums[first]) * up[first])
+
+
 def contexts(units: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor hash, first window, last window) of each run of windows with one anchor."""
     windows = len(units) - width + 1

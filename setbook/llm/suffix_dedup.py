@@ -25,7 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +32,8 @@ from . import anchors
 from .common import bounded_batches, documents, stored, whole_text
 
 WIDTH = 400
-PASSAGE, LEAST_PASSAGE = 128, 200
+PASSAGE, PASSAGE_GRAM = 50, 16     # words of a shared passage, and of its anchors
+WIDTH_BYTES, LEAST_PASSAGE = 128, 200
 BLOCK_BYTES = 1 << 19           # contexts of one anchor beyond this are dealt out by window
 BATCH_BYTES = 1 << 16           # contexts sorted together; fits a core's cache
 _END = b"\xff"                  # in no UTF-8 text
@@ -186,47 +186,104 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK
         F.coalesce("cut_sha256", "whole_sha256").alias("kept_sha256"), "kept")
 
 
-def _passage_rows(width: int):
-    k = anchors.Kind(width, max(1, width // 4), _open)
+def _word_open(text: str) -> tuple[np.ndarray, bytes, np.ndarray]:
+    """The words of a text as units; offsets are those of the words joined by single blanks."""
+    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    space = np.concatenate([[True], (raw == 32) | ((raw >= 9) & (raw <= 13)), [True]])
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    first, last = edge[::2], edge[1::2]
+    return (anchors.run_hashes(_BYTE_UNITS[raw], first, last), raw[~space[1:-1]].tobytes(),
+            np.concatenate([[0], np.cumsum(last - first + 1)]))
 
+
+WORDS = anchors.Kind(PASSAGE, PASSAGE_GRAM, _word_open, gap=1)
+
+
+def _byte_passages(width: int) -> anchors.Kind:
+    return anchors.Kind(width, max(1, width // 4), _open)
+
+
+def _passage_rows(kind: anchors.Kind):
+    """Per context: its document, anchor and a hash of the whole of it, its windows (i0 to i1) and its bytes (at, n)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            key, first, size, rows = [], [], [], []
+            out, rows = [], []
             for t in b.column("text").to_pylist():
-                units, raw, _ = _open(t)
-                _, i0, i1 = anchors.contexts(units, width, k.gram)
-                ends = i1 + width
-                key.extend([xxhash.xxh3_64_intdigest(raw[x:e]) for x, e in zip(i0.tolist(), ends.tolist())])
-                first.append(i0)
-                size.append(ends - i0)
+                units, _, offsets = kind.open(t)
+                anchor, i0, i1 = anchors.contexts(units, kind.width, kind.gram)
+                ends = i1 + kind.width
                 rows.append(len(i0))
-            if sum(rows):
+                if len(i0):
+                    out.append((anchor, anchors.run_hashes(units, i0, ends), i0, i1, offsets[i0], offsets[ends] - kind.gap))
+            if out:
+                anchor, ctx, i0, i1, at, end = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_pydict({
+                    "doc": np.repeat(b.column("doc").to_numpy(), rows), "anchor": anchor.view(np.int64),
+                    "ctx": ctx.view(np.int64), "i0": i0.astype(np.int32), "i1": i1.astype(np.int32),
+                    "at": at.astype(np.int64), "n": (end - at).astype(np.int64)})
+    return run
+
+
+def _passage_windows(kind: anchors.Kind):
+    """Every window of the wanted contexts: hash, first byte (from the context's start) and bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc in b.to_pylist():
+                units, _, offsets = kind.open(anchors.unpacked(doc["packed"]))
+                windows = anchors.gram_hashes(units, kind.width)
+                own = doc["want"]
+                sizes = [w["i1"] - w["i0"] + 1 for w in own]
+                i = np.concatenate([np.arange(w["i0"], w["i1"] + 1) for w in own])
+                start = np.repeat(offsets[[w["i0"] for w in own]], sizes)
+                each = lambda name: np.repeat(np.array([w[name] for w in own], np.int64), sizes)  # noqa: E731, B023
                 yield pa.RecordBatch.from_pydict({
-                    "doc": np.repeat(b.column("doc").to_numpy(), rows), "key": np.array(key, np.uint64).view(np.int64),
-                    "at": np.concatenate(first).astype(np.int32), "n": np.concatenate(size).astype(np.int32)})
+                    "anchor": each("anchor"), "ctx": each("ctx"), "a": each("a"), "z": each("z"),
+                    "w": windows[i].view(np.int64), "at": (offsets[i] - start).astype(np.int64),
+                    "n": (offsets[i + kind.width] - kind.gap - offsets[i]).astype(np.int64)})
     return run
 
 
-def shared_passages(docs: DataFrame, width: int = PASSAGE, least: int = LEAST_PASSAGE) -> DataFrame:
+def shared_passages(docs: DataFrame, width: int = WIDTH_BYTES, least: int = LEAST_PASSAGE,
+                    kind: anchors.Kind | None = None) -> DataFrame:
     """(doc, longest_shared) of the documents of ``docs`` (doc, text) that share a passage with another one.
 
-    A text is cut by anchors into overlapping strings of at least ``width``
-    bytes, wherever they stand; those that another ``doc`` holds too are
-    joined to runs, and the longest run counts if it has ``least`` bytes.  It
-    may fall short of the shared passage by a cut at either end.
+    A passage is a run of units (of ``kind``; by default bytes), each in a
+    window of ``width`` that another ``doc`` holds too, wherever it stands;
+    ``longest_shared`` is the longest one's size in bytes, words being joined by
+    single blanks, and counts if it has ``least`` bytes.
+
+    Equal windows have equal anchors.  Contexts that are all equal for an
+    anchor are shared as a whole; where they differ, the windows of each
+    distinct one are looked up among those of the others.
     """
+    kind = kind or _byte_passages(width)
     bounded_batches(docs.sparkSession)
-    cuts = stored(docs.mapInArrow(_passage_rows(width), "doc long, key long, at int, n int"), "passages")
-    # stored, so that the join is one of two plain shuffles, whose hot keys AQE splits
-    shared = stored(cuts.groupBy("key").agg(F.min("doc").alias("a"), F.max("doc").alias("z")).where("a != z").select("key"),
-                    "shared")
-    runs = (cuts.join(shared, "key").groupBy("doc")
-            .agg(F.sort_array(F.collect_set(F.struct(F.col("at").cast("long").alias("at"), F.col("n").cast("long").alias("n")))).alias("runs")))
+    cuts = stored(docs.mapInArrow(_passage_rows(kind), "doc long, anchor long, ctx long, i0 int, i1 int, at long, n long"),
+                  "passages")
+    both = cuts.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("z"),
+                                      (F.min("ctx") != F.max("ctx")).alias("differ"))
+    # stored, so that the joins are of plain shuffles, whose hot keys AQE splits
+    members = stored(cuts.join(stored(both.where("a != z").select("anchor", "differ"), "shared"), "anchor"), "shared-contexts")
+    whole, parts = members.where("not differ"), members.where("differ")
+    classes = parts.groupBy("anchor", "ctx").agg(F.min("doc").alias("a"), F.max("doc").alias("z"),
+                                                 F.min(F.struct("doc", "i0", "i1")).alias("rep"))
+    want = classes.groupBy(F.col("rep.doc").alias("doc")).agg(
+        F.collect_list(F.struct("anchor", "ctx", "a", "z", "rep.i0", "rep.i1")).alias("want"))
+    texts = docs.select("doc", anchors._packed("text").alias("packed")).join(want, "doc")
+    windows = stored(texts.mapInArrow(_passage_windows(kind), "anchor long, ctx long, a long, z long, w long, at long, n long"),
+                     "passage-windows")
+    again = windows.groupBy("anchor", "w").agg(F.min("a").alias("a"), F.max("z").alias("z")).where("a != z").select("anchor", "w")
+    hits = (windows.join(again, ["anchor", "w"]).groupBy("anchor", "ctx")
+            .agg(F.collect_set(F.struct("at", "n")).alias("hits")))
+    found = parts.select("doc", "anchor", "ctx", "at").join(hits, ["anchor", "ctx"]).select(
+        "doc", F.transform("hits", lambda h: F.struct((F.col("at") + h["at"]).alias("at"), h["n"].alias("n"))).alias("runs"))
+    found = found.unionByName(whole.select("doc", F.array(F.struct("at", "n")).alias("runs")))
+    runs = found.groupBy("doc").agg(F.sort_array(F.flatten(F.collect_list("runs"))).alias("runs"))
     zero, state = F.lit(0).cast("long"), lambda at, end, best: F.struct(at.alias("at"), end.alias("end"), best.alias("best"))
 
     def joined(acc, x):
         end = F.greatest(acc["end"], x["at"] + x["n"])
-        return F.when((x["at"] <= acc["end"]) & (acc["end"] > 0), state(acc["at"], end, F.greatest(acc["best"], end - acc["at"]))) \
+        return F.when((x["at"] <= acc["end"] + kind.gap) & (acc["end"] > 0), state(acc["at"], end, F.greatest(acc["best"], end - acc["at"]))) \
                 .otherwise(state(x["at"], x["at"] + x["n"], F.greatest(acc["best"], x["n"])))
 
     longest = F.aggregate("runs", state(zero, zero, zero), joined, lambda acc: acc["best"])
@@ -239,12 +296,11 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_longest_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered query: ``op5_suffix_dedup`` and the longest passage of at least 200 bytes that the
-    document shares with another one (0: none), so that passages of 50 words, which are shorter than
-    the strings removed, show too."""
+    """Registered query: ``op5_suffix_dedup`` and the bytes of the longest passage of at least 50 words, each in a
+    run of 50 that another document holds too (0: none); such passages may be shorter than the strings removed."""
     docs = documents(spark, sf_dir)
     doc = F.xxhash64("doc_id", whole_text())
-    shared = shared_passages(docs.select(doc.alias("doc"), whole_text().alias("text")))
+    shared = shared_passages(docs.select(doc.alias("doc"), whole_text().alias("text")), least=1, kind=WORDS)
     out = remove_repeats(docs, more=[doc.alias("doc")]).drop("kept")
     return out.join(shared, "doc", "left").drop("doc").withColumn(
         "longest_shared", F.coalesce("longest_shared", F.lit(0).cast("long")))

@@ -325,3 +325,38 @@ def test_registered_suffix_query_adds_the_longest_passage(spark):
     same = {i for ids in copies.values() if len(ids) > 1 for i in ids}
     got = {x["doc_id"]: x["longest_shared"] for x in rows}
     assert all(got[i] > 0 for i in same if len((texts[i] or "").encode()) >= 400)
+
+
+def test_shared_passages_of_words_are_exact(spark, docs_of, odd_texts):
+    """Documents that share 50 words with another one, and the bytes of the longest such passage, against every window."""
+    r = random.Random(31)
+    make = lambda n: [r.choice("abcdefghijklmnopqrstuvwxyzé") + str(r.randint(0, 9) if r.random() < 0.3 else "") for _ in range(n)]
+    passages = [make(n) for n in (30, 49, 50, 50, 51, 55, 70, 130)]
+    texts = []
+    for k in range(120):
+        gap = r.choice([" ", "  ", "\n", " \t"])
+        texts.append(gap.join(make(r.randint(0, 80)) + passages[k % 8][r.randint(0, 2) * (k % 8 > 4):] + make(r.randint(0, 80))))
+    texts += [" ".join(make(40) + p[:60] + make(40) + p[40:] + make(20)) for p in (passages[7], passages[7])]
+    texts += [" ".join(passages[6] * 3), " ".join(make(30) * 5), " ".join(make(49)), texts[0], texts[1].replace("\n", " "), "", " \n"]
+    texts = [t for t in texts + odd_texts if len(t or "") < 20_000]
+    table = spark.createDataFrame([(i, t or "") for i, t in enumerate(texts)], "doc long, text string")
+    got = {x["doc"]: x["longest_shared"] for x in
+           suffix_dedup.shared_passages(table, least=1, kind=suffix_dedup.WORDS).collect()}
+    words = [(t or "").encode().split() for t in texts]
+    holders = {}
+    for i, ws in enumerate(words):
+        for at in range(len(ws) - 49):
+            holders.setdefault(tuple(ws[at:at + 50]), set()).add(i)
+    expected = {}
+    for i, ws in enumerate(words):
+        cover = [False] * len(ws)
+        for at in range(len(ws) - 49):
+            if len(holders[tuple(ws[at:at + 50])]) > 1:
+                cover[at:at + 50] = [True] * 50
+        best = run = 0
+        for w, c in zip(ws, cover):
+            run = (run + len(w) + 1) * c
+            best = max(best, run - 1)
+        if best > 0:
+            expected[i] = best
+    assert len(expected) > 60 and got == expected
