@@ -187,13 +187,12 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK
 
 
 def _word_open(text: str) -> tuple[np.ndarray, bytes, np.ndarray]:
-    """The words of a text as units; offsets are those of the words joined by single blanks."""
+    """The words of a text as units; offsets are those of the words joined by single blanks, which is left out."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     space = np.concatenate([[True], (raw == 32) | ((raw >= 9) & (raw <= 13)), [True]])
     edge = np.flatnonzero(space[1:] != space[:-1])
     first, last = edge[::2], edge[1::2]
-    return (anchors.run_hashes(_BYTE_UNITS[raw], first, last), raw[~space[1:-1]].tobytes(),
-            np.concatenate([[0], np.cumsum(last - first + 1)]))
+    return anchors.run_hashes(_BYTE_UNITS[raw], first, last), b"", np.concatenate([[0], np.cumsum(last - first + 1)])
 
 
 WORDS = anchors.Kind(PASSAGE, PASSAGE_GRAM, _word_open, gap=1)
