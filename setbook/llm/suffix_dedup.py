@@ -4,10 +4,11 @@ A byte goes if it is covered by a string of ``width`` bytes that also
 starts anywhere else.  Where that can be is found by anchors (``anchors``).
 There, blocks of contexts are sorted by suffix in two stages:
 
-1. suffixes smaller than their successor are sorted directly, by their
-   first ``width`` bytes and more;
-2. a scan over the buckets (first bytes) from left to right induces the
-   place of every other suffix from its successor's.
+1. of each run of suffixes smaller than their successor the first one is
+   sorted directly, by its first ``width`` bytes and more;
+2. scans over the buckets (first bytes) induce the place of every other
+   suffix from its successor's: from left to right those larger than it,
+   then from right to left those smaller.
 
 The common prefixes of neighbouring suffixes then tell which windows occur
 twice.  A separator that no UTF-8 text holds ends each context, so a common
@@ -36,6 +37,7 @@ PASSAGE, PASSAGE_GRAM = 50, 16     # words of a shared passage, and of its ancho
 WIDTH_BYTES, LEAST_PASSAGE = 128, 200
 BLOCK_BYTES = 1 << 19           # contexts of one anchor beyond this are dealt out by window
 BATCH_BYTES = 1 << 16           # contexts sorted together; fits a core's cache
+SORTED_KEYS = 1 << 10           # about as many suffixes are cut out at a time; fits it too
 _END = b"\xff"                  # in no UTF-8 text
 _BYTE_UNITS = anchors.mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -59,53 +61,106 @@ def smaller_than_next(text: np.ndarray) -> np.ndarray:
     return step[np.minimum.accumulate(differs[::-1])[::-1]] > 0        # equal bytes go on with the next
 
 
+def _words(text: bytes, beyond: int = 0) -> np.ndarray:
+    """The eight bytes from each place on (zeros behind the end), the first one lowest, to ``beyond`` places behind the end."""
+    data = np.frombuffer(text + bytes(beyond + 8), np.uint8)
+    return np.lib.stride_tricks.sliding_window_view(data, 8).copy().view("<u8")[:, 0]
+
+
+def _sorted_directly(text: bytes, places: np.ndarray, depth: int) -> list[int]:
+    """``places`` by the first ``depth`` bytes of their suffixes: by eight bytes at first, then whole groups of equal ones."""
+    words = _words(text).byteswap()[places]
+    by = np.argsort(words)
+    words, near = words[by], places[by].tolist()
+    ends = np.flatnonzero(words[1:] != words[:-1]) + 1
+    out, a = [], 0
+    for e in [*ends[np.flatnonzero(np.diff(ends // SORTED_KEYS, prepend=0))].tolist(), len(near)]:
+        out += sorted(near[a:e], key=lambda i: text[i:i + depth])
+        a = e
+    return out
+
+
+def _induce(places: np.ndarray, start: np.ndarray, scanned: np.ndarray, front: np.ndarray, lead: np.ndarray) -> None:
+    """Fill the front of each bucket of ``places`` in one scan.
+
+    Bucket ``c`` begins at ``start[c]``, its first ``scanned[c]`` places are
+    scanned, and the next free one is ``front[c]``.  ``lead[p]`` is the bucket
+    of the suffix before ``p`` if the scan is to place that one, else -1.
+    """
+    for c in np.flatnonzero(scanned).tolist():
+        lo, hi = start[c], front[c]
+        while lo < hi:                                                  # runs of one byte grow their own bucket
+            own = places[lo:hi]
+            own = own[lead[own] == c] - 1
+            lo, hi = hi, hi + len(own)
+            places[lo:hi] = own
+        source = places[start[c]:start[c] + scanned[c]]
+        first = lead[source]
+        later = first > c
+        source, first = source[later] - 1, first[later]
+        by = np.argsort(first, kind="stable")
+        first = first[by]
+        own = np.bincount(first, minlength=256)
+        places[np.arange(len(by)) + (front - (np.cumsum(own) - own))[first]] = source[by]
+        front += own
+
+
 def suffix_order(text: bytes, depth: int) -> np.ndarray:
     """Suffixes in the order of at least their first ``depth`` bytes.
 
-    Only suffixes smaller than their successor are compared; the others are
-    placed by one scan.
+    Only the first of each run of suffixes smaller than their successor are
+    compared; the others are placed by two scans.
     """
     data = np.frombuffer(text, np.uint8)
     n = len(data)
     small = smaller_than_next(data)
-    direct = sorted(np.flatnonzero(small).tolist(), key=lambda i: text[i:i + depth])
-    # a bucket holds the suffixes with one first byte: induced ones in front, sorted ones behind
-    size = np.bincount(data, minlength=256)
+    direct = np.array(_sorted_directly(text, np.flatnonzero(small[1:] & ~small[:-1]) + 1, depth), np.int64)
+    # a bucket holds the suffixes with one first byte: large ones in front, small ones behind
+    size, large = np.bincount(data, minlength=256), np.bincount(data[~small], minlength=256)
     start = np.cumsum(size) - size
-    order = np.full(n, -1, np.int64)
-    firsts = data[np.array(direct, np.int64)] if direct else np.empty(0, np.uint8)
-    own = np.bincount(firsts, minlength=256)
-    order[np.arange(len(direct)) + np.repeat(start + size - own - (np.cumsum(own) - own), own)] = direct
-    places, front, large = order.tolist(), start.tolist(), (~small).tolist()
+    places = np.zeros(n, np.int32)
+    own = np.bincount(data[direct], minlength=256)
+    places[np.arange(len(direct)) + np.repeat(start + large - (np.cumsum(own) - own), own)] = direct
+    front = start.copy()
     places[front[text[n - 1]]] = n - 1                                  # its successor is the empty suffix
     front[text[n - 1]] += 1
-    for p in places:                                                    # grows ahead of the scan
-        if p > 0 and large[p - 1]:
-            c = text[p - 1]
-            places[front[c]] = p - 1
-            front[c] += 1
-    return np.array(places, np.int64)
+    before = np.concatenate([[-1], data[:-1]]).astype(np.int16)
+    after_small = np.concatenate([[False], small[:-1]])
+    _induce(places, start, large + own, front, np.where(after_small, np.int16(-1), before))
+    # the same from the other end, over all that is placed; the small ones are placed anew
+    mirrored = (n - start - size)[::-1]
+    _induce(places[::-1], mirrored, size[::-1], mirrored.copy(), np.where(after_small, 255 - before, np.int16(-1)))
+    return places.astype(np.int64)
 
 
 def long_prefixes(text: bytes, order: np.ndarray, width: int) -> np.ndarray:
-    """Common prefix of each suffix with the one before it in ``order``, up to ``width`` bytes."""
-    data = np.frombuffer(text + bytes(width + 8), np.uint8)
-    words = np.lib.stride_tricks.sliding_window_view(data, 8).copy().view(">u8")[:, 0]
-    common = np.zeros(len(order), np.int64)
-    left = np.arange(1, len(order))
+    """Common prefix of each suffix with the one before it in ``order``, up to ``width`` bytes.
+
+    Where neighbours' successors are neighbours too, their prefix is one byte
+    longer than that of the successors; only where such a chain ends bytes are compared.
+    """
+    n = len(order)
+    data, words = np.frombuffer(text, np.uint8), _words(text, width)
+    before = np.full(n + 1, -2, np.int64)                               # the first one has none, next to no place
+    before[order[1:]] = order[:-1]
+    differs = data != data[np.maximum(before[:n], 0)]
+    differs[order[0]] = True
+    stops = np.flatnonzero(differs | (before[1:] != before[:-1] + 1))
+    common = np.zeros(len(stops), np.int64)
+    left = np.flatnonzero(~differs[stops])
+    a, b = stops[left], before[stops[left]]
     for at in range(0, width, 8):
-        a, b = order[left - 1] + at, order[left] + at
-        x, y = words[np.minimum(a, len(words) - 1)], words[np.minimum(b, len(words) - 1)]
-        same = x == y
-        ended = left[~same]
+        apart = words[a + at] ^ words[b + at]
+        same = apart == 0
+        ended = apart[~same]
         if len(ended):
-            rest = (x ^ y)[~same].astype(">u8").view(np.uint8).reshape(-1, 8)
-            common[ended] = at + (rest != 0).argmax(axis=1)
-        left = left[same]
+            common[left[~same]] = at + (ended.view(np.uint8).reshape(-1, 8) != 0).argmax(axis=1)
+        left, a, b = left[same], a[same], b[same]
         if not len(left):
             break
     common[left] = width
-    return np.minimum(common, width)
+    chained = np.repeat(common + stops, np.diff(stops, prepend=-1)) - np.arange(n)
+    return np.minimum(chained[order], width)
 
 
 def repeated_starts(contexts: list[bytes], width: int) -> list[np.ndarray]:

@@ -209,6 +209,46 @@ def test_suffix_order_and_prefixes():
             assert common[k] == n
 
 
+class Sliced(bytes):
+    """Bytes that count how often Python code takes something out of them."""
+
+    taken = 0
+
+    def __getitem__(self, key):
+        self.taken += 1
+        return super().__getitem__(key)
+
+
+def test_suffix_order_cuts_out_few_suffixes():
+    r = random.Random(11)
+    words = [bytes(r.choice(b"abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(60)]
+    text = Sliced(b"\xff".join(b" ".join(r.choices(words, k=90)) for _ in range(6)) + b"\xff")
+    order = suffix_dedup.suffix_order(text, 40)
+    assert text.taken < len(text) / 2
+    cuts = [bytes(text)[i:i + 40] for i in order.tolist()]
+    assert cuts == sorted(cuts) and sorted(order.tolist()) == list(range(len(text)))
+
+
+def test_suffix_order_of_equal_beginnings_and_their_prefixes(monkeypatch):
+    r = random.Random(12)
+    for keys in (1, 7, 1 << 10):
+        monkeypatch.setattr(suffix_dedup, "SORTED_KEYS", keys)
+        for _ in range(150):
+            alphabet = r.choice([b"ab", b"ab\x00", b"a", bytes([1, 97, 244])])
+            parts = [bytes(r.choice(alphabet) for _ in range(r.randint(0, 25))) for _ in range(r.randint(1, 5))]
+            text = b"\xff".join([*parts, parts[0]]) + b"\xff"
+            width = r.choice([1, 5, 8, 11, 16])
+            order = suffix_dedup.suffix_order(text, width + 8).tolist()
+            cuts = [text[i:i + width + 8] for i in order]
+            assert cuts == sorted(cuts) and sorted(order) == list(range(len(text)))
+            common = suffix_dedup.long_prefixes(text, np.array(order), width).tolist()
+            padded = text + bytes(width)
+            for k in range(1, len(order)):
+                a, b = padded[order[k - 1]:][:width], padded[order[k]:][:width]
+                assert common[k] == next((i for i in range(width) if a[i] != b[i]), width)
+            assert common[0] == 0
+
+
 def test_suffix_dedup_brute_force(docs_of, odd_texts):
     rows = list(enumerate(passages() + [t for t in odd_texts if not t or len(t) < 5000]))
     rows += [(None, rows[2][1]), (7, rows[7][1])]
