@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, stored, whole_text
+from .common import bounded_batches, dropped, stored, whole_text
 
 _LOW, _HIGH = np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000)
 _BASE = 0x9E3779B97F4A7C15
@@ -183,6 +183,7 @@ def search(docs: DataFrame, kind: Kind, block_units: int) -> Candidates:
     rows = stored(docs.mapInArrow(_context_rows(kind), _ROWS), "windows")
     repeated = stored(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
     members = stored(rows.join(repeated, "anchor"), "contexts")
+    dropped(rows, repeated)
     classes = stored(members.groupBy("anchor", "ctx").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "tkey", "i0", "i1")).alias("rep")), "classes")
     groups = classes.groupBy("anchor").agg(

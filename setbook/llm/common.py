@@ -6,12 +6,13 @@ import ctypes
 import uuid
 from collections.abc import Callable
 from typing import Any
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import delete_at_end, ensure_checkpoint_dir
+from ..session import delete_at_end, delete_now, ensure_checkpoint_dir
 from ..sources.tables import read_table
 
 # fixed value: the white space of the contracts, as a Java regex class
@@ -21,6 +22,11 @@ SPACE = r"[\x20\x09-\x0D]"
 ROW_GROUP_BYTES = 16 << 20
 ARROW_BATCH_BYTES = 4 << 20
 
+# whether Spark removes an execution's shuffle files at its end; else they stay until the driver happens to collect its garbage
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# where stored tables are
+_STORED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of ``documents`` that the operators use."""
@@ -39,11 +45,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage: a lost executor re-reads files instead of recomputing
     what stands before, and the column pruning of a Parquet scan is kept.
+    The shuffles that made it go with the write; ``dropped`` deletes it before
+    the application ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _STORED[out] = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote; for tables that no frame still to be run reads."""
+    for table in tables:
+        delete_now(table.sparkSession, _STORED.pop(table))
 
 
 def whole_text(col: str = "text") -> Column:

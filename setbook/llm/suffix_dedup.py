@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import bounded_batches, documents, stored, whole_text
+from .common import bounded_batches, documents, dropped, stored, whole_text
 
 WIDTH = 400
 PASSAGE, PASSAGE_GRAM = 50, 16     # words of a shared passage, and of its anchors
@@ -317,7 +317,9 @@ def shared_passages(docs: DataFrame, width: int = WIDTH_BYTES, least: int = LEAS
     both = cuts.groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("z"),
                                       (F.min("ctx") != F.max("ctx")).alias("differ"))
     # stored, so that the joins are of plain shuffles, whose hot keys AQE splits
-    members = stored(cuts.join(stored(both.where("a != z").select("anchor", "differ"), "shared"), "anchor"), "shared-contexts")
+    shared = stored(both.where("a != z").select("anchor", "differ"), "shared")
+    members = stored(cuts.join(shared, "anchor"), "shared-contexts")
+    dropped(cuts, shared)
     whole, parts = members.where("not differ"), members.where("differ")
     classes = parts.groupBy("anchor", "ctx").agg(F.min("doc").alias("a"), F.max("doc").alias("z"),
                                                  F.min(F.struct("doc", "i0", "i1")).alias("rep"))
@@ -341,7 +343,9 @@ def shared_passages(docs: DataFrame, width: int = WIDTH_BYTES, least: int = LEAS
                 .otherwise(state(x["at"], x["at"] + x["n"], F.greatest(acc["best"], x["n"])))
 
     longest = F.aggregate("runs", state(zero, zero, zero), joined, lambda acc: acc["best"])
-    return runs.select("doc", longest.alias("longest_shared")).where(F.col("longest_shared") >= least)
+    out = stored(runs.select("doc", longest.alias("longest_shared")).where(F.col("longest_shared") >= least), "longest-shared")
+    dropped(members, windows)
+    return out
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

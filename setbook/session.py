@@ -97,3 +97,11 @@ def delete_at_end(spark: SparkSession, path: str) -> None:
     if sc is not None:
         target = sc._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def delete_now(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what is below it; nothing may read it any more."""
+    sc = _context(spark)
+    if sc is not None:
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,13 +1,17 @@
 """Operators that compare documents, against brute force."""
+import glob
 import hashlib
+import os
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
 from llm_texts import docs_of, odd_texts, words  # noqa: F401
 
-from setbook.llm import anchors, near_dedup, phrase_dedup, suffix_dedup
+from setbook.llm import anchors, common, near_dedup, phrase_dedup, suffix_dedup
+from setbook.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -268,6 +272,37 @@ def test_suffix_dedup_query(spark, docs_of, odd_texts):
     assert {x["n_removed"] for x in suffix_dedup.remove_repeats(docs_of(long)).collect()} == {len(t) for _, t in long}
 
 
+def folder(spark):
+    return ensure_checkpoint_dir(spark).removeprefix("file:")
+
+
+def test_tables_that_nothing_reads_any_more_are_deleted(spark, docs_of):
+    rows = list(enumerate(passages()))
+    before = set(os.listdir(folder(spark)))
+    left = lambda: sorted(x.rpartition("-")[0] for x in set(os.listdir(folder(spark))) - before)
+    table = anchors.identified(docs_of(rows))
+    found = anchors.search(table, suffix_dedup.kind(40), 300)
+    assert left() == ["classes", "contexts", "texts"]
+    assert found.members.count() > found.classes.count() > 0 and found.texts.count() > 0
+    before |= set(os.listdir(folder(spark)))
+    shared = suffix_dedup.shared_passages(table.select("id", "text").toDF("doc", "text"), 40, 40)
+    assert left() == ["longest-shared"]
+    assert shared.count() > 0
+
+
+def test_shuffles_of_a_stored_table_go_with_its_write(spark):
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in local for f in glob.glob(f"{d}/**/shuffle_*", recursive=True)}
+    before, setting = files(), spark.conf.get(common.SHUFFLE_CLEANUP)
+    rows = spark.range(5000).repartition(4).withColumnRenamed("id", "k").join(spark.range(0, 9000, 2).toDF("k").repartition(3), "k")
+    table = common.stored(rows.groupBy("k").count(), "t-shuffled")
+    end = time.time() + 20
+    while files() - before and time.time() < end:           # they are removed in the background
+        time.sleep(0.2)
+    assert not files() - before
+    assert table.count() == 2500 and spark.conf.get(common.SHUFFLE_CLEANUP) == setting
+
+
 # ---- repeated passages
 
 def brute_words(rows, width):
