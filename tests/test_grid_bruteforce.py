@@ -191,6 +191,36 @@ def test_block_parser_without_ambiguous_totals(spark, seed, rows, monkeypatch):
     assert norm(got) == norm(expected)
 
 
+@pytest.mark.parametrize("rows", [1000, 6])
+def test_first_blocks_give_their_records_at_once(spark, rows, monkeypatch):
+    """Of a sheet's first block the parser keeps a row a record and its last cell; only values of later blocks are
+    numbered and grouped."""
+    from setbook.operators import grid
+    rnd = random.Random(41)
+    cells, expected, ends, later = [], [], set(), 0
+    for wb in (1, 2, 3, None):
+        out, model = to_cells(wb, "2024", random_sheet(rnd, totals=False))
+        cells += out
+        expected += [(wb, "2024") + rec for rec in SheetModel(model).run()]
+        ends |= {(wb, r // rows) for r, _ in model if r > 0}
+        later += sum(r // rows > 0 for r, _ in model)
+    kept = {}
+
+    def count(df, label):
+        df = written(df, label)
+        kept[label] = df.count()
+        return df
+    written = grid.written
+    monkeypatch.setattr(grid, "written", count)
+    got = [tuple(r) for r in parse_journal_cells(spark.createDataFrame(cells, CELLS_SCHEMA), rows_per_chunk=rows).collect()]
+    norm = lambda rows_: sorted(tuple("∅" if v is None else str(v) for v in row) for row in rows_)
+    assert norm(got) == norm(expected)
+    if rows == 1000:
+        assert kept["parse-blocks"] <= len(expected) + len(ends) and not kept["parse-summaries"]
+    else:
+        assert later and kept["parse-blocks"] <= len(expected) + len(ends) + later
+
+
 def test_sheets_without_hidden_totals_take_four_windows(spark, monkeypatch):
     """All passes are for sheets that could hide a total; the others share one sort and four windows."""
     from setbook.operators import grid
