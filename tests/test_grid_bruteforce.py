@@ -221,6 +221,24 @@ def test_first_blocks_give_their_records_at_once(spark, rows, monkeypatch):
         assert later and kept["parse-blocks"] <= len(expected) + len(ends) + later
 
 
+@pytest.mark.parametrize("rows", [None, 1, 4, 1000])
+def test_contexts_as_texts_and_numbers(spark, rows):
+    """The session's day as a text is hidden, another day's is a value; a number hides the numeric type only; empty
+    texts are missing cells; a section before nothing is kept for what comes later."""
+    from setbook.operators import grid
+    day = dt.date(2024, 5, 6)
+    sheet = [["x"], ["May"], [float((day - EPOCH).days), "", "Monday", 7.0, "127/365"], ["Pull"], list(COLUMN_HEADERS),
+             ["a", "", "06-05-2024", "07-05-2024", 7.0, "7.0", 8.0, "", "b"], ["Total", 1.0], ["Push"], [""], ["Legs"],
+             ["c", "d", "e-05-2024", "", 6.0, "f"], ["06-05-2024", "g"], ["", "", ""], ["Warm-Up"], list(COLUMN_HEADERS),
+             [float((day - EPOCH).days) + 1, "Deload", "Tuesday", "", "128/365"], ["h", "06-05-2024", "07-05-2024", 0.0, "i"],
+             ["Pull"], ["j", 1.0, 2.0, "Total"], ["Push"], [""]]
+    cells, model = to_cells(1, "2024", sheet)
+    expected = [(1, "2024") + rec for rec in SheetModel(model).run()]
+    got = [tuple(r) for r in grid.parse_journal_cells(spark.createDataFrame(cells, CELLS_SCHEMA), rows_per_chunk=rows).collect()]
+    norm = lambda rows_: sorted(tuple("∅" if v is None else str(v) for v in row) for row in rows_)
+    assert len(expected) == 3 and norm(got) == norm(expected)
+
+
 def test_sheets_without_hidden_totals_take_four_windows(spark, monkeypatch):
     """All passes are for sheets that could hide a total; the others share one sort and four windows."""
     from setbook.operators import grid
